@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catamill.llm import quality_rules, url_filter
+import public_tokenizers
+
+from catamill.llm import byte_bpe, packing, quality_rules, telephony, url_filter
 from catamill.session import table
 
 #: The list rules of op7.
@@ -18,6 +20,30 @@ URL_RULES = (
 )
 
 
+def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), *columns)
+
+
+def op1_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's bytes as mu-law samples in a WAV file, read back and resampled to 16 kHz PCM."""
+    docs = _documents(spark, sf_dir, "text")
+    docs = docs.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), telephony.padded(F.col("text")).alias("payload"))
+    stored = telephony.store(docs)
+    stored = stored.select("doc_id", "n_bytes", F.octet_length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), "media")
+    back, n = telephony.expand(stored), F.octet_length("payload")
+    return back.select(
+        "doc_id", "n_bytes", n.cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"), F.crc32(F.substring(F.col("payload"), n - 63, F.lit(64))).alias("tail_crc32"),
+        "media_bytes", "media_sha256", "feature", F.octet_length("pcm").cast("long").alias("pcm_bytes"), F.crc32("pcm").alias("pcm_crc32"),
+    )
+
+
+def op2_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    path = vocabulary or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ids = byte_bpe.encode(_documents(spark, sf_dir, "text"), path, public_tokenizers.PATTERN)
+    back = byte_bpe.decode(ids, path, public_tokenizers.PATTERN, keep=("n_tokens",))
+    return back.select("doc_id", "n_tokens", F.sha2("ids_text", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled pages are those whose id is in `labels`: a page is bad where quality is 0."""
     marks = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), (F.col("quality") == 0).alias("bad"))
@@ -25,13 +51,17 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    docs = _documents(spark, sf_dir, "text", "lang", "source")
     out = quality_rules.apply_rules(docs, slim=True)
     return out.select("doc_id", *[f"qr.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed", "symbol_rate", "dup_line_rate", "repeat_rate", "mean_word")])
 
 
+def op10_packing(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    return packing.pack(_documents(spark, sf_dir, "text"), vocabulary or public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op7_url_filter, op8_quality_rules)}
+    return {f.__name__: f for f in (op1_telephony, op2_byte_bpe, op7_url_filter, op8_quality_rules, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
