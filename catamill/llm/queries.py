@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from catamill.llm import byte_bpe, packing, quality_rules, telephony, url_filter
+from catamill.llm import byte_bpe, language_id, packing, quality_classifier, quality_rules, telephony, url_filter
+from catamill.llm.common import fold
 from catamill.session import table
 
 #: The list rules of op7.
@@ -44,6 +45,13 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None
     return back.select("doc_id", "n_tokens", F.sha2("ids_text", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold(F.col("doc_id"), 3) == 1
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.train(docs.where(~held_out).select("text", "lang"))
+    return language_id.predict(docs, model).withColumn("held_out", held_out)
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled pages are those whose id is in `labels`: a page is bad where quality is 0."""
     marks = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), (F.col("quality") == 0).alias("bad"))
@@ -56,12 +64,21 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *[f"qr.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed", "symbol_rate", "dup_line_rate", "repeat_rate", "mean_word")])
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold(F.col("doc_id"), 5) == 0
+    docs = _documents(spark, sf_dir, "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    model = quality_classifier.train(docs.where(~held_out).join(labels, "doc_id"))
+    scored = quality_classifier.score(docs, model).drop("text")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir, "text"), vocabulary or public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_telephony, op2_byte_bpe, op7_url_filter, op8_quality_rules, op10_packing)}
+    return {f.__name__: f for f in (op1_telephony, op2_byte_bpe, op3_language_id, op7_url_filter, op8_quality_rules, op9_quality_classifier, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
