@@ -100,9 +100,13 @@ def thresholds(m: DataFrame, rules: Rules) -> DataFrame:
         return df.select(*keys, F.when(F.col("n") >= rules.min_group, F.struct(*[fence(x) for x in rules.measures])).alias(to))
 
     langs = fences(by_group.groupBy("lang").agg(*merged(by_group)), "f1", "lang")
-    top = fences(by_group.groupBy().agg(*merged(by_group)).where(F.col("n") > 0), "f2")
     groups = fences(by_group, "f0", "lang", "source").join(langs, "lang")
-    return groups.join(F.broadcast(top.withColumn("one", F.lit(1))), F.lit(1) == F.col("one"), "left").select("lang", "source", F.coalesce("f0", "f1", "f2").alias("fence"))
+    top = fences(by_group.groupBy().agg(*merged(by_group)).where(F.col("n") > 0), "f2").first()  # two numbers a measure
+    if top and top.f2:
+        f2 = F.struct(*[F.struct(F.lit(top.f2[x.name].low).alias("low"), F.lit(top.f2[x.name].high).alias("high")).alias(x.name) for x in rules.measures])
+    else:
+        f2 = F.lit(None)
+    return groups.select("lang", "source", F.coalesce("f0", "f1", f2).alias("fence"))
 
 
 def apply_rules(docs: DataFrame, rules: Rules = Rules(), into: str = "qr", slim: bool = False) -> DataFrame:
