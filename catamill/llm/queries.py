@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from catamill.llm import byte_bpe, html_wrapper, language_id, ngram_join, packing, quality_classifier, quality_rules, telephony, url_filter
+from catamill.llm import byte_bpe, html_wrapper, language_id, ngram_join, packing, pitman_yor, quality_classifier, quality_rules, telephony, url_filter
 from catamill.llm.common import fold
 from catamill.session import table
 
@@ -56,6 +56,12 @@ def op4_html_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_wrapper.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op5_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir, "text").withColumn("learn", fold(F.col("doc_id"), 7) != 2)
+    out = pitman_yor.score_documents(docs)
+    return out.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(_documents(spark, sf_dir, "text"), n=4, percent=85)
 
@@ -86,7 +92,7 @@ def op10_packing(spark: SparkSession, sf_dir: str, vocabulary: str | None = None
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_telephony, op2_byte_bpe, op3_language_id, op4_html_wrapper, op6_ngram_join, op7_url_filter, op8_quality_rules, op9_quality_classifier, op10_packing)}
+    return {f.__name__: f for f in (op1_telephony, op2_byte_bpe, op3_language_id, op4_html_wrapper, op5_pitman_yor, op6_ngram_join, op7_url_filter, op8_quality_rules, op9_quality_classifier, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
