@@ -16,6 +16,7 @@ def spark():
     s = local_session("tests", 4)
     s.conf.set("spark.sql.shuffle.partitions", "4")
     s.sparkContext.setLogLevel("ERROR")
+    s.sparkContext.environment["PYTHONPATH"] = str(ROOT)
     return s
 
 
