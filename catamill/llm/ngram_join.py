@@ -26,9 +26,10 @@ from catamill.llm.common import join_lookup, written
 from catamill.llm.components import connected
 
 STEP = 4 << 20
-BUCKETS = 32
-#: Share of a task's documents from which a shingle counts as frequent, and how many such shingles are ordered last at most.
-FREQUENT, FREQUENT_MOST = 0.001, 200_000
+#: Buckets of the counts that bound an overlap, and the largest set that they count.
+BUCKETS, COUNTED = 256, 8_000_000
+#: Sets of a part of a task that make a shingle count as frequent, and how many such shingles are ordered last at most.
+LOCAL, FREQUENT_MOST = 3, 200_000
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0xD6E8FEB86659FD93)
 
 
@@ -52,38 +53,42 @@ def shingle_sets(text: pa.Array, n: int) -> list[np.ndarray]:
     return out
 
 
-def frequent_shingles(docs: DataFrame, n: int) -> np.ndarray:
-    """Shingles that about FREQUENT of all documents or more have, by counts within tasks. They are few whatever the
-    input: no more than words a document over FREQUENT. They only shape the order, so a miss costs time alone."""
+def frequent_shingles(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent shingles, sorted, and the rank of each (rarest first), by counts of distinct sets within parts of
+    tasks: what stands in LOCAL sets of such a part is counted over all parts. At most FREQUENT_MOST are taken. They only
+    shape the order of shingles, so that one missed costs time alone."""
 
     def count(batches) -> Iterator[pa.RecordBatch]:
-        kept: list[np.ndarray] = []
-        rows = size = 0
+        kept: dict[bytes, np.ndarray] = {}
+        size = 0
 
         def frequent() -> pa.RecordBatch:
-            h, c = np.unique(np.concatenate(kept), return_counts=True) if kept else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-            many = c >= max(8, FREQUENT * rows)
+            h, c = np.unique(np.concatenate(list(kept.values())), return_counts=True) if kept else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            many = c >= LOCAL
             return pa.RecordBatch.from_arrays([pa.array(h[many].view(np.int64)), pa.array(c[many])], ["h", "n"])
 
         for batch in slices(batches, 0, STEP):
-            sets = shingle_sets(texts(batch.column(0)), n)
-            kept += sets
-            rows, size = rows + len(sets), size + sum(map(len, sets))
+            for s in shingle_sets(texts(batch.column(0)), n):
+                if (key := xxhash.xxh3_128_digest(s.tobytes())) not in kept:
+                    kept[key] = s
+                    size += len(s)
             if size > 4_000_000:
                 yield frequent()
-                kept, rows, size = [], 0, 0
+                kept, size = {}, 0
         yield frequent()
 
-    found = docs.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "h").limit(FREQUENT_MOST)
-    return np.sort(np.array([r.h for r in found.select("h").collect()], np.int64).view(np.uint64))
+    found = docs.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "h").limit(FREQUENT_MOST).collect()
+    h = np.array([r.h for r in found], np.int64).view(np.uint64)
+    order = np.argsort(h)
+    return h[order], (len(h) - 1 - np.arange(len(h)))[order]
 
 
-def prefixed(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """doc_id, size, class (hash of the whole set), prefix, counts (shingles by hash bucket). Texts without words: size 0, no class."""
+def prefixed(docs: DataFrame, n: int, percent: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """doc_id, size, class (hash of the whole set), prefix, counts (shingles by hash bucket; null for very large sets). Texts without words: size 0, no class."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        last = shared.value
+        last, rank = shared.value
         for batch in slices(batches, 1, STEP):
             sizes, classes, prefixes, counts = [], [], [], []
             for s in shingle_sets(texts(batch.column(1)), n):
@@ -92,19 +97,19 @@ def prefixed(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> Dat
                     classes.append(None), prefixes.append(None), counts.append(None)
                     continue
                 classes.append(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).view(np.int64))
-                counts.append(np.bincount((s & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS))
+                counts.append(np.bincount((s & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS) if len(s) < COUNTED else None)
                 order = s
                 if len(last):
                     at = np.minimum(np.searchsorted(last, s), len(last) - 1)
                     late = last[at] == s
-                    order = np.concatenate([s[~late], s[late]])
+                    order = np.concatenate([s[~late], s[late][np.argsort(rank[at[late]])]])
                 prefixes.append(order[: len(s) - (percent * len(s) + 99) // 100 + 1].view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int32()))],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int16()))],
                 ["doc_id", "size", "class", "prefix", "counts"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, size long, class long, prefix array<long>, counts array<int>")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, size long, class long, prefix array<long>, counts array<short>")
 
 
 def least_overlap(a: Column, b: Column, percent: int) -> Column:
@@ -146,19 +151,29 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
         rows.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("first"), F.first("size").alias("size"), F.first("prefix").alias("prefix"), F.first("counts").alias("counts"))
         .withColumn("group", F.xxhash64("size", "prefix")), "classes",
     )
-    # Groups: classes with equal prefix and size. `first_class` stands for the group in round one.
-    groups = classes.groupBy("group").agg(F.min("class").alias("first_class"), F.first("size").alias("size"), F.first("prefix").alias("prefix"))
-    lists = groups.select("group", "first_class", "size", F.posexplode("prefix").alias("at", "shingle"))
+    # Groups: classes with equal prefix and size. The class with the smallest hash stands for the group in round one.
+    leads = classes.groupBy("group").agg(F.min("class").alias("class"))
+    groups = classes.join(leads, ["group", "class"], "left_semi")
+    lists = groups.select("group", F.col("size").cast("int").alias("size"), F.posexplode("prefix").alias("at", "shingle"))
     by_size = Window.partitionBy("shingle").orderBy("size", "group")
-    lists = lists.withColumn("before", F.lag(F.struct("first_class", "size")).over(by_size)).withColumn("lead", F.first(F.struct("first_class", "size")).over(by_size)).withColumn("after", F.lead("group").over(by_size))
+    place = F.struct("group", "size", "at")
+    lists = lists.withColumn("before", F.lag(place).over(by_size)).withColumn("lead", F.first(place).over(by_size)).withColumn("after", F.lead("group").over(by_size))
     lists = written(lists.where(F.col("before").isNotNull() | F.col("after").isNotNull()).drop("after"), "lists")  # a list of one links nothing
 
     near_size = lambda a, b: 100 * F.least(a, b) >= percent * F.greatest(a, b)
-    stars = [lists.where(F.col(f"{x}.first_class").isNotNull() & near_size(F.col(f"{x}.size"), F.col("size"))).select(F.least(f"{x}.first_class", "first_class").alias("a"), F.greatest(f"{x}.first_class", "first_class").alias("b")) for x in ("before", "lead")]
+    stars = []
+    for x in ("before", "lead"):
+        size, at = F.col(f"{x}.size"), F.col(f"{x}.at")
+        # What two sets share is the shingle, at most all that stands before it in either, and all that stands behind it.
+        most = F.least(at, F.col("at")) + F.least(size - at, F.col("size") - F.col("at"))
+        star = lists.where(F.col(x).isNotNull() & near_size(size, F.col("size")) & (most >= least_overlap(size, F.col("size"), percent)))
+        stars.append(star.select(F.col(f"{x}.group").alias("g"), F.col("group").alias("h")).where(F.col("g") != F.col("h")).distinct())
+    lead = lambda g, c: leads.select(F.col("group").alias(g), F.col("class").alias(c))
+    stars = [stars[0].union(stars[1]).distinct().join(lead("g", "x"), "g").join(lead("h", "y"), "h").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))]
     inner = classes.groupBy("group").agg(F.count("*").alias("members"), F.min("class").alias("lead")).where(F.col("members") > 1)
     members = classes.select("class", "group").join(inner, "group")  # of groups with several classes
     stars.append(members.where(F.col("class") != F.col("lead")).select(F.col("lead").alias("a"), F.col("class").alias("b")))
-    first = stars[0].union(stars[1]).union(stars[2]).where(F.col("a") != F.col("b")).distinct()
+    first = stars[0].union(stars[1]).where(F.col("a") != F.col("b")).distinct()
     sums = classes.select("class", "size", "counts")
     edges = similar(_possible(first, sums, percent), classes, docs, n, percent)
     labels = connected(edges)
@@ -192,5 +207,5 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
 def _possible(pairs: DataFrame, sums: DataFrame, percent: int) -> DataFrame:
     """Pairs of classes whose counts of hash buckets allow the overlap: no bucket shares more than the smaller count."""
     p = pairs.join(sums.toDF("a", "m", "x"), "a").join(sums.toDF("b", "k", "y"), "b")
-    shared = F.aggregate(F.zip_with("x", "y", lambda u, v: F.least(u, v)), F.lit(0), lambda s, u: s + u)
-    return p.where(shared >= least_overlap(F.col("m"), F.col("k"), percent)).select("a", "b")
+    shared = F.aggregate(F.zip_with("x", "y", lambda u, v: F.least(u, v)), F.lit(0), lambda s, u: s + u.cast("int"))
+    return p.where(F.col("x").isNull() | F.col("y").isNull() | (shared >= least_overlap(F.col("m"), F.col("k"), percent))).select("a", "b")
