@@ -5,13 +5,15 @@ that are similar enough share a shingle in their prefixes. Documents with equal
 prefixes and size are one group; candidate pairs of groups come from shared prefix shingles, are filtered by size,
 position and counts of hash buckets, and are then expanded to members and verified on the whole sets.
 
-Of a shingle's list, round one pairs each group with the next and with the first in order of size, which links most
-of what is similar without all pairs. Round two takes all pairs of lists, but only between what is still in different
+Of a shingle's list, round one pairs each group with the next and with the first, in order of size and in order of the
+shingle's place in the prefixes (the first there has the fewest shingles of its own, as the text that others were copied
+from), which links most of what is similar without all pairs. Round two takes all pairs of lists, but only between what is still in different
 components, so large groups of copies cost no pairs and no link between different texts is lost.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -156,20 +158,22 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     groups = classes.join(leads, ["group", "class"], "left_semi")
     lists = groups.select("group", F.col("size").cast("int").alias("size"), F.posexplode("prefix").alias("at", "shingle"))
     by_size = Window.partitionBy("shingle").orderBy("size", "group")
+    by_place = Window.partitionBy("shingle").orderBy("at", "size", "group")  # what has few rarer shingles of its own comes first
     place = F.struct("group", "size", "at")
     lists = lists.withColumn("before", F.lag(place).over(by_size)).withColumn("lead", F.first(place).over(by_size)).withColumn("after", F.lead("group").over(by_size))
+    lists = lists.withColumn("near", F.lag(place).over(by_place)).withColumn("centre", F.first(place).over(by_place))
     lists = written(lists.where(F.col("before").isNotNull() | F.col("after").isNotNull()).drop("after"), "lists")  # a list of one links nothing
 
     near_size = lambda a, b: 100 * F.least(a, b) >= percent * F.greatest(a, b)
     stars = []
-    for x in ("before", "lead"):
+    for x in ("before", "lead", "near", "centre"):
         size, at = F.col(f"{x}.size"), F.col(f"{x}.at")
         # What two sets share is the shingle, at most all that stands before it in either, and all that stands behind it.
         most = F.least(at, F.col("at")) + F.least(size - at, F.col("size") - F.col("at"))
         star = lists.where(F.col(x).isNotNull() & near_size(size, F.col("size")) & (most >= least_overlap(size, F.col("size"), percent)))
         stars.append(star.select(F.col(f"{x}.group").alias("g"), F.col("group").alias("h")).where(F.col("g") != F.col("h")).distinct())
     lead = lambda g, c: leads.select(F.col("group").alias(g), F.col("class").alias(c))
-    stars = [stars[0].union(stars[1]).distinct().join(lead("g", "x"), "g").join(lead("h", "y"), "h").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))]
+    stars = [functools.reduce(DataFrame.union, stars).select(F.least("g", "h").alias("g"), F.greatest("g", "h").alias("h")).distinct().join(lead("g", "x"), "g").join(lead("h", "y"), "h").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))]
     inner = classes.groupBy("group").agg(F.count("*").alias("members"), F.min("class").alias("lead")).where(F.col("members") > 1)
     members = classes.select("class", "group").join(inner, "group")  # of groups with several classes
     stars.append(members.where(F.col("class") != F.col("lead")).select(F.col("lead").alias("a"), F.col("class").alias("b")))
@@ -188,9 +192,12 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     lists = written(lists.join(open_lists, "shingle", "left_semi"), "open")
     x, y = lists.alias("x"), lists.alias("y")
     met = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.part") < F.col("y.part")) & near_size(F.col("x.size"), F.col("y.size")))
-    met = met.groupBy(F.col("x.group").alias("g"), F.col("y.group").alias("h")).agg(F.min("x.at").alias("i"), F.min("y.at").alias("j"), F.first("x.size").alias("m"), F.first("y.size").alias("k"))
-    # The first shared shingle bounds the overlap: what stands behind it in either set, and itself.
-    met = met.where(F.least(F.col("m") - F.col("i"), F.col("k") - F.col("j")) >= least_overlap(F.col("m"), F.col("k"), percent)).select("g", "h")
+    met = met.groupBy(F.col("x.group").alias("g"), F.col("y.group").alias("h")).agg(F.count("*").alias("c"), F.min("x.at").alias("i"), F.min("y.at").alias("j"), F.first("x.size").alias("m"), F.first("y.size").alias("k"))
+    # The first shared shingle bounds the overlap: what stands behind it in either set, and itself. So does the number that
+    # the prefixes share: of the set whose prefix ends first in the order, only what stands behind the prefix can come to it.
+    behind = lambda size: F.ceil(size * percent / 100 - 1e-9) - 1
+    least = least_overlap(F.col("m"), F.col("k"), percent)
+    met = met.where((F.least(F.col("m") - F.col("i"), F.col("k") - F.col("j")) >= least) & (F.col("c") + F.greatest(behind(F.col("m")), behind(F.col("k"))) >= least)).select("g", "h")
     within = of_group.where("mixed").select(F.col("group").alias("g"), F.col("group").alias("h"))
     side = lambda g, c, p: named.select(F.col("group").alias(g), F.col("class").alias(c), F.col("label").alias(p))
     more = met.union(within).join(side("g", "a", "p"), "g").join(side("h", "b", "q"), "h").where((F.col("p") != F.col("q")) & (F.col("a") != F.col("b")))
