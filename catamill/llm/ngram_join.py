@@ -191,13 +191,14 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     open_lists = lists.groupBy("shingle").agg(F.min("part").alias("p"), F.max("part").alias("q")).where(F.col("p") != F.col("q")).select("shingle")
     lists = written(lists.join(open_lists, "shingle", "left_semi"), "open")
     x, y = lists.alias("x"), lists.alias("y")
-    met = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.part") < F.col("y.part")) & near_size(F.col("x.size"), F.col("y.size")))
-    met = met.groupBy(F.col("x.group").alias("g"), F.col("y.group").alias("h")).agg(F.count("*").alias("c"), F.min("x.at").alias("i"), F.min("y.at").alias("j"), F.first("x.size").alias("m"), F.first("y.size").alias("k"))
-    # The first shared shingle bounds the overlap: what stands behind it in either set, and itself. So does the number that
-    # the prefixes share: of the set whose prefix ends first in the order, only what stands behind the prefix can come to it.
-    behind = lambda size: F.ceil(size * percent / 100 - 1e-9) - 1
-    least = least_overlap(F.col("m"), F.col("k"), percent)
-    met = met.where((F.least(F.col("m") - F.col("i"), F.col("k") - F.col("j")) >= least) & (F.col("c") + F.greatest(behind(F.col("m")), behind(F.col("k"))) >= least)).select("g", "h")
+    # The first shared shingle bounds the overlap: what stands behind it in either set, and itself.
+    behind = F.least(F.col("x.size") - F.col("x.at"), F.col("y.size") - F.col("y.at"))
+    met = x.join(
+        y,
+        (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.part") < F.col("y.part")) & near_size(F.col("x.size"), F.col("y.size"))
+        & (behind >= least_overlap(F.col("x.size"), F.col("y.size"), percent)),
+    )
+    met = met.select(F.col("x.group").alias("g"), F.col("y.group").alias("h")).distinct()
     within = of_group.where("mixed").select(F.col("group").alias("g"), F.col("group").alias("h"))
     side = lambda g, c, p: named.select(F.col("group").alias(g), F.col("class").alias(c), F.col("label").alias(p))
     more = met.union(within).join(side("g", "a", "p"), "g").join(side("h", "b", "q"), "h").where((F.col("p") != F.col("q")) & (F.col("a") != F.col("b")))
