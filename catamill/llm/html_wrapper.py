@@ -2,9 +2,9 @@
 
 A page is a stream of container tags and text slots. Neighbouring equal runs fold into repeated groups, which gives the
 page's form. The distinct forms of a host, with counts and sums of what stood in each slot, are gathered by Spark; one
-after another they are aligned into the host's wrapper, and mismatches become optional or repeated groups. Slots of the
-wrapper are then told apart, over all pages of the host, into main text and the rest. Extraction aligns each page's form
-with its host's wrapper (once per distinct form) and joins the texts of main slots.
+after another they are aligned into the host's wrapper, and mismatches become optional or repeated groups. A page's main text
+is its form's best region by name; where its form names none, slots of the wrapper, told apart over all pages of the
+host, say which container it is. Extraction does so once per distinct form and joins the texts of main slots.
 """
 
 from __future__ import annotations
@@ -203,33 +203,36 @@ def region(key: str) -> int:
     return max(rank, 0)
 
 
-def main_slots(wrapper: list[tuple], facts: dict[str, tuple[int, int, int]]) -> list[str]:
-    """Keys of the wrapper's main slots. facts: by slot key, its texts, their characters, and distinct texts (about).
+def main_slots(keys: set[str], facts: dict[str, tuple[int, int, int]]) -> set[str]:
+    """The main slots among the keys of a wrapper or of a page's form. facts: by slot key, its texts, their characters,
+    and distinct texts (about), over all pages of the host.
 
-    The best region that any slot has is the main text. Where no container names it, slots with long texts are, and
-    those beside them in the same container that aren't links; a slot with one text on all of several pages isn't."""
-    keys = {t for node, _ in wrapper for t in leaves(node) if "#" in t and t[0] != "<"}
+    The best region that any of the keys has is the main text. Where no container names it, slots with long texts are,
+    and those beside them in the same container that aren't links; a slot with one text on all of several pages isn't."""
     ranks = {k: region(k) for k in keys}
     best = max(ranks.values(), default=0)
     if best >= 2:
-        return sorted(k for k, r in ranks.items() if r == best)
+        return {k for k, r in ranks.items() if r == best}
     plain = {k for k, r in ranks.items() if r == 1 and "@" not in k.split("#")[0]}
     varied = any(facts.get(k, (0, 0, 0))[2] > 1 for k in plain)
     plain = {k for k in plain if not (varied and facts.get(k, (0, 0, 0))[0] >= 5 and facts[k][2] == 1)}
     long = {k.partition("#")[2] for k in plain if (f := facts.get(k)) and f[1] >= 40 * f[0]}
     if plain and not long:
         long = {max(plain, key=lambda k: (facts.get(k, (0, 0, 0))[1], k)).partition("#")[2]}
-    return sorted(k for k in plain if k.partition("#")[2] in long)
+    return {k for k in plain if k.partition("#")[2] in long}
 
 
-def extract(items: list[str | Slot], form: tuple, wrapper: list[tuple], main: set[str], memo: dict) -> str:
-    """The main text. Slots that the wrapper takes in are main as the wrapper says; others by their own path."""
+def slot_keys(form) -> set[str]:
+    return {t for node in form for t in leaves(node) if "#" in t and t[0] != "<"}
+
+
+def extract(items: list[str | Slot], form: tuple, bare: set[str], facts: dict, memo: dict) -> str:
+    """The main text. The page's own form has the best region, as a host may have several templates. bare: the wrapper's
+    main slots outside named containers, which a page without any named container keeps; facts: as in main_slots."""
     if form not in memo:
-        old = regroup(tuple(t for t, _ in wrapper), _groups(form))
-        own = regroup(form, _groups(old))
-        taken = {t for kind, a, b, _, _ in SequenceMatcher(None, old, own, autojunk=False).get_opcodes() if kind == "equal" for node in old[a:b] for t in leaves(node)}
-        best = max((region(k) for k in main), default=0)
-        memo[form] = {t for node in form for t in leaves(node) if t[0] != "<" and ((t in main) if t in taken else t in main or (region(t) >= max(best, 2)))}
+        keys = slot_keys(form)
+        named = any(region(k) >= 2 for k in keys)
+        memo[form] = (not named and keys & bare) or main_slots(keys, facts)
     keep = memo[form]
     return " ".join(x.text for x in items if isinstance(x, Slot) and x.key in keep)
 
@@ -275,7 +278,7 @@ def hash_of(text: str) -> int:
 
 
 def wrappers(pages: DataFrame, forms_per_host: int) -> DataFrame:
-    """host, wrapper (JSON). pages: host, html. Forms beyond the most frequent ones of a host aren't aligned; their pages are read by their own paths."""
+    """host, wrapper (JSON: main slots outside named containers, and the facts of all slots outside them). pages: host, html. Forms beyond the most frequent ones of a host aren't aligned; their pages are read by their own paths."""
     sums = host_forms(pages).groupBy("host", "form", "key").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts"), F.sum("chars").alias("chars"), F.min("low").alias("low"), F.max("high").alias("high"))
     sums = written(sums, "forms")
     counts = sums.groupBy("host", "form").agg(F.max("n").alias("n"))
@@ -295,8 +298,9 @@ def wrappers(pages: DataFrame, forms_per_host: int) -> DataFrame:
     def group(pdf: pd.DataFrame) -> pd.DataFrame:
         forms = [_tuples(json.loads(f)) for f in pdf[pdf["r"] > 0].sort_values("r")["form"]]
         known = {k: (int(n), int(c), 1 if low == high else 2) for k, n, c, low, high in pdf[pdf["r"] < 0][["form", "texts", "chars", "low", "high"]].itertuples(index=False)}
-        w = infer(forms)
-        return pd.DataFrame({"host": [pdf["host"].iloc[0]], "wrapper": [json.dumps([w, main_slots(w, known)])]})
+        known = {k: f for k, f in known.items() if k and region(k) == 1}
+        bare = main_slots({k for k in slot_keys(t for t, _ in infer(forms)) if region(k) == 1}, known)
+        return pd.DataFrame({"host": [pdf["host"].iloc[0]], "wrapper": [json.dumps([sorted(bare), known])]})
 
     return both.groupBy("host").applyInPandas(group, "host string, wrapper string")
 
@@ -322,13 +326,13 @@ def extract_pages(pages: DataFrame, forms_per_host: int = 64) -> DataFrame:
                 if text not in loaded:
                     if len(loaded) > 500:
                         loaded.clear()
-                    w, main = json.loads(text) if text else ([], [])
-                    loaded[text] = [(_tuples(t), o) for t, o in w], set(main), {}
-                w, main, memo = loaded[text]
+                    bare, facts = json.loads(text) if text else ([], {})
+                    loaded[text] = set(bare), facts, {}
+                bare, facts, memo = loaded[text]
                 if len(memo) > 5000:
                     memo.clear()
                 items = parse(page or "")
-                texts.append(extract(items, form_of(items), w, main, memo))
+                texts.append(extract(items, form_of(items), bare, facts, memo))
             n = pa.array(np.fromiter(map(len, texts), np.int64, len(texts)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), n], ["page_id", "url", "text", "n_chars"])
 

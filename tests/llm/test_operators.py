@@ -175,6 +175,14 @@ def test_op4_furniture(spark):
     assert html_wrapper.extract_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_op4_templates_of_one_host(spark):
+    text = "The main text of page {}, which is long enough to be told apart from other slots."
+    forms = ["<article><p>{}</p></article>", "<main><p>{}</p></main>", "<div class=content><p>{}</p></div>", "<div><div><p>{}</p></div></div>"]
+    rows = [page("<nav>Menu</nav>" + forms[k % 4].format(text.format(k)) + "<footer>End</footer>", k=k) for k in range(24)]
+    got = {r.page_id: r.text for r in html_wrapper.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {k: text.format(k) for k in range(24)}
+
+
 def test_wrapper_alignment():
     w = html_wrapper.infer([("<a>", "x#", "</a>"), ("<a>", ("x#",), "y#", "</a>"), ("<a>", "</a>")])
     assert [(t, o) for t, o in w] == [("<a>", False), (("x#",), True), ("y#", True), ("</a>", False)]
