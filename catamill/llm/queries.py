@@ -67,9 +67,10 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled pages are those whose id is in `labels`: a page is bad where quality is 0."""
-    marks = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), (F.col("quality") == 0).alias("bad"))
-    return url_filter.judge_urls(table(spark, sf_dir, "pages"), marks, URL_RULES)
+    """A page's outcome is the label of the document whose text it holds: bad where quality is 0."""
+    pages = table(spark, sf_dir, "pages")
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("quality") == 0).alias("bad"))
+    return url_filter.judge_urls(pages, url_filter.outcomes_of(pages, _documents(spark, sf_dir, "text"), labels), URL_RULES)
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

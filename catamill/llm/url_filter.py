@@ -115,6 +115,33 @@ def reputation(hosts: DataFrame, p: Reputation = Reputation()) -> DataFrame:
     )
 
 
+def text_key(text: Column) -> Column:
+    """Hash of a text without white space, which pages and documents break differently; null without any text."""
+    bare = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\s\u00a0]+", "")
+    return F.when(bare != "", F.sha2(bare, 256))
+
+
+def held_text(html: Column) -> Column:
+    """Text of the first article (else main, else body) after its first heading: no comments or tags, entities as their characters."""
+    html = F.regexp_replace(F.coalesce(html, F.lit("")), r"(?s)<!--.*?-->", "")
+    inner = F.coalesce(*[F.nullif(F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>", 1), F.lit("")) for tag in ("article", "main", "body")])
+    text = F.regexp_replace(F.regexp_replace(inner, r"(?is)^\s*<h1\b[^>]*>.*?</h1\s*>", ""), r"<[^>]*>", "")
+    for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
+        text = F.replace(text, F.lit(name), F.lit(char))
+    return text
+
+
+def outcomes_of(pages: DataFrame, documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """page_id, bad: one row per distinct page (page_id, html) that holds the whole text of a labelled document.
+
+    documents: doc_id, text. labels: doc_id, bad (null: not labelled). A text that several labelled documents have is
+    bad if half of its labels or more are."""
+    keys = documents.select("doc_id", text_key(F.col("text")).alias("key")).where(F.col("key").isNotNull())
+    marks = keys.join(labels.where(F.col("bad").isNotNull()), "doc_id").groupBy("key").agg((F.avg(F.col("bad").cast("int")) >= 0.5).alias("bad"))
+    held = join_lookup(pages.select("page_id", text_key(held_text(F.col("html"))).alias("key")), written(marks, "marks"), ["key"], "inner")
+    return held.distinct().select("page_id", "bad")
+
+
 def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: Sequence[Rule], p: Reputation = Reputation()) -> DataFrame:
     """page_id, host, path, rule, verdict, bad_rate, bad_low per row of pages (page_id, url; other columns are not read).
 

@@ -380,6 +380,36 @@ def test_op7_reputation(spark):
     assert url_filter.judge_urls(pages.limit(0), marks, queries.URL_RULES).count() == 0
 
 
+def test_op7_outcomes(spark, sf):
+    """Outcomes come from the documents that pages hold, not from equal ids."""
+    import html as entities
+    import pyarrow.parquet as pq
+
+    bare = lambda t: re.sub(r"\s+", "", t)
+    quality = {r["doc_id"]: r["quality"] for r in pq.read_table(f"{sf}/labels.parquet").to_pylist()}
+    marks = defaultdict(list)
+    for k, t in texts_of(sf).items():
+        if k in quality and bare(t or ""):
+            marks[bare(t)].append(quality[k] == 0)
+    rows = table(spark, sf, "pages").collect()
+    held = {r.page_id: bare(entities.unescape(re.sub(r"<[^>]*>", "", re.search(r"(?s)</h1>(.*?)</article>", r.html)[1]))) for r in rows}
+    want = {k: 2 * sum(marks[t]) >= len(marks[t]) for k, t in held.items() if t in marks}
+    labels = spark.createDataFrame([(k, q == 0) for k, q in quality.items()], "doc_id long, bad boolean")
+    got = {r.page_id: r.bad for r in url_filter.outcomes_of(table(spark, sf, "pages"), table(spark, sf, "documents"), labels).collect()}
+    assert want and got == want
+
+
+def test_op7_held_documents(spark, tmp_path):
+    """A host whose pages hold bad documents is blocked, though documents with the pages' ids are good."""
+    n = 40
+    docs = [(k, f"Text {k}:\n a & b < {k}", "en", "s") for k in range(2 * n)]
+    pages = [(k, f"http://{'spam.example.org' if k < n else 'fine.example.org'}/{k}", f"<html><body><article><h1>T</h1><p>Text {(k + n) % (2 * n)}:<p>a &amp; b &lt; {(k + n) % (2 * n)}</article></body></html>") for k in range(2 * n)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame([(k, int(k < n), 0) for k in range(2 * n)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert all(r.verdict == ("block" if r.page_id < n else "allow") for r in queries.op7_url_filter(spark, str(tmp_path)).collect())
+
+
 # 8. Rules
 
 
