@@ -15,6 +15,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from difflib import SequenceMatcher
+from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -109,9 +110,13 @@ def parse(page: str) -> list[str | Slot]:
 
 
 # A form is a tuple of tokens and repeated groups; a group is a tuple of its body.
-def fold(tokens: tuple, longest: int = 8) -> tuple:
+def fold(tokens: tuple, longest: int = 64) -> tuple:
     """Neighbouring equal runs become one repeated group, shorter runs first."""
     for n in range(1, longest + 1):
+        if 2 * n > len(tokens):
+            break
+        if n > 8 and sum(map(eq, tokens, tokens[n:])) < n:
+            continue
         out, k = [], 0
         while k < len(tokens):
             body = tokens[k : k + n]
@@ -228,11 +233,11 @@ def slot_keys(form) -> set[str]:
 
 def extract(items: list[str | Slot], form: tuple, bare: set[str], facts: dict, memo: dict) -> str:
     """The main text. The page's own form has the best region, as a host may have several templates. bare: the wrapper's
-    main slots outside named containers, which a page without any named container keeps; facts: as in main_slots."""
+    main slots outside named containers; facts: as in main_slots, of all forms of the host, aligned or not."""
     if form not in memo:
         keys = slot_keys(form)
-        named = any(region(k) >= 2 for k in keys)
-        memo[form] = (not named and keys & bare) or main_slots(keys, facts)
+        own = main_slots(keys, facts)
+        memo[form] = own if any(region(k) >= 2 for k in keys) else own | (keys & bare)
     keep = memo[form]
     return " ".join(x.text for x in items if isinstance(x, Slot) and x.key in keep)
 
@@ -278,7 +283,7 @@ def hash_of(text: str) -> int:
 
 
 def wrappers(pages: DataFrame, forms_per_host: int) -> DataFrame:
-    """host, wrapper (JSON: main slots outside named containers, and the facts of all slots outside them). pages: host, html. Forms beyond the most frequent ones of a host aren't aligned; their pages are read by their own paths."""
+    """host, wrapper (JSON: main slots outside named containers, and the facts of all slots outside them). pages: host, html. Forms beyond the most frequent ones of a host aren't aligned, but all forms count in the facts."""
     sums = host_forms(pages).groupBy("host", "form", "key").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts"), F.sum("chars").alias("chars"), F.min("low").alias("low"), F.max("high").alias("high"))
     sums = written(sums, "forms")
     counts = sums.groupBy("host", "form").agg(F.max("n").alias("n"))
@@ -288,9 +293,6 @@ def wrappers(pages: DataFrame, forms_per_host: int) -> DataFrame:
     best = counts.withColumn("part", part).withColumn("r", F.row_number().over(Window.partitionBy("host", "part").orderBy(*order))).where(F.col("r") <= forms_per_host)
     best = best.withColumn("r", F.row_number().over(Window.partitionBy("host").orderBy(*order))).where(F.col("r") <= forms_per_host).select("host", "form", "r")
     facts = sums.groupBy("host", "key").agg(F.sum("texts").alias("texts"), F.sum("chars").alias("chars"), F.min("low").alias("low"), F.max("high").alias("high"))
-    # Facts only of keys that the best forms of the host have.
-    keys = sums.join(best.select("host", "form"), ["host", "form"], "left_semi").select("host", "key").distinct()
-    facts = facts.join(keys, ["host", "key"], "left_semi")
     both = best.select("host", "form", F.col("r").cast("long").alias("r"), *[F.lit(None).cast("long").alias(c) for c in ("texts", "chars", "low", "high")]).unionByName(
         facts.select("host", F.col("key").alias("form"), F.lit(-1).cast("long").alias("r"), "texts", "chars", "low", "high")
     )

@@ -183,6 +183,17 @@ def test_op4_templates_of_one_host(spark):
     assert got == {k: text.format(k) for k in range(24)}
 
 
+def test_op4_forms_beyond_the_wrapper(spark):
+    """Pages of forms that are not aligned, in containers without a name that no aligned form has."""
+    text = "The main text of page {}, which is long enough to be told apart from other slots."
+    rows = [page(f"<nav>Menu</nav><div><p>{text.format(k)}</p></div>", k=k) for k in range(6)]
+    rows += [page("<nav>Menu</nav>" + "<section>" * d + f"<p>{text.format(10 * d + k)}</p>" + "</section>" * d, k=10 * d + k) for d in range(1, 5) for k in range(2)]
+    got = {r.page_id: r.text for r in html_wrapper.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string"), forms_per_host=1).collect()}
+    assert got == {r[0]: text.format(r[0]) for r in rows}
+    card = tuple(f"{k}" for k in range(20))
+    assert html_wrapper.fold(card * 3) == html_wrapper.fold(card * 7) == (card,)
+
+
 def test_wrapper_alignment():
     w = html_wrapper.infer([("<a>", "x#", "</a>"), ("<a>", ("x#",), "y#", "</a>"), ("<a>", "</a>")])
     assert [(t, o) for t, o in w] == [("<a>", False), (("x#",), True), ("y#", True), ("</a>", False)]
