@@ -38,6 +38,7 @@ FURNITURE = frozenset(
     " subscription signup login search pagination pager toolbar widget contentinfo complementary".split()
 )
 MAIN_WORDS = frozenset("article main post entry story articlebody content".split())
+TITLE_WORDS = frozenset("title headline heading subtitle".split())
 HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 
 _TOKEN = re.compile(
@@ -208,54 +209,79 @@ def region(key: str) -> int:
     return max(rank, 0)
 
 
-def main_slots(keys: set[str], facts: dict[str, tuple[int, int, int]]) -> set[str]:
-    """The main slots among the keys of a wrapper or of a page's form. facts: by slot key, its texts, their characters,
-    and distinct texts (about), over all pages of the host.
+def inside(path: str, root: str) -> bool:
+    return not root or path == root or path.startswith(root + ">")
 
-    The best region that any of the keys has is the main text. Where no container names it, slots with long texts are,
-    and those beside them in the same container that aren't links; a slot with one text on all of several pages isn't."""
+
+def above(paths: set[str]) -> str:
+    """The smallest container that holds all of these."""
+    first, *rest = (p.split(">") for p in sorted(paths))
+    n = len(first)
+    for p in rest:
+        n = next((k for k in range(min(n, len(p))) if p[k] != first[k]), min(n, len(p)))
+    return ">".join(first[:n])
+
+
+def long_paths(keys: set[str], facts: dict[str, tuple[int, int, int]]) -> set[str]:
+    """Containers of slots outside named containers whose texts are long, aren't links and vary over the host's pages."""
+    return {k.partition("#")[2] for k in keys if "@" not in k.split("#")[0] and (f := facts.get(k)) and f[1] >= 40 * f[0] and not (f[0] >= 5 and f[2] == 1) and region(k) == 1}
+
+
+def main_slots(keys: set[str], facts: dict[str, tuple[int, int, int]], host: set[str] = frozenset()) -> set[str]:
+    """The main slots among the keys of a page's form. facts: by slot key, its texts, their characters, and distinct
+    texts (about; 1 only if pages that differ share it), over all pages of the host. host: containers of long varied slots in the host's wrapper.
+
+    The best region that any of the keys has is the main text. Where no container names it, it is all that the smallest
+    container of the long varied slots holds, furniture apart, and varied headings in containers beside or around it.
+    A form without such slots takes the wrapper's, and then its longest slot that isn't a link."""
     ranks = {k: region(k) for k in keys}
     best = max(ranks.values(), default=0)
-    if best >= 2:
-        return {k for k, r in ranks.items() if r == best}
-    plain = {k for k, r in ranks.items() if r == 1 and "@" not in k.split("#")[0]}
-    varied = any(facts.get(k, (0, 0, 0))[2] > 1 for k in plain)
-    plain = {k for k in plain if not (varied and facts.get(k, (0, 0, 0))[0] >= 5 and facts[k][2] == 1)}
-    long = {k.partition("#")[2] for k in plain if (f := facts.get(k)) and f[1] >= 40 * f[0]}
-    if plain and not long:
-        long = {max(plain, key=lambda k: (facts.get(k, (0, 0, 0))[1], k)).partition("#")[2]}
-    return {k for k in plain if k.partition("#")[2] in long}
+    if best != 1:
+        return {k for k, r in ranks.items() if r == best > 0}
+    bare = {k: k.partition("#")[2] for k, r in ranks.items() if r == 1}
+    paths = long_paths(bare.keys(), facts) or {p for p in bare.values() if host and inside(p, above(host))}
+    if not paths:
+        plain = {k for k in bare if "@" not in k.split("#")[0]} or bare.keys()
+        paths = {bare[max(plain, key=lambda k: (facts.get(k, (0, 0, 0))[1], k))]}
+    root = above(paths)
+
+    def title(key: str, path: str) -> bool:
+        up, _, own = path.rpartition(">")
+        n, _, distinct = facts.get(key, (0, 0, 0))
+        named = key.partition("#")[0].rstrip("@") in HEADINGS or not TITLE_WORDS.isdisjoint(own.split(".")[1:])
+        return named and inside(root, up) and not (n >= 5 and distinct == 1)
+
+    return {k for k, p in bare.items() if inside(p, root) or title(k, p)}
 
 
 def slot_keys(form) -> set[str]:
     return {t for node in form for t in leaves(node) if "#" in t and t[0] != "<"}
 
 
-def extract(items: list[str | Slot], form: tuple, bare: set[str], facts: dict, memo: dict) -> str:
-    """The main text. The page's own form has the best region, as a host may have several templates. bare: the wrapper's
-    main slots outside named containers; facts: as in main_slots, of all forms of the host, aligned or not."""
+def extract(items: list[str | Slot], form: tuple, host: set[str], facts: dict, memo: dict) -> str:
+    """The main text. The page's own form has the best region, as a host may have several templates. host: the wrapper's
+    containers of long varied slots; facts: as in main_slots, of all forms of the host, aligned or not."""
     if form not in memo:
-        keys = slot_keys(form)
-        own = main_slots(keys, facts)
-        memo[form] = own if any(region(k) >= 2 for k in keys) else own | (keys & bare)
+        memo[form] = main_slots(slot_keys(form), facts, host)
     keep = memo[form]
     return " ".join(x.text for x in items if isinstance(x, Slot) and x.key in keep)
 
 
 STEP = 2 << 20
+ENDS = ("low", "high", "page_low", "page_high")
 
 
 def host_forms(pages: DataFrame) -> DataFrame:
-    """host, form (JSON), n, facts: the distinct forms of each host, with sums over all its pages. facts: by slot key, texts, characters, smallest and largest hash of a text."""
+    """host, form (JSON), n, facts: the distinct forms of each host, with sums over all its pages. facts: by slot key, texts, characters, smallest and largest hash of a text and of a page."""
 
     def gather(batches) -> Iterator[pa.RecordBatch]:
         found: dict[tuple[str, str], list] = {}
 
         def rows() -> pa.RecordBatch:
-            flat = [(h, f, n, k, *v) for (h, f), (n, facts) in found.items() for k, v in (facts or {"": [0, 0, 0, 0]}).items()]
+            flat = [(h, f, n, k, *v) for (h, f), (n, facts) in found.items() for k, v in (facts or {"": [0] * 6}).items()]
             found.clear()
-            names = ["host", "form", "n", "key", "texts", "chars", "low", "high"]
-            types = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+            names = ["host", "form", "n", "key", "texts", "chars", *ENDS]
+            types = [pa.string(), pa.string(), pa.int64(), pa.string(), *[pa.int64()] * 6]
             return pa.RecordBatch.from_arrays([pa.array([r[k] for r in flat], t) for k, t in enumerate(types)], names)
 
         for batch in slices(batches, 1, STEP):
@@ -263,16 +289,17 @@ def host_forms(pages: DataFrame) -> DataFrame:
                 items = parse(page or "")
                 entry = found.setdefault((host, json.dumps(form_of(items))), [0, {}])
                 entry[0] += 1
+                whole = hash_of(" ".join(x.text for x in items if isinstance(x, Slot)))
                 for x in items:
                     if isinstance(x, Slot):
-                        fact = entry[1].setdefault(x.key, [0, 0, 1 << 62, 0])
+                        fact = entry[1].setdefault(x.key, [0, 0, 1 << 62, 0, 1 << 62, 0])
                         h = hash_of(x.text)
-                        fact[:] = fact[0] + 1, fact[1] + len(x.text), min(fact[2], h), max(fact[3], h)
+                        fact[:] = fact[0] + 1, fact[1] + len(x.text), min(fact[2], h), max(fact[3], h), min(fact[4], whole), max(fact[5], whole)
             if len(found) > 2000:
                 yield rows()
         yield rows()
 
-    return pages.mapInArrow(gather, "host string, form string, n long, key string, texts long, chars long, low long, high long")
+    return pages.mapInArrow(gather, "host string, form string, n long, key string, texts long, chars long, low long, high long, page_low long, page_high long")
 
 
 def hash_of(text: str) -> int:
@@ -283,8 +310,9 @@ def hash_of(text: str) -> int:
 
 
 def wrappers(pages: DataFrame, forms_per_host: int) -> DataFrame:
-    """host, wrapper (JSON: main slots outside named containers, and the facts of all slots outside them). pages: host, html. Forms beyond the most frequent ones of a host aren't aligned, but all forms count in the facts."""
-    sums = host_forms(pages).groupBy("host", "form", "key").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts"), F.sum("chars").alias("chars"), F.min("low").alias("low"), F.max("high").alias("high"))
+    """host, wrapper (JSON: containers of long varied slots outside named ones, and the facts of all slots outside them). pages: host, html. Forms beyond the most frequent ones of a host aren't aligned, but all forms count in the facts."""
+    sums_of = [F.sum("texts").alias("texts"), F.sum("chars").alias("chars"), *[(F.min if c.endswith("low") else F.max)(c).alias(c) for c in ENDS]]
+    sums = host_forms(pages).groupBy("host", "form", "key").agg(F.sum("n").alias("n"), *sums_of)
     sums = written(sums, "forms")
     counts = sums.groupBy("host", "form").agg(F.max("n").alias("n"))
     # Most frequent forms in two steps, so that a host with very many forms is not ranked in one task.
@@ -292,17 +320,17 @@ def wrappers(pages: DataFrame, forms_per_host: int) -> DataFrame:
     order = [F.col("n").desc(), F.xxhash64("form"), "form"]
     best = counts.withColumn("part", part).withColumn("r", F.row_number().over(Window.partitionBy("host", "part").orderBy(*order))).where(F.col("r") <= forms_per_host)
     best = best.withColumn("r", F.row_number().over(Window.partitionBy("host").orderBy(*order))).where(F.col("r") <= forms_per_host).select("host", "form", "r")
-    facts = sums.groupBy("host", "key").agg(F.sum("texts").alias("texts"), F.sum("chars").alias("chars"), F.min("low").alias("low"), F.max("high").alias("high"))
-    both = best.select("host", "form", F.col("r").cast("long").alias("r"), *[F.lit(None).cast("long").alias(c) for c in ("texts", "chars", "low", "high")]).unionByName(
-        facts.select("host", F.col("key").alias("form"), F.lit(-1).cast("long").alias("r"), "texts", "chars", "low", "high")
+    facts = sums.groupBy("host", "key").agg(*sums_of)
+    both = best.select("host", "form", F.col("r").cast("long").alias("r"), *[F.lit(None).cast("long").alias(c) for c in ("texts", "chars", *ENDS)]).unionByName(
+        facts.select("host", F.col("key").alias("form"), F.lit(-1).cast("long").alias("r"), "texts", "chars", *ENDS)
     )
 
     def group(pdf: pd.DataFrame) -> pd.DataFrame:
         forms = [_tuples(json.loads(f)) for f in pdf[pdf["r"] > 0].sort_values("r")["form"]]
-        known = {k: (int(n), int(c), 1 if low == high else 2) for k, n, c, low, high in pdf[pdf["r"] < 0][["form", "texts", "chars", "low", "high"]].itertuples(index=False)}
-        known = {k: f for k, f in known.items() if k and region(k) == 1}
-        bare = main_slots({k for k in slot_keys(t for t, _ in infer(forms)) if region(k) == 1}, known)
-        return pd.DataFrame({"host": [pdf["host"].iloc[0]], "wrapper": [json.dumps([sorted(bare), known])]})
+        sums = pdf[pdf["r"] < 0][["form", "texts", "chars", *ENDS]].itertuples(index=False)
+        known = {k: (int(n), int(c), 1 if low == high and first != last else 2) for k, n, c, low, high, first, last in sums if k and region(k) == 1}
+        host = long_paths(slot_keys(t for t, _ in infer(forms)), known)
+        return pd.DataFrame({"host": [pdf["host"].iloc[0]], "wrapper": [json.dumps([sorted(host), known])]})
 
     return both.groupBy("host").applyInPandas(group, "host string, wrapper string")
 
@@ -328,13 +356,13 @@ def extract_pages(pages: DataFrame, forms_per_host: int = 64) -> DataFrame:
                 if text not in loaded:
                     if len(loaded) > 500:
                         loaded.clear()
-                    bare, facts = json.loads(text) if text else ([], {})
-                    loaded[text] = set(bare), facts, {}
-                bare, facts, memo = loaded[text]
+                    host, facts = json.loads(text) if text else ([], {})
+                    loaded[text] = set(host), facts, {}
+                host, facts, memo = loaded[text]
                 if len(memo) > 5000:
                     memo.clear()
                 items = parse(page or "")
-                texts.append(extract(items, form_of(items), bare, facts, memo))
+                texts.append(extract(items, form_of(items), host, facts, memo))
             n = pa.array(np.fromiter(map(len, texts), np.int64, len(texts)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), n], ["page_id", "url", "text", "n_chars"])
 

@@ -194,6 +194,22 @@ def test_op4_forms_beyond_the_wrapper(spark):
     assert html_wrapper.fold(card * 3) == html_wrapper.fold(card * 7) == (card,)
 
 
+def test_op4_bare_articles(spark):
+    """Articles in containers without a name: titles, lists, tables, quotes, linked paragraphs and constant headings stay."""
+    menu = "<header><h2>Site</h2></header><nav><a href=/a>Menu</a></nav><div><ul><li><a href=/x>Home</a></ul></div>"
+    body = (
+        "<p>This is a long paragraph of the main text, with many words in it, number {0}.</p><h2>Ingredients</h2><ul><li>salt {0}</li><li>oil</li></ul>"
+        "<table><tr><td>{0} g</td><td>of it</td></tr></table><blockquote>So {0}</blockquote><p><a href=/y>Linked paragraph {0}</a></p>"
+    )
+    text = "Head {0} This is a long paragraph of the main text, with many words in it, number {0}. Ingredients salt {0} oil {0} g of it So {0} Linked paragraph {0}"
+    rows = [page(menu + f"<div class=wrap><div class=title><h1>Head {k}</h1></div><section>{body.format(k)}</section></div><footer>End</footer>", k=k) for k in range(8)]
+    rows += [page(menu + f"<section><div>Head {k}</div>{body.format(k)}</section>", "other.example.com", k) for k in (9, 9, 9, 9, 9, 9, 10)]
+    rows += [page(menu + f"<section><p>Short {k}</p></section>", "other.example.com", k) for k in (11, 12)]
+    got = html_wrapper.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(got) == len(rows)
+    assert {(r.page_id, r.text) for r in got} == {(k, text.format(k)) for k in (*range(8), 9, 10)} | {(11, "Short 11"), (12, "Short 12")}
+
+
 def test_wrapper_alignment():
     w = html_wrapper.infer([("<a>", "x#", "</a>"), ("<a>", ("x#",), "y#", "</a>"), ("<a>", "</a>")])
     assert [(t, o) for t, o in w] == [("<a>", False), (("x#",), True), ("y#", True), ("</a>", False)]
