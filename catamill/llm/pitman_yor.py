@@ -2,10 +2,9 @@
 restaurant as parent; seats are sampled by Gibbs, and predictive probabilities are averaged over the samples.
 
 Tokens are dealt into buckets by word (frequent words by word and context), as compressed arrays of distinct (context,
-word, document) with counts. A bucket then knows all customers of its words: it seats them, dish by dish, in sweeps in
-which the parent's probability and the tables follow the last sweep; tables that a context has in other buckets are
-taken in proportion in the meantime (buckets sample side by side). The sums of customers and tables per context then
-pass through owners of contexts, once, and each bucket scores its tokens; documents sum what their chunks got.
+word, document) with counts. A bucket then knows all customers of its words: it seats them, dish by dish, in sweeps (buckets sample side by side). After each sweep the sums
+of tables per context pass through owners of contexts, and totals and frequent words' counts through the driver, so that
+the next sweep has the whole corpus's. Each bucket then scores its tokens; documents sum what their chunks got.
 """
 
 from __future__ import annotations
@@ -25,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catamill.llm.arrow_text import slices, split_words, texts
-from catamill.llm.common import SPACE, partitions_for, shared_dir
+from catamill.llm.common import SPACE, partitions_for, shared_dir, written
 
 
 @dataclass(frozen=True)
@@ -45,7 +44,7 @@ class Fit:
 
 START, END = np.uint64(1), np.uint64(2)
 STEP = 12 << 20
-TOKENS, DOCS, STATE, ASK, SUMS = range(5)  # kinds of rows
+TOKENS, DOCS, STATE, ASK, SUMS, SEATS = range(6)  # kinds of rows
 _ROWS = "bucket int, kind int, chunk long, owner int, data binary"
 
 
@@ -152,8 +151,8 @@ def _record(rows: list[tuple], chunk: int) -> pa.RecordBatch:
     )
 
 
-def _seat(fit: Fit, buckets: int, frequent: list[int]):
-    """Of one bucket: its pairs with counts and sampled tables, its tokens by pair, and what it asks and tells of contexts and sums."""
+def _gather(buckets: int, frequent: list[int]):
+    """Of one bucket: its pairs with counts, its tokens by pair, and what it asks and tells of contexts and sums with one table a pair."""
     hot = np.array(sorted(frequent), np.uint64)
 
     def run(key, table):
@@ -185,62 +184,94 @@ def _seat(fit: Fit, buckets: int, frequent: list[int]):
             pairs, pair = np.unique(np.concatenate(pair), return_inverse=True)
             c = np.bincount(pair, weights=np.concatenate(learned), minlength=len(pairs)).astype(np.int64)
             w, u = pairs // len(U), pairs % len(U)
-            t, below, above = _gibbs(c, w, u, len(W), len(U), np.isin(W, hot), fit, buckets, bucket)
             cw = np.bincount(w, weights=c, minlength=len(W)).astype(np.int64)
             is_hot = np.isin(W, hot)
-            many = np.flatnonzero(c > 1)
-            cu = np.bincount(u, weights=c, minlength=len(U)).astype(np.int64)
-            tu = np.stack([np.bincount(u, weights=x, minlength=len(U)) for x in t]).astype(np.int64)
-            out.append((STATE, 0, 0, _pack(_small(np.bincount(w, minlength=len(W))), _small(u), _small(c), [_small(x[many]) for x in t], _small(cw), [_small(x) for x in below], [_small(x) for x in above], W[is_hot], np.flatnonzero(is_hot), len(U))))
+            bounds = np.searchsorted(owner, np.arange(buckets + 1))
+            state = np.bincount(w, minlength=len(W)), u, c, cw, W[is_hot], np.flatnonzero(is_hot), U, bounds
+            out.append((STATE, 0, 0, _pack(*map(_small, state[:4]), *state[4:])))
+            t = (c > 0).astype(np.int64)
+            below = np.bincount(w, weights=t, minlength=len(W)).astype(np.int64)
+            out += _tell(state, [t], [below], [(below > 0).astype(np.int64)], False)
             begin = 0
             for chunk, n, p in zip(chunks, sizes, parts, strict=True):
                 own = pair[begin : begin + n]
                 begin += n
                 order = np.argsort(own, kind="stable")
                 out.append((TOKENS, chunk, 0, _pack(_small(np.diff(own[order], prepend=0)), p[4][order], p[5][order], p[7])))
-            bounds = np.searchsorted(owner, np.arange(buckets + 1))
-            for o in np.unique(owner).tolist():
-                s = slice(bounds[o], bounds[o + 1])
-                out.append((ASK, 0, o, _pack(U[s], _small(cu[s]), [_small(x[s]) for x in tu])))
-            cold = ~is_hot
-            sums = [int(c.sum()), int((cw[cold] > 0).sum()), *[int(x[cold].sum()) for x in below], *[int(x[cold].sum()) for x in above]]
-            hots = [(int(W[i]), int(cw[i]), *[int(x[i]) for x in below]) for i in np.flatnonzero(is_hot)]
-            out.append((SUMS, 0, 0, _pack(sums, hots)))
-        n = len(out)
-        return pa.table({
-            "bucket": pa.array([bucket] * n, pa.int32()), "kind": pa.array([r[0] for r in out], pa.int32()), "chunk": pa.array([r[1] for r in out], pa.int64()),
-            "owner": pa.array([r[2] for r in out], pa.int32()), "data": pa.array([r[3] for r in out], pa.binary()),
-        })
+        return _rows(bucket, out)
 
     return run
 
 
-def _gibbs(c, w, u, n_w, n_u, is_hot, fit: Fit, buckets: int, bucket: int) -> tuple[list, list, list]:
-    """Kept samples of tables per pair, and per word its customers in the unigram restaurant and their tables there."""
-    rng = np.random.default_rng([fit.seed, bucket])
-    t = (c > 0).astype(np.int64)
+def _rows(bucket: int, out: list[tuple]) -> pa.Table:
+    n = len(out)
+    return pa.table({
+        "bucket": pa.array([bucket] * n, pa.int32()), "kind": pa.array([r[0] for r in out], pa.int32()), "chunk": pa.array([r[1] for r in out], pa.int64()),
+        "owner": pa.array([r[2] for r in out], pa.int32()), "data": pa.array([r[3] for r in out], pa.binary()),
+    })
+
+
+def _tell(state: tuple, t: list, below: list, above: list, last: bool) -> list[tuple]:
+    """Rows of a bucket's seating: tables of each kept sample for itself, sums per context for their owners, and totals."""
+    _, u, c, cw, hot_names, hot_at, U, bounds = state
     many = np.flatnonzero(c > 1)  # one customer sits at one table whatever is drawn
-    kept: tuple[list, list, list] = [], [], []
-    words = np.where(is_hot, buckets, 1)  # a frequent word has customers in other buckets as well
-    top = None
-    for sweep in range(fit.sweeps):
-        below = np.bincount(w, weights=t, minlength=n_w)
-        share = max(1.0, below.sum() * buckets)
-        kinds = max(1, int((below > 0).sum())) * buckets
-        top_total = kinds if top is None else max(1, top.sum() * buckets)
-        new = (fit.base_strength + fit.base_discount * top_total) / (kinds + 1)
-        top = tables(below.astype(np.int64), np.full(n_w, new), fit.base_discount, rng)
-        p = (np.maximum(below - fit.base_discount * top, 0) * words + new) / (fit.base_strength + share)
-        own = np.bincount(u, weights=t, minlength=n_u)
-        whole = own * (1 + (buckets - 1) * (1 - np.exp(-own / 3)))  # tables of the context in all buckets, about
-        t = t.copy()
-        t[many] = tables(c[many], (fit.strength + fit.discount * whole[u[many]]) * p[w[many]], fit.discount, rng)
-        if sweep >= fit.sweeps - fit.samples:
-            below = np.bincount(w, weights=t, minlength=n_w).astype(np.int64)
-            kept[0].append(t)
-            kept[1].append(below)
-            kept[2].append(tables(below, np.full(n_w, new), fit.base_discount, rng))
-    return kept
+    out = [(SEATS, 0, 0, _pack([_small(x[many]) for x in t], [_small(x) for x in below], [_small(x) for x in above]))]
+    asked = [np.bincount(u, weights=x, minlength=len(U)).astype(np.int64) for x in ([c, *t] if last else t[-1:])]
+    for o in np.flatnonzero(np.diff(bounds)).tolist():
+        s = slice(bounds[o], bounds[o + 1])
+        out.append((ASK, 0, o, _pack(U[s], [_small(x[s]) for x in asked])))
+    cold = np.ones(len(cw), bool)
+    cold[hot_at] = False
+    sums = int(c.sum()), int((cw[cold] > 0).sum()), [int(x[cold].sum()) for x in below], [int(x[cold].sum()) for x in above]
+    hots = [(int(h), int(cw[i]), *[int(x[i]) for x in below]) for h, i in zip(hot_names, hot_at, strict=True)]
+    return [*out, (SUMS, 0, 0, _pack(sums, hots))]
+
+
+def _base(fit: Fit, total: dict, hot_names, hot_at, below: np.ndarray, above: np.ndarray, s: int) -> np.ndarray:
+    """Probabilities of a bucket's words in the unigram restaurant of the whole corpus, in sample s of total."""
+    customers, seated = below.astype(np.float64), above.astype(np.float64)
+    customers[hot_at] = [total["hot"][int(h)][1 + s] for h in hot_names]
+    seated[hot_at] = [total["hot_tables"][int(h)][s] for h in hot_names]
+    return (np.maximum(customers - fit.base_discount * seated, 0) + _new(fit, total, s)) / (fit.base_strength + total["below"][s])
+
+
+def _new(fit: Fit, total: dict, s: int) -> float:
+    return (fit.base_strength + fit.base_discount * total["above"][s]) / (total["kinds"] + 1)
+
+
+def _told(right: pa.Table) -> list[np.ndarray]:
+    """What the owners told of a bucket's contexts, in its order of them."""
+    told = [_unpack(d)[0] for k, _, d in sorted(zip(right["kind"].to_pylist(), right["owner"].to_pylist(), right["data"].to_pylist(), strict=True)) if k == ASK]
+    return [np.concatenate(x).astype(np.float64) for x in zip(*told, strict=True)]
+
+
+def _sweep(fit: Fit, total: dict, sweep: int):
+    """Of one bucket: its customers seated anew, given all buckets' tables of the sweep before."""
+
+    def run(key, left, right):
+        bucket = key[0].as_py()
+        states = left["data"].to_pylist()
+        if not states:
+            return _rows(bucket, [])
+        w_count, u, c, cw, hot_names, hot_at, U, bounds = state = _unpack(states[0])
+        rng = np.random.default_rng([fit.seed, bucket, sweep])
+        seats = next(d for k, d in zip(right["kind"].to_pylist(), right["data"].to_pylist(), strict=True) if k == SEATS)
+        t_many, below, above = _unpack(seats)
+        w, many = np.repeat(np.arange(len(w_count)), w_count), np.flatnonzero(c > 1)
+        p = _base(fit, total, hot_names, hot_at, below[-1], above[-1], -1)
+        strength = (fit.strength + fit.discount * _told(right)[0][u[many]]) * p[w[many]]
+        kept = []
+        for x in [*t_many[len(t_many) - fit.samples + 1 :], None] if sweep >= fit.sweeps - fit.samples + 1 else [None]:
+            t = (c > 0).astype(np.int64)
+            t[many] = tables(c[many].astype(np.int64), strength, fit.discount, rng) if x is None else x
+            kept.append(t)
+        new = np.bincount(w, weights=kept[-1], minlength=len(w_count)).astype(np.int64)
+        n = len(kept) - 1
+        below = [*below[len(below) - n :], new]
+        above = [*above[len(above) - n :], tables(new, np.full(len(new), _new(fit, total, -1)), fit.base_discount, rng)]
+        return _rows(bucket, _tell(state, kept, below, above, sweep == fit.sweeps - 1))
+
+    return run
 
 
 def _sum_contexts(key, table):
@@ -248,12 +279,11 @@ def _sum_contexts(key, table):
     asked = [_unpack(x) for x in table["data"].to_pylist()]
     names, at = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True)
     add = lambda xs: np.bincount(at, weights=np.concatenate(xs), minlength=len(names)).astype(np.int64)[at]
-    c = add([a[1] for a in asked])
-    t = [add([a[2][s] for a in asked]) for s in range(len(asked[0][2]))]
+    sums = [add([a[1][s] for a in asked]) for s in range(len(asked[0][1]))]
     begin, data = 0, []
     for a in asked:
         s = slice(begin, begin := begin + len(a[0]))
-        data.append(_pack(_small(c[s]), [_small(x[s]) for x in t]))
+        data.append(_pack([_small(x[s]) for x in sums]))
     n = len(data)
     return pa.table({"bucket": table["bucket"].cast(pa.int32()), "kind": pa.array([ASK] * n, pa.int32()), "chunk": pa.array([0] * n, pa.int64()), "owner": pa.array([key[0].as_py()] * n, pa.int32()), "data": pa.array(data, pa.binary())})
 
@@ -266,23 +296,19 @@ def _score(fit: Fit, total: dict):
         states = [d for k, d in zip(kinds, datas, strict=True) if k == STATE]
         out: list[tuple] = []
         if states:
-            w_count, u, c, t_many, cw, below, above, hot_names, hot_at, n_u = _unpack(states[0])
+            w_count, u, c, cw, hot_names, hot_at, U, _ = _unpack(states[0])
+            t_many, below, above = _unpack(next(d for k, d in zip(right["kind"].to_pylist(), right["data"].to_pylist(), strict=True) if k == SEATS))
             w = np.repeat(np.arange(len(w_count)), w_count)
             many = np.flatnonzero(c > 1)
-            told = [_unpack(d) for _, d in sorted(zip(right["owner"].to_pylist(), right["data"].to_pylist(), strict=True))]
-            cu = np.concatenate([x[0] for x in told]).astype(np.float64)
-            assert len(cu) == n_u
+            cu, *tus = _told(right)
+            assert len(cu) == len(U)
             cw = cw.astype(np.float64)
             cw[hot_at] = [total["hot"][int(h)][0] for h in hot_names]
             p = np.zeros(len(u))
-            for s in range(fit.samples):
-                customers, seated = below[s].astype(np.float64), above[s].astype(np.float64)
-                customers[hot_at] = [total["hot"][int(h)][1 + s] for h in hot_names]
-                seated[hot_at] = [total["hot_tables"][int(h)][s] for h in hot_names]
-                base = (np.maximum(customers - fit.base_discount * seated, 0) + (fit.base_strength + fit.base_discount * total["above"][s]) / (total["kinds"] + 1)) / (fit.base_strength + total["below"][s])
+            for s, tu in enumerate(tus):
+                base = _base(fit, total, hot_names, hot_at, below[s], above[s], s)
                 t = (c > 0).astype(np.float64)
                 t[many] = t_many[s]
-                tu = np.concatenate([x[1][s] for x in told]).astype(np.float64)
                 p += (np.maximum(c - fit.discount * t, 0) + (fit.strength + fit.discount * tu[u]) * base[w]) / (fit.strength + cu[u])
             logs = np.log10(p / fit.samples)
             plain = np.log10((cw + 1) / (total["tokens"] + 1 * (total["kinds"] + 1)))[w]
@@ -310,6 +336,32 @@ def _documents(key, table):
     return pa.table({"doc_id": pa.array(ids, pa.int64()), "learned": pa.array(learn), "n_tokens": pa.array(lengths, pa.int64()), "n_known": pa.array(known), "base_score": pa.array(plain), "score": pa.array(logs)})
 
 
+def _totals(rows: DataFrame, fit: Fit, before: dict | None, sweep: int) -> dict:
+    """Totals of a seating over all buckets; lists have an item for each kept sample."""
+    total: dict = {"tokens": 0, "kinds": 0, "below": [], "above": [], "hot": {}}
+    add = lambda a, b: [x + y for x, y in zip(a or [0] * len(b), b, strict=True)]
+    for r in rows.where(F.col("kind") == SUMS).select("data").toLocalIterator():  # a few numbers a bucket
+        (tokens, kinds, below, above), hots = _unpack(bytes(r.data))
+        total["tokens"] += tokens
+        total["kinds"] += kinds
+        total["below"], total["above"] = add(total["below"], below), add(total["above"], above)
+        for h, *x in hots:
+            total["hot"][h] = add(total["hot"].get(h), x)
+    total["kinds"] += sum(x[0] > 0 for x in total["hot"].values())
+    # Frequent words' tables in the unigram restaurant, of all their customers at once.
+    names = sorted(total["hot"])
+    total["hot_tables"] = {h: [] for h in names}
+    samples = len(total["below"])
+    for s in range(samples):
+        rng = np.random.default_rng([fit.seed, sweep - samples + 1 + s + fit.sweeps])
+        new = _new(fit, before or total, -1)
+        for h, t in zip(names, tables(np.array([total["hot"][h][1 + s] for h in names], np.int64), np.full(len(names), new), fit.base_discount, rng).tolist(), strict=True):
+            total["hot_tables"][h].append(t)
+            total["below"][s] += total["hot"][h][1 + s]
+            total["above"][s] += t
+    return total
+
+
 def score_documents(docs: DataFrame, fit: Fit = Fit()) -> DataFrame:
     """docs: doc_id, text, learn (whether the model learns from the row; others are not read). Per row: doc_id, learned,
     n_tokens, n_known, train_tokens, base_score, score.
@@ -324,35 +376,18 @@ def score_documents(docs: DataFrame, fit: Fit = Fit()) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 1
     buckets = partitions_for(int(size), fit.bucket_bytes, 4)
     frequent = _frequent(docs, 1 / (8 * buckets))
-    seated = _deal(docs, buckets, frequent).groupBy("bucket").applyInArrow(_seat(fit, buckets, frequent), _ROWS)
+    gathered = _deal(docs, buckets, frequent).groupBy("bucket").applyInArrow(_gather(buckets, frequent), _ROWS)
     # Bucketed, so that the later steps find a bucket's rows together without another shuffle.
     name = f"pitman_yor_{uuid.uuid4().hex}"
-    seated.write.format("parquet").option("compression", "none").option("path", f"{shared_dir(spark)}/{name}").bucketBy(buckets, "bucket").saveAsTable(name)
-    rows = spark.table(name)
-    total = {"tokens": 0, "kinds": 0, "below": [0] * fit.samples, "above": [0] * fit.samples, "hot": {}}
-    for r in rows.where(F.col("kind") == SUMS).select("data").toLocalIterator():  # a few numbers a bucket
-        sums, hots = _unpack(bytes(r.data))
-        total["tokens"] += sums[0]
-        total["kinds"] += sums[1]
-        for s in range(fit.samples):
-            total["below"][s] += sums[2 + s]
-            total["above"][s] += sums[2 + fit.samples + s]
-        for h, *x in hots:
-            total["hot"][h] = [a + b for a, b in zip(total["hot"].get(h, [0] * len(x)), x, strict=True)]
-    total["kinds"] += sum(x[0] > 0 for x in total["hot"].values())
-    # Frequent words' tables in the unigram restaurant, of all their customers at once.
-    names = sorted(total["hot"])
-    total["hot_tables"] = {h: [] for h in names}
-    rng = np.random.default_rng(fit.seed)
-    for s in range(fit.samples):
-        new = (fit.base_strength + fit.base_discount * total["above"][s]) / (total["kinds"] + 1)
-        for h, t in zip(names, tables(np.array([total["hot"][h][1 + s] for h in names], np.int64), np.full(len(names), new), fit.base_discount, rng).tolist(), strict=True):
-            total["hot_tables"][h].append(t)
-            total["below"][s] += total["hot"][h][1 + s]
-            total["above"][s] += t
-    told = rows.where(F.col("kind") == ASK).groupBy("owner").applyInArrow(_sum_contexts, _ROWS)
+    gathered.write.format("parquet").option("compression", "none").option("path", f"{shared_dir(spark)}/{name}").bucketBy(buckets, "bucket").saveAsTable(name)
+    rows = last = spark.table(name)
+    total = _totals(last, fit, None, -1)
+    told = lambda: last.where(F.col("kind") == ASK).groupBy("owner").applyInArrow(_sum_contexts, _ROWS).union(last.where(F.col("kind") == SEATS)).groupBy("bucket")
+    for sweep in range(fit.sweeps):
+        last = written(rows.where(F.col("kind") == STATE).groupBy("bucket").cogroup(told()).applyInArrow(_sweep(fit, total, sweep), _ROWS), "seats")
+        total = _totals(last, fit, total, sweep)
     here = rows.where(F.col("kind").isin(STATE, TOKENS))
-    parts = here.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(_score(fit, total), "chunk long, kind int, data binary")
+    parts = here.groupBy("bucket").cogroup(told()).applyInArrow(_score(fit, total), "chunk long, kind int, data binary")
     parts = parts.union(rows.where(F.col("kind") == DOCS).select("chunk", "kind", "data"))
     out = parts.groupBy("chunk").applyInArrow(_documents, "doc_id long, learned boolean, n_tokens long, n_known long, base_score double, score double")
     return out.withColumn("train_tokens", F.lit(total["tokens"]).cast("long"))

@@ -304,6 +304,16 @@ def test_op5(spark, sf, odd):
     assert len(pitman_yor.score_documents(odd.withColumn("learn", F.lit(None).cast("boolean"))).collect()) == len(ODD) + 1
 
 
+def test_op5_buckets(spark, sf):
+    """The number of buckets, which follows the size of the input, does not shape the scores."""
+    docs = table(spark, sf, "documents").where("doc_id < 60").withColumn("learn", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2)
+    size = docs.agg(F.sum(F.octet_length("text") + 1)).first()[0]
+    few, many = ({r.doc_id: r for r in pitman_yor.score_documents(docs, pitman_yor.Fit(bucket_bytes=-(-size // n))).collect()} for n in (4, 64))
+    for side in (True, False):
+        a, b = (sum(r.score for r in x.values() if r.learned == side) for x in (few, many))
+        assert a == pytest.approx(b, rel=0.001)
+
+
 def test_tables():
     rng = np.random.default_rng(0)
     c, a = np.full(20000, 400), np.full(20000, 0.8)
