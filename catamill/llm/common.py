@@ -44,6 +44,12 @@ def fold(doc_id: Column, k: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % F.lit(k)
 
 
+def row_draw(df: DataFrame, seed: int) -> Column:
+    """Hash of each row's text and doc_id, so that copies of a text are drawn one by one; without ids, of its place in df."""
+    own = F.col("doc_id") if "doc_id" in df.columns else F.monotonically_increasing_id()
+    return F.xxhash64("text", own, F.lit(seed))
+
+
 def free_name(df: DataFrame, stem: str) -> str:
     """A column name that df does not have."""
     taken, name = {c.lower() for c in df.columns}, stem

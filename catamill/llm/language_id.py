@@ -1,9 +1,9 @@
 """Language identification: nearest centroid over normalised TF-IDF vectors of hashed byte n-grams, several clustered
 centroids per language, cosine similarity, and rejection by distance.
 
-The model is fitted on a bounded sample of the labelled rows (at most about `per_language` rows of each language, drawn
-by a hash of the row): document frequencies of the sample's n-grams are counted in tasks and summed by Spark, then each
-language's vectors are clustered in a task of its own. Scoring covers every row.
+Document frequencies of n-grams are counted over all labelled rows, in tasks, and summed by Spark. Each language's
+vectors are then clustered in a task of its own, on a bounded sample (at most about `per_language` rows of each language,
+drawn by a hash of the text and its id). Scoring covers every row.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catamill.llm.arrow_text import slices, texts
-from catamill.llm.common import written
+from catamill.llm.common import row_draw, written
 
 UNKNOWN = "und"
 LETTER = r"\pL"
@@ -100,19 +100,22 @@ def cluster(x: np.ndarray, fit: Fit) -> tuple[np.ndarray, float]:
 
 
 def train(labelled: DataFrame, fit: Fit = Fit()) -> Model | None:
-    """labelled: text, lang. Null langs and texts without letters teach nothing; None if nothing is left."""
-    rows = labelled.where(F.col("lang").isNotNull() & F.coalesce(F.col("text"), F.lit("")).rlike(r"\p{L}")).select("text", F.col("lang").cast("string").alias("lang"))
+    """labelled: text, lang, and doc_id if there is one. Null langs and texts without letters teach nothing; None if nothing is left."""
+    rows = labelled.where(F.col("lang").isNotNull() & F.coalesce(F.col("text"), F.lit("")).rlike(r"\p{L}")).withColumn("lang", F.col("lang").cast("string"))
     sizes = rows.groupBy("lang").count()  # one row per language
-    draw = F.pmod(F.xxhash64("text", F.lit(fit.seed)), F.lit(1 << 30)) / float(1 << 30)
-    few = written(rows.join(F.broadcast(sizes), "lang").where(draw * F.col("count") < fit.per_language).select("lang", "text"), "lang-sample")
+    draw = F.pmod(row_draw(rows, fit.seed), F.lit(1 << 30)) / float(1 << 30)
+    few = rows.withColumn("draw", draw).select("lang", "text", "draw").join(F.broadcast(sizes), "lang")
+    few = written(few.where(F.col("draw") * F.col("count") < fit.per_language).select("lang", "text"), "lang-sample")
 
     def frequencies(batches) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros(fit.buckets, np.int64), 0
         for batch in slices(batches, 0, STEP):
-            total, n = total + (counts(texts(batch.column(0)), fit) > 0).sum(axis=0), n + batch.num_rows
+            for at in range(0, batch.num_rows, 500):
+                part = texts(batch.column(0).slice(at, 500))
+                total, n = total + (counts(part, fit) > 0).sum(axis=0), n + len(part)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(np.flatnonzero(total), -1)), pa.array(np.append(total[total > 0], n))], ["bucket", "n"])
 
-    df = {r.bucket: r.n for r in few.select("text").mapInArrow(frequencies, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()}  # buckets + 1 rows at most
+    df = {r.bucket: r.n for r in rows.select("text").mapInArrow(frequencies, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()}  # buckets + 1 rows at most
     if not df.get(-1):
         return None
     idf = np.log((1 + df[-1]) / (1 + np.array([df.get(b, 0) for b in range(fit.buckets)], np.float64))).astype(np.float32) + 1

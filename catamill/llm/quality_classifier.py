@@ -2,7 +2,7 @@
 
 Pairwise interactions have low rank, so a row is scored in time linear in its features by the sum-of-squares identity:
 sum over pairs of <v_i, v_j> x_i x_j = 1/2 sum over factors of ((sum v_if x_i)^2 - sum v_if^2 x_i^2). The model is
-fitted on a bounded sample of the labelled rows (at most about `sample` rows, drawn by a hash of the text), shards of
+fitted on a bounded sample of the labelled rows (at most about `sample` rows, drawn by a hash of the text and its id), shards of
 which are trained in tasks side by side and averaged between epochs; scoring covers every row.
 """
 
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catamill.llm.arrow_text import slices, split_words, texts
-from catamill.llm.common import written
+from catamill.llm.common import row_draw, written
 
 STATISTICS = 12
 
@@ -132,13 +132,14 @@ def descend(m: Model, sets: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
 
 
 def train(labelled: DataFrame, fit: Fit = Fit()) -> Model | None:
-    """labelled: text, label (0 or 1; null: not labelled). Null texts are empty. None without any label."""
-    rows = labelled.where(F.col("label").isin(0, 1)).select(F.coalesce("text", F.lit("")).alias("text"), F.col("label").cast("int").alias("label"))
-    rows = written(rows.withColumn("draw", F.pmod(F.xxhash64("text", F.lit(fit.seed)), F.lit(1 << 30))), "labelled")
+    """labelled: text, label (0 or 1; null: not labelled), and doc_id if there is one. Null texts are empty. None without any label."""
+    rows = labelled.where(F.col("label").isin(0, 1)).withColumns({"text": F.coalesce("text", F.lit("")), "label": F.col("label").cast("int")})
+    draw, shard = F.pmod(row_draw(rows, fit.seed), F.lit(1 << 30)), F.pmod(row_draw(rows, fit.seed + 1), F.lit(fit.shards))
+    rows = written(rows.select("text", "label", draw.alias("draw"), shard.cast("int").alias("shard")), "labelled")
     n = rows.count()
     if not n:
         return None
-    few = rows.where(F.col("draw") < min(1.0, fit.sample / n) * (1 << 30)).select("text", "label", F.pmod(F.col("draw"), F.lit(fit.shards)).cast("int").alias("shard"))
+    few = rows.where(F.col("draw") < min(1.0, fit.sample / n) * (1 << 30)).select("text", "label", "shard")
     few = written(few.repartition(fit.shards, "shard"), "quality-sample")
     model = start(fit)
     for _ in range(fit.rounds):

@@ -48,7 +48,7 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = fold(F.col("doc_id"), 3) == 1
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    model = language_id.train(docs.where(~held_out).select("text", "lang"))
+    model = language_id.train(docs.where(~held_out))
     return language_id.predict(docs, model).withColumn("held_out", held_out)
 
 

@@ -139,6 +139,29 @@ def test_op3(spark, sf, odd):
     assert {r.lang_pred for r in language_id.predict(odd, None).collect()} == {"und"}
 
 
+def drawn_text(spark, seed, share):
+    """A text that a hash of texts alone draws."""
+    return next(r.text for r in spark.range(1000).select(F.concat(F.lit("hot words of text "), "id").alias("text")).where(F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1 << 30)) < share * (1 << 30)).limit(1).collect())
+
+
+def captured(monkeypatch, module):
+    tables, written = {}, module.written
+    monkeypatch.setattr(module, "written", lambda df, name: tables.setdefault(name, written(df, name)))
+    return tables
+
+
+def test_op3_sample(spark, monkeypatch):
+    """Copies of one text don't fill the sample, and document frequencies are those of all rows."""
+    fit = language_id.Fit(per_language=200)
+    hot = drawn_text(spark, fit.seed, 0.05)
+    rows = [(k, hot if k % 3 == 0 else f"words number {'abcdefghij'[k % 10]} {'klmnopqrst'[k // 10 % 10]} {'uvwxyzabcd'[k // 100 % 10]}", "en") for k in range(3000)]
+    tables = captured(monkeypatch, language_id)
+    model = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), fit)
+    assert 120 < tables["lang-sample"].count() < 280
+    df = sum((language_id.counts(language_id.pa.array([t for _, t, _ in rows[k : k + 500]], language_id.pa.large_string()), fit) > 0).sum(axis=0) for k in range(0, 3000, 500))
+    assert model.idf == pytest.approx(np.log(3001 / (1 + df)) + 1, rel=1e-5)
+
+
 # 4. HTML
 
 
@@ -515,6 +538,17 @@ def test_factorisation():
     assert got == pytest.approx(want)
 
 
+def test_op9_sample(spark, monkeypatch):
+    """Copies of one text neither fill the sample nor fall into one shard."""
+    fit = quality_classifier.Fit(sample=300, buckets=64, rounds=1, epochs=1)
+    hot = drawn_text(spark, fit.seed, 0.08)
+    rows = [(k, hot if k % 3 == 0 else f"text number {k}", k % 2) for k in range(3000)]
+    tables = captured(monkeypatch, quality_classifier)
+    assert quality_classifier.train(spark.createDataFrame(rows, "doc_id long, text string, label int"), fit)
+    shards = Counter(r.shard for r in tables["quality-sample"].collect())
+    assert 200 < sum(shards.values()) < 400 and len(shards) == 4 and max(shards.values()) < 0.4 * sum(shards.values())
+
+
 # 10. Packing
 
 
