@@ -556,7 +556,6 @@ def test_op10(spark, sf, odd):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    t.encode_special_tokens = True
 
     def check(rows, texts):
         by, places = defaultdict(list), defaultdict(list)
@@ -580,6 +579,10 @@ def test_op10(spark, sf, odd):
     n, total = check(queries.op10_packing(spark, sf).collect(), list(texts_of(sf).items()))
     assert n <= math.ceil(total / 4096) * 1.03 + 1
     check(packing.pack(odd, public_tokenizers.path("word_bpe_49k.json"), 2).collect(), [tuple(r) for r in odd.select("doc_id", "text").collect()])
+    marks = ["<|endoftext|>", "a<|endoftext|>b.c", "A <|ENDOFTEXT|> b", "x <|startoftext|> Don't, 12<|endoftext|><|endoftext|>", "<|endoftext", "e\u0301<|endoftext|>\u0301 É"]
+    rows = list(enumerate(marks)) + [(100 + k, "one") for k in range(1000)] + [(2000 + k, "w " * 1999) for k in range(50)]
+    n, _ = check(packing.pack(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), public_tokenizers.path("word_bpe_49k.json"), 2).collect(), rows)
+    assert n == 25  # of 24.9 at least
     assert packing.pack(odd.limit(0), public_tokenizers.path("word_bpe_49k.json"), 2).count() == 0
 
 
@@ -594,3 +597,7 @@ def test_histogram():
             placed[x] += count
     assert placed == h
     assert packing.pack_histogram({5: 3}, 10) == [(1, [5, 5]), (1, [5])] and packing.pack_histogram({}, 10) == []
+    assert packing.pack_histogram({1: 1000}, 4096) == [(1, [1] * 1000)] and packing.pack_histogram({2000: 1000}, 4096) == [(500, [2000, 2000])]
+    many = {n: 10**9 if n == 7 else n for n in range(1, 4097)}
+    parts = packing.parts_of(many)
+    assert sum(parts.values()) <= packing.PARTS + 4096 and parts[7] > 8000 and parts[1] == 1
