@@ -83,7 +83,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = fold(F.col("doc_id"), 5) == 0
     docs = _documents(spark, sf_dir, "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    model = quality_classifier.train(docs.where(~held_out).join(labels, "doc_id"))
+    model = quality_classifier.train(docs, labels.where(~held_out))
     scored = quality_classifier.score(docs, model).drop("text")
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 

@@ -518,9 +518,9 @@ def test_op9(spark, sf, odd):
     known = [r for r in got if r.doc_id in quality]
     assert len(got) == len(texts_of(sf)) and sum(r.predicted == quality[r.doc_id] for r in known) >= 0.9 * len(known)
     assert {r.score for r in quality_classifier.score(odd, None).collect()} == {0.5}
-    none = quality_classifier.train(odd.select("text", F.lit(None).cast("int").alias("label")))
+    none = quality_classifier.train(odd, odd.select("doc_id", F.lit(None).cast("int").alias("label")))
     assert none is None
-    model = quality_classifier.train(table(spark, sf, "documents").join(table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label")), "doc_id"))
+    model = quality_classifier.train(table(spark, sf, "documents"), table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label")))
     out = quality_classifier.score(odd, model)
     assert out.count() == len(ODD) + 1 and out.where("score between 0 and 1").count() == len(ODD) + 1
     assert quality_classifier.score(odd.limit(0), model).count() == 0
@@ -539,14 +539,33 @@ def test_factorisation():
 
 
 def test_op9_sample(spark, monkeypatch):
-    """Copies of one text neither fill the sample nor fall into one shard."""
-    fit = quality_classifier.Fit(sample=300, buckets=64, rounds=1, epochs=1)
+    """Copies of one text, or rows of one id, neither fill the sample nor fall into one shard."""
+    fit = quality_classifier.Fit(sample=300, buckets=64, rounds=1, epochs=1, steps=1)
     hot = drawn_text(spark, fit.seed, 0.08)
-    rows = [(k, hot if k % 3 == 0 else f"text number {k}", k % 2) for k in range(3000)]
-    tables = captured(monkeypatch, quality_classifier)
-    assert quality_classifier.train(spark.createDataFrame(rows, "doc_id long, text string, label int"), fit)
-    shards = Counter(r.shard for r in tables["quality-sample"].collect())
-    assert 200 < sum(shards.values()) < 400 and len(shards) == 4 and max(shards.values()) < 0.4 * sum(shards.values())
+    docs = [(k, hot if k % 3 == 0 else f"text number {k}") for k in range(3000)] + [(7, "of one id")] * 3000
+    labels = spark.createDataFrame([(k, k % 2) for k in range(3000)] + [(7, 1)] * 3000 + [(None, 1), (8, None)], "doc_id long, label int")
+    for rows in (docs[:3000], docs):
+        tables = captured(monkeypatch, quality_classifier)
+        assert quality_classifier.train(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), labels, fit)
+        shards = Counter(r.shard for r in tables["quality-sample"].collect())
+        assert 200 < sum(shards.values()) <= 2 * fit.sample and len(shards) == 5 and max(shards.values()) < 0.4 * sum(shards.values())
+
+
+def test_op9_learns(spark):
+    """Training lowers the loss of a rule that needs an interaction of two words, and calibration keeps the order."""
+    rnd = random.Random(6)
+    rows = []
+    for k in range(1600):
+        a, b = rnd.random() < 0.5, rnd.random() < 0.5
+        rows.append((k, " ".join(["alpha"] * a + ["beta"] * b + [f"w{rnd.randrange(30)}" for _ in range(6)]), int(a == b)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    model = quality_classifier.train(docs, docs.select("doc_id", "label").where("doc_id < 1200"), quality_classifier.Fit(rounds=8, epochs=8, rate=0.1))
+    got = [(r.score >= 0.5) == (r.label == 1) for r in quality_classifier.score(docs.where("doc_id >= 1200"), model).collect()]
+    assert sum(got) >= 0.9 * len(got)
+    margin = np.array([-3.0, -2.0, -2.5, 2.0, 3.0, 4.0, 5.0, 2.5])
+    slope, shift = quality_classifier.calibration(margin, (margin > 0).astype(float))
+    p = 1 / (1 + np.exp(-(slope * margin + shift)))
+    assert p[:3].max() < 0.3 and p[3:].min() > 0.5 and (np.diff(p[np.argsort(margin)]) > 0).all()
 
 
 # 10. Packing
