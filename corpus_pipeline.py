@@ -18,10 +18,10 @@ def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score under 0.3 go. The model learns from the labelled rows of the whole table, held-out ones left out."""
-    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    known = table(spark, sf_dir, "documents").select("doc_id", "text").where(fold(F.col("doc_id"), 5) != 0)
-    model = quality_classifier.train(known.join(labels, "doc_id"))
+    """Documents that score under 0.3 go. The model learns from the labelled rows of the whole table, held-out ones left out.
+    Null texts are empty and judged as such; equal texts stay or go together; an empty table stays empty."""
+    labels = table(spark, sf_dir, "labels").where(fold(F.col("doc_id"), 5) != 0).select("doc_id", F.col("quality").alias("label"))
+    model = quality_classifier.train(table(spark, sf_dir, "documents"), labels)
     score = free_name(docs, "score")
     return quality_classifier.score(docs, model, score).where(F.col(score) >= 0.3).select(*[F.col(f"`{c}`") for c in docs.columns])
 
