@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+_BLANK = re.compile(r"[\x20\x09-\x0D]")
+
 
 def texts(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     """A text column without nulls, copied so that it starts at offset 0 (some string kernels misread sliced arrays)."""
@@ -30,6 +33,18 @@ def slices(batches, column: int, most: int) -> Iterator[pa.RecordBatch]:
             at = to
 
 
+def cut(text: str, most: int) -> list[str]:
+    """A long text in parts of `most` characters or a little more, cut at ASCII white space, which the next part begins with."""
+    out, at = [], 0
+    while len(text) - at > most:
+        m = _BLANK.search(text, at + most)
+        if m is None:
+            break
+        out.append(text[at : m.start()])
+        at = m.start()
+    return [*out, text[at:]]
+
+
 class Memo:
     """A dict of at most `most` entries in two generations: the older goes when the younger is full."""
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,23 +15,59 @@ SPACE = r"[\x20\x09-\x0D]"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share (spark.checkpoint.dir); one of our own only where that is unset, as in tests."""
+    """The folder that all executors share (spark.checkpoint.dir); one of our own only where that is unset and all
+    tasks run on this machine, as in tests."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
         at = spark.conf.get("catamill.shared.dir", None)
         if not at:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
             at = "file://" + tempfile.mkdtemp(prefix="spark-catamill-", dir="/tmp")
             spark.conf.set("catamill.shared.dir", at)
     return at.rstrip("/")
 
 
+#: Paths written within `scratch`, by nesting.
+_SCRATCH: list[list[str]] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder, read again: it cuts the lineage and outlives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """What is written within goes at the end, also after a failure, but for what `result` writes."""
+    paths: list[str] = []
+    _SCRATCH.append(paths)
+    try:
+        yield paths
+    finally:
+        _SCRATCH.remove(paths)
+        for path in paths:
+            removed(spark, path)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def result(df: DataFrame, name: str) -> DataFrame:
+    """df written so that it outlives the surrounding `scratch`."""
+    held, _SCRATCH[:] = list(_SCRATCH), []
+    try:
+        return written(df, name)
+    finally:
+        _SCRATCH[:] = held
+
+
 #: Rows up to which a written lookup table is sent to all executors; beyond it the join shuffles, and AQE splits hot keys.
 BROADCAST_ROWS = 100_000
 

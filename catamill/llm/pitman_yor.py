@@ -1,10 +1,13 @@
 """LM scoring: a hierarchical Pitman-Yor bigram model. Each context word has a restaurant, and all share the unigram
 restaurant as parent; seats are sampled by Gibbs, and predictive probabilities are averaged over the samples.
 
-Tokens are dealt into buckets by word (frequent words by word and context), as compressed arrays of distinct (context,
-word, document) with counts. A bucket then knows all customers of its words: it seats them, dish by dish, in sweeps (buckets sample side by side). After each sweep the sums
-of tables per context pass through owners of contexts, and totals and frequent words' counts through the driver, so that
-the next sweep has the whole corpus's. Each bucket then scores its tokens; documents sum what their chunks got.
+Pairs of (context, word) with their documents are dealt into buckets by word (frequent words by word and context), as
+compressed arrays. A bucket then knows all customers of its words. In each sweep it takes all customers of a pair up and
+seats them anew given all others, pair by pair (`seating`); buckets sample side by side. After each sweep the sums of
+tables per context pass through owners of contexts, and totals and frequent words' counts through the driver, so that
+the next sweep has the whole corpus's. Each bucket then scores its pairs; documents sum what their chunks got. A pair
+that many documents of a chunk have is dealt once for all of them, and its score comes back to the chunk, so no bucket
+receives a row for each document of a pair.
 """
 
 from __future__ import annotations
@@ -23,27 +26,31 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catamill.llm.arrow_text import slices, split_words, texts
-from catamill.llm.common import SPACE, partitions_for, shared_dir, written
+from catamill.llm.arrow_text import cut, slices, split_words, texts
+from catamill.llm.common import partitions_for, removed, result, scratch, shared_dir, written
+from catamill.llm.seating import draw_tables
 
 
 @dataclass(frozen=True)
 class Fit:
     """discount, strength: of the context restaurants; base_*: of the unigram restaurant. sweeps: of Gibbs, of which the
-    last `samples` are kept. bucket_bytes: text for each bucket. seed: of the seating."""
+    last `samples` are kept. bucket_bytes: text for each bucket; chunk_bytes: text that is dealt at once. shared: documents
+    of a chunk from which on a pair is dealt once for all. seed: of the seating."""
 
     discount: float = 0.8
     strength: float = 1.0
     base_discount: float = 0.7
     base_strength: float = 10.0
-    sweeps: int = 4
-    samples: int = 2
-    bucket_bytes: int = 20 << 20
+    sweeps: int = 5
+    samples: int = 3
+    bucket_bytes: int = 10 << 20
+    chunk_bytes: int = 8 << 20
+    shared: int = 64
     seed: int = 5
 
 
 START, END = np.uint64(1), np.uint64(2)
-STEP = 12 << 20
+STEP = 2 << 20
 TOKENS, DOCS, STATE, ASK, SUMS, SEATS = range(6)  # kinds of rows
 _ROWS = "bucket int, kind int, chunk long, owner int, data binary"
 
@@ -72,73 +79,147 @@ def word_hash(word: str) -> int:
     return xxhash.xxh3_64_intdigest(word.encode()) | 4  # never START or END
 
 
-def tables(c: np.ndarray, a: np.ndarray, d: float, rng: np.random.Generator) -> np.ndarray:
-    """Tables of c customers of each dish, seated one by one: with n seated at t tables, the next opens one with
-    probability a / (a + n - d t). After 64 customers the place of the next new table is drawn directly."""
-    t = (c > 0).astype(np.int64)
-    at = np.flatnonzero(c > 1)
-    for n in range(1, 64):
-        at = at[c[at] > n]
-        if not len(at):
-            return t
-        t[at] += rng.random(len(at)) * (a[at] + n - d * t[at]) < a[at]
-    at = at[c[at] > 64]
-    n = np.full(len(at), 64.0)
-    while len(at):
-        shift = (a[at] - 1) / 2 - d * t[at]
-        with np.errstate(over="ignore"):
-            n = np.floor((n + shift) * rng.random(len(at)) ** (-1 / a[at]) - shift)
-        more = n < c[at]
-        at, n = at[more], n[more] + 1
-        t[at] += 1
-    return t
-
-
-def _frequent(docs: DataFrame, share: float) -> list[int]:
-    """Hashes of words with about this share of tokens or more, from each 64th document (it shapes the buckets alone)."""
-    some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(64)) == 0).select(F.explode(F.split(F.lower("text"), SPACE + "+")).alias("w"))
-    counts = some.groupBy("w").count().orderBy(F.col("count").desc(), "w").limit(256).collect()
-    total = some.count()
-    return [word_hash(r.w) for r in counts if r.w and r["count"] >= share * total] + [int(END)]
-
-
-def _deal(docs: DataFrame, buckets: int, frequent: list[int]) -> DataFrame:
+def _parts(batches, column: int) -> Iterator[tuple[pa.RecordBatch, pa.Array, np.ndarray, np.ndarray]]:
+    """Slices with their texts, A-Z folded: very long ones in parts. Also the row of each part, and whether it ends its text."""
+    for batch in slices(batches, column, STEP):
+        text = texts(batch.column(column))
+        if batch.num_rows > 1 or len(text[0].as_py()) <= 2 * STEP:
+            yield batch, pc.ascii_lower(text), np.arange(batch.num_rows), np.ones(batch.num_rows, bool)
+            continue
+        found = cut(text[0].as_py(), STEP)
+        for k, part in enumerate(found):
+            yield batch, pc.ascii_lower(pa.array([part], pa.large_string())), np.zeros(1, np.int64), np.array([k == len(found) - 1])
+
+
+def _frequent(docs: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words with half a bucket's share of tokens or more, sorted, and over how many buckets each is dealt.
+
+    Slices tell the words that have half of that share there. What the others leave out of a word is under half of the
+    share, so that no such word is missed; there are four for each bucket at most."""
+    share = 1 / (2 * buckets)
+
+    def count(batches) -> Iterator[pa.RecordBatch]:
+        for _, text, _, ends in _parts(batches, 0):
+            index, words, _ = split_words(text)
+            n = np.bincount(index, minlength=len(words))
+            total = len(index) + int(ends.sum())
+            many = np.flatnonzero(n >= share / 2 * total)
+            names = [word_hash(words[k]) for k in many.tolist()]
+            arrays = np.array([*names, END, START], np.uint64).view(np.int64), np.concatenate([n[many], [ends.sum(), total]]).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["h", "n"])
+
+    counts = docs.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    total = counts.where(F.col("h") == int(START)).first()
+    if not total:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    few = counts.where((F.col("h") != int(START)) & (F.col("n") >= share / 2 * total.n)).collect()  # four a bucket at most
+    names = np.array([r.h for r in few], np.int64).view(np.uint64)
+    parts = np.array([1 + int(2 * buckets * r.n / total.n) for r in few], np.int64)
+    order = np.argsort(names)
+    return names[order], parts[order]
+
+
+def _find(names: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in the sorted `among`, and whether each name is there."""
+    if not len(among):
+        return np.zeros(len(names), np.int64), np.zeros(len(names), bool)
+    at = np.minimum(np.searchsorted(among, names), len(among) - 1)
+    return at, among[at] == names
+
+
+def _pairs(text: pa.Array, part: np.ndarray, ends: np.ndarray, before: np.uint64) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of word and context, part and count of each distinct (word, context, part), and tokens by part. before: the word before the first part."""
+    index, words, stops = split_words(text)
+    names = np.concatenate([np.fromiter(map(word_hash, words), np.uint64, len(words)), [END, before, START]]).astype(np.uint64)
+    n_words = np.diff(stops, prepend=0)
+    lengths = n_words + ends
+    w = np.full(int(lengths.sum()), len(words), np.int64)
+    past = np.cumsum(lengths)
+    is_word = np.ones(len(w), bool)
+    is_word[past[ends] - 1] = False
+    w[is_word] = index
+    u = np.concatenate([[0], w[:-1]])
+    begins = (past - lengths)[lengths > 0]
+    u[begins] = len(words) + 2
+    if before != START and len(u):
+        u[0] = len(words) + 1
+    own = np.repeat(part, lengths)
+    n, d = len(names), int(part.max()) + 1
+    key, count = np.unique((w * n + u) * d + own, return_counts=True)
+    return names[key // (n * d)], names[key // d % n], key % d, count, lengths
+
+
+def _deal(docs: DataFrame, buckets: int, frequent: tuple[np.ndarray, np.ndarray], fit: Fit) -> DataFrame:
     """docs: doc_id, learn, text."""
-    hot = np.array(sorted(frequent), np.uint64)
+    hot, over = frequent
+
+    def chunk_rows(chunk: int, found: list, docs: list) -> pa.RecordBatch:
+        w, u, doc, count = (np.concatenate(x) for x in zip(*found, strict=True))
+        found.clear()
+        ids, learn, lengths = [x for d in docs for x in d[0]], np.concatenate([d[1] for d in docs]), np.concatenate([d[2] for d in docs])
+        d = len(ids)
+        at, is_hot = _find(w, hot)
+        to = mix(w)
+        if len(hot):
+            to = to + np.where(is_hot, mix(u) % over[at].astype(np.uint64), np.uint64(0)) * np.uint64(0x9E3779B97F4A7C15)
+            to = np.where(is_hot, mix(to), to)
+        to = (to % np.uint64(buckets)).astype(np.int32)
+        order = np.lexsort((u, w, to))
+        w, u, doc, count, to = w[order], u[order], doc[order], count[order], to[order]
+        fresh = np.ones(len(w), bool)
+        fresh[1:] = (w[1:] != w[:-1]) | (u[1:] != u[:-1])
+        first = np.flatnonzero(fresh)
+        n_docs = np.diff(first, append=len(w))
+        many = n_docs >= fit.shared
+        pair = np.cumsum(fresh) - 1
+        kept = many[pair]
+        # Shared pairs: their documents stay with the chunk, and the bucket sees them as one more document.
+        learned = np.bincount(pair, weights=np.where(learn[doc], count, 0), minlength=len(first)).astype(np.int64)
+        apart = _small((np.cumsum(many) - 1)[pair[kept]]), _small(doc[kept]), _small(count[kept])
+        more = np.flatnonzero(many)
+        pw, pu, pto = w[first], u[first], to[first]
+        runs = np.where(many, 1, n_docs)
+        doc, count = np.concatenate([doc[~kept], d + np.arange(len(more))]), np.concatenate([count[~kept], np.ones(len(more), np.int64)])
+        pair = np.concatenate([pair[~kept], more])
+        order = np.argsort(pair, kind="stable")
+        doc, count = _small(doc[order]), _small(count[order])
+        rows = [(chunk % buckets, DOCS, _pack(ids, learn, lengths, apart))]
+        bits, begin = np.packbits(learn), 0
+        bounds = np.flatnonzero(np.diff(pto, prepend=-1, append=-1))
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            words, wi = np.unique(pw[a:b], return_inverse=True)
+            contexts, ui = np.unique(pu[a:b], return_inverse=True)
+            entries = slice(begin, begin := begin + int(runs[a:b].sum()))
+            rows.append((int(pto[a]), TOKENS, _pack(words, _small(np.bincount(wi)), contexts, _small(ui), _small(runs[a:b]), doc[entries], count[entries], bits, d, len(more), _small(learned[a:b][many[a:b]]))))
+        return _record(rows, chunk)
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        place, k = TaskContext.get().partitionId() << 32, 0
-        for batch in slices(batches, 2, STEP):
-            index, words, ends = split_words(pc.ascii_lower(texts(batch.column(2))))
-            names = np.concatenate([np.fromiter(map(word_hash, words), np.uint64, len(words)), [END, START]]).astype(np.uint64)
-            lengths = np.diff(ends, prepend=0) + 1
-            stops = np.cumsum(lengths) - 1
-            w = np.full(len(index) + len(lengths), len(words), np.int64)
-            is_word = np.ones(len(w), bool)
-            is_word[stops] = False
-            w[is_word] = index
-            u = np.concatenate([[0], w[:-1]])
-            u[stops - lengths + 1] = len(words) + 1
-            doc = np.repeat(np.arange(len(lengths)), lengths)
-            n, d = len(names), len(lengths)
-            key, count = np.unique((w * n + u) * d + doc, return_counts=True)
-            w, u, doc = key // (n * d), key // d % n, key % d
-            own = mix(names)
-            is_hot = np.isin(names, hot)
-            to = ((own[w] + np.where(is_hot[w], own[u], np.uint64(0))) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(to, kind="stable")
-            bounds = np.searchsorted(to[order], np.arange(buckets + 1))
-            chunk = place + k
-            k += 1
-            learn = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
-            rows = [(chunk % buckets, DOCS, _pack(batch.column(0).to_pylist(), learn, lengths))]
-            for b in range(buckets):
-                part = order[bounds[b] : bounds[b + 1]]
-                if len(part):
-                    ws, wi = np.unique(w[part], return_inverse=True)
-                    us, ui = np.unique(u[part], return_inverse=True)
-                    rows.append((b, TOKENS, _pack(names[ws], _small(np.bincount(wi)), names[us], _small(ui), _small(doc[part]), _small(count[part]), np.packbits(learn), d)))
-            yield _record(rows, chunk)
+        place, k, size = TaskContext.get().partitionId() << 32, 0, 0
+        found: list[tuple] = []
+        docs: list[tuple] = []
+        n = 0
+        before, open_doc = START, False
+        for batch, text, part, ends in _parts(batches, 2):
+            w, u, own, count, lengths = _pairs(text, part, ends, before)
+            if not open_doc:
+                docs.append((batch.column(0).to_pylist(), batch.column(1).to_numpy(zero_copy_only=False).astype(bool), lengths))
+                base, n = n, n + batch.num_rows
+            else:
+                docs[-1][2][-1] += lengths[0]
+            found.append((w, u, (base + own).astype(np.int32), count.astype(np.int32)))
+            open_doc = not ends[-1]
+            if open_doc:
+                tail = text[0].as_py().split()
+                before = np.uint64(word_hash(tail[-1])) if tail else before
+            else:
+                before = START
+            size += text.nbytes
+            if size >= fit.chunk_bytes and not open_doc:
+                yield chunk_rows(place + k, found, docs)
+                docs.clear()
+                n, k, size = 0, k + 1, 0
+        if docs:
+            yield chunk_rows(place + k, found, docs)
 
     return docs.mapInArrow(run, _ROWS)
 
@@ -151,9 +232,8 @@ def _record(rows: list[tuple], chunk: int) -> pa.RecordBatch:
     )
 
 
-def _gather(buckets: int, frequent: list[int]):
+def _gather(buckets: int, hot: np.ndarray):
     """Of one bucket: its pairs with counts, its tokens by pair, and what it asks and tells of contexts and sums with one table a pair."""
-    hot = np.array(sorted(frequent), np.uint64)
 
     def run(key, table):
         bucket = key[0].as_py()
@@ -165,6 +245,7 @@ def _gather(buckets: int, frequent: list[int]):
             else:
                 parts.append(_unpack(data))
                 chunks.append(chunk)
+        del table
         if parts:
             W, w_at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
             U = np.unique(np.concatenate([p[2] for p in parts]))
@@ -172,20 +253,25 @@ def _gather(buckets: int, frequent: list[int]):
             U = U[np.lexsort((U, owner))]
             owner = np.sort(owner)
             by_name = np.argsort(U)
+            sorted_names = U[by_name]
             pair, learned = [], []
             begin = 0
             for p in parts:
                 own_w = np.repeat(w_at[begin : begin + len(p[0])], p[1])
                 begin += len(p[0])
-                own_u = by_name[np.searchsorted(U[by_name], p[2])][p[3]]
-                pair.append(own_w * len(U) + own_u)
-                learned.append(np.where(np.unpackbits(p[6], count=p[7])[p[4]], p[5], 0))
+                pair.append(own_w * len(U) + by_name[np.searchsorted(sorted_names, p[2])][p[3]])
+                doc, count, d = p[5].astype(np.int64), p[6].astype(np.int64), p[8]
+                alone = doc < d
+                n = np.zeros(len(doc), np.int64)
+                n[alone] = np.where(np.unpackbits(p[7], count=d)[doc[alone]], count[alone], 0)
+                n[~alone] = p[10]
+                learned.append(np.add.reduceat(n, np.cumsum(p[4].astype(np.int64)) - p[4]))
             sizes = [len(x) for x in pair]
             pairs, pair = np.unique(np.concatenate(pair), return_inverse=True)
             c = np.bincount(pair, weights=np.concatenate(learned), minlength=len(pairs)).astype(np.int64)
             w, u = pairs // len(U), pairs % len(U)
             cw = np.bincount(w, weights=c, minlength=len(W)).astype(np.int64)
-            is_hot = np.isin(W, hot)
+            _, is_hot = _find(W, hot)
             bounds = np.searchsorted(owner, np.arange(buckets + 1))
             state = np.bincount(w, minlength=len(W)), u, c, cw, W[is_hot], np.flatnonzero(is_hot), U, bounds
             out.append((STATE, 0, 0, _pack(*map(_small, state[:4]), *state[4:])))
@@ -194,10 +280,8 @@ def _gather(buckets: int, frequent: list[int]):
             out += _tell(state, [t], [below], [(below > 0).astype(np.int64)], False)
             begin = 0
             for chunk, n, p in zip(chunks, sizes, parts, strict=True):
-                own = pair[begin : begin + n]
+                out.append((TOKENS, chunk, 0, _pack(_small(pair[begin : begin + n]), p[4], p[5], p[6], p[8] + p[9])))
                 begin += n
-                order = np.argsort(own, kind="stable")
-                out.append((TOKENS, chunk, 0, _pack(_small(np.diff(own[order], prepend=0)), p[4][order], p[5][order], p[7])))
         return _rows(bucket, out)
 
     return run
@@ -223,16 +307,15 @@ def _tell(state: tuple, t: list, below: list, above: list, last: bool) -> list[t
     cold = np.ones(len(cw), bool)
     cold[hot_at] = False
     sums = int(c.sum()), int((cw[cold] > 0).sum()), [int(x[cold].sum()) for x in below], [int(x[cold].sum()) for x in above]
-    hots = [(int(h), int(cw[i]), *[int(x[i]) for x in below]) for h, i in zip(hot_names, hot_at, strict=True)]
-    return [*out, (SUMS, 0, 0, _pack(sums, hots))]
+    return [*out, (SUMS, 0, 0, _pack(sums, hot_names, np.stack([cw[hot_at], *[x[hot_at] for x in below]]).astype(np.int64)))]
 
 
-def _base(fit: Fit, total: dict, hot_names, hot_at, below: np.ndarray, above: np.ndarray, s: int) -> np.ndarray:
-    """Probabilities of a bucket's words in the unigram restaurant of the whole corpus, in sample s of total."""
+def _served(total: dict, hot: np.ndarray, hot_names: np.ndarray, hot_at: np.ndarray, below: np.ndarray, above: np.ndarray, s: int) -> tuple[np.ndarray, np.ndarray]:
+    """Customers and tables of a bucket's words in the unigram restaurant of the whole corpus, in sample s of total."""
     customers, seated = below.astype(np.float64), above.astype(np.float64)
-    customers[hot_at] = [total["hot"][int(h)][1 + s] for h in hot_names]
-    seated[hot_at] = [total["hot_tables"][int(h)][s] for h in hot_names]
-    return (np.maximum(customers - fit.base_discount * seated, 0) + _new(fit, total, s)) / (fit.base_strength + total["below"][s])
+    at = np.searchsorted(hot, hot_names)
+    customers[hot_at], seated[hot_at] = total["hot"][1:][s][at], total["hot_tables"][s][at]
+    return customers, seated
 
 
 def _new(fit: Fit, total: dict, s: int) -> float:
@@ -245,7 +328,13 @@ def _told(right: pa.Table) -> list[np.ndarray]:
     return [np.concatenate(x).astype(np.float64) for x in zip(*told, strict=True)]
 
 
-def _sweep(fit: Fit, total: dict, sweep: int):
+def _base_tables(fit: Fit, customers: np.ndarray, old: np.ndarray, all_tables: int, kinds: int, rng: np.random.Generator) -> np.ndarray:
+    """Tables of words in the unigram restaurant, given the others'."""
+    others = fit.base_strength + fit.base_discount * (all_tables - old)
+    return draw_tables(customers, old, lambda k, i: np.log((others[k] + fit.base_discount * i) / (kinds + 1)), fit.base_discount, rng)
+
+
+def _sweep(fit: Fit, total: dict, hot: np.ndarray, sweep: int):
     """Of one bucket: its customers seated anew, given all buckets' tables of the sweep before."""
 
     def run(key, left, right):
@@ -258,17 +347,28 @@ def _sweep(fit: Fit, total: dict, sweep: int):
         seats = next(d for k, d in zip(right["kind"].to_pylist(), right["data"].to_pylist(), strict=True) if k == SEATS)
         t_many, below, above = _unpack(seats)
         w, many = np.repeat(np.arange(len(w_count)), w_count), np.flatnonzero(c > 1)
-        p = _base(fit, total, hot_names, hot_at, below[-1], above[-1], -1)
-        strength = (fit.strength + fit.discount * _told(right)[0][u[many]]) * p[w[many]]
+        customers, seated = _served(total, hot, hot_names, hot_at, below[-1], above[-1], -1)
+        old = t_many[-1].astype(np.int64)
+        # What is left without the pair's own customers: tables of its context, customers and tables of its word.
+        context = fit.strength + fit.discount * (_told(right)[0][u[many]] - old)
+        left_over = np.maximum(customers[w[many]] - old, 0)
+        known = left_over > 0
+        dish = np.where(known, left_over - fit.base_discount * np.minimum(seated[w[many]], left_over), -fit.base_discount)
+        new, room = _new(fit, total, -1), fit.base_strength + total["below"][-1] - old
+
+        def opening(k: np.ndarray, i: np.ndarray) -> np.ndarray:
+            served = np.where(known[k] | (i >= 1), dish[k] + i, 0.0)  # a word that nobody else has starts anew
+            return np.log((context[k] + fit.discount * i) * (served + new) / (room[k] + i))
+
         kept = []
         for x in [*t_many[len(t_many) - fit.samples + 1 :], None] if sweep >= fit.sweeps - fit.samples + 1 else [None]:
             t = (c > 0).astype(np.int64)
-            t[many] = tables(c[many].astype(np.int64), strength, fit.discount, rng) if x is None else x
+            t[many] = draw_tables(c[many], old, opening, fit.discount, rng) if x is None else x
             kept.append(t)
-        new = np.bincount(w, weights=kept[-1], minlength=len(w_count)).astype(np.int64)
+        tables = np.bincount(w, weights=kept[-1], minlength=len(w_count)).astype(np.int64)
         n = len(kept) - 1
-        below = [*below[len(below) - n :], new]
-        above = [*above[len(above) - n :], tables(new, np.full(len(new), _new(fit, total, -1)), fit.base_discount, rng)]
+        below = [*below[len(below) - n :], tables]
+        above = [*above[len(above) - n :], _base_tables(fit, tables, np.minimum(above[-1].astype(np.int64), tables), total["above"][-1], total["kinds"], rng)]
         return _rows(bucket, _tell(state, kept, below, above, sweep == fit.sweeps - 1))
 
     return run
@@ -288,8 +388,8 @@ def _sum_contexts(key, table):
     return pa.table({"bucket": table["bucket"].cast(pa.int32()), "kind": pa.array([ASK] * n, pa.int32()), "chunk": pa.array([0] * n, pa.int64()), "owner": pa.array([key[0].as_py()] * n, pa.int32()), "data": pa.array(data, pa.binary())})
 
 
-def _score(fit: Fit, total: dict):
-    """Of one bucket, with its contexts' sums: per chunk, what its tokens add to each document."""
+def _score(fit: Fit, total: dict, hot: np.ndarray):
+    """Of one bucket, with its contexts' sums: per chunk, what its pairs add to each document."""
 
     def run(key, left, right):
         kinds, chunks, datas = left["kind"].to_pylist(), left["chunk"].to_pylist(), left["data"].to_pylist()
@@ -303,10 +403,11 @@ def _score(fit: Fit, total: dict):
             cu, *tus = _told(right)
             assert len(cu) == len(U)
             cw = cw.astype(np.float64)
-            cw[hot_at] = [total["hot"][int(h)][0] for h in hot_names]
+            cw[hot_at] = total["hot"][0][np.searchsorted(hot, hot_names)]
             p = np.zeros(len(u))
             for s, tu in enumerate(tus):
-                base = _base(fit, total, hot_names, hot_at, below[s], above[s], s)
+                customers, seated = _served(total, hot, hot_names, hot_at, below[s], above[s], s)
+                base = (np.maximum(customers - fit.base_discount * seated, 0) + _new(fit, total, s)) / (fit.base_strength + total["below"][s])
                 t = (c > 0).astype(np.float64)
                 t[many] = t_many[s]
                 p += (np.maximum(c - fit.discount * t, 0) + (fit.strength + fit.discount * tu[u]) * base[w]) / (fit.strength + cu[u])
@@ -315,8 +416,8 @@ def _score(fit: Fit, total: dict):
             known = (cw > 0)[w]
             for kind, chunk, data in zip(kinds, chunks, datas, strict=True):
                 if kind == TOKENS:
-                    step, doc, count, n = _unpack(data)
-                    at = np.cumsum(step.astype(np.int64))
+                    pair, runs, doc, count, n = _unpack(data)
+                    at = np.repeat(pair, runs)
                     add = lambda x: np.bincount(doc, weights=x[at] * count, minlength=n)  # noqa: B023, E731
                     out.append((chunk, _pack(_small(add(known).astype(np.int64)), add(plain), add(logs))))
         n = len(out)
@@ -329,36 +430,42 @@ def _documents(key, table):
     known = plain = logs = 0
     for kind, data in zip(table["kind"].to_pylist(), table["data"].to_pylist(), strict=True):
         if kind == DOCS:
-            ids, learn, lengths = _unpack(data)
+            ids, learn, lengths, (pair, doc, count) = _unpack(data)
         else:
             a, b, c = _unpack(data)
             known, plain, logs = known + a.astype(np.int64), plain + b, logs + c
-    return pa.table({"doc_id": pa.array(ids, pa.int64()), "learned": pa.array(learn), "n_tokens": pa.array(lengths, pa.int64()), "n_known": pa.array(known), "base_score": pa.array(plain), "score": pa.array(logs)})
+    d = len(ids)
+    whole = lambda x: x[:d] + np.bincount(doc, weights=x[d:][pair] * count, minlength=d)  # noqa: E731  what shared pairs add
+    return pa.table({"doc_id": pa.array(ids, pa.int64()), "learned": pa.array(learn), "n_tokens": pa.array(lengths, pa.int64()), "n_known": pa.array(whole(known).astype(np.int64)), "base_score": pa.array(whole(plain)), "score": pa.array(whole(logs))})
 
 
-def _totals(rows: DataFrame, fit: Fit, before: dict | None, sweep: int) -> dict:
-    """Totals of a seating over all buckets; lists have an item for each kept sample."""
-    total: dict = {"tokens": 0, "kinds": 0, "below": [], "above": [], "hot": {}}
+def _totals(rows: DataFrame, fit: Fit, hot: np.ndarray, before: dict | None, sweep: int) -> dict:
+    """Totals of a seating over all buckets; lists have an item for each kept sample. hot: customers in texts, and tables
+    of each sample, of each frequent word; hot_tables: its tables in the unigram restaurant."""
+    total: dict = {"tokens": 0, "kinds": 0, "below": [], "above": [], "hot": np.zeros((2, len(hot)), np.int64)}
     add = lambda a, b: [x + y for x, y in zip(a or [0] * len(b), b, strict=True)]
-    for r in rows.where(F.col("kind") == SUMS).select("data").toLocalIterator():  # a few numbers a bucket
-        (tokens, kinds, below, above), hots = _unpack(bytes(r.data))
+    for r in rows.where(F.col("kind") == SUMS).select("data").toLocalIterator():  # a few numbers a bucket, and its frequent words, about two a bucket
+        (tokens, kinds, below, above), names, counts = _unpack(bytes(r.data))
         total["tokens"] += tokens
         total["kinds"] += kinds
         total["below"], total["above"] = add(total["below"], below), add(total["above"], above)
-        for h, *x in hots:
-            total["hot"][h] = add(total["hot"].get(h), x)
-    total["kinds"] += sum(x[0] > 0 for x in total["hot"].values())
+        if len(total["hot"]) != len(counts):
+            total["hot"] = np.zeros((len(counts), len(hot)), np.int64)
+        total["hot"][:, np.searchsorted(hot, names)] += counts
+    if not total["below"]:
+        total["below"], total["above"] = [0], [0]
+    total["kinds"] += int((total["hot"][0] > 0).sum())
     # Frequent words' tables in the unigram restaurant, of all their customers at once.
-    names = sorted(total["hot"])
-    total["hot_tables"] = {h: [] for h in names}
     samples = len(total["below"])
+    total["hot_tables"] = []
     for s in range(samples):
         rng = np.random.default_rng([fit.seed, sweep - samples + 1 + s + fit.sweeps])
-        new = _new(fit, before or total, -1)
-        for h, t in zip(names, tables(np.array([total["hot"][h][1 + s] for h in names], np.int64), np.full(len(names), new), fit.base_discount, rng).tolist(), strict=True):
-            total["hot_tables"][h].append(t)
-            total["below"][s] += total["hot"][h][1 + s]
-            total["above"][s] += t
+        customers = total["hot"][1 + s]
+        old = np.minimum(before["hot_tables"][-1] if before else 1, customers)
+        tables = _base_tables(fit, customers, old, before["above"][-1] if before else total["above"][s] + int(old.sum()), total["kinds"], rng)
+        total["hot_tables"].append(tables)
+        total["below"][s] += int(customers.sum())
+        total["above"][s] += int(tables.sum())
     return total
 
 
@@ -367,27 +474,33 @@ def score_documents(docs: DataFrame, fit: Fit = Fit()) -> DataFrame:
     n_tokens, n_known, train_tokens, base_score, score.
 
     A token is a word (A-Z folded) or the end of a text. base_score: log10 of add-one unigram probabilities; score: of
-    the model's averaged probabilities; sums over the tokens. Null texts are empty and have one token. Null `learn` is
-    false. Without any row to learn from, every token is as likely as a new word. Repeated rows count as often as they
-    stand there. Empty tables give no rows. Words are told apart by 64-bit hashes.
+    the model's averaged probabilities; sums over the tokens. Null texts are empty and have one token; very long texts
+    are read in parts. Null `learn` is false. Without any row to learn from, every token is as likely as a new word.
+    Repeated rows count as often as they stand there. Empty tables give no rows. Words are told apart by 64-bit hashes.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("learn", F.lit(False)).alias("learn"), F.coalesce("text", F.lit("")).alias("text"))
     size = docs.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 1
     buckets = partitions_for(int(size), fit.bucket_bytes, 4)
-    frequent = _frequent(docs, 1 / (8 * buckets))
-    gathered = _deal(docs, buckets, frequent).groupBy("bucket").applyInArrow(_gather(buckets, frequent), _ROWS)
-    # Bucketed, so that the later steps find a bucket's rows together without another shuffle.
+    frequent = hot, _ = _frequent(docs, buckets)
+    gathered = _deal(docs, buckets, frequent, fit).groupBy("bucket").applyInArrow(_gather(buckets, hot), _ROWS)
+    # Bucketed, so that the later steps find a bucket's rows together without another shuffle; by kind, so that they read no others.
     name = f"pitman_yor_{uuid.uuid4().hex}"
-    gathered.write.format("parquet").option("compression", "none").option("path", f"{shared_dir(spark)}/{name}").bucketBy(buckets, "bucket").saveAsTable(name)
-    rows = last = spark.table(name)
-    total = _totals(last, fit, None, -1)
-    told = lambda: last.where(F.col("kind") == ASK).groupBy("owner").applyInArrow(_sum_contexts, _ROWS).union(last.where(F.col("kind") == SEATS)).groupBy("bucket")
-    for sweep in range(fit.sweeps):
-        last = written(rows.where(F.col("kind") == STATE).groupBy("bucket").cogroup(told()).applyInArrow(_sweep(fit, total, sweep), _ROWS), "seats")
-        total = _totals(last, fit, total, sweep)
-    here = rows.where(F.col("kind").isin(STATE, TOKENS))
-    parts = here.groupBy("bucket").cogroup(told()).applyInArrow(_score(fit, total), "chunk long, kind int, data binary")
-    parts = parts.union(rows.where(F.col("kind") == DOCS).select("chunk", "kind", "data"))
-    out = parts.groupBy("chunk").applyInArrow(_documents, "doc_id long, learned boolean, n_tokens long, n_known long, base_score double, score double")
-    return out.withColumn("train_tokens", F.lit(total["tokens"]).cast("long"))
+    path = f"{shared_dir(spark)}/{name}"
+    try:
+        gathered.write.format("parquet").option("compression", "none").option("path", path).partitionBy("kind").bucketBy(buckets, "bucket").saveAsTable(name)
+        rows = last = spark.table(name).select("bucket", "kind", "chunk", "owner", "data")
+        with scratch(spark):
+            total = _totals(last, fit, hot, None, -1)
+            told = lambda: last.where(F.col("kind") == ASK).groupBy("owner").applyInArrow(_sum_contexts, _ROWS).union(last.where(F.col("kind") == SEATS)).groupBy("bucket")
+            for sweep in range(fit.sweeps):
+                last = written(rows.where(F.col("kind") == STATE).groupBy("bucket").cogroup(told()).applyInArrow(_sweep(fit, total, hot, sweep), _ROWS), "seats")
+                total = _totals(last, fit, hot, total, sweep)
+            here = rows.where(F.col("kind").isin(STATE, TOKENS))
+            parts = here.groupBy("bucket").cogroup(told()).applyInArrow(_score(fit, total, hot), "chunk long, kind int, data binary")
+            parts = parts.union(rows.where(F.col("kind") == DOCS).select("chunk", "kind", "data"))
+            out = parts.groupBy("chunk").applyInArrow(_documents, "doc_id long, learned boolean, n_tokens long, n_known long, base_score double, score double")
+            return result(out.withColumn("train_tokens", F.lit(total["tokens"]).cast("long")), "scores")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        removed(spark, path)
