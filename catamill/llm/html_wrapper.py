@@ -1,10 +1,14 @@
 """HTML extraction by union-free wrappers, inferred per host from the alignment of its pages' token streams.
 
-A page is a stream of container tags and text slots. Neighbouring equal runs fold into repeated groups, which gives the
-page's form. The distinct forms of a host, with counts and sums of what stood in each slot, are gathered by Spark; one
-after another they are aligned into the host's wrapper, and mismatches become optional or repeated groups. A page's main text
-is its form's best region by name; where its form names none, slots of the wrapper, told apart over all pages of the
-host, say which container it is. Extraction does so once per distinct form and joins the texts of main slots.
+A page is a stream of container tags and texts. Neighbouring equal runs fold into repeated groups, which gives the
+page's form. Spark gathers each host's distinct forms with the sums of what stood at each of their places, and aligns
+them into the host's wrapper, in a tree: some forms a task, then some of the wrappers so made, until each host has one.
+A mismatch of tags becomes an optional part, one between a single run and a repeated group the group, and one between
+texts a slot; a text, or a repeated group as a whole, that is the same on all pages is template.
+
+A page is read through its host's wrapper: places that are template are no candidates for the main text. Of those left,
+the ones in the best region that tags and names tell are the main text; where they tell none, what the smallest
+container of the long slots holds. Template between main slots (a heading that all articles have) belongs to the text.
 """
 
 from __future__ import annotations
@@ -12,19 +16,21 @@ from __future__ import annotations
 import html as html_entities
 import json
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from difflib import SequenceMatcher
-from operator import eq
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catamill.llm.arrow_text import slices
-from catamill.llm.common import join_lookup, written
+from catamill.llm.common import join_lookup, result, scratch, written
 from catamill.llm.url_filter import host_of
 
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
@@ -56,12 +62,31 @@ class Slot:
     text: str
 
 
+#: Containers that a path names in any case; below, only those that may change the region.
+DEPTH = 64
+
+
+def deeper(path: str, depth: int, tag: str, key: str) -> str:
+    """The path of a container in the one of `path`. Very deep nesting adds what tells regions alone, so that paths stay short."""
+    telling = tag in ("article", "main", "header", "form") or tag in DROPPED_TAGS or not (FURNITURE | MAIN_WORDS | {"hidden"}).isdisjoint(key.split(".")[1:])
+    if depth >= DEPTH and (not telling or path.endswith(key) or path.count(">") > 4 * DEPTH):
+        return path
+    return f"{path}>{key}" if path else key
+
+
 def parse(page: str) -> list[str | Slot]:
     """Container tags and text slots in page order. Key of a slot: block tag, `@` if linked, and the path of containers."""
     out: list[str | Slot] = []
-    stack: list[tuple[str, str]] = []
+    stack: list[tuple[str, str, str]] = []  # tag, key, path with it
+    open_tags: dict[str, int] = {}
     path, block, linked, buffer, anchors = "", "", False, [], 0
 
+    def pop() -> str:
+        t, key, _ = stack.pop()
+        open_tags[t] -= 1
+        out.append(f"</{key}>")
+        return t
+
     def flush() -> None:
         nonlocal anchors
         text = " ".join(html_entities.unescape("".join(buffer)).split())
@@ -92,92 +117,180 @@ def parse(page: str) -> list[str | Slot]:
         if not closing:
             if tag in ("li", "tr", "td", "th", "option"):
                 while stack and stack[-1][0] in {"li": ("li",), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}.get(tag, ()):
-                    out.append(f"</{stack.pop()[1]}>")
+                    pop()
+                path = stack[-1][2] if stack else ""
             names = sorted({w for a in _NAMED.finditer(m[4]) for w in _WORD.split(((a[2] or a[3] or a[4] or "") if a[1].lower() != "hidden" else "hidden").lower()) if w}) if m[4] else []
             key = ".".join([tag, *names])
             if not m[4].endswith("/"):
-                stack.append((tag, key))
+                stack.append((tag, key, deeper(path, len(stack), tag, key)))
+                open_tags[tag] = open_tags.get(tag, 0) + 1
             out.append(f"<{key}>")
-        elif any(t == tag for t, _ in stack):
-            while stack:
-                t, key = stack.pop()
-                out.append(f"</{key}>")
-                if t == tag:
-                    break
+        elif open_tags.get(tag):
+            while pop() != tag:
+                pass
         linked = False
-        path = ">".join(key for _, key in stack)
+        path = stack[-1][2] if stack else ""
     flush()
     return out
 
 
 # A form is a tuple of tokens and repeated groups; a group is a tuple of its body.
-def fold(tokens: tuple, longest: int = 64) -> tuple:
-    """Neighbouring equal runs become one repeated group, shorter runs first."""
+def fold(tokens: tuple, longest: int = 64) -> tuple[tuple, list[int]]:
+    """Neighbouring equal runs become one repeated group, shorter runs first; and how many tokens each node takes."""
+    widths = [1] * len(tokens)
     for n in range(1, longest + 1):
         if 2 * n > len(tokens):
             break
-        if n > 8 and sum(map(eq, tokens, tokens[n:])) < n:
+        names: dict = {}
+        ids = np.fromiter((names.setdefault(t, len(names)) for t in tokens), np.int64, len(tokens))
+        same = np.concatenate([[0], np.cumsum(ids[n:] == ids[:-n])])
+        repeats = np.flatnonzero(same[n:] - same[:-n] == n)  # places whose run of n stands there again
+        if not len(repeats):
             continue
-        out, k = [], 0
-        while k < len(tokens):
-            body = tokens[k : k + n]
-            end = k + n
-            while tokens[end : end + n] == body:
+        out, taken, k = [], [], 0
+        for begin in [*repeats.tolist(), len(tokens)]:
+            if begin < k:
+                continue
+            out += tokens[k:begin]
+            taken += widths[k:begin]
+            if begin == len(tokens):
+                break
+            end = begin + n
+            while end + n <= len(tokens) and same[end] - same[end - n] == n:
                 end += n
-            if end > k + n and len(body) == n:
-                out.append(body[0] if n == 1 and isinstance(body[0], tuple) else body)
-                k = end
-            else:
-                out.append(tokens[k])
-                k += 1
-        tokens = tuple(out)
-    return tokens
+            body = tokens[begin : begin + n]
+            out.append(body[0] if n == 1 and isinstance(body[0], tuple) else body)
+            taken.append(sum(widths[begin:end]))
+            k = end
+        tokens, widths = tuple(out), taken
+    return tokens, widths
 
 
-def form_of(items: list[str | Slot]) -> tuple:
+def form_of(items: list[str | Slot]) -> tuple[tuple, list[int]]:
     return fold(tuple(x.key if isinstance(x, Slot) else x for x in items))
 
 
-def _groups(form: tuple) -> set[tuple]:
-    return {x for x in form if isinstance(x, tuple)}
+PRIME, BASE = (1 << 61) - 1, 0x3C6EF372FE94F82
+#: The sum of a place whose texts differ between pages.
+VARIES = -1
+
+
+@dataclass
+class Node:
+    """A place of a wrapper. token: tag, text key or repeated group. optional: pages may lack it. same: rolling hash of
+    its texts where all pages have the same, else VARIES; leaves: texts under that hash. n: pages that have it, chars: of
+    all their texts there."""
 
+    token: str | tuple
+    optional: bool
+    same: int
+    leaves: int
+    n: int
+    chars: int
 
-def regroup(form: tuple, bodies: set[tuple]) -> tuple:
-    """Single occurrences of a group's body become that group."""
+    def plain(self) -> list:
+        return [self.token, self.optional, self.same, self.leaves, self.n, self.chars]
+
+
+def joined(nodes: list[Node], token: tuple) -> Node:
+    """Nodes that stand one after another, read as one repeated group."""
+    same, leaves_of = 0, 0
+    for x in nodes:
+        same = VARIES if VARIES in (same, x.same) else (same * pow(BASE, x.leaves, PRIME) + x.same) % PRIME
+        leaves_of += x.leaves
+    return Node(token, all(x.optional for x in nodes), same, leaves_of, max(x.n for x in nodes), sum(x.chars for x in nodes))
+
+
+def regroup(nodes: list[Node], bodies: set[tuple]) -> list[Node]:
+    """Single occurrences of a repeated group's body, and groups of it beside them, become that group."""
     for body in sorted(bodies, key=lambda b: (-len(b), repr(b))):
         n, out, k = len(body), [], 0
-        while k < len(form):
-            if form[k : k + n] == body:
-                out.append(body)
-                k += n
+        tokens = [x.token for x in nodes]
+        if body[0] not in tokens:
+            continue
+        while k < len(nodes):
+            run = []
+            while k < len(nodes):
+                if tokens[k] == body:
+                    run.append(nodes[k])
+                    k += 1
+                elif tuple(tokens[k : k + n]) == body:
+                    run += nodes[k : k + n]
+                    k += n
+                else:
+                    break
+            if run:
+                out.append(run[0] if len(run) == 1 and run[0].token == body else joined(run, body))
             else:
-                out.append(form[k])
+                out.append(nodes[k])
                 k += 1
-        form = fold(tuple(out), 1)
-    return form
-
-
-def align(wrapper: list[tuple], form: tuple) -> list[tuple]:
-    """The wrapper, a list of (token or group, optional), widened so that it takes in the form too."""
-    bodies = _groups(form) | _groups(tuple(t for t, _ in wrapper))
-    form = regroup(form, bodies)
-    old = regroup(tuple(t for t, _ in wrapper), bodies)
-    loose = {t: True for t, o in wrapper if o} | {t: False for t, o in wrapper if not o}
-    marks = [w[1] for w in wrapper] if len(old) == len(wrapper) else [loose.get(t, False) for t in old]
-    out: list[tuple] = []
-    for kind, a, b, c, d in SequenceMatcher(None, old, form, autojunk=False).get_opcodes():
-        if kind == "equal":
-            out += zip(old[a:b], marks[a:b], strict=True)
+        nodes = out
+    return nodes
+
+
+def matches(a: list, b: list) -> list[tuple[int, int]]:
+    """Pairs of places with equal tokens, in order. Long middles are aligned at the tokens that both have once."""
+    low = 0
+    while low < min(len(a), len(b)) and a[low] == b[low]:
+        low += 1
+    tail = 0
+    while tail < min(len(a), len(b)) - low and a[-1 - tail] == b[-1 - tail]:
+        tail += 1
+    out = [(k, k) for k in range(low)]
+    x, y = a[low : len(a) - tail], b[low : len(b) - tail]
+    if x and y:
+        if len(x) * len(y) <= 1 << 18:
+            for i, j, n in SequenceMatcher(None, x, y, autojunk=False).get_matching_blocks():
+                out += [(low + i + k, low + j + k) for k in range(n)]
         else:
-            out += [(t, True) for t in old[a:b]] + [(t, True) for t in form[c:d]]
+            p, q = _once(x), _once(y)
+            out += [(low + i, low + j) for i, j in _rising([(p[t], q[t]) for t in p if t in q])]
+    return out + [(len(a) - k, len(b) - k) for k in range(tail, 0, -1)]
+
+
+def _once(tokens: list) -> dict:
+    """Places of the tokens that stand there once."""
+    n = Counter(tokens)
+    return {t: k for k, t in enumerate(tokens) if n[t] == 1}
+
+
+def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The longest run of pairs, in order of the first, whose second rises."""
+    ends: list[int] = []
+    at: list[int] = []
+    back: list[int] = []
+    for k, (_, j) in enumerate(pairs):
+        place = bisect_left(ends, j)
+        back.append(at[place - 1] if place else -1)
+        ends[place : place + 1], at[place : place + 1] = [j], [k]
+    out, k = [], at[-1] if at else -1
+    while k >= 0:
+        out.append(pairs[k])
+        k = back[k]
+    return out[::-1]
+
+
+def align(one: list[Node], two: list[Node]) -> list[Node]:
+    """The wrapper that takes in both."""
+    bodies = {x.token for x in [*one, *two] if isinstance(x.token, tuple)}
+    one, two = regroup(one, bodies), regroup(two, bodies)
+    out: list[Node] = []
+    i = j = 0
+    loose = lambda xs: [Node(x.token, True, x.same, x.leaves, x.n, x.chars) for x in xs]
+    for a, b in [*matches([x.token for x in one], [x.token for x in two]), (len(one), len(two))]:
+        out += loose(one[i:a]) + loose(two[j:b])
+        if a < len(one):
+            x, y = one[a], two[b]
+            out.append(Node(x.token, x.optional or y.optional, x.same if x.same == y.same else VARIES, min(x.leaves, y.leaves), x.n + y.n, x.chars + y.chars))
+        i, j = a + 1, b + 1
     return out
 
 
-def infer(forms: list[tuple]) -> list[tuple]:
-    wrapper = [(t, False) for t in forms[0]]
-    for form in forms[1:]:
-        wrapper = align(wrapper, form)
-    return wrapper
+def infer(wrappers: list[list[Node]]) -> list[Node]:
+    """One wrapper of all, neighbours first."""
+    while len(wrappers) > 1:
+        wrappers = [align(*wrappers[k : k + 2]) if k + 1 < len(wrappers) else wrappers[k] for k in range(0, len(wrappers), 2)]
+    return wrappers[0]
 
 
 def leaves(node) -> Iterator[str]:
@@ -222,131 +335,203 @@ def above(paths: set[str]) -> str:
     return ">".join(first[:n])
 
 
-def long_paths(keys: set[str], facts: dict[str, tuple[int, int, int]]) -> set[str]:
-    """Containers of slots outside named containers whose texts are long, aren't links and vary over the host's pages."""
-    return {k.partition("#")[2] for k in keys if "@" not in k.split("#")[0] and (f := facts.get(k)) and f[1] >= 40 * f[0] and not (f[0] >= 5 and f[2] == 1) and region(k) == 1}
-
+#: Pages of a host on which a text must be the same to be template, and the mean characters of a long slot.
+SEEN, LONG = 3, 40
 
-def main_slots(keys: set[str], facts: dict[str, tuple[int, int, int]], host: set[str] = frozenset()) -> set[str]:
-    """The main slots among the keys of a page's form. facts: by slot key, its texts, their characters, and distinct
-    texts (about; 1 only if pages that differ share it), over all pages of the host. host: containers of long varied slots in the host's wrapper.
 
-    The best region that any of the keys has is the main text. Where no container names it, it is all that the smallest
-    container of the long varied slots holds, furniture apart, and varied headings in containers beside or around it.
-    A form without such slots takes the wrapper's, and then its longest slot that isn't a link."""
-    ranks = {k: region(k) for k in keys}
-    best = max(ranks.values(), default=0)
-    if best != 1:
-        return {k for k, r in ranks.items() if r == best > 0}
-    bare = {k: k.partition("#")[2] for k, r in ranks.items() if r == 1}
-    paths = long_paths(bare.keys(), facts) or {p for p in bare.values() if host and inside(p, above(host))}
-    if not paths:
-        plain = {k for k in bare if "@" not in k.split("#")[0]} or bare.keys()
-        paths = {bare[max(plain, key=lambda k: (facts.get(k, (0, 0, 0))[1], k))]}
-    root = above(paths)
+def template_of(form: tuple, wrapper: list[Node]) -> list[tuple[bool, float]]:
+    """Of each node of a form: whether the wrapper says that it is template, and the mean characters of its texts there (-1: not in the wrapper)."""
+    varies = any(x.same == VARIES for x in wrapper)  # else all pages are alike, and tell nothing
+    bodies = {x.token for x in wrapper if isinstance(x.token, tuple)}
+    # A form's single runs meet the wrapper's groups.
+    own = regroup([Node(t, False, k, 1, 1, 0) for k, t in enumerate(form)], bodies)
+    place: list[int] = []
+    for k, x in enumerate(own):
+        place += [k] * x.leaves
+    out: list[tuple[bool, float]] = [(False, -1.0)] * len(own)
+    for a, b in matches([x.token for x in own], [x.token for x in wrapper]):
+        w = wrapper[b]
+        out[a] = varies and w.same not in (VARIES, 0) and w.n >= SEEN, w.chars / max(1, w.n * w.leaves)
+    return [out[k] for k in place]
 
-    def title(key: str, path: str) -> bool:
-        up, _, own = path.rpartition(">")
-        n, _, distinct = facts.get(key, (0, 0, 0))
-        named = key.partition("#")[0].rstrip("@") in HEADINGS or not TITLE_WORDS.isdisjoint(own.split(".")[1:])
-        return named and inside(root, up) and not (n >= 5 and distinct == 1)
 
-    return {k for k, p in bare.items() if inside(p, root) or title(k, p)}
+def inside(path: str, root: str) -> bool:
+    return not root or path == root or path.startswith(root + ">")
 
 
-def slot_keys(form) -> set[str]:
-    return {t for node in form for t in leaves(node) if "#" in t and t[0] != "<"}
+def above(paths: set[str]) -> str:
+    """The smallest container that holds all of these."""
+    first, *rest = (p.split(">") for p in sorted(paths))
+    n = len(first)
+    for p in rest:
+        n = next((k for k in range(min(n, len(p))) if p[k] != first[k]), min(n, len(p)))
+    return ">".join(first[:n])
 
 
-def extract(items: list[str | Slot], form: tuple, host: set[str], facts: dict, memo: dict) -> str:
-    """The main text. The page's own form has the best region, as a host may have several templates. host: the wrapper's
-    containers of long varied slots; facts: as in main_slots, of all forms of the host, aligned or not."""
+def main_nodes(form: tuple, wrapper: list[Node]) -> list[frozenset[str]]:
+    """Of each node of a form, the text keys in it that are main text.
+
+    Candidates are texts that the wrapper doesn't call template and that don't stand in furniture; without any, long ones
+    in what only names call furniture, as names may mislead, and then template. The best region among them is the main text: all that an article or
+    main element holds, else from the first candidate there to the last. Without a region, it is what the smallest
+    container of the long candidates holds, from the first to the last, and headings beside or around that container."""
+    facts = template_of(form, wrapper)
+    slots = [(k, key) for k, node in enumerate(form) for key in dict.fromkeys(leaves(node)) if "#" in key and key[0] != "<"]
+    rank = {key: region(key) for _, key in slots}
+    fixed = {k for k, (t, _) in enumerate(facts) if t}
+    alive = [(k, key) for k, key in slots if rank[key] > 0 and (k not in fixed or rank[key] >= 3)]
+    if not alive and fixed:
+        named = {key for _, key in slots if not DROPPED_TAGS.union(("form", "header")).intersection(part.partition(".")[0] for part in key.partition("#")[2].split(">"))}
+        alive = [(k, key) for k, key in slots if k not in fixed and facts[k][1] >= LONG and key in named]
+        if alive:
+            rank |= {key: 1 for _, key in alive}
+        else:
+            alive = [(k, key) for k, key in slots if rank[key] > 0]
+    keep: list[set[str]] = [set() for _ in form]
+    if not alive:
+        return [frozenset()] * len(form)
+    best = max(rank[key] for _, key in alive)
+    if best >= 2:
+        places = [k for k, key in alive if rank[key] == best]
+        for k, key in slots:
+            if rank[key] == best and (best >= 3 or places[0] <= k <= places[-1]):
+                keep[k].add(key)
+        return [frozenset(x) for x in keep]
+    block = lambda key: key.partition("#")[0]
+    path = lambda key: key.partition("#")[2]
+    plain = [(k, key) for k, key in alive if "@" not in block(key)] or alive
+    long = [(k, key) for k, key in plain if facts[k][1] >= LONG] or [max(plain, key=lambda x: (facts[x[0]][1], -x[0]))]
+    root = above({path(key) for _, key in long})
+    places = [k for k, key in alive if inside(path(key), root)]
+
+    def title(key: str) -> bool:
+        up, _, own = path(key).rpartition(">")
+        named = block(key).rstrip("@") in HEADINGS or not TITLE_WORDS.isdisjoint(own.split(".")[1:])
+        return named and inside(root, up)
+
+    for k, key in slots:
+        if rank[key] == best and ((inside(path(key), root) and places[0] <= k <= places[-1]) or (title(key) and k not in fixed)):
+            keep[k].add(key)
+    return [frozenset(x) for x in keep]
+
+
+def extract(items: list[str | Slot], wrapper: list[Node], memo: dict) -> str:
+    """The main text of a page that is read through its host's wrapper."""
+    form, widths = form_of(items)
     if form not in memo:
-        memo[form] = main_slots(slot_keys(form), facts, host)
-    keep = memo[form]
-    return " ".join(x.text for x in items if isinstance(x, Slot) and x.key in keep)
+        memo[form] = main_nodes(form, wrapper)
+    out, at = [], 0
+    for keys, n in zip(memo[form], widths, strict=True):
+        if keys:
+            out += [x.text for x in items[at : at + n] if isinstance(x, Slot) and x.key in keys]
+        at += n
+    return " ".join(out)
 
 
 STEP = 2 << 20
-ENDS = ("low", "high", "page_low", "page_high")
+
+
+def text_hash(texts: list[str]) -> int:
+    """Rolling hash of texts one after another."""
+    h = 0
+    for t in texts:
+        h = (h * BASE + (xxhash.xxh3_64_intdigest(t) % (PRIME - 1)) + 1) % PRIME
+    return h
 
 
 def host_forms(pages: DataFrame) -> DataFrame:
-    """host, form (JSON), n, facts: the distinct forms of each host, with sums over all its pages. facts: by slot key, texts, characters, smallest and largest hash of a text and of a page."""
+    """host, form (JSON), at, n, chars, leaves, low, high: the distinct forms of each host, and for each of their places the pages and
+    characters, the fewest texts, and the smallest and largest hash of what stood there (-1: texts there differ already)."""
+    names = ["host", "form", "at", "n", "chars", "leaves", "low", "high"]
+    types = [pa.string(), pa.string(), pa.int32(), *[pa.int64()] * 5]
 
     def gather(batches) -> Iterator[pa.RecordBatch]:
-        found: dict[tuple[str, str], list] = {}
+        found: dict[tuple[str, tuple], list] = {}
 
         def rows() -> pa.RecordBatch:
-            flat = [(h, f, n, k, *v) for (h, f), (n, facts) in found.items() for k, v in (facts or {"": [0] * 6}).items()]
+            flat = [(h, json.dumps(f), k, *v) for (h, f), places in found.items() for k, v in enumerate(places)]
             found.clear()
-            names = ["host", "form", "n", "key", "texts", "chars", *ENDS]
-            types = [pa.string(), pa.string(), pa.int64(), pa.string(), *[pa.int64()] * 6]
             return pa.RecordBatch.from_arrays([pa.array([r[k] for r in flat], t) for k, t in enumerate(types)], names)
 
+        size = 0
         for batch in slices(batches, 1, STEP):
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 items = parse(page or "")
-                entry = found.setdefault((host, json.dumps(form_of(items))), [0, {}])
-                entry[0] += 1
-                whole = hash_of(" ".join(x.text for x in items if isinstance(x, Slot)))
-                for x in items:
-                    if isinstance(x, Slot):
-                        fact = entry[1].setdefault(x.key, [0, 0, 1 << 62, 0, 1 << 62, 0])
-                        h = hash_of(x.text)
-                        fact[:] = fact[0] + 1, fact[1] + len(x.text), min(fact[2], h), max(fact[3], h), min(fact[4], whole), max(fact[5], whole)
-            if len(found) > 2000:
+                form, widths = form_of(items)
+                if (places := found.get((host, form))) is None:
+                    places = found[host, form] = [[0, 0, 1 << 60, 1 << 62, 0] for _ in form]
+                    size += len(form)
+                at = 0
+                for place, width in zip(places, widths, strict=True):
+                    own = [x.text for x in items[at : at + width] if isinstance(x, Slot)]
+                    at += width
+                    h = text_hash(own)
+                    place[:] = place[0] + 1, place[1] + sum(map(len, own)), min(place[2], len(own)), min(place[3], h), max(place[4], h)
+            if size > 200_000:
                 yield rows()
+                size = 0
         yield rows()
 
-    return pages.mapInArrow(gather, "host string, form string, n long, key string, texts long, chars long, low long, high long, page_low long, page_high long")
+    out = pages.mapInArrow(gather, "host string, form string, at int, n long, chars long, leaves long, low long, high long")
+    return out.groupBy("host", "form", "at").agg(F.sum("n").alias("n"), F.sum("chars").alias("chars"), F.min("leaves").alias("leaves"), F.min("low").alias("low"), F.max("high").alias("high"))
+
 
+def _tuples(x):
+    return tuple(_tuples(y) for y in x) if isinstance(x, list) else x
 
-def hash_of(text: str) -> int:
-    import zlib
 
-    data = text.encode()
-    return zlib.crc32(data) << 30 ^ zlib.adler32(data)
+def packed(wrapper: list[Node]) -> str:
+    return json.dumps([x.plain() for x in wrapper])
 
 
-def wrappers(pages: DataFrame, forms_per_host: int) -> DataFrame:
-    """host, wrapper (JSON: containers of long varied slots outside named ones, and the facts of all slots outside them). pages: host, html. Forms beyond the most frequent ones of a host aren't aligned, but all forms count in the facts."""
-    sums_of = [F.sum("texts").alias("texts"), F.sum("chars").alias("chars"), *[(F.min if c.endswith("low") else F.max)(c).alias(c) for c in ENDS]]
-    sums = host_forms(pages).groupBy("host", "form", "key").agg(F.sum("n").alias("n"), *sums_of)
-    sums = written(sums, "forms")
-    counts = sums.groupBy("host", "form").agg(F.max("n").alias("n"))
-    # Most frequent forms in two steps, so that a host with very many forms is not ranked in one task.
-    part = F.pmod(F.xxhash64("form"), F.lit(32))
-    order = [F.col("n").desc(), F.xxhash64("form"), "form"]
-    best = counts.withColumn("part", part).withColumn("r", F.row_number().over(Window.partitionBy("host", "part").orderBy(*order))).where(F.col("r") <= forms_per_host)
-    best = best.withColumn("r", F.row_number().over(Window.partitionBy("host").orderBy(*order))).where(F.col("r") <= forms_per_host).select("host", "form", "r")
-    facts = sums.groupBy("host", "key").agg(*sums_of)
-    both = best.select("host", "form", F.col("r").cast("long").alias("r"), *[F.lit(None).cast("long").alias(c) for c in ("texts", "chars", *ENDS)]).unionByName(
-        facts.select("host", F.col("key").alias("form"), F.lit(-1).cast("long").alias("r"), "texts", "chars", *ENDS)
-    )
+def unpacked(text: str) -> list[Node]:
+    return [Node(_tuples(t), *rest) for t, *rest in json.loads(text)]
 
-    def group(pdf: pd.DataFrame) -> pd.DataFrame:
-        forms = [_tuples(json.loads(f)) for f in pdf[pdf["r"] > 0].sort_values("r")["form"]]
-        sums = pdf[pdf["r"] < 0][["form", "texts", "chars", *ENDS]].itertuples(index=False)
-        known = {k: (int(n), int(c), 1 if low == high and first != last else 2) for k, n, c, low, high, first, last in sums if k and region(k) == 1}
-        host = long_paths(slot_keys(t for t, _ in infer(forms)), known)
-        return pd.DataFrame({"host": [pdf["host"].iloc[0]], "wrapper": [json.dumps([sorted(host), known])]})
 
-    return both.groupBy("host").applyInPandas(group, "host string, wrapper string")
+#: Wrappers that one task aligns at once.
+FAN = 64
 
 
-def _tuples(x):
-    return tuple(_tuples(y) for y in x) if isinstance(x, list) else x
+def wrappers(pages: DataFrame) -> DataFrame:
+    """host, wrapper (JSON) of each host. pages: host, html. A host's forms are aligned in a tree, FAN at a time, all of them."""
+    place = F.struct("at", "n", "chars", "leaves", "low", "high")
+    forms = written(host_forms(pages).groupBy("host", "form").agg(F.array_sort(F.collect_list(place)).alias("places")), "forms")  # as many places as the form has
 
+    def of_form(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for form, places in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                nodes = zip(_tuples(json.loads(form)), places, strict=True)
+                out.append(packed([Node(t, False, p["low"] if p["low"] == p["high"] else VARIES, p["leaves"], p["n"], p["chars"]) for t, p in nodes]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], ["host", "wrapper"])
 
-def extract_pages(pages: DataFrame, forms_per_host: int = 64) -> DataFrame:
+    def group(pdf: pd.DataFrame) -> pd.DataFrame:
+        found = [unpacked(x) for x in sorted(pdf["wrapper"])]
+        return pd.DataFrame({"host": [pdf["host"].iloc[0]], "wrapper": [packed(infer(found))]})
+
+    df = written(forms.where(F.size("places") > 0).select("host", "form", "places").mapInArrow(of_form, "host string, wrapper string"), "wrappers")
+    while True:
+        counts = df.groupBy("host").count()
+        most = counts.agg(F.max("count")).first()[0] or 0
+        if most <= 1:
+            return df
+        part = F.pmod(F.xxhash64("wrapper"), F.ceil(F.col("count") / FAN)).cast("int")
+        dealt = df.join(counts, "host").select("host", "wrapper", part.alias("part"))
+        df = written(dealt.groupBy("host", "part").applyInPandas(group, "host string, wrapper string"), "wrappers")
+
+
+def extract_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row of pages (page_id, url, html; others are not read).
 
-    Null html is empty and has no text; null urls are of the host ''. Unclosed and cut-off tags end with the page.
-    Repeated pages give repeated rows. Pages of a host with a single page are read by that page's own form.
+    Null html is empty and has no text; null urls are of the host ''. Unclosed and cut-off tags end with the page. Very
+    long and deeply nested pages are read like others; paths name the outer containers and those that tell regions.
+    Repeated pages give repeated rows, and pages of one form have main text at the same places. Where all pages of a host
+    are alike, as with a single one, nothing is template. An empty table gives no rows.
     """
+    spark = pages.sparkSession
     pages = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), "html")
-    table = written(wrappers(pages.select("host", "html"), forms_per_host), "wrappers")
+    with scratch(spark):
+        table = result(wrappers(pages.select("host", "html")), "wrappers")
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         loaded: dict[str, tuple] = {}
@@ -356,13 +541,11 @@ def extract_pages(pages: DataFrame, forms_per_host: int = 64) -> DataFrame:
                 if text not in loaded:
                     if len(loaded) > 500:
                         loaded.clear()
-                    host, facts = json.loads(text) if text else ([], {})
-                    loaded[text] = set(host), facts, {}
-                host, facts, memo = loaded[text]
+                    loaded[text] = unpacked(text or "[]"), {}
+                wrapper, memo = loaded[text]
                 if len(memo) > 5000:
                     memo.clear()
-                items = parse(page or "")
-                texts.append(extract(items, form_of(items), host, facts, memo))
+                texts.append(extract(parse(page or ""), wrapper, memo))
             n = pa.array(np.fromiter(map(len, texts), np.int64, len(texts)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), n], ["page_id", "url", "text", "n_chars"])
 
