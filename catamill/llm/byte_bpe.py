@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from catamill.llm.arrow_text import Memo, gather, slices, split_runs, texts
 
 #: Bytes of text in a step; parts that a worker remembers; adjacent pairs that it remembers.
-STEP, REMEMBERED, PAIRS = 6 << 20, 500_000, 1_000_000
+STEP, REMEMBERED, PAIRS = 3 << 20, 300_000, 600_000
 #: Texts with two white-space characters in a row, or the mark, are split by the pattern alone.
 SPACES = r"[\s\pZ\x0b\x1c-\x1f\x{85}]{2}|\x00"
 
