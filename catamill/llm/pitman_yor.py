@@ -4,7 +4,7 @@ restaurant as parent; seats are sampled by Gibbs, and predictive probabilities a
 Pairs of (context, word) with their documents are dealt into buckets by word (frequent words by word and context), as
 compressed arrays. A bucket then knows all customers of its words. In each sweep it takes all customers of a pair up and
 seats them anew given all others, pair by pair (`seating`); buckets sample side by side. After each sweep the sums of
-tables per context pass through owners of contexts, and totals and frequent words' counts through the driver, so that
+tables per context pass through owners of contexts, which know once for all whose numbers belong together, and totals and frequent words' counts through the driver, so that
 the next sweep has the whole corpus's. Each bucket then scores its pairs; documents sum what their chunks got. A pair
 that many documents of a chunk have is dealt once for all of them, and its score comes back to the chunk, so no bucket
 receives a row for each document of a pair.
@@ -41,17 +41,17 @@ class Fit:
     strength: float = 1.0
     base_discount: float = 0.7
     base_strength: float = 10.0
-    sweeps: int = 5
-    samples: int = 3
-    bucket_bytes: int = 10 << 20
-    chunk_bytes: int = 8 << 20
+    sweeps: int = 4
+    samples: int = 2
+    bucket_bytes: int = 12 << 20
+    chunk_bytes: int = 12 << 20
     shared: int = 64
     seed: int = 5
 
 
 START, END = np.uint64(1), np.uint64(2)
 STEP = 2 << 20
-TOKENS, DOCS, STATE, ASK, SUMS, SEATS = range(6)  # kinds of rows
+TOKENS, DOCS, STATE, NAMES, ASK, SUMS, SEATS = range(7)  # kinds of rows
 _ROWS = "bucket int, kind int, chunk long, owner int, data binary"
 
 
@@ -108,7 +108,7 @@ def _frequent(docs: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
             arrays = np.array([*names, END, START], np.uint64).view(np.int64), np.concatenate([n[many], [ends.sum(), total]]).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["h", "n"])
 
-    counts = docs.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    counts = written(docs.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "frequent")
     total = counts.where(F.col("h") == int(START)).first()
     if not total:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -273,8 +273,9 @@ def _gather(buckets: int, hot: np.ndarray):
             cw = np.bincount(w, weights=c, minlength=len(W)).astype(np.int64)
             _, is_hot = _find(W, hot)
             bounds = np.searchsorted(owner, np.arange(buckets + 1))
-            state = np.bincount(w, minlength=len(W)), u, c, cw, W[is_hot], np.flatnonzero(is_hot), U, bounds
-            out.append((STATE, 0, 0, _pack(*map(_small, state[:4]), *state[4:])))
+            state = np.bincount(w, minlength=len(W)), u, c, cw, W[is_hot], np.flatnonzero(is_hot), bounds
+            out.append((STATE, 0, 0, _pack(*map(_small, state[:4]), *state[4:6], bounds)))
+            out += [(NAMES, 0, o, _pack(U[bounds[o] : bounds[o + 1]])) for o in np.flatnonzero(np.diff(bounds)).tolist()]
             t = (c > 0).astype(np.int64)
             below = np.bincount(w, weights=t, minlength=len(W)).astype(np.int64)
             out += _tell(state, [t], [below], [(below > 0).astype(np.int64)], False)
@@ -297,13 +298,12 @@ def _rows(bucket: int, out: list[tuple]) -> pa.Table:
 
 def _tell(state: tuple, t: list, below: list, above: list, last: bool) -> list[tuple]:
     """Rows of a bucket's seating: tables of each kept sample for itself, sums per context for their owners, and totals."""
-    _, u, c, cw, hot_names, hot_at, U, bounds = state
+    _, u, c, cw, hot_names, hot_at, bounds = state
     many = np.flatnonzero(c > 1)  # one customer sits at one table whatever is drawn
     out = [(SEATS, 0, 0, _pack([_small(x[many]) for x in t], [_small(x) for x in below], [_small(x) for x in above]))]
-    asked = [np.bincount(u, weights=x, minlength=len(U)).astype(np.int64) for x in ([c, *t] if last else t[-1:])]
+    asked = [np.bincount(u, weights=x, minlength=bounds[-1]).astype(np.int64) for x in ([c, *t] if last else t[-1:])]
     for o in np.flatnonzero(np.diff(bounds)).tolist():
-        s = slice(bounds[o], bounds[o + 1])
-        out.append((ASK, 0, o, _pack(U[s], [_small(x[s]) for x in asked])))
+        out.append((ASK, 0, o, _pack([_small(x[bounds[o] : bounds[o + 1]]) for x in asked])))
     cold = np.ones(len(cw), bool)
     cold[hot_at] = False
     sums = int(c.sum()), int((cw[cold] > 0).sum()), [int(x[cold].sum()) for x in below], [int(x[cold].sum()) for x in above]
@@ -342,7 +342,7 @@ def _sweep(fit: Fit, total: dict, hot: np.ndarray, sweep: int):
         states = left["data"].to_pylist()
         if not states:
             return _rows(bucket, [])
-        w_count, u, c, cw, hot_names, hot_at, U, bounds = state = _unpack(states[0])
+        w_count, u, c, cw, hot_names, hot_at, bounds = state = _unpack(states[0])
         rng = np.random.default_rng([fit.seed, bucket, sweep])
         seats = next(d for k, d in zip(right["kind"].to_pylist(), right["data"].to_pylist(), strict=True) if k == SEATS)
         t_many, below, above = _unpack(seats)
@@ -374,18 +374,28 @@ def _sweep(fit: Fit, total: dict, hot: np.ndarray, sweep: int):
     return run
 
 
-def _sum_contexts(key, table):
+def _number(key, table):
+    """Owners of contexts: the names that each bucket asks of, as numbers that equal names share."""
+    buckets, datas = zip(*sorted(zip(table["bucket"].to_pylist(), table["data"].to_pylist(), strict=True)), strict=True)
+    names = [_unpack(x)[0] for x in datas]
+    at = np.unique(np.concatenate(names), return_inverse=True)[1]
+    ends = np.cumsum([len(x) for x in names])
+    data = [_pack(_small(x)) for x in np.split(at, ends[:-1])]
+    return pa.table({"owner": pa.array([key[0].as_py()] * len(data), pa.int32()), "bucket": pa.array(buckets, pa.int32()), "data": pa.array(data, pa.binary())})
+
+
+def _sum_contexts(key, numbers, asks):
     """Owners of contexts: sums over all buckets, told back to each in the order in which it asked."""
-    asked = [_unpack(x) for x in table["data"].to_pylist()]
-    names, at = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True)
-    add = lambda xs: np.bincount(at, weights=np.concatenate(xs), minlength=len(names)).astype(np.int64)[at]
-    sums = [add([a[1][s] for a in asked]) for s in range(len(asked[0][1]))]
-    begin, data = 0, []
-    for a in asked:
-        s = slice(begin, begin := begin + len(a[0]))
-        data.append(_pack([_small(x[s]) for x in sums]))
+    known = dict(zip(numbers["bucket"].to_pylist(), numbers["data"].to_pylist(), strict=True))
+    asked = dict(zip(asks["bucket"].to_pylist(), asks["data"].to_pylist(), strict=True))
+    buckets = sorted(known)
+    ats, asked = [_unpack(known[b])[0] for b in buckets], [_unpack(asked[b])[0] for b in buckets]
+    at = np.concatenate(ats)
+    sums = [np.bincount(at, weights=np.concatenate(x)).astype(np.int64)[at] for x in zip(*asked, strict=True)]
+    ends = np.cumsum([len(x) for x in ats])[:-1]
+    data = [_pack([_small(x) for x in own]) for own in zip(*[np.split(x, ends) for x in sums], strict=True)]
     n = len(data)
-    return pa.table({"bucket": table["bucket"].cast(pa.int32()), "kind": pa.array([ASK] * n, pa.int32()), "chunk": pa.array([0] * n, pa.int64()), "owner": pa.array([key[0].as_py()] * n, pa.int32()), "data": pa.array(data, pa.binary())})
+    return pa.table({"bucket": pa.array(buckets, pa.int32()), "kind": pa.array([ASK] * n, pa.int32()), "chunk": pa.array([0] * n, pa.int64()), "owner": pa.array([key[0].as_py()] * n, pa.int32()), "data": pa.array(data, pa.binary())})
 
 
 def _score(fit: Fit, total: dict, hot: np.ndarray):
@@ -396,12 +406,12 @@ def _score(fit: Fit, total: dict, hot: np.ndarray):
         states = [d for k, d in zip(kinds, datas, strict=True) if k == STATE]
         out: list[tuple] = []
         if states:
-            w_count, u, c, cw, hot_names, hot_at, U, _ = _unpack(states[0])
+            w_count, u, c, cw, hot_names, hot_at, bounds = _unpack(states[0])
             t_many, below, above = _unpack(next(d for k, d in zip(right["kind"].to_pylist(), right["data"].to_pylist(), strict=True) if k == SEATS))
             w = np.repeat(np.arange(len(w_count)), w_count)
             many = np.flatnonzero(c > 1)
             cu, *tus = _told(right)
-            assert len(cu) == len(U)
+            assert len(cu) == bounds[-1]
             cw = cw.astype(np.float64)
             cw[hot_at] = total["hot"][0][np.searchsorted(hot, hot_names)]
             p = np.zeros(len(u))
@@ -482,17 +492,26 @@ def score_documents(docs: DataFrame, fit: Fit = Fit()) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("learn", F.lit(False)).alias("learn"), F.coalesce("text", F.lit("")).alias("text"))
     size = docs.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 1
     buckets = partitions_for(int(size), fit.bucket_bytes, 4)
-    frequent = hot, _ = _frequent(docs, buckets)
-    gathered = _deal(docs, buckets, frequent, fit).groupBy("bucket").applyInArrow(_gather(buckets, hot), _ROWS)
-    # Bucketed, so that the later steps find a bucket's rows together without another shuffle; by kind, so that they read no others.
-    name = f"pitman_yor_{uuid.uuid4().hex}"
-    path = f"{shared_dir(spark)}/{name}"
+    made: list[str] = []
+
+    def kept(df: DataFrame, by: str, *parts: str) -> DataFrame:
+        """Written in buckets, so that later steps find the rows of a bucket or owner together without another shuffle; by kind, so that they read no others."""
+        name = f"pitman_yor_{uuid.uuid4().hex}"
+        made.append(name)
+        df.write.format("parquet").option("compression", "none").option("path", f"{shared_dir(spark)}/{name}").partitionBy(*parts).bucketBy(buckets, by).saveAsTable(name)
+        return spark.table(name).select(*df.columns)
+
     try:
-        gathered.write.format("parquet").option("compression", "none").option("path", path).partitionBy("kind").bucketBy(buckets, "bucket").saveAsTable(name)
-        rows = last = spark.table(name).select("bucket", "kind", "chunk", "owner", "data")
         with scratch(spark):
+            frequent = hot, _ = _frequent(docs, buckets)
+            rows = last = kept(_deal(docs, buckets, frequent, fit).groupBy("bucket").applyInArrow(_gather(buckets, hot), _ROWS), "bucket", "kind")
+            owners = kept(rows.where(F.col("kind") == NAMES).groupBy("owner").applyInArrow(_number, "owner int, bucket int, data binary"), "owner")
             total = _totals(last, fit, hot, None, -1)
-            told = lambda: last.where(F.col("kind") == ASK).groupBy("owner").applyInArrow(_sum_contexts, _ROWS).union(last.where(F.col("kind") == SEATS)).groupBy("bucket")
+
+            def told():
+                asks = last.where(F.col("kind") == ASK).groupBy("owner")
+                return owners.groupBy("owner").cogroup(asks).applyInArrow(_sum_contexts, _ROWS).union(last.where(F.col("kind") == SEATS)).groupBy("bucket")
+
             for sweep in range(fit.sweeps):
                 last = written(rows.where(F.col("kind") == STATE).groupBy("bucket").cogroup(told()).applyInArrow(_sweep(fit, total, hot, sweep), _ROWS), "seats")
                 total = _totals(last, fit, hot, total, sweep)
@@ -502,5 +521,6 @@ def score_documents(docs: DataFrame, fit: Fit = Fit()) -> DataFrame:
             out = parts.groupBy("chunk").applyInArrow(_documents, "doc_id long, learned boolean, n_tokens long, n_known long, base_score double, score double")
             return result(out.withColumn("train_tokens", F.lit(total["tokens"]).cast("long")), "scores")
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        removed(spark, path)
+        for name in made:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+            removed(spark, f"{shared_dir(spark)}/{name}")
