@@ -1,9 +1,9 @@
 """Quality rules: adaptive thresholds from mergeable quantile sketches (KLL) per language and source.
 
 Native: DataFrame functions only. One pass measures every row; sketches of each measure are built per language and
-source with partial aggregation, then merged upward per language and over all rows; a group with few rows takes the
-thresholds of its language, and that of all rows where the language is small too. Documents beyond a threshold of
-their group fail; thresholds are outer fences (quartile plus a multiple of the spread), so a group's usual documents
+source with partial aggregation, then merged upward per language and over all rows; a group's quartiles shrink toward
+those of its language, and these toward those of all rows, the more the fewer rows it has. Documents beyond a threshold
+of their group fail; one that meets it stays. Thresholds are outer fences (quartile plus a multiple of the spread), so a group's usual documents
 stay whatever its language or source looks like.
 """
 
@@ -40,10 +40,12 @@ MEASURES = (
 
 @dataclass(frozen=True)
 class Rules:
+    """weight: rows that a group's own quartiles must have to count as much as those of the level above. k: of the sketches."""
+
     min_words: int = 50
     repeat_percent: int = 50
     measures: tuple[Measure, ...] = MEASURES
-    min_group: int = 200
+    weight: float = 5.0
     k: int = 400
 
 
@@ -91,30 +93,35 @@ def thresholds(m: DataFrame, rules: Rules) -> DataFrame:
     by_group = written(m.groupBy("lang", "source").agg(F.count("*").alias("n"), *[F.kll_sketch_agg_double(value(x), F.lit(rules.k)).alias(f"s_{x.name}") for x in rules.measures]), "sketches")
     merged = lambda df: [F.sum("n").alias("n"), *[F.kll_merge_agg_double(f"s_{x.name}", F.lit(rules.k)).alias(f"s_{x.name}") for x in rules.measures]]
 
-    def fences(df: DataFrame, to: str, *keys: str) -> DataFrame:
-        def fence(x: Measure) -> Column:
-            q = [F.kll_sketch_get_quantile_double(f"s_{x.name}", F.lit(r)) for r in (0.25, 0.75)]
-            spread = F.greatest(q[1] - q[0], F.lit(x.least)) * x.reach
-            return F.struct((q[0] - spread).alias("low"), (q[1] + spread).alias("high")).alias(x.name)
+    def quartiles(df: DataFrame, *keys: str) -> DataFrame:
+        q = [F.struct(*[F.kll_sketch_get_quantile_double(f"s_{x.name}", F.lit(r)).alias(f"q{k}") for k, r in enumerate((0.25, 0.75))]).alias(x.name) for x in rules.measures]
+        return df.select(*keys, "n", F.struct(*q).alias("q"))
+
+    def shrunk(own: Column, n: Column, above: Column) -> Column:
+        part = lambda x, k: ((n * own[x.name][k] + rules.weight * above[x.name][k]) / (n + rules.weight)).alias(k)
+        return F.struct(*[F.struct(part(x, "q0"), part(x, "q1")).alias(x.name) for x in rules.measures])
 
-        return df.select(*keys, F.when(F.col("n") >= rules.min_group, F.struct(*[fence(x) for x in rules.measures])).alias(to))
+    def fence(q: Column, x: Measure) -> Column:
+        spread = F.greatest(q[x.name]["q1"] - q[x.name]["q0"], F.lit(x.least)) * x.reach
+        return F.struct((q[x.name]["q0"] - spread).alias("low"), (q[x.name]["q1"] + spread).alias("high")).alias(x.name)
 
-    langs = fences(by_group.groupBy("lang").agg(*merged(by_group)), "f1", "lang")
-    groups = fences(by_group, "f0", "lang", "source").join(langs, "lang")
-    top = fences(by_group.groupBy().agg(*merged(by_group)).where(F.col("n") > 0), "f2").first()  # two numbers a measure
-    if top and top.f2:
-        f2 = F.struct(*[F.struct(F.lit(top.f2[x.name].low).alias("low"), F.lit(top.f2[x.name].high).alias("high")).alias(x.name) for x in rules.measures])
-    else:
-        f2 = F.lit(None)
-    return groups.select("lang", "source", F.coalesce("f0", "f1", f2).alias("fence"))
+    top = quartiles(by_group.groupBy().agg(*merged(by_group)).where(F.col("n") > 0)).first()  # two numbers a measure
+    if not top:
+        none = F.lit(None).cast("struct<low:double,high:double>")
+        return by_group.select("lang", "source", F.struct(*[none.alias(x.name) for x in rules.measures]).alias("fence"))  # no row is left
+    every = F.struct(*[F.struct(F.lit(top.q[x.name].q0).alias("q0"), F.lit(top.q[x.name].q1).alias("q1")).alias(x.name) for x in rules.measures])
+    langs = quartiles(by_group.groupBy("lang").agg(*merged(by_group)), "lang")
+    langs = langs.select("lang", shrunk(F.col("q"), F.col("n"), every).alias("above"))
+    groups = quartiles(by_group, "lang", "source").join(langs, "lang").select("lang", "source", shrunk(F.col("q"), F.col("n"), F.col("above")).alias("q"))
+    return groups.select("lang", "source", F.struct(*[fence(F.col("q"), x) for x in rules.measures]).alias("fence"))
 
 
 def apply_rules(docs: DataFrame, rules: Rules = Rules(), into: str = "qr", slim: bool = False) -> DataFrame:
     """docs (text, lang, source, more columns as they are) with a struct `into`: the counts, base_failed, kept, failed (names of measures beyond their fence).
 
     A null text is empty: it has no words and fails the base rules. Null lang or source are groups of their own. Rows
-    are judged one by one, so repeated rows are judged alike. An empty table stays empty. Where even all rows are fewer
-    than min_group, only the base rules decide. Columns of docs are kept whatever their names, except one named `into`;
+    are judged one by one and whole, very long ones too, so repeated rows are judged alike. An empty table stays empty.
+    Columns of docs are kept whatever their names, except one named `into`;
     slim leaves out text.
     """
     wide = measured(docs.drop(into), "text", into)

@@ -1,11 +1,12 @@
 """URL filters: block and allow rules by host and path, and empirical-Bayes host reputation for all other pages.
 
 Native: DataFrame functions only. Outcomes of labelled pages shrink through beta-binomial priors from the host to its
-registered domain to its suffix to all pages; a host is blocked when the lower bound of its posterior bad rate is high.
+registered domain to its suffix to all pages; a host is blocked when a proven lower bound of its posterior bad rate is high.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -16,11 +17,12 @@ from catamill.llm.common import join_lookup, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: Suffixes of two labels under which names are registered (the common ones; a parameter of the operator).
-TWO_LABEL_SUFFIXES = (
-    "ac.uk", "co.uk", "gov.uk", "org.uk", "com.au", "net.au", "org.au", "co.nz", "org.nz", "co.jp", "ne.jp", "or.jp",
-    "com.br", "com.cn", "com.mx", "com.tr", "co.in", "co.kr", "co.za",
+#: Labels under which names are registered in countries' domains (as in co.uk); a suffix has two labels
+#: where one of these stands before a top-level domain of two letters.
+SECOND_LEVEL = (
+    "ac", "asn", "co", "com", "edu", "gen", "go", "gob", "gouv", "gov", "id", "info", "ltd", "me", "mil", "ne", "net", "nhs", "nom", "or", "org", "plc", "police", "sch", "web",
 )
+IP = r"^(?:\d{1,3}(?:\.\d{1,3}){3}|\[.*\])$"
 
 
 @dataclass(frozen=True)
@@ -36,11 +38,11 @@ class Rule:
 
 @dataclass(frozen=True)
 class Reputation:
-    """block_rate: bad rate that the posterior's lower bound must exceed. z: width of that bound in standard deviations.
+    """block_rate: bad rate that the posterior's lower bound must exceed. error: how probable a rate under the bound is at most.
     rho_low, rho_high: range of the estimated intra-class correlation, from which the prior's strength (1-rho)/rho follows."""
 
     block_rate: float = 0.5
-    z: float = 1.645
+    error: float = 0.05
     rho_low: float = 0.001
     rho_high: float = 0.5
 
@@ -56,16 +58,18 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
-def suffix_of(host: Column, two_labels: Sequence[str] = TWO_LABEL_SUFFIXES) -> Column:
+def suffix_of(host: Column, second_level: Sequence[str] = SECOND_LEVEL) -> Column:
+    """The part of a host under which names are registered; of an address of numbers, the address. Ports don't count."""
     bare = F.regexp_replace(host, r":\d*$", "")
-    last_two = F.substring_index(bare, ".", -2)
-    return F.when(last_two.isin(*two_labels), last_two).otherwise(F.substring_index(bare, ".", -1))
+    two = F.regexp_extract(bare, rf"(?:^|\.)((?:{'|'.join(second_level)})\.[a-z]{{2}})$", 1)
+    return F.when(bare.rlike(IP), bare).when(two != "", two).otherwise(F.substring_index(bare, ".", -1))
 
 
 def domain_of(host: Column, suffix: Column) -> Column:
     """The suffix and one label more; the host itself where it has no more labels."""
     bare = F.regexp_replace(host, r":\d*$", "")
-    return F.when(F.length(suffix) - F.length(F.translate(suffix, ".", "")) == 1, F.substring_index(bare, ".", -3)).otherwise(F.substring_index(bare, ".", -2))
+    labels = F.size(F.split(suffix, r"\."))
+    return F.when(bare == suffix, bare).when(labels == 2, F.substring_index(bare, ".", -3)).otherwise(F.substring_index(bare, ".", -2))
 
 
 def matching_rule(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Column, Column]:
@@ -96,7 +100,11 @@ def _strength(groups: DataFrame, by: list[str], p: Reputation) -> DataFrame:
 
 
 def reputation(hosts: DataFrame, p: Reputation = Reputation()) -> DataFrame:
-    """hosts: host, suffix, domain, n labelled pages, k bad ones (0 allowed). Returns host, bad_rate, bad_low, blocked."""
+    """hosts: host, suffix, domain, n labelled pages, k bad ones (0 allowed). Returns host, bad_rate, bad_low, blocked.
+
+    A host's posterior is a beta law with mean bad_rate and `total` = its pages and the prior's strength. A beta law of
+    parameters a, b is sub-Gaussian with variance factor 1 / (4 (a + b + 1)), so that its chance to lie under bad_low,
+    the mean less sqrt(log(1 / error) / (2 (total + 1))), is `error` at most, whatever the counts."""
     # Row counts fall from hosts to domains to suffixes to one; each level needs its parent's mean and strength.
     domains = _strength(hosts, ["suffix", "domain"], p)
     suffixes = _strength(domains.select("suffix", "n", "k"), ["suffix"], p)
@@ -106,7 +114,7 @@ def reputation(hosts: DataFrame, p: Reputation = Reputation()) -> DataFrame:
     suffixes = suffixes.select("suffix", "n", "k", "m", F.lit(up).alias("up"), F.lit(um).alias("um")).select("suffix", mean.alias("up"), F.col("m").alias("um"))
     domains = domains.join(suffixes, "suffix").select("suffix", "domain", mean.alias("up"), F.col("m").alias("um"))
     total = F.col("n") + F.col("um")
-    low = F.col("bad_rate") - p.z * F.sqrt(F.col("bad_rate") * (1 - F.col("bad_rate")) / (F.col("total") + 1))
+    low = F.col("bad_rate") - F.sqrt(F.lit(math.log(1 / p.error)) / (2 * (F.col("total") + 1)))
     return (
         hosts.join(domains, ["suffix", "domain"])
         .select("host", mean.alias("bad_rate"), total.alias("total"))
@@ -146,7 +154,7 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: Sequence[Rule], p:
     """page_id, host, path, rule, verdict, bad_rate, bad_low per row of pages (page_id, url; other columns are not read).
 
     outcomes: page_id, bad (boolean; null: not labelled), at most a few rows a page; several rows of one page all count.
-    A null url has an empty host, which is a host like others; repeated pages are judged alike; without any outcome
+    A null url has an empty host, which is a host like others; very long urls are read whole; repeated pages are judged alike; without any outcome
     nothing but the rules blocks. Tables may be empty.
     """
     pages = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))

@@ -537,6 +537,58 @@ def test_op7_reputation(spark):
     assert url_filter.judge_urls(pages.limit(0), marks, queries.URL_RULES).count() == 0
 
 
+def test_op7_posterior(spark):
+    """Priors by hand from host to domain to suffix to all, and the bound against the beta law integrated numerically."""
+    p = url_filter.Reputation()
+    groups = {("a.x.com", "x.com", "com"): (10, 9), ("b.x.com", "x.com", "com"): (10, 8), ("y.com", "y.com", "com"): (20, 1), ("z.org", "z.org", "org"): (40, 2), ("new.x.com", "x.com", "com"): (0, 0)}
+    hosts = spark.createDataFrame([(*h, *nk) for h, nk in groups.items()], "host string, domain string, suffix string, n long, k long")
+    got = {r.host: r for r in url_filter.reputation(hosts, p).collect()}
+
+    def pooled(children):
+        seen = [(n, k) for n, k in children if n]
+        n, k = sum(n for n, _ in seen), sum(k for _, k in seen)
+        mu, j = k / n, len(seen)
+        between = sum(k * k / n for n, k in seen) - k * mu
+        below = (n - sum(n * n for n, _ in seen) / n - (j - 1)) * mu * (1 - mu)
+        rho = (between - (j - 1) * mu * (1 - mu)) / below if below > 1e-9 else p.rho_high
+        rho = max(p.rho_low, min(p.rho_high, rho))
+        return n, k, (1 - rho) / rho
+
+    def level(at):
+        sets = defaultdict(list)
+        for h, nk in groups.items():
+            sets[h[at:]].append(nk)
+        return sets
+
+    domains = {h: pooled(c) for h, c in level(1).items()}
+    suffixes = defaultdict(list)
+    for (_, s), (n, k, _) in domains.items():
+        suffixes[s].append((n, k))
+    suffixes = {s: pooled(c) for s, c in suffixes.items()}
+    n, k, strength = pooled([x[:2] for x in suffixes.values()])
+    up = (k + 0.5) / (n + 1)
+    of_suffix = {s: ((k + strength * up) / (n + strength), m) for s, (n, k, m) in suffixes.items()}
+    of_domain = {d: ((k + of_suffix[d[1]][1] * of_suffix[d[1]][0]) / (n + of_suffix[d[1]][1]), m) for d, (n, k, m) in domains.items()}
+    for (h, d, s), (n, k) in groups.items():
+        mean, m = of_domain[d, s]
+        rate = (k + m * mean) / (n + m)
+        assert got[h].bad_rate == pytest.approx(rate)
+        a, b = rate * (n + m), (1 - rate) * (n + m)
+        x = (np.arange(200000) + 0.5) / 200000
+        law = np.exp((a - 1) * np.log(x) + (b - 1) * np.log(1 - x) - max((a - 1) * math.log(q) + (b - 1) * math.log(1 - q) for q in (0.001, 0.2, 0.5, 0.8, 0.9, 0.95, 0.999)))
+        assert law[x < got[h].bad_low].sum() <= p.error * law.sum() and got[h].blocked == (got[h].bad_low > 0.5)
+
+
+def test_op7_domains(spark):
+    rows = [("a.b.example.co.uk", "co.uk", "example.co.uk"), ("co.uk", "co.uk", "co.uk"), ("x.example.com:80", "com", "example.com"), ("10.0.0.1:8080", "10.0.0.1", "10.0.0.1"), ("[::1]", "[::1]", "[::1]"), ("localhost", "localhost", "localhost"), ("", "", ""), ("shop.com.br", "com.br", "shop.com.br"), ("me.example.org", "org", "example.org")]
+    df = spark.createDataFrame([(h,) for h, *_ in rows], "host string")
+    suffix = url_filter.suffix_of(F.col("host"))
+    assert [tuple(r) for r in df.select("host", suffix, url_filter.domain_of(F.col("host"), suffix)).collect()] == rows
+    long = "http://Long.example.com/" + "x" * 300000 + "?q"
+    got = url_filter.judge_urls(spark.createDataFrame([(1, long)], "page_id long, url string"), spark.createDataFrame([], "page_id long, bad boolean"), ()).first()
+    assert (got.host, len(got.path), got.verdict) == ("long.example.com", 300001, "allow")
+
+
 def test_op7_outcomes(spark, sf):
     """Outcomes come from the documents that pages hold, not from equal ids."""
     import html as entities
@@ -605,6 +657,39 @@ def test_op8_adapts(spark):
     assert kept[0] and kept[1000] and not kept[2000] and sum(kept.values()) == 500
 
 
+def test_op8_fences(spark):
+    """Quartiles of small groups shrink toward their language's and all rows'; a value at the fence stays."""
+    rnd = random.Random(9)
+    rows = []
+    for lang, source, n, top in (("en", "a", 3, 40), ("en", "b", 60, 10), ("de", "c", 120, 20), ("de", None, 1, 5)):
+        rows += [(len(rows) + j, " ".join(["#" * rnd.randrange(1, top)] * 5 + [f"w{len(rows)}x{j}x{i}" for i in range(60)]), lang, source) for j in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    rules = quality_rules.Rules(measures=(quality_rules.Measure("symbol_rate", 0.001, reach=1.0),))
+    got = {r.doc_id: r.qr for r in quality_rules.apply_rules(docs, rules).collect()}
+
+    def quartiles(xs):
+        xs = sorted(xs)
+        return [xs[max(0, math.ceil(r * len(xs)) - 1)] for r in (0.25, 0.75)]
+
+    def shrink(own, n, up):
+        return [(n * a + rules.weight * b) / (n + rules.weight) for a, b in zip(own, up, strict=True)]
+
+    passed = {k: q.symbol_rate for k, q in got.items() if not q.base_failed}
+    key = {k: (lang, source) for k, _, lang, source in rows}
+    every = quartiles(passed.values())
+    for k, rate in passed.items():
+        of_lang = [v for j, v in passed.items() if key[j][0] == key[k][0]]
+        own = [v for j, v in passed.items() if key[j] == key[k]]
+        q = shrink(quartiles(own), len(own), shrink(quartiles(of_lang), len(of_lang), every))
+        high = q[1] + max(q[1] - q[0], 0.001)
+        if abs(rate - high) > 1e-9:
+            assert got[k].kept == (rate < high)
+    assert 0 < sum(q.kept for q in got.values()) < len(rows)
+    same = spark.createDataFrame([(k, " ".join(f"w{k}x{i}" for i in range(60)), "en", "s") for k in range(5)], "doc_id long, text string, lang string, source string")
+    at_fence = quality_rules.Rules(measures=(quality_rules.Measure("symbol_rate", 0.0),))
+    assert all(r.qr.kept for r in quality_rules.apply_rules(same, at_fence).collect())
+
+
 # 9. Classifier
 
 
