@@ -11,6 +11,13 @@ from catamill.functions.common import text
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 _NAMES = "|".join(MONTHS)
 
+# How the four readings find months and dates. They differ on purpose.
+MONTH = rf"(?i)\b({_NAMES})[a-z]*\b|\b(\d{{1,2}})/\d{{1,2}}\b"
+FIRST_ISO, FIRST_NAMED, FIRST_NUMERIC = r"\b(\d{4})-(\d{1,2})-(\d{1,2})\b", rf"(?i)\b({_NAMES}|sept)[a-z.]*\s+(\d{{1,2}})(?:,?\s*(\d{{4}}))?\b", r"\b(\d{1,2})[/-](\d{1,2})(?:[/-](\d{2,4}))?\b"
+SPAN_ISO, SPAN_NUMERIC = r"\b(\d{4})-(\d{2})-(\d{2})\b", r"\b(\d{1,2})/(\d{1,2})(?:/(\d{2,4}))?\b"
+SPAN_NAMED = rf"(?i)\b({_NAMES})[a-z]*\.?\s+(\d{{1,2}})(?:\s*[-–]\s*(\d{{1,2}}))?(?:\s*,?\s*(\d{{4}}))?"
+WINDOW_NAMED, WINDOW_NUMERIC, WINDOW_ISO = r"(?i)\b([a-z]{3,9})\.?\s*(\d{1,2})\b", r"\b(\d{1,2})/(\d{1,2})(?:/\d{2,4})?\b", r"\b\d{4}-(\d{2})-(\d{2})\b"
+
 
 def month_number(name: Column) -> Column:
     """1 to 12 by the first three letters, else null."""
@@ -31,8 +38,7 @@ def starts_in_summer(dates: Column, accept_iso: bool = False) -> Column:
     """Whether the first month that the text names, by word or as m/d, is June to August; without any, whether it says
     `summer 20xx`. ISO dates name no month, unless asked for."""
     t = text(dates)
-    pattern = rf"(?i)\b({_NAMES})[a-z]*\b|\b(\d{{1,2}})/\d{{1,2}}\b"
-    found = F.transform(F.arrays_zip(F.regexp_extract_all(t, F.lit(pattern), F.lit(1)).alias("w"), F.regexp_extract_all(t, F.lit(pattern), F.lit(2)).alias("n")), lambda x: F.when(x["w"] != "", month_number(x["w"])).otherwise(_int(x["n"])))
+    found = F.transform(_all(t, MONTH, 1, 2), lambda x: F.when(x["g1"] != "", month_number(x["g1"])).otherwise(_int(x["g2"])))
     first = F.get(F.filter(found, lambda m: m.between(1, 12)), 0)
     if accept_iso:
         first = F.coalesce(_int(F.regexp_extract(t, r"\b\d{4}-(\d{1,2})-\d{1,2}\b", 1)), first)
@@ -42,10 +48,12 @@ def starts_in_summer(dates: Column, accept_iso: bool = False) -> Column:
 def first_date(blob: Column, year: int) -> Column:
     """The first ISO date; without one the first with a month's name, else the first numeric one. Years default to `year`. Null if that date does not exist."""
     t = text(blob)
-    part = lambda pattern: [F.regexp_extract(t, pattern, k) for k in (1, 2, 3)]
-    iso = part(r"\b(\d{4})-(\d{1,2})-(\d{1,2})\b")
-    named = part(rf"(?i)\b({_NAMES}|sept)[a-z.]*\s+(\d{{1,2}})(?:,?\s*(\d{{4}}))?\b")
-    num = part(r"\b(\d{1,2})[/-](\d{1,2})(?:[/-](\d{2,4}))?\b")
+
+    def part(pattern: str) -> list[Column]:
+        one = F.regexp_extract(t, pattern, 0)  # the text is searched once; its match is short
+        return [F.regexp_extract(one, pattern, k) for k in (1, 2, 3)]
+
+    iso, named, num = part(FIRST_ISO), part(FIRST_NAMED), part(FIRST_NUMERIC)
     y = _int(num[2])
     y = F.coalesce(F.when(y < 100, y + 2000).otherwise(y), F.lit(year))
     return (
@@ -56,15 +64,15 @@ def first_date(blob: Column, year: int) -> Column:
 
 
 def _all(t: Column, pattern: str, *groups: int) -> Column:
-    return F.arrays_zip(*[F.regexp_extract_all(t, F.lit(pattern), F.lit(g)).alias(f"g{g}") for g in groups])
+    """array<struct<g1, ..>> of all matches: the text is searched once, and each match is taken apart by itself."""
+    return F.transform(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), lambda x: F.struct(*[F.regexp_extract(x, pattern, g).alias(f"g{g}") for g in groups]))
 
 
 def date_span(blob: Column, year: int) -> Column:
     """struct<first, last> of all dates in the text (null without any); years default to `year`."""
     t = text(blob)
-    iso = F.transform(_all(t, r"\b(\d{4})-(\d{2})-(\d{2})\b", 1, 2, 3), lambda x: _date(_int(x["g1"]), _int(x["g2"]), _int(x["g3"])))
-    pattern = rf"(?i)\b({_NAMES})[a-z]*\.?\s+(\d{{1,2}})(?:\s*[-–]\s*(\d{{1,2}}))?(?:\s*,?\s*(\d{{4}}))?"
-    named = _all(t, pattern, 1, 2, 3, 4)
+    iso = F.transform(_all(t, SPAN_ISO, 1, 2, 3), lambda x: _date(_int(x["g1"]), _int(x["g2"]), _int(x["g3"])))
+    named = _all(t, SPAN_NAMED, 1, 2, 3, 4)
     begin = F.transform(named, lambda x: _date(F.coalesce(_int(x["g4"]), F.lit(year)), month_number(x["g1"]), _int(x["g2"])))
     end = F.transform(named, lambda x: _date(F.coalesce(_int(x["g4"]), F.lit(year)), month_number(x["g1"]), _int(x["g3"])))
 
@@ -72,7 +80,7 @@ def date_span(blob: Column, year: int) -> Column:
         y = _int(x["g3"])
         return _date(F.coalesce(F.when(y < 100, y + 2000).otherwise(y), F.lit(year)), _int(x["g1"]), _int(x["g2"]))
 
-    num = F.transform(_all(t, r"\b(\d{1,2})/(\d{1,2})(?:/(\d{2,4}))?\b", 1, 2, 3), numeric)
+    num = F.transform(_all(t, SPAN_NUMERIC, 1, 2, 3), numeric)
     found = F.array_compact(F.concat(iso, begin, end, num))
     return F.when(F.size(found) > 0, F.struct(F.array_min(found).alias("first"), F.array_max(found).alias("last")))
 
@@ -80,9 +88,9 @@ def date_span(blob: Column, year: int) -> Column:
 def day_window(blob: Column) -> Column:
     """struct<lo, hi> of month * 31 + day over all dates in the text, years ignored (null without any)."""
     t = text(blob)
-    named = F.transform(_all(t, r"(?i)\b([a-z]{3,9})\.?\s*(\d{1,2})\b", 1, 2), lambda x: month_number(x["g1"]) * 31 + _int(x["g2"]))
-    num = F.transform(_all(t, r"\b(\d{1,2})/(\d{1,2})(?:/\d{2,4})?\b", 1, 2), lambda x: F.when(_int(x["g1"]).between(1, 12) & _int(x["g2"]).between(1, 31), _int(x["g1"]) * 31 + _int(x["g2"])))
-    iso = F.transform(_all(t, r"\b\d{4}-(\d{2})-(\d{2})\b", 1, 2), lambda x: _int(x["g1"]) * 31 + _int(x["g2"]))
+    named = F.transform(_all(t, WINDOW_NAMED, 1, 2), lambda x: month_number(x["g1"]) * 31 + _int(x["g2"]))
+    num = F.transform(_all(t, WINDOW_NUMERIC, 1, 2), lambda x: F.when(_int(x["g1"]).between(1, 12) & _int(x["g2"]).between(1, 31), _int(x["g1"]) * 31 + _int(x["g2"])))
+    iso = F.transform(_all(t, WINDOW_ISO, 1, 2), lambda x: _int(x["g1"]) * 31 + _int(x["g2"]))
     found = F.array_compact(F.concat(named, num, iso))
     return F.when(F.size(found) > 0, F.struct(F.array_min(found).alias("lo"), F.array_max(found).alias("hi")))
 

@@ -88,13 +88,14 @@ CHROME_LABELS = (
     "enroll now", "sign up", "sign up now", "signup", "join waitlist", "join the waitlist", "waitlist", "add to cart", "checkout", "click here", "home", "menu", "close", "search",
     "next", "previous", "back", "continue", "submit", "login", "log in", "sign in", "my account", "contact", "contact us", "referral",
 )
+CHROME_PATTERN = r"^(?:skip to\b.*|back to\b.*|jump to\b.*|toggle\b.*|open\b.*menu|close\b.*menu)$"
 
 
 def bad_name_reason(name: Column) -> Column:
     n = F.lower(F.regexp_replace(F.regexp_replace(strip(text(name)), r"^[.:|–-]+|[.:|–-]+$", ""), r"(?U)\s+", " "))
     return first_reason([
         ("empty name", n == ""),
-        ("chrome name", n.isin(*CHROME_LABELS) | n.rlike(r"^(?:(?:skip|back|jump) to\b.*|toggle\b.*|open\b.*menu|close\b.*menu)$")),
+        ("chrome name", n.isin(*CHROME_LABELS) | n.rlike(CHROME_PATTERN)),
         ("filename as name", n.rlike(r"\.(?:png|jpe?g|gif|svg|webp|pdf|docx?|xlsx?|css|js)$")),
         ("bare id as name", n.rlike(r"^[#\-\s]*\d[\d\s\-#]*$")),
     ])
@@ -107,6 +108,7 @@ def name_in_text(name: Column, page: Column) -> Column:
     return (F.size(words) > 0) & (F.size(F.filter(words, lambda x: F.contains(low, x))) >= F.greatest(F.lit(1), F.size(words) - 1))
 
 
+# Names that say nothing by themselves.
 GENERIC_NAME = (
     r"^(?:the\s+)?(?:(?:full|half|all)[-\s]?day\s+|1/2\s*day\s+|outdoor\s+|youth\s+|kids?\s+)?(?:summer\s+|day\s+)?"
     r"(?:camps?|programs?|sessions?|units?|summer\s+program|outdoor\s+summer\s+camp)\.?$|\bunit$"
@@ -152,6 +154,7 @@ def venue_parts(venue: Column) -> Column:
     )
 
 
+# What shows that a page takes registrations.
 AFFORDANCE = (
     r"add[\s_-]?to[\s_-]?cart|/cart|class=[\"'][^\"']*cart|register\s*now|enroll\s*now|program[\s_-]?detail|iteminfo|program_details|begin\s*registration|add\s*to\s*selection|wbwsc|__doPostBack"
 )

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catamill.functions import dates as D
 from catamill.functions import texts as T
 from catamill.functions import urls as U
-from catamill.functions.common import UI, all_reasons, blank, distinct_hits, first_nonblank, first_reason, matches, text
+from catamill.functions.common import UI, all_reasons, blank, distinct_hits, first_nonblank, first_reason, matches, strip, text
 
 # Markers of what is no youth camp.
 CAMP_WORD = r"\b(?:day\s+camp|summer\s+camp|aileycamp|campers?|camps?)\b"
@@ -174,22 +176,42 @@ def publish_rows(rows: DataFrame, *, year: int, allowed: tuple[str, ...] = ("par
     return rows.withColumns({"held_reason": held, "label": F.when(held.isNull(), F.when(verdict == "brochure_only", "brochure_only").otherwise(""))})
 
 
+# Form hosts that take registrations for others, and paths that are never about camps.
+REGISTER_HOSTS = (
+    "jotform.com", "docs.google.com", "forms.gle", "forms.office.com", "regfox.com", "wufoo.com", "formstack.com", "typeform.com", "eventbrite.com", "signupgenius.com", "campscui.active.com",
+)
+OFF_TOPIC = r"/(?:research|clinical|psychiatry|imaging|radiology|oncology|pubmed|faculty|publications?|careers?|investor|press|newsroom|patient)\b"
+
+
+def offhost_register(register_url: Column, *references: Column) -> Column:
+    """Whether a registration leaves the domains of its references and is on no known registration or form host."""
+    allowed = functools.reduce(lambda x, y: x | y, [F.contains(U.authority(register_url), F.lit(h)) for h in REGISTER_HOSTS])
+    domains = F.filter(F.array(*[U.registered_domain(U.authority(r)) for r in references]), lambda d: d != "")
+    own = U.registered_domain(U.authority(register_url))
+    return (own != "") & ~U.is_registration(register_url) & ~allowed & (F.size(domains) > 0) & ~F.array_contains(domains, own)
+
+
 def junk_reasons(rows: DataFrame) -> DataFrame:
-    """rows with `reasons`, all that apply: names, links and evidence; program rows need no evidence."""
-    url = text("register_url")
-    off_host = (U.registered_domain(U.host_of(url)) != U.registered_domain(U.host_of(F.col("source_url")))) & ~U.is_registration(url)
+    """rows (name, register_url, info_url, source_url, granularity, ages, dates, price) with `reasons`, all that apply: names,
+    links, evidence (not asked of program rows) and topic."""
+    raw = strip(text("name"))
+    chrome = F.coalesce(T.bad_name_reason(raw) == "chrome name", F.lit(False))
+    unusable = T.bad_name_reason(raw).isNotNull() | F.lower(raw).rlike(r"^[a-z]{18,}$")
+    c = lambda n: F.col(n) if n in rows.columns else F.lit("")
+    off_topic = functools.reduce(lambda x, y: x | y, [U.path(c(n)).rlike("(?i)" + OFF_TOPIC) for n in ("register_url", "info_url", "source_url")])
     return rows.withColumn("reasons", all_reasons([
-        (F.coalesce(T.bad_name_reason(F.col("name")), F.lit("")), T.bad_name_reason(F.col("name")).isNotNull()),
-        ("no_register", blank("register_url")),
-        ("offhost_register", ~blank("register_url") & ~blank("source_url") & off_host),
-        ("no_evidence", (text("granularity") != "program") & ~T.has_evidence(F.col("ages"), F.col("dates"), F.col("price"))),
+        ("chrome_name", chrome), ("unusable_name", ~chrome & unusable), ("no_register_url", blank("register_url")),
+        ("offhost_register", ~blank("register_url") & offhost_register(F.col("register_url"), c("info_url"), c("source_url"))),
+        ("no_evidence", (text("granularity") != "program") & ~T.has_evidence(F.col("ages"), F.col("dates"), F.col("price"))), ("off_topic", off_topic),
     ]))
 
 
 def season_filter(rows: DataFrame, *, year: int, first: str = "06-01", last: str = "08-31") -> DataFrame:
     """rows with start_date (parsed), season_source and in_season; undated rows are in season."""
     day = D.first_date(F.concat_ws(" ", *[F.nullif(text(c), F.lit("")) for c in ("start_date", "dates", "details_text") if c in rows.columns]), year)
-    return rows.withColumns({"start_day": day, "season_source": F.when(day.isNull(), "undated").otherwise("dated"), "in_season": F.coalesce(D.in_season(day, first, last), F.lit(True))})
+    # The day is a column first, so that its patterns run once a row.
+    dated = rows.withColumn("start_day", day)
+    return dated.withColumns({"season_source": F.when(F.col("start_day").isNull(), "undated").otherwise("dated"), "in_season": F.coalesce(D.in_season(F.col("start_day"), first, last), F.lit(True))})
 
 
 def register_gate(rows: DataFrame, checks: DataFrame) -> DataFrame:

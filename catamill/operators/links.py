@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from catamill.functions import hosts as H
 from catamill.functions import texts as T
 from catamill.functions import urls as U
 from catamill.functions.common import UI, first_reason, matches, text
@@ -20,10 +21,10 @@ def normalize_pages(pages: DataFrame, order: Column | None = None, unescape: boo
     return p.withColumns({"host": U.host_of(F.col("url")), "title": title, "n_text": F.length("page_text"), "status": T.page_status(F.col("page_text"))}).drop("rank")
 
 
-def extract_links(pages: DataFrame) -> DataFrame:
-    """page_id, pos, url (absolute), label, score; links that lead nowhere are left out."""
-    links = pages.select("page_id", F.col("url").alias("base"), F.posexplode(T.page_links(F.col("html"))).alias("pos", "link"))
-    links = links.select("page_id", "pos", U.absolute(F.col("base"), F.col("link.href")).alias("url"), F.col("link.label").alias("label")).where(F.col("url") != "")
+def extract_links(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """page_id, pos, url (absolute), label, score; links that lead nowhere are left out. keep: columns of the page that its links carry."""
+    links = pages.select("page_id", F.col("url").alias("base"), *keep, F.posexplode(T.page_links(F.col("html"))).alias("pos", "link"))
+    links = links.select("page_id", *keep, "pos", U.absolute(F.col("base"), F.col("link.href")).alias("url"), F.col("link.label").alias("label")).where(F.col("url") != "")
     return links.withColumn("score", U.crawl_score(F.col("url"), F.col("label")))
 
 
@@ -85,3 +86,43 @@ def only_new(links: DataFrame, seen: DataFrame) -> DataFrame:
     keyed = links.withColumn("key", U.canonical_url(F.col("url")))
     fresh = keyed.join(seen.select("key").distinct(), "key", "left_anti")
     return first_per(fresh, F.col("key"), [F.col("ord")], keep_blank=False)
+
+
+def one_seed_per_domain(candidates: DataFrame) -> DataFrame:
+    """candidates (url, classified_as, ord) with `kept` and `why`: guides all, camp venues once per canonical address, and of
+    other directory pages the best of each registered domain (the first among equals); scores of 100 and more never."""
+    c = candidates.withColumns({"__score": H.directory_score(F.col("url")), "__key": U.canonical_url(F.col("url")), "__domain": U.registered_domain(U.authority(F.col("url")))})
+    guide, camp = text("classified_as") == "guide", H.is_camp_host(F.col("url")) | (text("classified_as") == "camp")
+    kind = F.when(guide, "guide").when(F.col("__score") >= 100, "skip").when(camp, "camp").otherwise("directory")
+    c = c.withColumn("__kind", kind)
+    # Each kind is ranked by its own key; rows that need no rank have keys of their own.
+    by = F.when(F.col("__kind") == "camp", F.col("__key")).when(F.col("__kind") == "directory", F.col("__domain")).otherwise(F.col("ord").cast("string"))
+    place = F.row_number().over(Window.partitionBy("__kind", "__by").orderBy(F.when(F.col("__kind") == "directory", F.col("__score")).otherwise(0), "ord"))
+    c = c.withColumn("__by", by).withColumn("__place", place)
+    kept = (F.col("__kind") == "guide") | ((F.col("__kind") == "camp") & (F.col("__place") == 1) & (F.col("__key") != "")) | ((F.col("__kind") == "directory") & (F.col("__place") == 1))
+    return c.select(*candidates.columns, kept.alias("kept"), F.when(kept, F.col("__kind")).when(F.col("__kind") == "skip", "score").otherwise("duplicate").alias("why"))
+
+
+def cap_per_domain(links: DataFrame, cap: int = 80) -> DataFrame:
+    """Links (url, ord) with the most promising registrations first, at most `cap` per registered domain."""
+    r = links.withColumns({"priority": U.registration_priority(F.col("url")), "domain": U.registered_domain(U.authority(F.col("url")))})
+    return r.withColumn("domain_rank", F.row_number().over(Window.partitionBy("domain").orderBy(F.col("priority").desc(), "ord"))).where(F.col("domain_rank") <= cap)
+
+
+def discovered_registry(urls: DataFrame, most: int = 80) -> DataFrame:
+    """town, name, host, seed, vendor, org_id, rank from urls (town, url, ord): the first address of each host of a town,
+    hosts of known vendors first, at most `most` a town; hosts that are no providers are left out."""
+    u = urls.withColumn("host", F.replace(U.authority(F.col("url")), F.lit("www."), F.lit(""))).where((F.col("host") != "") & ~F.col("host").rlike(UI + H.DENY_HOST))
+    one = u.groupBy("town", "host").agg(F.min_by("url", "ord").alias("seed"), F.min("ord").alias("ord")).withColumn("v", H.vendor(F.col("seed")))
+    rank = F.row_number().over(Window.partitionBy("town").orderBy(F.col("v.vendor").isNull(), "ord"))
+    return one.withColumn("rank", rank).where(F.col("rank") <= most).select("town", F.col("host").alias("name"), "host", "seed", F.coalesce("v.vendor", F.lit("unknown")).alias("vendor"), F.coalesce("v.org_id", F.lit("")).alias("org_id"), "rank")
+
+
+def direct_links(candidates: DataFrame, seen: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Candidates (url, title, town, phase, classified_as, crawled, ord) that are camps themselves, as link rows that are new
+    (seen: key) and no slop; and all candidates with `crawled` true for those that were taken up."""
+    camp = (text("classified_as") == "camp") & ~F.coalesce("crawled", F.lit(False))
+    rows = candidates.where(camp).select(F.col("url"), F.col("town").alias("town_hint"), F.lit("direct").alias("source_type"), F.col("phase").alias("found_via"), F.col("url").alias("found_on_page"), F.col("title").alias("link_text"), "ord")
+    fresh = only_new(rows, seen)
+    fresh = fresh.where(slop_reason(F.col("url"), F.col("link_text")).isNull())
+    return fresh, candidates.withColumn("crawled", F.coalesce("crawled", F.lit(False)) | camp)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from catamill.session import cut
+
 
 def cap_per_key(rows: DataFrame, key: Sequence[str], order: Sequence[str], cap: int) -> tuple[DataFrame, DataFrame]:
     """The first `cap` rows of each key, and per truncated key how many went."""
@@ -30,13 +32,31 @@ def zero_floor(dimension: DataFrame, rows: DataFrame, key: str, least: int = 1)
 
 def saturation(events: DataFrame, group: str, seq: str, key: str, floor: int, window: int) -> DataFrame:
     """Per group the first place in order at which `floor` searches are done and the last `window` found no new key
-    (null: never). seq numbers searches from 1; a search may have several rows, or one with a null key."""
-    first = events.where(F.col(key).isNotNull()).groupBy(group, key).agg(F.min(seq).alias(seq)).groupBy(group, seq).agg(F.count("*").alias("fresh"))
-    each = events.select(group, seq).distinct().join(first, [group, seq], "left").fillna(0, ["fresh"])
-    last = Window.partitionBy(group).orderBy(seq).rowsBetween(1 - window, 0)
-    dry = (F.sum("fresh").over(last) == 0) & (F.col("place") >= F.greatest(F.lit(1), F.lit(floor))) & (F.col("place") >= window)
-    placed = each.withColumn("place", F.row_number().over(Window.partitionBy(group).orderBy(seq)))
-    return placed.withColumn("dry", dry).groupBy(group).agg(F.min(F.when(F.col("dry"), F.col(seq))).alias("stop_at"), F.max("place").alias("searches"))
+    (null: never). seq numbers searches; a search may have several rows, or one with a null key.
+
+    A search that ends a dry window lies at least `window` searches behind the last one that found something, so only
+    these are needed: places come from a sort by ranges, and per group the finds alone, one row a key at most, are put in order."""
+    first = events.where(F.col(key).isNotNull()).groupBy(group, key).agg(F.min(seq).alias(seq)).select(group, seq).distinct().withColumn("fresh", F.lit(True))
+    each = placed(events.select(group, seq).distinct(), group, seq)
+    finds = each.join(first, [group, seq]).select(group, "place")
+    sizes = each.groupBy(group).agg(F.max("place").alias("searches"))
+    # A run of dry searches follows each find, and stands before the first one.
+    starts = finds.unionByName(sizes.select(group, F.lit(0).cast("long").alias("place")))
+    nxt = F.lead("place").over(Window.partitionBy(group).orderBy("place"))
+    runs = starts.withColumn("next", nxt).join(sizes, group)
+    stop = F.greatest(F.col("place") + window, F.lit(max(1, floor)).cast("long"))
+    stops = runs.where(stop < F.coalesce("next", F.col("searches") + 1)).groupBy(group).agg(F.min(stop).alias("place"))
+    out = sizes.join(stops.join(each, [group, "place"]).select(group, F.col(seq).alias("stop_at")), group, "left")
+    return out.select(group, "stop_at", F.col("searches"))
+
+
+def placed(rows: DataFrame, group: str, seq: str) -> DataFrame:
+    """rows with `place`, 1 and up in each group: sorted by ranges of (group, seq), each task counting on from those before."""
+    at = cut(rows.orderBy(group, seq).withColumn("__part", F.spark_partition_id()).withColumn("__id", F.monotonically_increasing_id()))
+    before = at.groupBy("__part", group).agg(F.count("*").alias("n"), F.min("__id").alias("first"))  # a row for each group that a task holds
+    skip = F.sum("n").over(Window.partitionBy(group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    before = before.withColumn("skip", F.coalesce(skip, F.lit(0))).drop("n")
+    return at.join(before, ["__part", group]).withColumn("place", (F.col("__id") - F.col("first") + F.col("skip") + 1).cast("long")).select(*rows.columns, "place")
 
 
 def latest(rows: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:

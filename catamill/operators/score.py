@@ -2,27 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catamill.functions import dates as D
 from catamill.functions import texts as T
+from catamill.functions import urls as U
 from catamill.functions.common import text
-from catamill.functions.similarity import token_set_blocks
+from catamill.functions.similarity import token_set_blocks, token_set_indel
+
+
+def _inner_hosts(c: str) -> Column:
+    """All dotted parts of a host: those that stand inside it between dots or at its ends."""
+    labels = F.split(c, r"\.")
+    n = F.size(labels)
+    cuts = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(F.lit(1), n - i + 1), lambda k: F.array_join(F.slice(labels, i, k), "."))))
+    return F.array_distinct(cuts)
+
+
+def related_hosts(truth: DataFrame, published: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
+    """gh, ph: hosts of both sides that are equal, one of which holds the other between dots, or that are aliases. They
+    meet by equality of dotted parts, so no two hosts are compared that share none."""
+    a, b = truth.select("gh").where("gh <> ''").distinct(), published.select("ph").where("ph <> ''").distinct()
+    inside = b.select("ph", F.explode(_inner_hosts("ph")).alias("gh")).join(a, "gh", "left_semi").select("gh", "ph")
+    around = a.select("gh", F.explode(_inner_hosts("gh")).alias("ph")).join(b, "ph", "left_semi").select("gh", "ph")
+    both = inside.union(around)
+    if aliases is not None:
+        both = both.union(aliases.select(F.lower("provider_host").alias("gh"), F.lower("alt_host").alias("ph")))
+    return both.distinct()
 
 
 def match_programs(truth: DataFrame, published: DataFrame, aliases: DataFrame | None = None, threshold: float = 0.85) -> DataFrame:
     """gt, pub (ids): ground-truth rows and published rows of related hosts with similar names. truth: gt, provider_host,
     program_name, session_dates. published: pub, host, name, dates. aliases: alt_host, provider_host.
 
-    Related: equal, an alias, or one host inside the other; hosts meet over all suffixes at dots and over the alias."""
+    Related: equal, an alias, or one host inside the other between dots."""
     gt = truth.select("gt", F.lower(F.trim(text("provider_host"))).alias("gh"), T.undated_name(F.col("program_name")).alias("gn"), D.day_window(F.col("session_dates")).alias("gw"))
     pub = published.select("pub", F.lower(text("host")).alias("ph"), T.undated_name(F.col("name")).alias("pn"), D.day_window(F.col("dates")).alias("pw"))
-    hosts = gt.select("gh").distinct().where("gh <> ''").join(F.broadcast(pub.select("ph").distinct().where("ph <> ''")), F.contains(F.col("ph"), F.col("gh")) | F.contains(F.col("gh"), F.col("ph")))
-    if aliases is not None:
-        known = aliases.select(F.lower("provider_host").alias("gh"), F.lower("alt_host").alias("ph"))
-        hosts = hosts.union(known).distinct()
-    pairs = gt.join(F.broadcast(hosts), "gh").join(pub, "ph")
+    pairs = gt.join(related_hosts(gt, pub, aliases), "gh").join(pub, "ph")
     return pairs.where(token_set_blocks("gn", "pn") >= threshold).select("gt", "pub", D.overlap(F.col("gw"), F.col("pw")).alias("dates_meet"))
 
 
@@ -51,3 +68,51 @@ def regressions(baseline: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Counts per key in both runs, and the difference; keys of one run alone count 0 in the other."""
     count = lambda df, name: df.groupBy(key).agg(F.count("*").alias(name))
     return count(baseline, "before").join(count(new, "after"), key, "full_outer").fillna(0, ["before", "after"]).withColumn("delta", F.col("after") - F.col("before"))
+
+
+def info_validity(published: DataFrame, pages: DataFrame, least: int = 400) -> DataFrame:
+    """checked, valid and their share: published rows (name, info_url) whose info page is long enough and names them. pages: url, text."""
+    one = pages.groupBy(F.col("url").alias("info_url")).agg(F.first("text").alias("t"))
+    j = published.select("name", text("info_url").alias("info_url")).join(one, "info_url", "left")
+    ok = (F.length(text("t")) >= least) & T.name_in_text(F.col("name"), F.col("t"))
+    return j.agg(F.count("*").alias("checked"), F.count_if(ok).alias("valid")).withColumn("info_url_validity", F.try_divide("valid", "checked"))
+
+
+def _program_rows(rows: DataFrame) -> DataFrame:
+    host = F.coalesce(F.nullif(U.host_of(F.col("register_url")), F.lit("")), U.host_of(F.col("source_url")))
+    return rows.select(host.alias("host"), T.identity_name(F.col("name")).alias("norm"), F.regexp_replace(U.canonical_url(F.col("register_url")), "/+$", "").alias("url"))
+
+
+def match_baseline(baseline: DataFrame, published: DataFrame, threshold: float = 0.75) -> DataFrame:
+    """host, norm, exact, by_url, fuzzy of each programme of the baseline: whether the published rows have it by host and
+    name, by a shared registration address, or under a similar name on the same host. Rows: name, register_url, source_url."""
+    base, pub = _program_rows(baseline), _program_rows(published)
+    programs, there = base.select("host", "norm").distinct(), pub.select("host", "norm").distinct()
+    exact = programs.join(there, ["host", "norm"], "left_semi").withColumn("exact", F.lit(True))
+    urls = pub.select("url").where("url <> ''").distinct()
+    by_url = base.where("url <> ''").join(urls, "url", "left_semi").select("host", "norm").distinct().withColumn("by_url", F.lit(True))
+    m = programs.join(exact, ["host", "norm"], "left").join(by_url, ["host", "norm"], "left").fillna(False, ["exact", "by_url"])
+    rest = m.where(~F.col("exact") & ~F.col("by_url")).select("host", "norm")
+    alike = rest.join(there.withColumnRenamed("norm", "other"), "host").where(token_set_indel("norm", "other") >= threshold).select("host", "norm").distinct().withColumn("alike", F.lit(True))
+    return m.join(alike, ["host", "norm"], "left").withColumn("fuzzy", F.col("exact") | F.col("by_url") | F.coalesce("alike", F.lit(False))).drop("alike")
+
+
+def score_baseline(baseline: DataFrame, published: DataFrame, provider_hosts: DataFrame, threshold: float = 0.75) -> DataFrame:
+    """One row: strict and fuzzy programme recall, session recall by address, precision, and the share of providers that
+    are published, each to four digits and 0 without a base. published: parent_verdict as well. provider_hosts: host."""
+    m = match_baseline(baseline, published, threshold)
+    share = lambda a, b: F.round(F.col(a) / F.greatest(F.col(b), F.lit(1)), 4)
+    programs = m.agg(F.count("*").alias("programs"), F.count_if(F.col("exact") | F.col("by_url")).alias("strict"), F.count_if("fuzzy").alias("loose"))
+    base, pub = _program_rows(baseline).where("url <> ''"), _program_rows(published)
+    urls = pub.select("url").where("url <> ''").distinct().withColumn("hit", F.lit(True))
+    sessions = base.join(urls, "url", "left").agg(F.count("*").alias("sessions"), F.count("hit").alias("sessions_found"))
+    hosts = provider_hosts.select(F.lower("host").alias("h")).where("h <> ''").distinct()
+    both = published.select(F.array_distinct(F.array(U.host_of(F.col("register_url")), U.host_of(F.col("source_url")))).alias("hs"), (~text("parent_verdict").isin("wrong_audience", "off_season")).alias("ok"))
+    each = both.withColumn("row", F.monotonically_increasing_id()).select("row", "ok", F.explode("hs").alias("h")).where("h <> ''")
+    precise = each.where("ok").join(hosts, "h", "left_semi").agg(F.countDistinct("row").alias("precise"))
+    covered = hosts.join(each.select("h").distinct(), "h", "left_semi").agg(F.count("*").alias("covered"))
+    out = programs.crossJoin(sessions).crossJoin(precise).crossJoin(covered).crossJoin(published.agg(F.count("*").alias("published"))).crossJoin(hosts.agg(F.count("*").alias("providers")))  # one row each
+    return out.select(
+        "programs", "sessions", "published", "providers", share("strict", "programs").alias("recall_strict"), share("loose", "programs").alias("recall_fuzzy"), share("sessions_found", "sessions").alias("session_recall"),
+        share("precise", "published").alias("precision"), share("covered", "providers").alias("providers_covered"),
+    )

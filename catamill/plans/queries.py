@@ -57,8 +57,8 @@ def page_links(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def frontier_topk(spark: SparkSession, sf: str) -> DataFrame:
     """Per host the three links most worth a visit, over all its pages."""
-    pages = table(spark, sf, "pages")
-    found = links.extract_links(pages).join(pages.select("page_id", U.host_of(F.col("url")).alias("host")), "page_id")
+    pages = table(spark, sf, "pages").withColumn("host", U.host_of(F.col("url")))
+    found = links.extract_links(pages, ("host",))
     return links.frontier(found, "host", 3).select("host", "url", *_long("score", "rank"))
 
 
@@ -115,11 +115,8 @@ def date_readings_orders(spark: SparkSession, sf: str) -> DataFrame:
     """The four readings of one range of dates: first month, first date, span and window."""
     day = F.to_date("o_orderdate")
     orders = table(spark, sf, "orders").select("o_orderkey", F.concat(F.date_format(day, "MMM d, yyyy"), F.lit(" - "), F.date_format(F.date_add(day, 9), "M/d/yyyy")).alias("dates"))
-    span, window = D.date_span(F.col("dates"), 2026), D.day_window(F.col("dates"))
-    return orders.select(
-        "o_orderkey", D.starts_in_summer(F.col("dates")).alias("summer"), D.first_date(F.col("dates"), 2026).cast("string").alias("first_date"),
-        span["first"].cast("string").alias("span_first"), span["last"].cast("string").alias("span_last"), window["lo"].cast("long").alias("lo"), window["hi"].cast("long").alias("hi"),
-    )
+    read = orders.select("o_orderkey", D.starts_in_summer(F.col("dates")).alias("summer"), D.first_date(F.col("dates"), 2026).alias("first"), D.date_span(F.col("dates"), 2026).alias("span"), D.day_window(F.col("dates")).alias("w"))
+    return read.select("o_orderkey", "summer", F.col("first").cast("string").alias("first_date"), F.col("span.first").cast("string").alias("span_first"), F.col("span.last").cast("string").alias("span_last"), F.col("w.lo").cast("long").alias("lo"), F.col("w.hi").cast("long").alias("hi"))
 
 
 @query

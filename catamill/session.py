@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,5 +23,27 @@ def local_session(name: str = "catamill", cpus: str | int = "*") -> SparkSession
     )
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors share (spark.checkpoint.dir); one of our own only where that is unset and all tasks
+    run on this machine."""
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        at = spark.conf.get("catamill.checkpoint.dir", None)
+        if not at:
+            at = "file://" + tempfile.mkdtemp(prefix="spark-catamill-", dir="/tmp")
+            spark.conf.set("catamill.checkpoint.dir", at)
+    return at.rstrip("/")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df as a reliable checkpoint in the shared folder: its lineage is cut, and its rows outlive lost executors."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+    return df.checkpoint()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

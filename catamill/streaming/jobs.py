@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from pathlib import PurePosixPath
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catamill.functions import urls as U
+from catamill.operators.coverage import registry_fold
+from catamill.operators.monitor import snapshot_alarms
+from catamill.session import shared_dir
 
 
 def event_counts(events: DataFrame, width: str = "1 hour", late: str = "2 hours") -> DataFrame:
@@ -24,18 +26,90 @@ def new_links(links: DataFrame, horizon: str = "7 days") -> DataFrame:
     return links.withColumn("key", U.canonical_url(F.col("url"))).withWatermark("ts", horizon).dropDuplicatesWithinWatermark(["key"])
 
 
-def latest_pages(batch: DataFrame, store: str) -> None:
-    """For foreachBatch: the store keeps the latest non-blank page per canonical address; it is written beside the old one first."""
-    spark = batch.sparkSession
-    own = batch.where(F.trim(F.coalesce("html", F.lit(""))) != "").withColumn("key", U.canonical_url(F.col("url")))
-    try:
-        own = spark.read.parquet(store).unionByName(own, allowMissingColumns=True)
-    except Exception as e:  # the first batch finds no store
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-    last = own.groupBy("key").agg(F.max_by(F.struct(*own.columns), "ts").alias("r")).select("r.*")
-    last.write.mode("overwrite").parquet(store + ".next")
-    spark.read.parquet(store + ".next").write.mode("overwrite").parquet(store)
+def _versions(spark: SparkSession, store: str) -> list[int]:
+    """The versions of a store that are written to the end."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(store)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    names = [(f.getPath(), f.getPath().getName()) for f in fs.listStatus(root)]
+    return sorted(int(n[2:]) for p, n in names if n.startswith("v=") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+
+
+def stored_pages(spark: SparkSession, store: str, as_of: Column | None = None, days: int = 7) -> DataFrame | None:
+    """The store's pages, without those older than their time to live at as_of; None if nothing is stored."""
+    found = _versions(spark, store)
+    if not found:
+        return None
+    pages = spark.read.parquet(f"{store}/v={found[-1]}")
+    return pages if as_of is None else pages.where(F.col("ts") >= as_of - F.make_interval(days=F.lit(days)))
+
+
+def latest_pages(store: str, keep: int = 2):
+    """For foreachBatch: the store keeps the latest non-blank page (url, html, ts) per canonical address, in a version for
+    each batch. A version counts only once it is whole, so a failure leaves the one before; a batch that runs again writes
+    its version anew. All but the last `keep` versions go."""
+
+    def put(batch: DataFrame, k: int) -> None:
+        spark = batch.sparkSession
+        own = batch.where(F.trim(F.coalesce("html", F.lit(""))) != "").withColumn("key", U.canonical_url(F.col("url")))
+        before = [v for v in _versions(spark, store) if v < k]
+        if before:
+            own = spark.read.parquet(f"{store}/v={before[-1]}").unionByName(own, allowMissingColumns=True)
+        last = own.groupBy("key").agg(F.max_by(F.struct(*own.columns), "ts").alias("r")).select("r.*")
+        last.write.mode("overwrite").parquet(f"{store}/v={k}")
+        for v in before[: len(before) + 1 - keep]:
+            path = spark._jvm.org.apache.hadoop.fs.Path(f"{store}/v={v}")
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    return put
+
+
+def counts_alarms(store: str, key: list[str], threshold: float = 0.3):
+    """For foreachBatch: counts of each batch (key.., n) against those of the batch before; alarms go to `alarms` beside the counts."""
+
+    def put(batch: DataFrame, k: int) -> None:
+        spark = batch.sparkSession
+        batch.groupBy(*key).agg(F.count("*").alias("n")).write.mode("overwrite").parquet(f"{store}/counts/v={k}")
+        before = [v for v in _versions(spark, f"{store}/counts") if v < k]
+        if before:
+            now = spark.read.parquet(f"{store}/counts/v={k}")
+            snapshot_alarms(spark.read.parquet(f"{store}/counts/v={before[-1]}"), now, key, threshold).write.mode("overwrite").parquet(f"{store}/alarms/v={k}")
+
+    return put
+
+
+def running_yields(events: DataFrame) -> DataFrame:
+    """events: key, success, ts. Attempts, mean yield and last success of each key so far, for update mode."""
+    return events.groupBy("key").agg(F.count("*").alias("attempts"), F.avg(F.col("success").cast("double")).alias("mean_yield"), F.max(F.when(F.col("success"), F.col("ts"))).alias("last_success"))
+
+
+def finished_once(store: str, work):
+    """For foreachBatch: runs `work` on the providers of a batch that no earlier batch finished, and writes what it
+    returns under the batch's number: a batch that runs again, as after a failure, gives the same rows once.
+    Rows: provider_id and more; work: DataFrame to DataFrame with provider_id."""
+
+    def put(batch: DataFrame, k: int) -> None:
+        spark = batch.sparkSession
+        before = [v for v in _versions(spark, store) if v < k]
+        if before:
+            done = spark.read.parquet(*[f"{store}/v={v}" for v in before]).select("provider_id").distinct()
+            batch = batch.join(done, "provider_id", "left_anti")
+        work(batch).write.mode("overwrite").parquet(f"{store}/v={k}")
+
+    return put
+
+
+def registry_store(store: str):
+    """For foreachBatch: session rows are added under the batch's number, and the registry of all is folded anew."""
+
+    def put(batch: DataFrame, k: int) -> None:
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{store}/rows/v={k}")
+        rows = spark.read.parquet(*[f"{store}/rows/v={v}" for v in _versions(spark, f"{store}/rows") if v <= k])
+        registry_fold(rows).write.mode("overwrite").parquet(f"{store}/registry/v={k}")
+
+    return put
 
 
 YIELD_STATE = "seen array<string>, recent array<int>, n int"
@@ -96,8 +170,7 @@ def hole_states_stream(attempts: DataFrame, exhausted_at: int = 6, days: int = 7
 
 
 def _folder(spark: SparkSession) -> str:
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{at.rstrip('/')}/stream-{uuid.uuid4().hex}" if at else tempfile.mkdtemp(prefix="spark-stream-", dir="/tmp")
+    return f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
 
 
 def read_stream(spark: SparkSession, file: str) -> DataFrame:
