@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -39,6 +39,11 @@ def distinct_hits(c: Column, pattern: str, group: int = 0, letters: int | None =
     return F.size(F.array_distinct(found))
 
 
+def bind(c: Column, then: Callable[[Column], Column]) -> Column:
+    """then(c) with c worked out once, however often `then` uses it: nested functions stay as large as they are written."""
+    return F.get(F.transform(F.array(c), then), 0)
+
+
 Rule = tuple[str | Column, Column]
 
 

@@ -4,8 +4,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from catamill.plans.oracles import ORACLES
-from catamill.plans.queries import QUERIES
+from catamill.plans import ORACLES, QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
