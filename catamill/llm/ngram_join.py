@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catamill.llm.arrow_text import slices, split_words, texts
-from catamill.llm.common import join_lookup, written
+from catamill.llm.common import join_lookup, result, scratch, written
 from catamill.llm.components import connected
 
 STEP = 4 << 20
@@ -32,6 +32,8 @@ STEP = 4 << 20
 BUCKETS, COUNTED = 256, 8_000_000
 #: Sets of a part of a task that make a shingle count as frequent, and how many such shingles are ordered last at most.
 LOCAL, FREQUENT_MOST = 3, 200_000
+#: Groups of a shingle's list that one task puts in order; longer lists are dealt over several tasks.
+LIST_MOST = 50_000
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0xD6E8FEB86659FD93)
 
 
@@ -55,8 +57,8 @@ def shingle_sets(text: pa.Array, n: int) -> list[np.ndarray]:
     return out
 
 
-def frequent_shingles(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent shingles, sorted, and the rank of each (rarest first), by counts of distinct sets within parts of
+def frequent_shingles(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The most frequent shingles, sorted, the rank of each (rarest first) and its count, by counts of distinct sets within parts of
     tasks: what stands in LOCAL sets of such a part is counted over all parts. At most FREQUENT_MOST are taken. They only
     shape the order of shingles, so that one missed costs time alone."""
 
@@ -82,15 +84,15 @@ def frequent_shingles(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
     found = docs.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "h").limit(FREQUENT_MOST).collect()
     h = np.array([r.h for r in found], np.int64).view(np.uint64)
     order = np.argsort(h)
-    return h[order], (len(h) - 1 - np.arange(len(h)))[order]
+    return h[order], (len(h) - 1 - np.arange(len(h)))[order], np.array([r.n for r in found], np.int64)[order]
 
 
-def prefixed(docs: DataFrame, n: int, percent: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+def prefixed(docs: DataFrame, n: int, percent: int, frequent: tuple[np.ndarray, np.ndarray, np.ndarray]) -> DataFrame:
     """doc_id, size, class (hash of the whole set), prefix, counts (shingles by hash bucket; null for very large sets). Texts without words: size 0, no class."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        last, rank = shared.value
+        last, rank, _ = shared.value
         for batch in slices(batches, 1, STEP):
             sizes, classes, prefixes, counts = [], [], [], []
             for s in shingle_sets(texts(batch.column(1)), n):
@@ -145,10 +147,25 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
 
     component_id: the smallest doc_id reachable over links; two rows are linked if 100 * intersection >= percent * union
     of their sets of n-word shingles. Null and empty texts have no shingles and no links; equal sets are one class, so
-    repeated rows are linked. Sets are compared by 64-bit hashes of shingles. Empty tables give no rows.
+    repeated rows are linked; very long texts are read whole. Sets are compared by 64-bit hashes of shingles. Empty
+    tables give no rows. BUCKETS, COUNTED, LOCAL, FREQUENT_MOST and LIST_MOST shape the order of work alone, not its result.
     """
-    docs = docs.select("doc_id", "text")
-    rows = written(prefixed(docs, n, percent, frequent_shingles(docs, n)), "rows")
+    with scratch(docs.sparkSession):
+        return result(_join(docs.select("doc_id", "text"), n, percent), "components")
+
+
+def _salted(lists: DataFrame, frequent: tuple[np.ndarray, np.ndarray, np.ndarray]) -> DataFrame:
+    """lists with `salt`: null, and a part for each row of the lists of shingles that are known to be long. It shapes round one alone."""
+    long = [(int(h), int(1 + c // LIST_MOST)) for h, c in zip(frequent[0].view(np.int64), frequent[2], strict=True) if c > LIST_MOST]
+    if not long:
+        return lists.withColumn("salt", F.lit(None).cast("int"))
+    table = lists.sparkSession.createDataFrame(long, "shingle long, parts int")  # at most FREQUENT_MOST rows of two numbers
+    return lists.join(F.broadcast(table), "shingle", "left").withColumn("salt", F.pmod(F.col("group"), F.col("parts")).cast("int")).drop("parts")
+
+
+def _join(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    frequent = frequent_shingles(docs, n)
+    rows = written(prefixed(docs, n, percent, frequent), "rows")
     classes = written(
         rows.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("first"), F.first("size").alias("size"), F.first("prefix").alias("prefix"), F.first("counts").alias("counts"))
         .withColumn("group", F.xxhash64("size", "prefix")), "classes",
@@ -157,12 +174,14 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     leads = classes.groupBy("group").agg(F.min("class").alias("class"))
     groups = classes.join(leads, ["group", "class"], "left_semi")
     lists = groups.select("group", F.col("size").cast("int").alias("size"), F.posexplode("prefix").alias("at", "shingle"))
-    by_size = Window.partitionBy("shingle").orderBy("size", "group")
-    by_place = Window.partitionBy("shingle").orderBy("at", "size", "group")  # what has few rarer shingles of its own comes first
+    lists = _salted(lists, frequent)
+    by_size = Window.partitionBy("shingle", "salt").orderBy("size", "group")
+    by_place = Window.partitionBy("shingle", "salt").orderBy("at", "size", "group")  # what has few rarer shingles of its own comes first
     place = F.struct("group", "size", "at")
     lists = lists.withColumn("before", F.lag(place).over(by_size)).withColumn("lead", F.first(place).over(by_size)).withColumn("after", F.lead("group").over(by_size))
     lists = lists.withColumn("near", F.lag(place).over(by_place)).withColumn("centre", F.first(place).over(by_place))
-    lists = written(lists.where(F.col("before").isNotNull() | F.col("after").isNotNull()).drop("after"), "lists")  # a list of one links nothing
+    alone = F.col("before").isNull() & F.col("after").isNull() & F.col("salt").isNull()
+    lists = written(lists.where(~alone).drop("after"), "lists")  # a list of one links nothing
 
     near_size = lambda a, b: 100 * F.least(a, b) >= percent * F.greatest(a, b)
     stars = []

@@ -500,6 +500,14 @@ def test_op6_near_copies(spark):
     assert got == brute_components(texts)
 
 
+def test_op6_bounds_shape_the_work_alone(spark, sf, monkeypatch):
+    """Tiny bounds of counts, of frequent shingles and of lists give the same components."""
+    for name, value in (("COUNTED", 50), ("LOCAL", 2), ("FREQUENT_MOST", 5), ("LIST_MOST", 2), ("STEP", 20_000)):
+        monkeypatch.setattr(ngram_join, name, value)
+    got = sorted(map(tuple, queries.op6_ngram_join(spark, sf).select("doc_id", "n_shingles", "component_id").collect()))
+    assert got == brute_components(list(texts_of(sf).items()))
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(100, 160)] + [(1, 5), (5, 9), (9, 2), (7, 7)]
     got = {r.node: r.label for r in connected(spark.createDataFrame(edges, "a long, b long")).collect()}
