@@ -12,7 +12,8 @@ from catamill.session import table
 
 
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules or their group's adaptive thresholds reject go."""
+    """Documents that the base rules or their group's adaptive thresholds reject go. Null texts are empty and go; equal texts
+    of one language and source stay or go together; null languages and sources are groups; an empty table stays empty."""
     into = free_name(docs, "qr")
     return quality_rules.apply_rules(docs, into=into).where(F.col(f"{into}.kept")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
@@ -43,6 +44,8 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents as pieces of sequences. Null and empty texts have the end id alone; repeated rows are packed as often
+    as they stand there; very long texts have as many pieces as they need; an empty table gives no rows."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
