@@ -17,7 +17,7 @@ from catamill.functions.common import first_nonblank, text
 
 EVENT = ArrayType(StructType([StructField(c, StringType()) for c in ("name", "dates", "price", "register_url")]))
 #: Types of structured data that are events.
-EVENT_TYPES = ("event", "course", "courseinstance", "educationevent", "childrensevent", "sportsevent", "socialevent")
+EVENT_TYPES = ("event", "eventseries", "course", "courseinstance", "educationevent", "businessevent", "childrensevent", "socialevent", "camp")
 
 
 def flatten_payload(rows: DataFrame, column: str, schema: str, explode: str | None = None) -> DataFrame:
@@ -41,16 +41,32 @@ def _nodes(x: object) -> Iterator[dict]:
             todo = x + todo
 
 
+def _graph(x: object) -> Iterator[dict]:
+    """The objects that a JSON-LD block lists: those of a graph before the object that holds it."""
+    if isinstance(x, list):
+        for item in x:
+            yield from _graph(item)
+    elif isinstance(x, dict):
+        if isinstance(x.get("@graph"), list):
+            yield from _graph(x["@graph"])
+        yield x
+
+
 def _event(node: dict) -> dict | None:
     kinds = node.get("@type")
     kinds = kinds if isinstance(kinds, list) else [kinds]
-    if not any(str(k).lower() in EVENT_TYPES for k in kinds) or not node.get("name"):
+    name = str(node.get("name") or "").strip()
+    if not name or not any(str(k).lower() in EVENT_TYPES for k in kinds):
         return None
-    offers = node.get("offers") or {}
-    offer = offers[0] if isinstance(offers, list) and offers else offers if isinstance(offers, dict) else {}
-    price = offer.get("price", offer.get("lowPrice", ""))
-    days = " - ".join(str(node[k])[:10] for k in ("startDate", "endDate") if node.get(k))
-    return {"name": str(node["name"]).strip(), "dates": days, "price": "" if price in (None, "") else f"${price}", "register_url": str(offer.get("url") or node.get("url") or "")}
+    first, last = (str(node.get(k) or "").strip().split("T")[0] for k in ("startDate", "endDate"))
+    offer = node.get("offers")
+    offer = offer[0] if isinstance(offer, list) and offer else offer
+    offer = offer if isinstance(offer, dict) else {}
+    amount, currency = offer.get("price") or offer.get("lowPrice"), offer.get("priceCurrency", "")
+    return {
+        "name": name, "dates": f"{first} – {last}" if first and last and last != first else first or last,
+        "price": "" if amount in (None, "") else f"${amount}" if currency in ("", "USD") else f"{currency} {amount}", "register_url": str(offer.get("url") or node.get("url") or ""),
+    }
 
 
 def _state_event(node: dict) -> dict | None:
@@ -62,16 +78,30 @@ def _state_event(node: dict) -> dict | None:
     return {"name": name.strip(), "dates": " - ".join(str(d)[:10] for d in (start, end) if d), "price": str(node.get("price") or ""), "register_url": str(node.get("url") or "")}
 
 
-def _found(blocks: list[str], pick) -> list[dict]:
-    """Events of the blocks that parse, each (name, dates) once."""
+#: The plainer form's types.
+PLAIN_TYPES = ("event", "childrensevent", "course", "educationevent", "camp")
+
+
+def _plain_event(node: dict) -> dict | None:
+    """Of fewer types, with the first day alone."""
+    e = _event(node) if isinstance(node.get("@type"), (str, list)) else None
+    kinds = node.get("@type")
+    kinds = kinds if isinstance(kinds, list) else [kinds]
+    if e is None or not any(str(k).lower() in PLAIN_TYPES for k in kinds):
+        return None
+    return {"name": e["name"], "dates": str(node.get("startDate") or "").split("T")[0], "price": "", "register_url": ""}
+
+
+def _found(blocks: list[str], pick, walk, once: bool = True) -> list[dict]:
+    """Events of the blocks that parse, each (name, dates) once, or as often as they stand there."""
     out, seen = [], set()
     for block in blocks:
         try:
             data = json.loads(block)
         except ValueError:
             continue
-        for node in _nodes(data):
-            if (e := pick(node)) and (key := (e["name"].lower(), e["dates"])) not in seen:
+        for node in walk(data):
+            if (e := pick(node)) and ((key := (e["name"].lower(), e["dates"])) not in seen or not once):
                 seen.add(key)
                 out.append(e)
     return out
@@ -80,28 +110,38 @@ def _found(blocks: list[str], pick) -> list[dict]:
 @F.pandas_udf(EVENT)
 def jsonld_events(blocks: pd.Series) -> pd.Series:
     """Events of a page's JSON-LD blocks (array of texts); blocks that don't parse are passed over."""
-    return blocks.map(lambda b: _found(list(b) if b is not None else [], _event))
+    return blocks.map(lambda b: _found(list(b) if b is not None else [], _event, _graph))
 
 
 @F.pandas_udf(EVENT)
 def state_events(blocks: pd.Series) -> pd.Series:
     """Events of embedded application state: any object with a name or title and a start."""
-    return blocks.map(lambda b: _found(list(b) if b is not None else [], _state_event))
+    return blocks.map(lambda b: _found(list(b) if b is not None else [], _state_event, _nodes))
 
 
-def structured_events(pages: DataFrame) -> DataFrame:
+@F.pandas_udf(EVENT)
+def plain_jsonld_events(blocks: pd.Series) -> pd.Series:
+    """The plainer form: fewer types, the first day alone, repeated events as often as they stand there."""
+    return blocks.map(lambda b: _found(list(b) if b is not None else [], _plain_event, _graph, once=False))
+
+
+def structured_events(pages: DataFrame, plain: bool = False) -> DataFrame:
     """page_id, kind, name, dates, price, register_url of all structured events; pages without blocks never reach Python."""
     parts = []
-    for kind, pattern, f in (("jsonld", r"(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>", jsonld_events), ("state", r"(?is)<script[^>]*application/json[^>]*>(.*?)</script>", state_events)):
+    for kind, pattern, f in (("jsonld", r"(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>", plain_jsonld_events if plain else jsonld_events), ("state", r"(?is)<script[^>]*application/json[^>]*>(.*?)</script>", state_events)):
         some = pages.select("page_id", F.regexp_extract_all(text("html"), F.lit(pattern), F.lit(1)).alias("blocks")).where(F.size("blocks") > 0)
         parts.append(some.select("page_id", F.lit(kind).alias("kind"), F.inline(f("blocks"))))
     return parts[0].union(parts[1])
 
 
+#: Fixed value: the first line of a page's structured programmes.
+SUMMARY_HEAD = "## STRUCTURED PROGRAMS (embedded schema.org data)"
+
+
 def events_summary(events: DataFrame, key: str = "page_id") -> DataFrame:
-    """One line of text per event, one text per page."""
-    line = F.concat_ws(" | ", *[F.nullif(text(c), F.lit("")) for c in ("name", "dates", "price")])
-    return events.groupBy(key).agg(F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("summary"))
+    """One line of text per event under a heading, one text per page."""
+    line = F.concat(F.lit("- "), F.concat_ws(" | ", "name", *[F.nullif(text(c), F.lit("")) for c in ("dates", "price")]))
+    return events.groupBy(key).agg(F.concat(F.lit(SUMMARY_HEAD + "\n"), F.array_join(F.array_sort(F.collect_list(line)), "\n")).alias("summary"))
 
 
 def collapse_item_links(links: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -117,7 +157,7 @@ def best_register_link(links: DataFrame, host: Column, least: int = 40) -> DataF
 
 def page_record(pages: DataFrame, links: DataFrame) -> DataFrame:
     """One record per page by rules: name from heading, title or address, best register link, first age and summer date, and a status where neither is there."""
-    grab = lambda p: T.strip(F.regexp_replace(F.regexp_extract(text("html"), p, 1), r"<[^>]+>", " "))
+    grab = lambda p: T.strip(F.regexp_replace(F.regexp_extract(text("html"), p, 1), r"(?U)(?:<[^>]+>|\s)+", " "))
     slug = F.initcap(F.translate(F.regexp_extract(U.path(F.col("url")), r"/([^/.]+)(?:\.\w+)?/?$", 1), "-_", "  "))
     body = T.html_to_text(F.col("html"))
     p = pages.withColumns({"page_text": body, "name": first_nonblank(grab(r"(?is)<h1[^>]*>(.*?)</h1>"), grab(r"(?is)<title[^>]*>(.*?)</title>"), slug)})

@@ -81,13 +81,27 @@ def dedupe_sessions(rows: DataFrame, lists: Sequence[str] = ("discovered_via", "
     return merged.withColumn("session_uid", F.when(F.col("stable_id") != "", F.col("stable_id")).otherwise(F.concat_ws("|", F.lit("fuzzy"), "match_name", "zip", "day")))
 
 
+def _grams(n: Column, threshold: float) -> Column:
+    """Bigrams of which two names of at least that ratio (insertions and deletions) share one: with a length of n, at most
+    d = (1 - r)(n + n (2 - r) / r) changes lie between them, which touch 2 d bigrams; so among its 2 d + 1 first ones, in
+    the order of a hash, each name has one of the other's. Below a ratio of 0.9 that may be more than all: one mark for all."""
+    if threshold < 0.9:
+        return F.array(F.lit(""))
+    size = F.length(n)
+    changes = F.floor((1 - threshold) * (size + size * (2 - threshold) / threshold) + 1e-9).cast("int")
+    every = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(size - 1, F.lit(1))), lambda i: F.substring(n, i, F.lit(2))))
+    ordered = F.array_sort(F.transform(every, lambda g: F.struct(F.xxhash64(g).alias("h"), g.alias("g"))))
+    return F.transform(F.slice(ordered, F.lit(1), 2 * changes + 1), lambda x: x["g"])
+
+
 def fuzzy_pairs(rows: DataFrame, block: Sequence[str], name: str, key: str, threshold: float, flavour: str = "indel") -> DataFrame:
-    """a, b, ratio of rows in one block whose names are similar. Blocks are further cut by shared name tokens, so that
-    pairs are made only where a token is shared; names of such pairs are compared whole."""
+    """a, b, ratio of rows in one block whose names are similar, none left out: such names share a token, or some of the
+    bigrams of _grams. Candidates are compared whole. Ratios of less than 0.9 compare all names of a block."""
     rows = rows.select(*block, F.col(key).alias("k"), F.col(name).alias("n"))
-    token = rows.select("*", F.explode(F.array_distinct(F.filter(F.split("n", " "), lambda x: x != ""))).alias("token"))
-    x, y = token.alias("x"), token.alias("y")
-    on = F.col("x.token").eqNullSafe(F.col("y.token"))
+    tokens = F.transform(F.array_distinct(F.filter(F.split("n", " "), lambda x: x != "")), lambda t: F.concat(F.lit("t|"), t))
+    each = rows.where(F.col("n") != "").select("*", F.explode(F.concat(tokens, F.transform(_grams(F.col("n"), threshold), lambda g: F.concat(F.lit("g|"), g)))).alias("mark"))
+    x, y = each.alias("x"), each.alias("y")
+    on = F.col("x.mark") == F.col("y.mark")
     for b in block:
         on = on & (F.col(f"x.{b}") == F.col(f"y.{b}"))
     pairs = x.join(y, on & (F.col("x.k") < F.col("y.k"))).select(F.col("x.k").alias("a"), F.col("y.k").alias("b"), F.col("x.n").alias("m"), F.col("y.n").alias("n")).distinct()
