@@ -170,7 +170,8 @@ def _ids(text: pa.Array, encoder: BytePairEncoder, memo: Memo) -> tuple[np.ndarr
 
 
 def encode(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, ids (array of int) of every row of docs (doc_id, text; others are not read). Null texts are empty and have no ids."""
+    """doc_id, n_tokens, ids (array of int) of every row of docs (doc_id, text; others are not read). Null texts are empty and have no
+    ids; very long texts are encoded whole; equal texts have equal ids, so repeated rows do; an empty table gives no rows."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         encoder, memo, *_ = _loaded(vocabulary, pattern)
@@ -183,7 +184,8 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
 
 
 def decode(ids: DataFrame, vocabulary: str, pattern: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, the columns to keep, decoded (binary) and ids_text (decimal ids joined by commas) of rows of doc_id, ids. Null lists are empty."""
+    """doc_id, the columns to keep, decoded (binary) and ids_text (decimal ids joined by commas) of rows of doc_id, ids. Null
+    lists are empty; repeated rows are decoded as often as they stand there; an empty table gives no rows."""
     kept = ["doc_id", *keep]
 
     def run(batches) -> Iterator[pa.RecordBatch]:

@@ -50,7 +50,7 @@ class Model:
     radius: np.ndarray  # largest cosine distance of each centroid's language
 
 
-STEP = 1 << 20
+STEP, BLOCK = 1 << 20, 1 << 20
 _TABLE = np.random.default_rng(11).integers(1, 1 << 31, size=(8, 256), dtype=np.int64) | 1
 
 
@@ -59,20 +59,21 @@ def counts(text: pa.Array, fit: Fit) -> np.ndarray:
     folded = pc.replace_substring_regex(pc.utf8_lower(text), r"[^\pL]+", " ")
     n = len(folded)
     ends = np.frombuffer(folded.buffers()[1], np.int64, n + 1, folded.offset * 8)
-    data = np.frombuffer(folded.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]].astype(np.int64)
-    row = np.repeat(np.arange(n), np.diff(ends))
+    data = np.frombuffer(folded.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    past = ends[1:] - ends[0]
     out = np.zeros(n * fit.buckets, np.int64)
     for order in fit.orders:
-        if len(data) < order:
-            continue
-        h = np.zeros(len(data) - order + 1, np.int64)
-        for k in range(order):
-            h += _TABLE[k + 1][data[k : len(h) + k]] * (order * 2 + 1)
-        h ^= h >> 15
-        first, last = row[: len(h)], row[order - 1 :]
-        inside = first == last
-        at = (first * fit.buckets + ((h * 0x9E3779B1) >> 16 & (fit.buckets - 1)))[inside]
-        out += np.bincount(at, minlength=len(out))
+        # In blocks of bytes that overlap by an n-gram, so that a very long text needs no more than others.
+        for low in range(0, max(0, len(data) - order + 1), BLOCK):
+            part = data[low : low + BLOCK + order - 1].astype(np.int64)
+            row = np.searchsorted(past, np.arange(low, low + len(part)), side="right")
+            h = np.zeros(len(part) - order + 1, np.int64)
+            for k in range(order):
+                h += _TABLE[k + 1][part[k : len(h) + k]] * (order * 2 + 1)
+            h ^= h >> 15
+            first = row[: len(h)]
+            at = (first * fit.buckets + ((h * 0x9E3779B1) >> 16 & (fit.buckets - 1)))[first == row[order - 1 :]]
+            out += np.bincount(at, minlength=len(out))
     return out.reshape(n, fit.buckets)
 
 
@@ -100,7 +101,8 @@ def cluster(x: np.ndarray, fit: Fit) -> tuple[np.ndarray, float]:
 
 
 def train(labelled: DataFrame, fit: Fit = Fit()) -> Model | None:
-    """labelled: text, lang, and doc_id if there is one. Null langs and texts without letters teach nothing; None if nothing is left."""
+    """labelled: text, lang, and doc_id if there is one. Null langs and texts without letters teach nothing; None if nothing
+    is left, as of an empty table. Repeated rows count as often as they stand there, and are drawn one by one."""
     rows = labelled.where(F.col("lang").isNotNull() & F.coalesce(F.col("text"), F.lit("")).rlike(r"\p{L}")).withColumn("lang", F.col("lang").cast("string"))
     sizes = rows.groupBy("lang").count()  # one row per language
     draw = F.pmod(row_draw(rows, fit.seed), F.lit(1 << 30)) / float(1 << 30)
@@ -136,6 +138,8 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     lang_pred: the language of the nearest centroid, also beyond its radius (rejected is true there). score: how much
     nearer it is than the nearest of another language, 0.5 for as near, 1 for twice as near or more in cosine. Texts
     that are null or have no letter, and all texts without a model, are `und` with score 0, no distance, and rejected.
+    Between languages that are as near, the first by name counts. Texts are read whole, very long ones in blocks, and
+    equal texts are told alike, so repeated rows are; an empty table gives no rows.
     """
     names = sorted(set(model.languages)) if model else []
     shared = docs.sparkSession.sparkContext.broadcast(model)  # buckets * clusters * languages floats

@@ -147,7 +147,8 @@ def padded(text: Column, unit: int = 64) -> Column:
 
 
 def store(df: DataFrame, codec: int = MULAW, rate: int = 8000) -> DataFrame:
-    """df with `media` in place of `payload`: its bytes as the codec's samples (blocks of 64 for ADPCM), unchanged. Null payloads stay null."""
+    """df with `media` in place of `payload`: its bytes as the codec's samples (blocks of 64 for ADPCM), unchanged. Null payloads stay null;
+    very long ones are stored whole; equal payloads make equal media, so repeated rows do; an empty table stays empty."""
     kept = [c for c in df.columns if c not in ("payload", "media")]
 
     def run(batches) -> Iterator[pa.RecordBatch]:

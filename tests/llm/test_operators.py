@@ -162,6 +162,44 @@ def test_op3_sample(spark, monkeypatch):
     assert model.idf == pytest.approx(np.log(3001 / (1 + df)) + 1, rel=1e-5)
 
 
+def test_op3_centroids():
+    """Centroids, radius and the nearest one by brute force; ties go to the first language; blocks of bytes change nothing."""
+    fit = language_id.Fit(clusters=2, buckets=64)
+    rng = np.random.default_rng(5)
+    x = np.abs(rng.normal(size=(60, 64))).astype(np.float32)
+    x[:30, :32] += 3
+    x[30:, 32:] += 3
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    c, radius = language_id.cluster(x, fit)
+    for k, part in enumerate((x[:30], x[30:])):
+        mean = part.mean(axis=0) / np.linalg.norm(part.mean(axis=0))
+        assert max(c @ mean) > 0.999, k
+    assert radius == pytest.approx(np.quantile(1 - (x @ c.T).max(axis=1), 1 - fit.reject) + fit.slack)
+    texts = language_id.pa.array(["Ab cd, efg h" * 50, "", "zz"], language_id.pa.large_string())
+    whole = language_id.counts(texts, fit)
+    want = Counter()
+    data = re.sub(r"[^a-z]+", " ", ("Ab cd, efg h" * 50).lower()).encode()
+    for order in fit.orders:
+        for i in range(len(data) - order + 1):
+            h = sum(int(language_id._TABLE[k + 1][data[i + k]]) * (order * 2 + 1) for k in range(order))
+            h ^= h >> 15
+            want[(h * 0x9E3779B1 & (1 << 64) - 1) >> 16 & 63] += 1
+    assert [want[b] for b in range(64)] == whole[0].tolist() and not whole[1].any()
+    old, language_id.BLOCK = language_id.BLOCK, 7
+    try:
+        assert (language_id.counts(texts, fit) == whole).all()
+    finally:
+        language_id.BLOCK = old
+
+
+def test_op3_ties(spark):
+    """Two languages learned from the same texts are as near: the first by name counts, with score 0.5."""
+    rows = [(k, f"some words {'abcdefgh'[k % 8]} here", lang) for k in range(40) for lang in ("bb", "aa")]
+    model = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    got = language_id.predict(spark.createDataFrame([(1, "some words here"), (2, "some words here")], "doc_id long, text string"), model).collect()
+    assert {(r.lang_pred, round(r.score, 6)) for r in got} == {("aa", 0.5)}
+
+
 # 4. HTML
 
 
@@ -810,3 +848,31 @@ def test_histogram():
     many = {n: 10**9 if n == 7 else n for n in range(1, 4097)}
     parts = packing.parts_of(many)
     assert sum(parts.values()) <= packing.PARTS + 4096 and parts[7] > 8000 and parts[1] == 1
+
+
+def test_very_long_texts(spark):
+    """A text of 20 MB goes through every operator over documents whole."""
+    n = 3_000_000
+    text = " ".join(f"w{k % 50021:05d}" for k in range(n))
+    docs = spark.createDataFrame([(1, text, "en", "s"), (2, None, "en", "s"), (3, "short text", "en", "s")], "doc_id long, text string, lang string, source string").repartition(1).persist()
+    payload = docs.select("doc_id", telephony.padded(F.col("text")).alias("payload"))
+    back = telephony.expand(telephony.store(payload)).select("doc_id", F.octet_length("payload").alias("n"), F.md5("payload").alias("h")).orderBy("doc_id").first()
+    padded = text.encode() + bytes(-len(text) % 64)
+    assert (back.n, back.h) == (len(padded), hashlib.md5(padded).hexdigest())
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ids = byte_bpe.encode(docs, path, public_tokenizers.PATTERN)
+    out = byte_bpe.decode(ids, path, public_tokenizers.PATTERN).select("doc_id", F.md5("decoded").alias("h")).where("doc_id = 1").first()
+    assert out.h == hashlib.md5(text.encode()).hexdigest()
+    model = language_id.train(docs.select("doc_id", "text", "lang"))
+    assert language_id.predict(docs, model).where("doc_id = 1").first().lang_pred == "en"
+    scored = {r.doc_id: r for r in pitman_yor.score_documents(docs.withColumn("learn", F.lit(True))).collect()}
+    assert scored[1].n_tokens == n + 1 and scored[1].train_tokens == n + 5 and scored[3].n_known == 3
+    joined = {r.doc_id: r.n_shingles for r in ngram_join.join(docs).collect()}
+    assert joined == {1: 50021, 2: 0, 3: 1}
+    rules = {r.doc_id: r.qr for r in quality_rules.apply_rules(docs).collect()}
+    assert rules[1].n_words == n and rules[1].n_repeat_words == n and rules[1].base_failed
+    labels = spark.createDataFrame([(1, 1), (3, 0)], "doc_id long, label int")
+    assert quality_classifier.score(docs, quality_classifier.train(docs, labels)).count() == 3
+    pieces = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), 2).where("doc_id = 1").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("t")).first()
+    assert pieces.n == pieces.t > n
+    docs.unpersist()
