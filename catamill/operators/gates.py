@@ -11,6 +11,7 @@ from catamill.functions import dates as D
 from catamill.functions import texts as T
 from catamill.functions import urls as U
 from catamill.functions.common import UI, all_reasons, blank, distinct_hits, first_nonblank, first_reason, matches, strip, text
+from catamill.operators.signals import enrollment
 
 # Markers of what is no youth camp.
 CAMP_WORD = r"\b(?:day\s+camp|summer\s+camp|aileycamp|campers?|camps?)\b"
@@ -81,13 +82,6 @@ def noncamp_reason(name: Column, info_url: Column, register_url: Column, page: C
     ])
 
 
-def enrollment_signals(url: Column, page: Column) -> Column:
-    """struct<has_cart, is_platform, is_adult, ready>: whether a page can take an enrolment."""
-    t = F.substring(text(page), 1, 8000)
-    cart, platform, adult = T.has_affordance(t), U.is_registration(url), matches(t, ADULT_AUDIENCE)
-    return F.struct(cart.alias("has_cart"), platform.alias("is_platform"), adult.alias("is_adult"), ((cart | (platform & matches(t, r"register|enroll"))) & ~adult).alias("ready"))
-
-
 def with_pages(sessions: DataFrame, pages: DataFrame) -> DataFrame:
     """sessions with info_text and register_text, by exact and then by canonical address. pages: key (canonical), text."""
     keyed = sessions.withColumns({"info_key": U.canonical_url(F.col("info_url")), "register_key": U.canonical_url(F.col("register_url"))})
@@ -128,8 +122,8 @@ def publish_gate(sessions: DataFrame, pages: DataFrame, *, min_chars: int = 400,
     s = s.withColumn("evidence", F.coalesce(*order))
     soft = F.coalesce(F.coalesce("r_name", "r_geo", "r_info").isNull() & (F.col("evidence").isin("adult evidence", "no evidence") | F.col("r_noncamp").isNotNull()), F.lit(False))
     review = soft if include_review else F.lit(False)
-    signals = enrollment_signals(first_nonblank(F.col("register_url"), F.col("info_url")), first_nonblank(F.col("register_text"), F.col("info_text")))
-    verdict = F.when(F.col("evidence").isNull(), F.when(signals["ready"], "parent_ready").otherwise("info_confirmed")).when(review, "needs_review")
+    s = s.withColumn("__signals", enrollment(first_nonblank(F.col("register_url"), F.col("info_url")), first_nonblank(F.col("register_text"), F.col("info_text")), name))
+    verdict = F.when(F.col("evidence").isNull(), F.when(F.col("__signals.auto_verdict") == "parent_ready", "parent_ready").otherwise("info_confirmed")).when(review, "needs_review")
     out = s.withColumns({
         "status": F.when(verdict.isNotNull(), "published").otherwise("gap"),
         "reason": F.when(verdict.isNull(), F.when(F.col("evidence").isin("info page not fetched", "info page too short"), "empty").otherwise("needs_review")),

@@ -185,7 +185,7 @@ ORACLES: dict[str, str] = {
       SELECT *, round(hit / nullif(good, 0), 6) AS recall, round(hit / nullif(said, 0), 6) AS precision FROM g""",
     "provider_regressions": """
       SELECT o_custkey, before, after, after - before AS delta FROM (SELECT o_custkey, count(*) FILTER (year(o_orderdate) = 1996) AS before, count(*) FILTER (year(o_orderdate) = 1997) AS after FROM orders GROUP BY 1) WHERE before + after > 0""",
-    "provider_floors": "SELECT s_suppkey, s_name, count(DISTINCT l_orderkey) AS n FROM supplier LEFT JOIN lineitem ON l_suppkey = s_suppkey GROUP BY 1, 2 HAVING count(DISTINCT l_orderkey) < 55",
+    "provider_floors": "SELECT s_suppkey, s_name, count(DISTINCT l_orderkey) AS n FROM supplier LEFT JOIN lineitem ON l_suppkey = s_suppkey GROUP BY 1, 2 HAVING count(DISTINCT l_orderkey) < 600",
     "event_payloads": "SELECT event_type, CAST(json_extract(props, '$.k') AS BIGINT) % 10 AS bucket, count(*) AS n, CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) AS total FROM events GROUP BY 1, 2",
     "item_link_collapse": f"""
       SELECT page_id, lower(regexp_extract(url, '/([^/]*)$', 1)) AS item, arg_max(label, length(label) * 1000000 - pos) AS name, CAST(min(pos) AS BIGINT) AS pos, count(*) AS n FROM ({LINKS}) GROUP BY 1, 2""",

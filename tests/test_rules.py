@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from catamill.functions import hosts as H
 from catamill.functions import texts as T
 from catamill.functions import urls as U
-from catamill.operators import gates, geo, links, records, relevance, verdicts
+from catamill.operators import gates, geo, links, records, relevance, reports, signals, verdicts
 
 
 def values(spark, column, rows, schema="x string"):
@@ -42,7 +42,8 @@ def test_register_urls(spark):
 def test_priorities_and_classes(spark):
     urls = ["https://x.myvscloud.com/webtrac/web/search.html?type=camp&module=AR", "https://lex.myrec.com/program_details.aspx?ProgramID=1", "https://a.org/about"]
     assert values(spark, U.registration_priority(F.col("x")), urls) == [65, 25, 0]
-    assert values(spark, U.page_class(F.col("x")), ["https://a.org/best-10", "https://a.org/directory", "https://a.org/summer", "https://a.org/x"]) == ["guide", "directory", "camp", "unknown"]
+    got = values(spark, U.page_class(F.col("x"), H.GUIDE_DOMAINS), ["https://www.macaronikid.com/x", "https://lex.myrec.com/", "https://town.gov/parks", "https://town.gov/x", "https://a.org/Summer-Camps", "https://a.org/class/x", "https://a.org/list", "https://a.org/x"])
+    assert got == ["guide", "directory", "directory", "unknown", "directory", "camp", "directory", "unknown"]
     assert values(spark, H.candidate_score(F.col("u"), F.col("t")), [("https://a.org/camps/x", "Summer Camp - register"), ("https://a.org/login", "camp"), ("https://a.org/x", "after care camp"), ("https://a.org/zoo", "x")], "u string, t string") == [7, 0, 0, 0]
     assert values(spark, H.directory_score(F.col("x")), ["https://a.org/", "https://a.org/category/blog/x", "https://a.org/recreation", "https://daycamp.org/summer-camps/"]) == [50, 200, -20, -80]
     assert values(spark, H.locality_score(F.col("u"), F.col("t")), [("https://burlingtonma.myrec.com", "Burlington"), ("https://burlingtonvt.gov", "Burlington"), ("https://burlington.org", "Burlington"), ("https://x.org", "")], "u string, t string") == [4, 0, 2, 0]
@@ -138,7 +139,7 @@ def test_publish_gate(spark):
         base | {"id": 5, "register_url": "https://b.org/locations/vermont/x"}, base | {"id": 6, "dates": "October 3-7"}, base | {"id": 7, "ages": "18+"}, base | {"id": 8, "dates": "", "ages": "", "price": ""},
         base | {"id": 9, "name": "Pottery Wheel Week", "program_name": "Pottery Wheel Week"}, base | {"id": 10, "name": "Summer Camp", "program_name": "Summer Camp", "info_url": "https://a.org/generic"},
     ]
-    pages = spark.createDataFrame([(f"https://a.org/{k}", t) for k, t in (("camp", "Adventure Camp for kids." + LONG), ("short", "Adventure Camp"), ("generic", "Summer camp for kids." + LONG))] + [("https://lex.myrec.com/x", "Register now: add to cart")], "key string, text string")
+    pages = spark.createDataFrame([(f"https://a.org/{k}", t) for k, t in (("camp", "Adventure Camp for kids." + LONG), ("short", "Adventure Camp"), ("generic", "Summer camp for kids." + LONG))] + [("https://lex.myrec.com/x", "Summer camp, $200. Register now: add to cart")], "key string, text string")
     s = frame(spark, rows)
     got = {r.id: r for r in gates.publish_gate(s, pages).collect()}
     assert (got[1].status, got[1].verdict, got[1].evidence) == ("published", "parent_ready", None)
@@ -189,8 +190,43 @@ def test_register_gate(spark):
     assert {r.id: (r.registrable, r.gate_reason) for r in gates.register_gate(rows, checks).collect()} == {
         0: (False, "no register_url"), 1: (False, "register_url 404"), 2: (False, "no registration affordance"), 3: (True, "200+affordance"), 4: (True, "unchecked"),
     }
-    signals = values(spark, gates.enrollment_signals(F.col("u"), F.col("p")), [("https://lex.myrec.com", "Register here"), ("https://a.org", "Add to cart"), ("https://a.org", "hello")], "u string, p string")
-    assert [s.ready for s in signals] == [True, True, False]
+
+
+def test_signals(spark):
+    item = "https://x.myvscloud.com/webtrac/iteminfo.html?fmid=1"
+    rows = [
+        (item, "Add to cart"), (item, "hello"), ("https://a.org/x", "Summer camp, $200, register now"), ("https://a.org/x", "Summer camp. Coming soon"), ("https://a.org/x", "Summer camp"), ("https://a.org/faq/", "Summer camp $200 register now"),
+        ("https://a.org/x", "Adult education for all"), ("https://a.org/x", "Members only"), ("https://a.org/x", "  "), ("https://a.org/product/x", "woocommerce add-to-cart $200"), ("https://a.org/program/teens/", "Summer camp"),
+    ]
+    new = values(spark, signals.enrollment(F.col("u"), F.col("h")), rows, "u string, h string")
+    assert [s.auto_verdict for s in new] == ["parent_ready", None, "parent_ready", None, None, "wrong_audience", "wrong_audience", None, None, "parent_ready", None]
+    assert [s.blockers for s in new] == [[], [], [], ["brochure_only"], [], ["junk_url"], ["adult_ed"], ["login_wall"], ["empty_page"], [], []]
+    old = values(spark, signals.verdict_of(signals.enrollment(F.col("u"), F.col("h"), older=True), F.col("h")), rows, "u string, h string")
+    assert old == ["parent_ready", "unverified", "parent_ready", "brochure_only", "brochure_only", "parent_ready", "wrong_audience", "login_wall", "fetch_failed", "parent_ready", "wrong_audience"]
+
+
+def test_catalog_items(spark):
+    iteminfo, details = "https://x.myvscloud.com/webtrac/iteminfo.html?Module=AR&FMID=", "https://lex.myrec.com/info/program_details.aspx?ProgramID="
+    rows = [(1, 0, iteminfo + "1", "Item Details"), (1, 1, iteminfo + "1", "Art Camp"), (1, 2, iteminfo + "1", "07/06/2026 -07/10/2026"), (1, 3, iteminfo + "2&option=dates", "Chess"), (1, 4, "https://a.org", "Art")]
+    got = signals.catalog_items(spark.createDataFrame(rows, "page_id int, pos int, url string, label string"), "webtrac").collect()
+    assert [(r.item, r.name, r.dates) for r in got] == [("1", "Art Camp", "07/06/2026 - 07/10/2026")]
+    rows = [(1, 0, details + "7", "View"), (1, 1, details + "7", "Art Camp"), (1, 2, details + "7", "Art Camp Ages 7-12 Jul 6-10"), (1, 3, details + "8", "details")]
+    got = signals.catalog_items(spark.createDataFrame(rows, "page_id int, pos int, url string, label string"), "myrec").collect()
+    assert [(r.item, r.name, r.dates, r.ages) for r in got] == [("7", "Art Camp Ages 7-12 Jul 6-10", "Jul 6-10", "Ages 7-12")]
+    rows = [(1, 0, "https://o.daxko.com/ProgramDetail.mvc?program_id=1", "Camp"), (1, 1, "https://o.daxko.com/ProgramDetail.mvc?program_id=1", "Camp Fun"), (1, 2, "https://o.daxko.com/ProgramDetail.mvc?program_id=2", "Swim test"), (1, 3, "https://o.daxko.com/x", "Camp")]
+    got = signals.catalog_items(spark.createDataFrame(rows, "page_id int, pos int, url string, label string"), "daxko").collect()
+    assert [(r.name, r.url) for r in got] == [("Camp Fun", "https://o.daxko.com/ProgramDetail.mvc?program_id=1")]
+
+
+def test_reports(spark):
+    rows = frame(spark, [{"s": "a", "label": "1"}, {"s": "a", "label": "0"}, {"s": "a", "label": ""}, {"s": "b", "label": "1"}, {"s": "c", "label": ""}])
+    got = {r.s: (r.n, r.base, r.blank, r.good, r.grade) for r in reports.completeness(rows, "s", {"blank": F.col("label") == ""}, F.col("label") == "1", F.col("label") != "").collect()}
+    assert got == {"a": (3, 2, 1, 1, "D"), "b": (1, 1, 0, 1, "A"), "c": (1, 0, 1, 0, "D")}
+    assert {tuple(r) for r in reports.subtotals(frame(spark, [{"a": "x", "b": "1"}, {"a": "x", "b": "2"}, {"a": "y", "b": "1"}]), "a", "b").collect()} == {("x", "1", 1), ("x", "2", 1), ("y", "1", 1), ("x", "all", 2), ("y", "all", 1), ("all", "all", 3)}
+    c, found = frame(spark, [{"crawled": True}, {"crawled": False}]), frame(spark, [{"r": "media"}, {"r": None}, {"r": "media"}, {"r": "junk"}])
+    assert tuple(reports.funnel(c, found, F.col("r")).first()) == (2, 1, 4, 1, {"media": 2, "junk": 1})
+    by_reason, most = reports.gaps(frame(spark, [{"provider_id": p, "reason": r} for p, r in (("a", "empty"), ("a", "empty"), ("b", "js"))]), 1)
+    assert {tuple(r) for r in by_reason.collect()} == {("empty", 2), ("js", 1)} and [tuple(r) for r in most.collect()] == [("a", 2)]
 
 
 def test_screen_hits(spark):
