@@ -91,11 +91,17 @@ def _parts(batches, column: int) -> Iterator[tuple[pa.RecordBatch, pa.Array, np.
             yield batch, pc.ascii_lower(pa.array([part], pa.large_string())), np.zeros(1, np.int64), np.array([k == len(found) - 1])
 
 
-def _frequent(docs: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words with half a bucket's share of tokens or more, sorted, and over how many buckets each is dealt.
+#: Words of a slice that are told, by count; and words that have short names where contexts are dealt.
+TOLD, SHORT = 4, 65_000
 
-    Slices tell the words that have half of that share there. What the others leave out of a word is under half of the
-    share, so that no such word is missed; there are four for each bucket at most."""
+
+def _frequent(docs: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all words with half a bucket's share of tokens or more, sorted, and over how many buckets each is dealt;
+    and hashes of the most frequent words, sorted, whose places there are shorter names.
+
+    Slices tell the words that have half of that share there (and those with TOLD tokens, which shape names alone). What
+    the others leave out of a word is under half of the share, so that no such word is missed; there are four for each
+    bucket at most."""
     share = 1 / (2 * buckets)
 
     def count(batches) -> Iterator[pa.RecordBatch]:
@@ -103,7 +109,7 @@ def _frequent(docs: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
             index, words, _ = split_words(text)
             n = np.bincount(index, minlength=len(words))
             total = len(index) + int(ends.sum())
-            many = np.flatnonzero(n >= share / 2 * total)
+            many = np.flatnonzero(n >= min(share / 2 * total, TOLD))
             names = [word_hash(words[k]) for k in many.tolist()]
             arrays = np.array([*names, END, START], np.uint64).view(np.int64), np.concatenate([n[many], [ends.sum(), total]]).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["h", "n"])
@@ -111,12 +117,24 @@ def _frequent(docs: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     counts = written(docs.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "frequent")
     total = counts.where(F.col("h") == int(START)).first()
     if not total:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     few = counts.where((F.col("h") != int(START)) & (F.col("n") >= share / 2 * total.n)).collect()  # four a bucket at most
     names = np.array([r.h for r in few], np.int64).view(np.uint64)
     parts = np.array([1 + int(2 * buckets * r.n / total.n) for r in few], np.int64)
     order = np.argsort(names)
-    return names[order], parts[order]
+    short = counts.where(F.col("h") != int(START)).orderBy(F.col("n").desc(), "h").limit(SHORT).select("h").collect()  # SHORT numbers
+    return names[order], parts[order], np.sort(np.array([r.h for r in short], np.int64).view(np.uint64))
+
+
+def _shortened(names: np.ndarray, short: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """New place of each of the sorted names: those in `short` first, as steps between their places there, then the others."""
+    at, known = _find(names, short)
+    place = np.where(known, np.cumsum(known) - 1, known.sum() + np.cumsum(~known) - 1)
+    return place, _small(np.diff(at[known], prepend=0)), names[~known]
+
+
+def _named(steps: np.ndarray, others: np.ndarray, short: np.ndarray) -> np.ndarray:
+    return np.concatenate([short[np.cumsum(steps.astype(np.int64))], others])
 
 
 def _find(names: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -149,9 +167,9 @@ def _pairs(text: pa.Array, part: np.ndarray, ends: np.ndarray, before: np.uint64
     return names[key // (n * d)], names[key // d % n], key % d, count, lengths
 
 
-def _deal(docs: DataFrame, buckets: int, frequent: tuple[np.ndarray, np.ndarray], fit: Fit) -> DataFrame:
+def _deal(docs: DataFrame, buckets: int, frequent: tuple[np.ndarray, np.ndarray, np.ndarray], fit: Fit) -> DataFrame:
     """docs: doc_id, learn, text."""
-    hot, over = frequent
+    hot, over, short = frequent
 
     def chunk_rows(chunk: int, found: list, docs: list) -> pa.RecordBatch:
         w, u, doc, count = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -189,8 +207,9 @@ def _deal(docs: DataFrame, buckets: int, frequent: tuple[np.ndarray, np.ndarray]
         for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
             words, wi = np.unique(pw[a:b], return_inverse=True)
             contexts, ui = np.unique(pu[a:b], return_inverse=True)
+            place, steps, others = _shortened(contexts, short)
             entries = slice(begin, begin := begin + int(runs[a:b].sum()))
-            rows.append((int(pto[a]), TOKENS, _pack(words, _small(np.bincount(wi)), contexts, _small(ui), _small(runs[a:b]), doc[entries], count[entries], bits, d, len(more), _small(learned[a:b][many[a:b]]))))
+            rows.append((int(pto[a]), TOKENS, _pack(words, _small(np.bincount(wi)), (steps, others), _small(place[ui]), _small(runs[a:b]), doc[entries], count[entries], bits, d, len(more), _small(learned[a:b][many[a:b]]))))
         return _record(rows, chunk)
 
     def run(batches) -> Iterator[pa.RecordBatch]:
@@ -232,7 +251,7 @@ def _record(rows: list[tuple], chunk: int) -> pa.RecordBatch:
     )
 
 
-def _gather(buckets: int, hot: np.ndarray):
+def _gather(buckets: int, hot: np.ndarray, short: np.ndarray):
     """Of one bucket: its pairs with counts, its tokens by pair, and what it asks and tells of contexts and sums with one table a pair."""
 
     def run(key, table):
@@ -243,7 +262,9 @@ def _gather(buckets: int, hot: np.ndarray):
             if kind == DOCS:
                 out.append((DOCS, chunk, 0, data))
             else:
-                parts.append(_unpack(data))
+                part = list(_unpack(data))
+                part[2] = _named(*part[2], short)
+                parts.append(part)
                 chunks.append(chunk)
         del table
         if parts:
@@ -503,8 +524,8 @@ def score_documents(docs: DataFrame, fit: Fit = Fit()) -> DataFrame:
 
     try:
         with scratch(spark):
-            frequent = hot, _ = _frequent(docs, buckets)
-            rows = last = kept(_deal(docs, buckets, frequent, fit).groupBy("bucket").applyInArrow(_gather(buckets, hot), _ROWS), "bucket", "kind")
+            frequent = hot, _, short = _frequent(docs, buckets)
+            rows = last = kept(_deal(docs, buckets, frequent, fit).groupBy("bucket").applyInArrow(_gather(buckets, hot, short), _ROWS), "bucket", "kind")
             owners = kept(rows.where(F.col("kind") == NAMES).groupBy("owner").applyInArrow(_number, "owner int, bucket int, data binary"), "owner")
             total = _totals(last, fit, hot, None, -1)
 
