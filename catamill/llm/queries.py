@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from catamill.llm import byte_bpe, html_wrapper, language_id, ngram_join, packing, pitman_yor, quality_classifier, quality_rules, telephony, url_filter
+from catamill.llm import byte_bpe, html_wrapper, language_id, ngram_join, packing, pitman_yor, quality_classifier, quality_rules, telephony, url_filter, url_oracle
 from catamill.llm.common import fold
 from catamill.session import table
 
@@ -70,7 +70,8 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page's outcome is the label of the document whose text it holds: bad where quality is 0."""
     pages = table(spark, sf_dir, "pages")
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("quality") == 0).alias("bad"))
-    return url_filter.judge_urls(pages, url_filter.outcomes_of(pages, _documents(spark, sf_dir, "text"), labels), URL_RULES)
+    out = url_filter.judge_urls(pages, url_filter.outcomes_of(pages, _documents(spark, sf_dir, "text"), labels), URL_RULES)
+    return out.withColumns({c: F.round(c, 6) for c in ("bad_rate", "bad_low")})
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,4 +98,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_url_filter": url_oracle.sql(URL_RULES)}

@@ -567,6 +567,19 @@ def test_op7(spark, sf):
         assert r.verdict == fit[2] if fit else r.verdict in ("allow", "block")
 
 
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01"])
+def test_op7_sql(spark, size):
+    import duckdb
+
+    sf = f"/root/testdata/{size}"
+    c = duckdb.connect()
+    for t in ("pages", "documents", "labels"):
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+    want = sorted(c.sql(queries.oracle_sql()["op7_url_filter"]).fetchall())
+    got = queries.op7_url_filter(spark, sf)
+    assert sorted(tuple(r) for r in got.collect()) == want and got.columns == c.sql(queries.oracle_sql()["op7_url_filter"]).columns
+
+
 def test_op7_reputation(spark):
     rows = [(1, "http://Bad.Example.com:80/x?y"), (2, "ftp://a.example.com"), (3, None), (4, "no"), (5, "http://com/en/"), (6, "x://b.example.com/en/7/"), (1, "http://Bad.Example.com:80/x?y")]
     rows += [(100 + k, f"http://spam.other.org/{k}") for k in range(30)] + [(200 + k, f"http://good{k % 3}.other.org/") for k in range(60)]
