@@ -87,6 +87,19 @@ def frequent_shingles(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray,
     return h[order], (len(h) - 1 - np.arange(len(h)))[order], np.array([r.n for r in found], np.int64)[order]
 
 
+def _ordered(s: np.ndarray, last: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """A set in the order of all: by hash, and the frequent shingles at the end, rarest first."""
+    if not len(last):
+        return s
+    at = np.minimum(np.searchsorted(last, s), len(last) - 1)
+    late = last[at] == s
+    return np.concatenate([s[~late], s[late][np.argsort(rank[at[late]])]])
+
+
+def prefix_length(size: int, percent: int) -> int:
+    return size - (percent * size + 99) // 100 + 1
+
+
 def prefixed(docs: DataFrame, n: int, percent: int, frequent: tuple[np.ndarray, np.ndarray, np.ndarray]) -> DataFrame:
     """doc_id, size, class (hash of the whole set), prefix, counts (shingles by hash bucket; null for very large sets). Texts without words: size 0, no class."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
@@ -102,12 +115,7 @@ def prefixed(docs: DataFrame, n: int, percent: int, frequent: tuple[np.ndarray,
                     continue
                 classes.append(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).view(np.int64))
                 counts.append(np.bincount((s & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS) if len(s) < COUNTED else None)
-                order = s
-                if len(last):
-                    at = np.minimum(np.searchsorted(last, s), len(last) - 1)
-                    late = last[at] == s
-                    order = np.concatenate([s[~late], s[late][np.argsort(rank[at[late]])]])
-                prefixes.append(order[: len(s) - (percent * len(s) + 99) // 100 + 1].view(np.int64))
+                prefixes.append(_ordered(s, last, rank)[: prefix_length(len(s), percent)].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int16()))],
                 ["doc_id", "size", "class", "prefix", "counts"],
@@ -142,6 +150,35 @@ def similar(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, perce
     return written(both.where(100 * common >= percent * (F.size("x") + F.size("y") - common)).select("a", "b"), "similar")
 
 
+def within_groups(members: DataFrame, docs: DataFrame, n: int, percent: int, frequent: tuple[np.ndarray, np.ndarray, np.ndarray]) -> DataFrame:
+    """a, b: classes of one group that may be similar, of different labels. members: class, group, label, first.
+
+    Such sets have one size and one prefix; behind it, they share a shingle among the next ones, as many as the overlap
+    still leaves open, so that not all members of a group meet each other."""
+    needed = written(members.select(F.col("first").alias("doc_id"), "class", "group", "label"), "mixed")
+    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        last, rank, _ = shared.value
+        for batch in slices(batches, 3, STEP):
+            keep, found = [], []
+            for k, (c, s) in enumerate(zip(batch.column(0).to_pylist(), shingle_sets(texts(batch.column(3)), n), strict=True)):
+                if len(s) and c == int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).view(np.int64)):  # an id may stand on several texts
+                    least = -(-2 * len(s) * percent // (100 + percent))
+                    begin = prefix_length(len(s), percent)
+                    keep.append(k)
+                    found.append(_ordered(s, last, rank)[begin : begin + len(s) - least + 1].view(np.int64))
+            at = pa.array(keep, pa.int64())
+            yield pa.RecordBatch.from_arrays([*[batch.column(c).take(at) for c in range(3)], pa.array(found, pa.list_(pa.int64()))], ["class", "group", "label", "next"])
+
+    chosen = join_lookup(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), needed, ["doc_id"], "inner", rows=500_000)
+    lists = chosen.select("class", "group", "label", "text").mapInArrow(run, "class long, group long, label long, next array<long>").dropDuplicates(["class"])
+    lists = written(lists.select("class", "group", "label", F.explode("next").alias("shingle")), "next")
+    x, y = lists.alias("x"), lists.alias("y")
+    met = x.join(y, (F.col("x.group") == F.col("y.group")) & (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.class") < F.col("y.class")) & (F.col("x.label") != F.col("y.label")))
+    return met.select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
+
+
 def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of docs (doc_id, text; others are not read).
 
@@ -218,10 +255,11 @@ def _join(docs: DataFrame, n: int, percent: int) -> DataFrame:
         & (behind >= least_overlap(F.col("x.size"), F.col("y.size"), percent)),
     )
     met = met.select(F.col("x.group").alias("g"), F.col("y.group").alias("h")).distinct()
-    within = of_group.where("mixed").select(F.col("group").alias("g"), F.col("group").alias("h"))
+    mixed = named.join(of_group.where("mixed").select("group"), "group", "left_semi").join(classes.select("class", "first"), "class")
     side = lambda g, c, p: named.select(F.col("group").alias(g), F.col("class").alias(c), F.col("label").alias(p))
-    more = met.union(within).join(side("g", "a", "p"), "g").join(side("h", "b", "q"), "h").where((F.col("p") != F.col("q")) & (F.col("a") != F.col("b")))
-    more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    more = met.join(side("g", "a", "p"), "g").join(side("h", "b", "q"), "h").where((F.col("p") != F.col("q")) & (F.col("a") != F.col("b")))
+    more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = more.union(within_groups(mixed, docs, n, percent, frequent)).distinct()
     edges = edges.union(similar(_possible(more, sums, percent), classes, docs, n, percent))
     labels = connected(edges).withColumnRenamed("node", "class")
 

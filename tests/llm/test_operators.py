@@ -538,6 +538,31 @@ def test_op6_near_copies(spark):
     assert got == brute_components(texts)
 
 
+def test_op6_within_groups(spark):
+    """Sets of one size and one prefix, some of them similar to each other but not to their group's first."""
+    rnd = random.Random(11)
+    n, percent = 1, 85
+    word_of = {}
+    for k in range(4000):
+        h = ngram_join.shingle_sets(ngram_join.pa.array([f"w{k}"], ngram_join.pa.large_string()), n)[0]
+        word_of[int(h[0])] = f"w{k}"
+    order = [word_of[h] for h in sorted(word_of)]
+    head = order[:20]  # the prefix of every set below
+    rows = []
+    for _ in range(12):
+        base = rnd.sample(order[20:], 80)
+        for _ in range(4):
+            own = list(base)
+            for _ in range(rnd.randrange(8)):
+                own[rnd.randrange(80)] = rnd.choice(order[20:])
+            own = list(dict.fromkeys(own))
+            own += [w for w in rnd.sample(order[20:], 100) if w not in own][: 80 - len(own)]
+            rows.append(" ".join(head + own))
+    texts = list(enumerate(rows))
+    got = sorted(map(tuple, ngram_join.join(spark.createDataFrame(texts, "doc_id long, text string").repartition(3), n, percent).collect()))
+    assert got == brute_components(texts, n, percent) and len({c for _, _, c in got}) < len(rows)
+
+
 def test_op6_bounds_shape_the_work_alone(spark, sf, monkeypatch):
     """Tiny bounds of counts, of frequent shingles and of lists give the same components."""
     for name, value in (("COUNTED", 50), ("LOCAL", 2), ("FREQUENT_MOST", 5), ("LIST_MOST", 2), ("STEP", 20_000)):
