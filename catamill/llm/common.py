@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -9,6 +10,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: ASCII white space of the word contracts, as a Java and Python character class.
 SPACE = r"[\x20\x09-\x0D]"
@@ -68,13 +70,17 @@ def result(df: DataFrame, name: str) -> DataFrame:
         _SCRATCH[:] = held
 
 
-#: Rows up to which a written lookup table is sent to all executors; beyond it the join shuffles, and AQE splits hot keys.
-BROADCAST_ROWS = 100_000
+#: Rows and bytes of texts up to which a written lookup table is sent to all executors; beyond, the join shuffles, and AQE splits hot keys.
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 64 << 20
 
 
 def join_lookup(left: DataFrame, lookup: DataFrame, on: list[str], how: str = "left", rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Joins a written lookup table with unique keys and short rows; it is broadcast only if its count says that it is small."""
-    return left.join(F.broadcast(lookup) if lookup.count() <= rows else lookup, on, how)
+    """Joins a written lookup table with unique keys; it is broadcast only if its rows and the bytes of its texts, both
+    counted, are few."""
+    texts = [F.octet_length(f.name) for f in lookup.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    size = functools.reduce(lambda a, b: a + b, [F.coalesce(t, F.lit(0)) for t in texts], F.lit(0))
+    n, held = lookup.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    return left.join(F.broadcast(lookup) if n <= rows and held <= BROADCAST_BYTES else lookup, on, how)
 
 
 def fold(doc_id: Column, k: int) -> Column:

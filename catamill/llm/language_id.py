@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catamill.llm.arrow_text import slices, texts
-from catamill.llm.common import row_draw, written
+from catamill.llm.common import join_lookup, row_draw, written
 
 UNKNOWN = "und"
 LETTER = r"\pL"
@@ -104,9 +104,9 @@ def train(labelled: DataFrame, fit: Fit = Fit()) -> Model | None:
     """labelled: text, lang, and doc_id if there is one. Null langs and texts without letters teach nothing; None if nothing
     is left, as of an empty table. Repeated rows count as often as they stand there, and are drawn one by one."""
     rows = labelled.where(F.col("lang").isNotNull() & F.coalesce(F.col("text"), F.lit("")).rlike(r"\p{L}")).withColumn("lang", F.col("lang").cast("string"))
-    sizes = rows.groupBy("lang").count()  # one row per language
+    sizes = written(rows.groupBy("lang").count(), "langs")  # one row per language
     draw = F.pmod(row_draw(rows, fit.seed), F.lit(1 << 30)) / float(1 << 30)
-    few = rows.withColumn("draw", draw).select("lang", "text", "draw").join(F.broadcast(sizes), "lang")
+    few = join_lookup(rows.withColumn("draw", draw).select("lang", "text", "draw"), sizes, ["lang"], "inner")
     few = written(few.where(F.col("draw") * F.col("count") < fit.per_language).select("lang", "text"), "lang-sample")
 
     def frequencies(batches) -> Iterator[pa.RecordBatch]:
