@@ -30,7 +30,7 @@ PIECES = "doc_id long, start long, length int, ids_crc32 long, doc_tokens long"
 #: Parts of all lengths for ranking, besides one a length; of what they hold, at least LEAST pieces.
 PARTS, LEAST = 8192, 500
 #: Bytes of text in a step, and words that a worker remembers.
-STEP, REMEMBERED = 8 << 20, 600_000
+STEP, REMEMBERED = 4 << 20, 300_000
 
 
 def pack_histogram(histogram: dict[int, int], size: int) -> list[tuple[int, list[int]]]:
