@@ -39,6 +39,11 @@ def test_register_urls(spark):
     assert values(spark, U.stable_id(F.col("u"), F.col("c")), rows, "u string, c string") == ["configio|pd|9912", "configio|course|SSA12345", "camp_invention|ma|M123", "activenet|activity|551", ""]
 
 
+def test_registered_domains(spark):
+    hosts = ["a.b.example.co.uk", "co.uk", "www.example.com:80", "lex.k12.ma.us", "x.lex.k12.ma.us", "town.lexington.ma.us", "localhost", "", "10.0.0.1:80", "shop.com.br", "a.org"]
+    assert values(spark, U.registered_domain(F.col("x")), hosts) == ["example.co.uk", "co.uk", "example.com", "lex.k12.ma.us", "lex.k12.ma.us", "lexington.ma.us", "localhost", "", "10.0.0.1", "shop.com.br", "a.org"]
+
+
 def test_priorities_and_classes(spark):
     urls = ["https://x.myvscloud.com/webtrac/web/search.html?type=camp&module=AR", "https://lex.myrec.com/program_details.aspx?ProgramID=1", "https://a.org/about"]
     assert values(spark, U.registration_priority(F.col("x")), urls) == [65, 25, 0]
