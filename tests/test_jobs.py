@@ -197,6 +197,9 @@ def test_files(spark, tmp_path):
     entries = frame(spark, [{"name": "A", "host": "A.org", "vendor": "myrec", "seed": "https://a.org"}, {"name": "", "host": "b.org", "vendor": "odd", "seed": "x"}, {"name": "C", "host": "c.org", "vendor": "generic", "seed": "http://c.org"}, {"name": "C2", "host": "c.org", "vendor": "generic", "seed": "http://c.org"}])
     good, broken = files.load_registry(entries)
     assert [r.host for r in good.collect()] == ["a.org"] and sorted((r.key, r.rule) for r in broken.collect()) == [("b.org", "absolute seed"), ("b.org", "name"), ("b.org", "vendor"), ("c.org", "unique host")]
+    towns = frame(spark, [{"town": "a", "zip": "02420", "state": "ma"}, {"town": "b", "zip": "02801", "state": "MA"}, {"town": "c", "zip": "", "state": "NH"}, {"town": "a", "zip": "02420", "state": "MA"}])
+    assert sorted((r.key, r.rule) for r in files.town_violations(towns).collect()) == [("a", "unique town"), ("b", "zip band"), ("c", "state"), ("c", "zip")]
+    assert [tuple(r) for r in files.gap_violations(frame(spark, [{"provider_id": "p", "reason": "empty"}, {"provider_id": "q", "reason": "odd"}])).collect()] == [("q", "reason")]
     tables = {n: frame(spark, [{"provider_id": "p", "program_id": "g", "session_id": "s", "name": 'A "b", c\nd', "fetched_at": "2026-07-06 10:00:00", "content_chars": "12"}]) for n in files.LAYOUT}
     assert files.write_layout(tables, str(tmp_path / "one")) == dict.fromkeys(files.LAYOUT, 1)
     back = files.read_layout(spark, str(tmp_path / "one"))
