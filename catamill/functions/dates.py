@@ -64,8 +64,8 @@ def first_date(blob: Column, year: int) -> Column:
 
 
 def _all(t: Column, pattern: str, *groups: int) -> Column:
-    """array<struct<g1, ..>> of all matches: the text is searched once, and each match is taken apart by itself."""
-    return F.transform(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), lambda x: F.struct(*[F.regexp_extract(x, pattern, g).alias(f"g{g}") for g in groups]))
+    """array<struct<g1, ..>> of all matches."""
+    return F.arrays_zip(*[F.regexp_extract_all(t, F.lit(pattern), F.lit(g)).alias(f"g{g}") for g in groups])
 
 
 def date_span(blob: Column, year: int) -> Column:
