@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from catamill.llm import byte_bpe, html_wrapper, language_id, ngram_join, packing, pitman_yor, quality_classifier, quality_rules, telephony, url_filter, url_oracle
+from catamill.llm import byte_bpe, codes_oracle, html_wrapper, language_id, ngram_join, packing, pitman_yor, quality_classifier, quality_rules, telephony, toxicity, url_filter, url_oracle, vector_codes, whitening
 from catamill.llm.common import fold
 from catamill.session import table
 
@@ -93,9 +93,25 @@ def op10_packing(spark: SparkSession, sf_dir: str, vocabulary: str | None = None
     return packing.pack(_documents(spark, sf_dir, "text"), vocabulary or public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold(F.col("doc_id"), 5) == 0
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    model = toxicity.train(_documents(spark, sf_dir, "text", "lang"), labels.where(~held_out))
+    scored = toxicity.score(_documents(spark, sf_dir, "text"), model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_telephony, op2_byte_bpe, op3_language_id, op4_html_wrapper, op5_pitman_yor, op6_ngram_join, op7_url_filter, op8_quality_rules, op9_quality_classifier, op10_packing)}
+    return {f.__name__: f for f in (op1_telephony, op2_byte_bpe, op3_language_id, op4_html_wrapper, op5_pitman_yor, op6_ngram_join, op7_url_filter, op8_quality_rules, op9_quality_classifier, op10_packing, op11_vector_codes, op12_toxicity, op13_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_url_filter": url_oracle.sql(URL_RULES)}
+    return {"op7_url_filter": url_oracle.sql(URL_RULES), "op11_vector_codes": codes_oracle.sql()}
