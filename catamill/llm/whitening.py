@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catamill.llm.common import result, scratch
 from catamill.llm.vectors import SCALE, Whole, blocks, whole_vectors
@@ -268,9 +269,8 @@ def whiten(df: DataFrame, most: int = 8) -> DataFrame:
     rounding, as with equal vectors or fewer vectors than components, `whitened` is null and identity_error leaves it out;
     without any variance identity_error is null and explained 0. An empty table gives no rows. Other columns don't matter.
     `deviation` is null where it exceeds a long, as from some millions of vectors on; deviation_exact holds it always."""
-    schema = df.select("vec_id").withColumns(
-        {"component": F.lit(0), "n": F.lit(0).cast("long"), "deviation": F.lit(0).cast("long"), "whitened": F.lit(0.0), "explained": F.lit(0.0), "identity_error": F.lit(0.0), "deviation_exact": F.lit(0).cast("decimal(38,0)")}
-    ).schema
+    kinds = "component int, n long, deviation long, whitened double, explained double, identity_error double, deviation_exact decimal(38,0)"
+    schema = T.StructType([T.StructField("vec_id", df.schema["vec_id"].dataType), *T.StructType.fromDDL(kinds).fields])
     with scratch(df.sparkSession):
         whole = whole_vectors(df, "embedding", ["vec_id"], "whole-vectors")
         if not whole.n:
