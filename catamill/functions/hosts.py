@@ -22,7 +22,7 @@ BLOCKED_HOST_PARTS = ("mail.google.com", "accounts.google.com", "printfriendly.c
 BLOCKED_HOSTS = ("google.com", "facebook.com", "instagram.com")
 AGGREGATORS = (
     "yelp.com", "care.com", "sittercity.com", "summercamps.com", "campnavigator.com", "mommynearest.com", "kidscamps.com", "kidvoyage.com", "verywellfamily.com", "parents.com", "activekids.com",
-    "patch.com", "lexobserver.org", "lexmedia.org", "facebook.com", "instagram.com", "twitter.com", "x.com", "linkedin.com", "indeed.com", "eventbrite.com", "issuu.com", "weebly.com",
+    "patch.com", "lexobserver.org", "lexmedia.org", "facebook.com", "instagram.com", "twitter.com", "x.com", "linkedin.com", "indeed.com", "eventbrite.com", "issuu.com", "weebly.com", "ecode360.com",
 )
 DENY_DOMAINS = (
     "mail.google.com", "printfriendly.com", "facebook.com", "fb.com", "instagram.com", "twitter.com", "x.com", "linkedin.com", "youtube.com", "youtu.be", "tiktok.com", "wikipedia.org",

@@ -20,7 +20,7 @@ JOB_NAME = (
 )
 JOB_PATH = r"/(?:careers?|jobs?|employment|join-our-team|join-us|work-(?:for|with)-us|hiring|staff-application|employment-opportunit)(?:/|$|\?|-)"
 LESSON_NAME = (
-    r"\blessons?\b|\bopen\s+(?:gym|play|swim|skate|pool|hours?)\b|\bdrop[-\s]?in\b|\bpublic\s+skate\b|\bstick\s*(?:&|and)\s*puck\b|\blap\s+swim\b|\bmasters?\s+swim\b|\bpre[-\s]?swim\b|\bswim\s+club\b"
+    r"\blessons?\b|\bopen\s+(?:gym|play|swim|skate|pool|hours?)\b|\bdrop[-\s]?in\b|\bpublic\s+skate\b|\bstick\s*(?:&|and)\s*puck\b|\blap\s+swim\b|\bmasters?\s+swim\b|\bpre[-\s]?swim\b|\bswim\s+club\b|\bopen\s+play\b"
 )
 RESOURCE_NAME = r"\bnewsletter\b|\bmailing\s+list\b|\bannual\s+report\b|\bpodcast\b|\bpress\s+release\b|\bprivacy\s+policy\b|\bpdf\b|\bdownloads?\b|\bfaqs?\b|\bblog\s+post\b"
 RESOURCE_PATH = r"/(?:resources?|resource-center|camp-resources|newsroom|press|blog|news|podcasts?|downloads?|faqs?)(?:/|$)"
@@ -54,7 +54,7 @@ OTHER_STATES = (
     "washington", "west-virginia", "wisconsin", "wyoming",
 )
 STATE_CODES = "al|ak|az|ar|ca|co|ct|de|fl|ga|hi|id|il|in|ia|ks|ky|la|me|md|mi|mn|ms|mo|mt|ne|nv|nh|nj|nm|ny|nc|nd|oh|ok|or|pa|ri|sc|sd|tn|tx|ut|vt|va|wa|wv|wi|wy"
-AUDIENCE = r"(?i)(?:adult|senior|18\+|21\+|parent night|bird walk)"
+AUDIENCE = r"(?i)(adult|senior|18\+|21\+|parent night|bird walk)"
 
 
 def has_camp_word(name: Column) -> Column:

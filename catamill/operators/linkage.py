@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from catamill.functions import dates as D
 from catamill.functions import texts as T
 from catamill.functions import urls as U
 from catamill.functions.common import blank, first_nonblank, text
-from catamill.functions.similarity import token_set, token_set_blocks, token_set_indel
+from catamill.operators.collapse import greedy_leads
+from catamill.operators.geo import tag_venues
+from catamill.operators.similar import similar_pairs
+from catamill.session import cut
 
 
 def short_id(prefix: str, *parts: Column | str) -> Column:
@@ -45,68 +48,74 @@ def collapse_by_id(rows: DataFrame, key: Column, ord_: str = "ord", lists: Seque
     return _merged(keyed, "merge_key", ord_, lists).drop("merge_key")
 
 
-def _greedy(threshold: float, columns: list[str]):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ord")
-        leaders: list[tuple[int, str, str]] = []
-        to = []
-        for o, name, pid in zip(pdf["ord"], pdf["match_name"], pdf["stable_id"], strict=True):
-            hit = next((k for k, (_, n, p) in enumerate(leaders) if not (p and pid) and name and n and token_set(n, name, "indel") >= threshold), None)
-            if hit is None:
-                leaders.append((o, name, pid))
-                to.append(o)
-            else:
-                lead, n, p = leaders[hit]
-                leaders[hit] = (lead, n, p or pid)  # a merge fills the leader's blank id
-                to.append(lead)
-        return pd.DataFrame({"ord": pdf["ord"], "lead": to})
-
-    return run
+def _joined(rows: DataFrame, by: str, ord_: str, lists: Sequence[str]) -> DataFrame:
+    """Per key and list column the different values in the order in which rows first bring them."""
+    out = None
+    for c in lists:
+        each = rows.select(by, F.col(ord_).alias("o"), F.posexplode(c).alias("p", "v")).groupBy(by, "v").agg(F.min(F.struct("o", "p")).alias("at"))
+        one = each.groupBy(by).agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "v"))), lambda x: x["v"]).alias(c))
+        out = one if out is None else out.join(one, by, "full_outer")
+    return out
 
 
 def dedupe_sessions(rows: DataFrame, lists: Sequence[str] = ("discovered_via", "serving_towns"), threshold: float = 0.92) -> DataFrame:
-    """rows with `ord`: first rows of one stable id collapse, then, within a (zip, day) block and in order, rows collapse
-    into the first kept one with a similar name, unless both have ids. Rows without zip or day stay. An id group that
-    spans several blocks is collapsed by id first, and so stands in the block of its first row.
-
-    A block holds the sessions of one zip on one day; hot ones are as large as that."""
+    """rows with `ord` (unique): in order, each row joins the kept one with its stable id, else the first kept one of its
+    (zip, day) with a similar name unless both have ids, else it is kept. A kept row keeps its session_uid, its blanks are
+    filled from later rows, and its lists take in theirs; n_merged counts all. A row's `platform`, where there is one,
+    stands in its discovered_via if that is empty, and at its end when the row joins another. Rows without name, zip or
+    day join by id alone."""
     lists = [c for c in lists if c in rows.columns]
-    keyed = session_uid(rows)
-    once = collapse_by_id(keyed, F.col("stable_id"), "ord", lists)
-    blocked = once.where((F.col("zip") != "") & (F.col("day") != "") & (F.col("match_name") != ""))
-    leads = blocked.select("ord", "match_name", "stable_id", "zip", "day").groupBy("zip", "day").applyInPandas(_greedy(threshold, []), "ord long, lead long")
-    both = once.join(leads, "ord", "left").withColumn("lead", F.coalesce("lead", "ord"))
-    n = F.sum("n_merged").over(Window.partitionBy("lead"))
-    merged = _merged(both.withColumn("total", n).drop("n_merged"), "lead", "ord", lists).drop("lead", "n_merged").withColumnRenamed("total", "n_merged")
-    return merged.withColumn("session_uid", F.when(F.col("stable_id") != "", F.col("stable_id")).otherwise(F.concat_ws("|", F.lit("fuzzy"), "match_name", "zip", "day")))
-
-
-def _grams(n: Column, threshold: float) -> Column:
-    """Bigrams of which two names of at least that ratio (insertions and deletions) share one: with a length of n, at most
-    d = (1 - r)(n + n (2 - r) / r) changes lie between them, which touch 2 d bigrams; so among its 2 d + 1 first ones, in
-    the order of a hash, each name has one of the other's. Below a ratio of 0.9 that may be more than all: one mark for all."""
-    if threshold < 0.9:
-        return F.array(F.lit(""))
-    size = F.length(n)
-    changes = F.floor((1 - threshold) * (size + size * (2 - threshold) / threshold) + 1e-9).cast("int")
-    every = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(size - 1, F.lit(1))), lambda i: F.substring(n, i, F.lit(2))))
-    ordered = F.array_sort(F.transform(every, lambda g: F.struct(F.xxhash64(g).alias("h"), g.alias("g"))))
-    return F.transform(F.slice(ordered, F.lit(1), 2 * changes + 1), lambda x: x["g"])
+    keyed = cut(session_uid(rows))
+    leads = greedy_leads(keyed.select("ord", F.col("stable_id").alias("id"), F.col("match_name").alias("name"), "zip", "day"), threshold)
+    both = keyed.join(leads, "ord")
+    if "platform" in rows.columns and "discovered_via" in lists:
+        own, via = F.when(text("platform") != "", F.array("platform")).otherwise(F.array().cast("array<string>")), F.coalesce("discovered_via", F.array().cast("array<string>"))
+        both = both.withColumn("discovered_via", F.when((F.col("ord") == F.col("lead")) & (F.size(via) > 0), via).otherwise(F.concat(via, own)))
+    merged = _merged(both.drop(*lists), "lead", "ord", [])
+    joined = _joined(both, "lead", "ord", lists)
+    if joined is not None:
+        merged = merged.join(joined, "lead", "left").withColumns({c: F.coalesce(c, F.array().cast(dict(rows.dtypes)[c])) for c in lists})
+    return merged.drop("lead")
+
+
+def fill_starts(rows: DataFrame, default_year: int) -> DataFrame:
+    """rows with blank start_date filled by the first date that `dates` has."""
+    found = F.date_format(D.first_date(F.col("dates"), F.lit(default_year)), "yyyy-MM-dd")
+    return rows.withColumn("start_date", first_nonblank(F.col("start_date"), found))
+
+
+def merge_catalog(sources: dict[str, DataFrame], default_year: int, towns: DataFrame | None = None, state: str = "MA") -> DataFrame:
+    """One catalog of several sources (name, platform, register_url, info_url, dates, town, and more): in the order given,
+    rows without name and address left out, start dates read from dates, the same session collapsed, and the geography of
+    rows that have none read from their venue. A source of one town is at that town, in `state`.
+
+    `ord` in a source orders its rows. Columns that a source lacks are blank."""
+    wanted = ("name", "platform", "register_url", "info_url", "dates", "start_date", "ages", "price", "verdict", "town", "geo_town", "geo_city", "geo_state", "geo_zip", "venue")
+    rows = union_sources(sources)
+    for c in (*wanted, "course_no"):
+        rows = rows.withColumn(c, text(c) if c in rows.columns else F.lit(""))
+    none = F.array().cast("array<string>")
+    for c in ("serving_towns", "discovered_via"):
+        rows = rows.withColumn(c, F.coalesce(c, none) if c in rows.columns else none)
+    by_town = F.col("town") != ""
+    rows = rows.withColumns({
+        "serving_towns": F.when((F.size("serving_towns") == 0) & by_town, F.array("town")).otherwise(F.col("serving_towns")),
+        "platform": first_nonblank(F.col("platform"), F.col("source")),
+        "geo_town": first_nonblank(F.col("geo_town"), F.col("town")), "geo_state": F.when(by_town, first_nonblank(F.col("geo_state"), F.lit(state))).otherwise(F.col("geo_state")),
+    })
+    out = dedupe_sessions(fill_starts(rows.where((F.col("name") != "") | (F.col("register_url") != "")), default_year))
+    out = out.withColumns({c: text(c) for c in (*wanted, "course_no")})
+    if towns is None:
+        return out
+    tagged = tag_venues(out.select("ord", "venue"), towns).select("ord", F.col("geo_town").alias("venue_town"), F.col("geo_state").alias("venue_state"))
+    lacks = F.col("geo_state") == ""
+    out = out.join(tagged, "ord", "left").withColumns({"geo_town": F.when(lacks, first_nonblank(F.col("geo_town"), F.col("venue_town"))).otherwise(F.col("geo_town")), "geo_state": first_nonblank(F.col("geo_state"), F.col("venue_state"))})
+    return out.drop("venue_town", "venue_state")
 
 
 def fuzzy_pairs(rows: DataFrame, block: Sequence[str], name: str, key: str, threshold: float, flavour: str = "indel") -> DataFrame:
-    """a, b, ratio of rows in one block whose names are similar, none left out: such names share a token, or some of the
-    bigrams of _grams. Candidates are compared whole. Ratios of less than 0.9 compare all names of a block."""
-    rows = rows.select(*block, F.col(key).alias("k"), F.col(name).alias("n"))
-    tokens = F.transform(F.array_distinct(F.filter(F.split("n", " "), lambda x: x != "")), lambda t: F.concat(F.lit("t|"), t))
-    each = rows.where(F.col("n") != "").select("*", F.explode(F.concat(tokens, F.transform(_grams(F.col("n"), threshold), lambda g: F.concat(F.lit("g|"), g)))).alias("mark"))
-    x, y = each.alias("x"), each.alias("y")
-    on = F.col("x.mark") == F.col("y.mark")
-    for b in block:
-        on = on & (F.col(f"x.{b}") == F.col(f"y.{b}"))
-    pairs = x.join(y, on & (F.col("x.k") < F.col("y.k"))).select(F.col("x.k").alias("a"), F.col("y.k").alias("b"), F.col("x.n").alias("m"), F.col("y.n").alias("n")).distinct()
-    ratio = (token_set_indel if flavour == "indel" else token_set_blocks)("m", "n")
-    return pairs.select("a", "b", ratio.alias("ratio")).where(F.col("ratio") >= threshold)
+    """a, b, ratio of rows in one block whose names are similar, none left out (threshold: 0.7 or more)."""
+    return similar_pairs(rows, block, name, key, threshold, flavour)
 
 
 def dedupe_published(rows: DataFrame, rank: Column) -> DataFrame:

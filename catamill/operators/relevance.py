@@ -30,10 +30,11 @@ OTHER_SEASON = (
 # Names of catalog rows that are no items, and products that are no camps.
 NOT_AN_ITEM = r"^(item details|add to (cart|selection|wishlist)|share|more info|enrollment count details)"
 ITEM_NOISE = r"swim\s*test|life\s*jacket|pre[\s-]?camp\s*test|fitting|membership|donat"
-ADULT_CATEGORIES = ("business", "esl", "exercise-dance", "humanities", "financial", "social-security", "grief", "mandarin-immersion", "adult", "senior")
+ADULT_CATEGORIES = ("cooking", "business", "esl", "exercise-dance", "humanities", "financial", "social-security", "grief", "mandarin-immersion", "adult", "senior")
 HUB_SLUG = r"teens|children-classes|faq|contact|membership|donate|about"
 AFTERCARE = r"after\s*-?\s*care|before\s*-?\s*care|extended\s*day|kidsborough"
-CATEGORY_SIGNAL = r"summer|camp|children|youth|kids|vacation|lexplor"
+CATEGORY_SIGNAL = r"summer|camp|vacation|lexplor"
+PRODUCT_SIGNAL = r"summer|camp|vacation|lexplor|youth|kids|children"
 NON_CAMP_PATH = r"/(?:fitness|afterschool|after-school|aquatics|membership|preschool|childcare)(?:/|$)"
 
 
@@ -99,7 +100,7 @@ def product_allowed(url: Column, name: Column, prefix: str | None = None) -> Col
     at = F.lower(U.path(url))
     slug = F.regexp_extract(at, r"([^/]*)/*$", 1)
     both = F.concat(slug, F.lit(" "), F.lower(text(name)))
-    return (at.startswith(prefix.lower()) if prefix else F.lit(True)) & ~slug.rlike(HUB_SLUG) & ~both.rlike(AFTERCARE) & both.rlike(H.SUMMER_SIGNAL)
+    return (at.startswith(prefix.lower()) if prefix else F.lit(True)) & ~slug.rlike(HUB_SLUG) & ~both.rlike(AFTERCARE) & both.rlike(PRODUCT_SIGNAL)
 
 
 def camp_pages_only(records: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from catamill.functions import dates as D
 from catamill.functions import texts as T
 from catamill.functions import urls as U
 from catamill.functions.common import text
-from catamill.functions.similarity import token_set_blocks, token_set_indel
+from catamill.operators.similar import both_ways, similar_names
 
 
 def _inner_hosts(c: str) -> Column:
@@ -32,6 +32,15 @@ def related_hosts(truth: DataFrame, published: DataFrame, aliases: DataFrame | N
     return both.distinct()
 
 
+def _alike(left: DataFrame, right: DataFrame, block: list[str], threshold: float, flavour: str) -> DataFrame:
+    """block.., m, n: names of left and right (block.., n) in one block that are equal or reach the threshold."""
+    left, right = left.distinct(), right.distinct()
+    found = similar_names(left.union(right), block, threshold, flavour)
+    pairs = both_ways(found, block).join(left.withColumnRenamed("n", "m"), [*block, "m"], "left_semi").join(right, [*block, "n"], "left_semi")
+    same = left.where("n <> ''").join(right, [*block, "n"], "left_semi")
+    return pairs.select(*block, "m", "n").union(same.select(*block, F.col("n").alias("m"), "n"))
+
+
 def match_programs(truth: DataFrame, published: DataFrame, aliases: DataFrame | None = None, threshold: float = 0.85) -> DataFrame:
     """gt, pub (ids): ground-truth rows and published rows of related hosts with similar names. truth: gt, provider_host,
     program_name, session_dates. published: pub, host, name, dates. aliases: alt_host, provider_host.
@@ -39,8 +48,10 @@ def match_programs(truth: DataFrame, published: DataFrame, aliases: DataFrame |
     Related: equal, an alias, or one host inside the other between dots."""
     gt = truth.select("gt", F.lower(F.trim(text("provider_host"))).alias("gh"), T.undated_name(F.col("program_name")).alias("gn"), D.day_window(F.col("session_dates")).alias("gw"))
     pub = published.select("pub", F.lower(text("host")).alias("ph"), T.undated_name(F.col("name")).alias("pn"), D.day_window(F.col("dates")).alias("pw"))
-    pairs = gt.join(related_hosts(gt, pub, aliases), "gh").join(pub, "ph")
-    return pairs.where(token_set_blocks("gn", "pn") >= threshold).select("gt", "pub", D.overlap(F.col("gw"), F.col("pw")).alias("dates_meet"))
+    hosts = related_hosts(gt, pub, aliases)
+    there, here = gt.select("gh", "gn").distinct().join(hosts, "gh"), pub.select("ph", "pn").distinct().join(hosts, "ph")
+    alike = _alike(there.select("gh", "ph", F.col("gn").alias("n")), here.select("gh", "ph", F.col("pn").alias("n")), ["gh", "ph"], threshold, "blocks").select("gh", "ph", F.col("m").alias("gn"), F.col("n").alias("pn"))
+    return gt.join(alike, ["gh", "gn"]).join(pub, ["ph", "pn"]).select("gt", "pub", D.overlap(F.col("gw"), F.col("pw")).alias("dates_meet"))
 
 
 def score_run(truth: DataFrame, published: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
@@ -93,7 +104,7 @@ def match_baseline(baseline: DataFrame, published: DataFrame, threshold: float =
     by_url = base.where("url <> ''").join(urls, "url", "left_semi").select("host", "norm").distinct().withColumn("by_url", F.lit(True))
     m = programs.join(exact, ["host", "norm"], "left").join(by_url, ["host", "norm"], "left").fillna(False, ["exact", "by_url"])
     rest = m.where(~F.col("exact") & ~F.col("by_url")).select("host", "norm")
-    alike = rest.join(there.withColumnRenamed("norm", "other"), "host").where(token_set_indel("norm", "other") >= threshold).select("host", "norm").distinct().withColumn("alike", F.lit(True))
+    alike = _alike(rest.toDF("host", "n"), there.toDF("host", "n"), ["host"], threshold, "indel").select("host", F.col("m").alias("norm")).distinct().withColumn("alike", F.lit(True))
     return m.join(alike, ["host", "norm"], "left").withColumn("fuzzy", F.col("exact") | F.col("by_url") | F.coalesce("alike", F.lit(False))).drop("alike")
 
 

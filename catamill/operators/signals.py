@@ -13,10 +13,10 @@ from catamill.functions.common import bind, first_reason, matches, text
 CART = r"add[- ]to[- ]cart|addtocart|enroll\s+now|register\s+now|sign\s+up\s+now|proceed\s+to\s+(checkout|payment)|checkout|place\s+order|buy\s+now|register\s+online"
 PRICE = r"\$\s?\d{2,4}(?:\.\d{2})?|woocommerce-Price-amount|program\s+fee|tuition|cost:\s*\$|price:\s*\$"
 YOUTH = r"summer\s+camp|day\s+camp|ages?\s+\d|grades?\s+[k0-9]|week\s+of|june|july|august|youth|kids?|children|clinic|lexplorations"
-ADULT = (
-    r"adult\s+education|continuing\s+education|18\+|ages?\s+18|senior\s+center|after[- ]school|year[- ]round\s+childcare|men'?s\s+league|women'?s\s+league|workforce\s+development"
-)
+ADULT = r"adult\s+education|continuing\s+education|18\+|ages?\s+18|senior\s+center|after[- ]school|year[- ]round\s+childcare|men'?s\s+league|women'?s\s+league|workforce\s+development|for\s+adults"
+ADULT_OLDER = r"adult\s+education|continuing\s+education|18\+|ages?\s+18|senior\s+center|after[- ]school|year[- ]round\s+childcare|men'?s\s+league|women'?s\s+league|workforce\s+development"
 BROCHURE = r"contact\s+us\s+to\s+register|call\s+to\s+register|registration\s+opens|download\s+brochure|coming\s+soon"
+BROCHURE_OLDER = r"contact\s+us\s+to\s+register|call\s+to\s+register|registration\s+opens|learn\s+more|download\s+brochure|coming\s+soon"
 LOGIN = r"sign\s+in\s+to\s+register|log\s+in\s+to\s+register|members?\s+only|create\s+an\s+account\s+to\s+enroll"
 ROW = r"program_details\.aspx\?ProgramID=|iteminfo\.aspx\?FMID=|/class/[^/\s\"']+|add-to-cart"
 WEBTRAC, SHOP, MYREC = r"addtocart|iteminfo|module=ar|webtrac", r"woocommerce|add-to-cart|single_add_to_cart", r"register|enroll|add\s+to\s+cart|program_details"
@@ -30,7 +30,7 @@ def enrollment(url: Column, html: Column, context: Column | None = None, older:
     The newer mode only upgrades (parent_ready) or rejects (wrong_audience); the older one also says brochure_only. Of
     the texts that tell audiences, the first 8000 characters count; context (a name) speaks for the young alone."""
     said = text(context) if context is not None else F.lit("")
-    adult, brochure = (ADULT, BROCHURE + r"|learn\s+more") if older else (ADULT + r"|for\s+adults", BROCHURE)
+    adult, brochure = (ADULT_OLDER, BROCHURE_OLDER) if older else (ADULT, BROCHURE)
 
     def form(page: Column) -> Column:
         blob = F.concat(said, F.lit(" "), F.substring(page, 1, 8000))

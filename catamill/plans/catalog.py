@@ -6,7 +6,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catamill.functions import hosts as H
@@ -172,9 +172,10 @@ def venue_tags_customers(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def fallback_rows_suppliers(spark: SparkSession, sf: str) -> DataFrame:
-    """Suppliers as providers: those known and without any item of their own first number get one row of their own."""
+    """Suppliers as providers: of those known, the ones of whose items a third at most was returned get one row of their own."""
     s = table(spark, sf, "supplier").select(F.concat(F.lit("https://s"), "s_suppkey", F.lit(".example.com/")).alias("seed"), F.col("s_name").alias("provider_name"), F.lit("").alias("platform"), F.lit("").alias("register_url"), "s_suppkey", "s_acctbal")
-    busy = table(spark, sf, "lineitem").where("l_orderkey % 997 = 0").select(F.concat(F.lit("https://s"), "l_suppkey", F.lit(".example.com/")).alias("seed"))
+    lines = table(spark, sf, "lineitem").groupBy("l_suppkey").agg(F.count_if(F.col("l_returnflag") == "R").alias("returned"), F.count("*").alias("n"))
+    busy = lines.where(F.col("returned") * 3 > F.col("n")).select(F.concat(F.lit("https://s"), "l_suppkey", F.lit(".example.com/")).alias("seed"))
     known = s.where("s_acctbal > 0").select(F.concat(F.lit("s"), "s_suppkey", F.lit(".example.com")).alias("host"))
     return verdicts.fallback_rows(s, busy, known).select("name", "register_url", "granularity", "platform")
 
@@ -240,23 +241,29 @@ def provider_manifest(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def baseline_scores_parts(spark: SparkSession, sf: str) -> DataFrame:
-    """Parts of even numbers against parts of a third of all numbers, as a baseline and what is published."""
+    """Parts of even numbers against parts of a third of all numbers, as a baseline and what is published: many names are
+    published in the plural or with a letter left out, so that likeness decides."""
+    host = F.concat(F.lit("https://"), F.lower(F.replace("p_brand", F.lit("#"), F.lit("-"))), F.lit(".example.com/"))
     p = table(spark, sf, "part").select(
-        "p_partkey", F.col("p_name").alias("name"), F.concat(F.lit("https://"), F.lower(F.replace("p_brand", F.lit("#"), F.lit("-"))), F.lit(".example.com/"), "p_partkey").alias("register_url"), F.lit("").alias("source_url"),
-        F.when(F.col("p_size") > 45, "wrong_audience").otherwise("parent_ready").alias("parent_verdict"),
+        "p_partkey", F.col("p_name").alias("name"), F.concat(host, "p_partkey").alias("register_url"), F.lit("").alias("source_url"), F.when(F.col("p_size") > 45, "wrong_audience").otherwise("parent_ready").alias("parent_verdict"),
     )
+    k = F.col("p_partkey")
+    other = F.when(k % 5 < 2, F.concat("name", F.lit("s"))).when(k % 5 == 2, F.concat(F.substring("name", 1, 2), F.substring(F.col("name"), F.lit(4), F.length("name")))).otherwise(F.col("name"))
+    published = p.where("p_partkey % 3 = 0").withColumns({"name": other, "register_url": F.when(k % 4 == 0, F.col("register_url")).otherwise(F.concat("register_url", F.lit("/x")))})
     hosts = p.where("p_partkey % 2 = 0").select(U.host_of(F.col("register_url")).alias("host")).distinct()
-    return score.score_baseline(p.where("p_partkey % 2 = 0"), p.where("p_partkey % 3 = 0"), hosts, threshold=1.01)
+    return score.score_baseline(p.where("p_partkey % 2 = 0"), published, hosts)
 
 
 @query
 def score_run_suppliers(spark: SparkSession, sf: str) -> DataFrame:
-    """Suppliers as ground truth against those of positive balance, by related hosts and equal names, with their windows of dates."""
-    s = table(spark, sf, "supplier")
-    host = F.concat(F.lit("s"), F.col("s_suppkey") % 40, F.lit(".example.com"))
-    name = F.translate(F.md5(F.col("s_suppkey").cast("string").cast("binary")), "0123456789", "ghijklmnop")  # no two are alike
-    truth = s.select(F.col("s_suppkey").alias("gt"), host.alias("provider_host"), name.alias("program_name"), F.when(F.col("s_suppkey") % 2 == 0, F.lit("2026-07-06")).otherwise("").alias("session_dates"))
-    pub = s.where("s_acctbal > 0").select(F.col("s_suppkey").alias("pub"), F.concat(F.lit("www2."), host).alias("host"), name.alias("name"), F.when(F.col("s_suppkey") % 4 == 0, F.lit("2026-07-06")).otherwise("2026-08-01").alias("dates"))
+    """Suppliers as ground truth against those of positive balance, by related hosts and names: of three published names one
+    is the same, one lacks its end and still is alike, one shares its first half alone and is not."""
+    s, k = table(spark, sf, "supplier"), F.col("s_suppkey")
+    host = F.concat(F.lit("s"), k % 40, F.lit(".example.com"))
+    name = _word(k)
+    published = F.when(k % 3 == 0, name).when(k % 3 == 1, F.substring(name, 1, 28)).otherwise(F.concat(F.substring(name, 1, 16), F.substring(_word(-k - 1), 1, 16)))
+    truth = s.select(k.alias("gt"), host.alias("provider_host"), name.alias("program_name"), F.when(k % 2 == 0, F.lit("2026-07-06")).otherwise("").alias("session_dates"))
+    pub = s.where("s_acctbal > 0").select(k.alias("pub"), F.concat(F.lit("www2."), host).alias("host"), published.alias("name"), F.when(k % 4 == 0, F.lit("2026-07-06")).otherwise("2026-08-01").alias("dates"))
     out = score.score_run(truth, pub)
     return out.select(*_long("programs", "programs_found", "sessions", "sessions_found", "published", "published_hit"), *[F.round(c, 6).alias(c) for c in ("program_recall", "session_recall", "precision")])
 
@@ -271,6 +278,46 @@ def session_ids_customers(spark: SparkSession, sf: str) -> DataFrame:
     return linkage.session_uid(c).select("c_custkey", "session_uid")
 
 
+def _word(c: Column) -> Column:
+    """32 letters of a number; those of two numbers are not alike."""
+    return F.translate(F.md5(c.cast("string").cast("binary")), "0123456789", "ghijklmnop")
+
+
+@query
+def collapsed_sessions_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """Six customers each as sessions of like names in one ZIP on one day: some have a platform's number and join by it, one
+    kept row takes one number, and of every third six the first has no ZIP until its last one brings it."""
+    k = F.col("c_custkey")
+    six, m = F.floor(k / 6), k % 6
+    late = six % 3 == 1
+    number = F.when(m.isin(2, 5) & ~(late & (m == 5)), six * 3).when(m == 3, six * 3 + 1).when(late & m.isin(0, 5), six * 3 + 2)
+    c = table(spark, sf, "customer").select(
+        k.alias("ord"), F.when(m % 2 == 1, F.substring(_word(six), 1, 31)).otherwise(_word(six)).alias("name"), F.coalesce(F.concat(F.lit("https://lex.myrec.com/info/program_details.aspx?ProgramID="), number), F.lit("")).alias("register_url"),
+        F.lit("").alias("info_url"), F.when(late & (m == 0), "").otherwise(F.concat(F.lit("024"), six % 25 + 20)).alias("geo_zip"), F.lit("2026-07-06").alias("start_date"), F.concat(F.lit("hub"), m).alias("platform"), F.array().cast("array<string>").alias("discovered_via"),
+    )
+    out = linkage.dedupe_sessions(c)
+    return out.select(F.col("ord").alias("c_custkey"), "n_merged", F.array_join("discovered_via", ";").alias("via"), "geo_zip", (F.col("session_uid").startswith("fuzzy|")).alias("by_name"))
+
+
+@query
+def merged_catalog_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers as four sources of one catalog: the first pipeline's by number, verified ones that have the same numbers,
+    gap-fills without, and a hub's with like names; start dates are read from dates, towns from venues."""
+    c, n = table(spark, sf, "customer"), table(spark, sf, "nation")
+    k = F.col("c_custkey")
+    rows = c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).withColumns({"ord": k, "name": _word(k), "url": F.concat(F.lit("https://lex.myrec.com/info/program_details.aspx?ProgramID="), k), "zip": F.concat(F.lit("0"), F.col("c_nationkey") + 1700)})
+    engine = rows.where(k % 4 < 2).select("ord", "name", F.col("url").alias("register_url"), F.lit("July 6 - July 10").alias("dates"), F.col("n_name").alias("town"))
+    checked = rows.where(k % 8 == 1).select("ord", F.lit("other").alias("name"), F.concat("url", F.lit("&x=1")).alias("register_url"), F.lit("$5").alias("price"), F.lit("shop").alias("platform"))
+    gap = rows.where(k % 4 == 2).select("ord", "name", F.concat(F.lit("https://a.org/"), k).alias("register_url"), F.lit("2026-08-03").alias("dates"), F.col("zip").alias("geo_zip"), F.lit("").alias("platform"))
+    hub = rows.where((k % 4 == 2) | (k % 4 == 3)).select(
+        "ord", F.when(k % 8 == 2, F.substring("name", 1, 30)).when(k % 8 == 6, F.substring("name", 1, 20)).otherwise(F.col("name")).alias("name"), F.concat(F.lit("https://hub.org/"), k).alias("register_url"), F.lit("2026-08-03").alias("start_date"),
+        F.when(k % 4 == 2, F.col("zip")).otherwise("").alias("geo_zip"), F.concat(F.lit("Hall "), "zip").alias("venue"), F.lit("hub").alias("platform"), F.array(F.lit("search")).alias("discovered_via"),
+    )
+    towns = n.select(F.col("n_name").alias("town"), F.concat(F.lit("0"), F.col("n_nationkey") + 1700).alias("zip"))
+    out = linkage.merge_catalog({"engine": engine, "pipeline": checked, "gap": gap, "part_d": hub}, 2026, towns)
+    return out.groupBy("source", "start_date", "price", F.array_join("discovered_via", ";").alias("via"), "n_merged", "geo_state", (F.col("geo_town") == "").alias("no_town")).agg(F.count("*").alias("n"))
+
+
 @query
 def deduped_published_customers(spark: SparkSession, sf: str) -> DataFrame:
     """Customers as published rows: of those that share a platform's number the one of the highest balance stays."""

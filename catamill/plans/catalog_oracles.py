@@ -5,7 +5,7 @@ from __future__ import annotations
 from catamill.functions import hosts as H
 from catamill.functions import urls as U
 from catamill.operators import relevance as R
-from catamill.plans.oracles import LINKS, _q, canonical, host, path
+from catamill.plans.oracles import LINKS, _q, alike, canonical, host, path
 
 _i = lambda c, p: f"regexp_matches({c}, {_q('(?i)' + p)})"
 _any = lambda c, parts: "(" + " OR ".join(f"contains({c}, {_q(p)})" for p in parts) + ")"
@@ -99,7 +99,7 @@ ORACLES: dict[str, str] = {
       SELECT geo_town, geo_state, geo_keep, CASE WHEN geo_keep THEN '' WHEN geo_state = '' THEN 'venue not MA (unknown)' ELSE 'venue not MA (' || geo_state || ')' END AS geo_reject, count(*) AS n FROM v GROUP BY 1, 2, 3, 4""",
     "fallback_rows_suppliers": """
       SELECT s_name || ' — Summer Program' AS name, 'https://s' || s_suppkey || '.example.com/' AS register_url, 'program' AS granularity, 'fallback' AS platform FROM supplier
-      WHERE s_acctbal > 0 AND s_suppkey NOT IN (SELECT l_suppkey FROM lineitem WHERE l_orderkey % 997 = 0)""",
+      WHERE s_acctbal > 0 AND s_suppkey NOT IN (SELECT l_suppkey FROM lineitem GROUP BY 1 HAVING 3 * count(*) FILTER (l_returnflag = 'R') > count(*))""",
     "stale_programs_customers": """
       WITH c AS (SELECT c_nationkey, c_nationkey % 3 > 0 OR c_custkey % 4 = 0 AS program FROM customer)
       SELECT 'https://n' || c_nationkey || '.example.com/x' AS source_url, CASE WHEN program THEN 'program' ELSE 'session' END AS granularity, count(*) AS n FROM c
@@ -127,18 +127,31 @@ ORACLES: dict[str, str] = {
       served AS (SELECT host, string_agg(DISTINCT first.town, ';' ORDER BY first.town) AS towns FROM s JOIN first ON first.via = s.town AND first.category = s.category GROUP BY 1)
       SELECT 'https://' || host || '/x' AS url, s_name AS provider_name, host, coalesce(towns, town) AS towns_served, category AS categories, CASE WHEN ready THEN 'parent_ready' ELSE 'info_confirmed' END AS parent_verdict, CAST(CASE WHEN ready THEN 1 ELSE 2 END AS BIGINT) AS priority
       FROM s LEFT JOIN served USING (host)""",
-    "baseline_scores_parts": """
-      WITH p AS (SELECT p_partkey, lower(p_name) AS norm, lower(replace(p_brand, '#', '-')) || '.example.com' AS host, p_size > 45 AS wrong FROM part), b AS (SELECT * FROM p WHERE p_partkey % 2 = 0), q AS (SELECT * FROM p WHERE p_partkey % 3 = 0),
-      g AS (SELECT host, norm, bool_or(p_partkey % 3 = 0) AS by_url FROM b GROUP BY 1, 2), m AS (SELECT count(*) AS programs, count(*) FILTER (by_url OR (host, norm) IN (SELECT (host, norm) FROM q)) AS hit FROM g)
-      SELECT programs, (SELECT count(*) FROM b) AS sessions, (SELECT count(*) FROM q) AS published, (SELECT count(DISTINCT host) FROM b) AS providers, round(hit / programs, 4) AS recall_strict, round(hit / programs, 4) AS recall_fuzzy,
-        (SELECT round(count(*) FILTER (p_partkey % 3 = 0) / count(*), 4) FROM b) AS session_recall, (SELECT round(count(*) FILTER (NOT wrong AND host IN (SELECT host FROM b)) / count(*), 4) FROM q) AS precision,
+    "baseline_scores_parts": f"""
+      WITH p AS (SELECT p_partkey AS k, lower(p_name) AS norm, lower(replace(p_brand, '#', '-')) || '.example.com' AS host, p_size > 45 AS wrong FROM part), b AS (SELECT * FROM p WHERE k % 2 = 0),
+      q AS (SELECT k, CASE WHEN k % 5 < 2 THEN norm || 's' WHEN k % 5 = 2 THEN left(norm, 2) || substr(norm, 4) ELSE norm END AS norm, host, wrong FROM p WHERE k % 3 = 0),
+      g AS (SELECT host, norm, bool_or(k % 12 = 0) AS by_url FROM b GROUP BY 1, 2), h AS (SELECT *, by_url OR (host, norm) IN (SELECT (host, norm) FROM q) AS hit FROM g),
+      near AS (SELECT DISTINCT host, m FROM ({alike("SELECT DISTINCT h.host, h.norm AS m, q.norm AS n FROM h JOIN q ON h.host = q.host WHERE NOT h.hit")}) WHERE ratio >= 0.75),
+      m AS (SELECT count(*) AS programs, count(*) FILTER (hit) AS strict, count(*) FILTER (hit OR (host, norm) IN (SELECT (host, m) FROM near)) AS loose FROM h)
+      SELECT programs, (SELECT count(*) FROM b) AS sessions, (SELECT count(*) FROM q) AS published, (SELECT count(DISTINCT host) FROM b) AS providers, round(strict / programs, 4) AS recall_strict, round(loose / programs, 4) AS recall_fuzzy,
+        (SELECT round(count(*) FILTER (k % 12 = 0) / count(*), 4) FROM b) AS session_recall, (SELECT round(count(*) FILTER (NOT wrong AND host IN (SELECT host FROM b)) / count(*), 4) FROM q) AS precision,
         round((SELECT count(DISTINCT host) FROM q WHERE host IN (SELECT host FROM b)) / (SELECT count(DISTINCT host) FROM b), 4) AS providers_covered FROM m""",
     "score_run_suppliers": """
-      WITH s AS (SELECT s_suppkey AS k, s_acctbal > 0 AS pub FROM supplier)
-      SELECT count(*) AS programs, count(*) FILTER (pub) AS programs_found, count(*) FILTER (k % 2 = 0) AS sessions, count(*) FILTER (pub AND k % 4 = 0) AS sessions_found, count(*) FILTER (pub) AS published, count(*) FILTER (pub) AS published_hit,
-        round(count(*) FILTER (pub) / count(*), 6) AS program_recall, round(count(*) FILTER (pub AND k % 4 = 0) / count(*) FILTER (k % 2 = 0), 6) AS session_recall, 1.0::DOUBLE AS precision FROM s""",
+      WITH s AS (SELECT s_suppkey AS k, s_acctbal > 0 AS pub, s_acctbal > 0 AND s_suppkey % 3 < 2 AS hit FROM supplier)
+      SELECT count(*) AS programs, count(*) FILTER (hit) AS programs_found, count(*) FILTER (k % 2 = 0) AS sessions, count(*) FILTER (hit AND k % 4 = 0) AS sessions_found, count(*) FILTER (pub) AS published, count(*) FILTER (hit) AS published_hit,
+        round(count(*) FILTER (hit) / count(*), 6) AS program_recall, round(count(*) FILTER (hit AND k % 4 = 0) / count(*) FILTER (k % 2 = 0), 6) AS session_recall, round(count(*) FILTER (hit) / count(*) FILTER (pub), 6) AS precision FROM s""",
     "session_ids_customers": """
       SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'lex.myrec.com|programid|' || (c_custkey % 100) ELSE 'fuzzy|' || lower(c_mktsegment) || '|024' || (20 + c_nationkey) || '|2026-07-06' END AS session_uid FROM customer""",
+    "collapsed_sessions_customers": """
+      WITH c AS (SELECT c_custkey AS k, c_custkey // 6 AS six, c_custkey % 6 AS m, (c_custkey // 6) % 3 = 1 AS late FROM customer),
+      l AS (SELECT *, k - m + CASE WHEN m = 3 THEN 3 WHEN late AND m IN (1, 2, 4) THEN 1 ELSE 0 END AS lead FROM c)
+      SELECT lead AS c_custkey, count(*) AS n_merged, string_agg('hub' || m, ';' ORDER BY k) AS via, '024' || (any_value(six) % 25 + 20) AS geo_zip, NOT ((lead % 6 = 0 AND any_value(late)) OR lead % 6 = 3) AS by_name FROM l GROUP BY lead""",
+    "merged_catalog_customers": """
+      WITH k AS (SELECT c_custkey AS k FROM customer),
+      r AS (SELECT 'engine' AS source, '2026-07-06' AS start_date, CASE WHEN k % 8 = 1 THEN '$5' ELSE '' END AS price, CASE WHEN k % 8 = 1 THEN 'engine;shop' ELSE 'engine' END AS via, CASE WHEN k % 8 = 1 THEN 2 ELSE 1 END AS n_merged, 'MA' AS geo_state FROM k WHERE k % 4 < 2
+        UNION ALL SELECT 'gap', '2026-08-03', '', CASE WHEN k % 8 = 2 THEN 'gap;search;hub' ELSE 'gap' END, CASE WHEN k % 8 = 2 THEN 2 ELSE 1 END, CASE WHEN k % 8 = 2 THEN 'MA' ELSE '' END FROM k WHERE k % 4 = 2
+        UNION ALL SELECT 'part_d', '2026-08-03', '', 'search', 1, 'MA' FROM k WHERE k % 4 = 3 OR k % 8 = 6)
+      SELECT source, start_date, price, via, CAST(n_merged AS BIGINT) AS n_merged, geo_state, geo_state = '' AS no_town, count(*) AS n FROM r GROUP BY ALL""",
     "deduped_published_customers": "SELECT c_custkey, c_acctbal FROM (SELECT *, row_number() OVER (PARTITION BY c_custkey % 100 ORDER BY c_acctbal DESC, c_custkey) AS r FROM customer) WHERE r = 1",
     "grouped_programs_orders": "SELECT o_custkey AS provider_id, 'camp ' || lower(o_orderstatus) AS program_key, 'Camp ' || o_orderstatus AS program_name, count(*) AS sessions FROM orders GROUP BY o_custkey, o_orderstatus",
     "section_pages_parts": "SELECT p_partkey FROM part WHERE p_partkey % 10 <> 0 OR p_type NOT IN (SELECT p_type FROM part WHERE p_partkey % 10 <> 0)",

@@ -26,6 +26,24 @@ def canonical(u: str) -> str:
     return f"'https://' || {host(u)} || {at} || CASE WHEN len({kept}) > 0 THEN '?' || array_to_string({kept}, '&') ELSE '' END"
 
 
+def alike(pairs: str) -> str:
+    """The pairs (m, n and more columns) with their token-set ratio by insertions and deletions, the longest common
+    subsequence reckoned row by row."""
+    sides = f"SELECT *, list_sort(list_distinct(string_split(m, ' '))) AS x, list_sort(list_distinct(string_split(n, ' '))) AS y FROM ({pairs})"
+    parts = f"SELECT *, list_sort(list_intersect(x, y)) AS c FROM ({sides})"
+    own = lambda z: f"trim(array_to_string(list_concat(c, list_filter({z}, lambda w: NOT list_contains(c, w))), ' '))"
+    texts = f"SELECT *, array_to_string(c, ' ') AS sc, {own('x')} AS sx, {own('y')} AS sy FROM ({parts})"
+    codes = (
+        f"SELECT *, list_transform(string_split(sx, ''), lambda w: [CAST(unicode(w) AS BIGINT)]) AS px, list_transform(string_split(sy, ''), lambda w: CAST(unicode(w) AS BIGINT)) AS py,"
+        f" list_transform(range(1, length(sy) + 1), lambda j: [j]) AS places, list_transform(range(0, length(sy) + 1), lambda j: CAST(0 AS BIGINT)) AS zeros FROM ({texts})"
+    )
+    common = (
+        "list_reduce(px, lambda r, ch: list_reduce(places, lambda o, j: list_append(o, CASE WHEN py[j[1]] = ch[1] THEN r[j[1]] + 1 ELSE greatest(r[j[1] + 1], o[j[1]]) END), [CAST(0 AS BIGINT)]), zeros)[length(sy) + 1]"
+    )
+    one = lambda z: f"CASE WHEN len(c) > 0 THEN 2 * length(sc) / (length(sc) + length({z})) ELSE 0 END"
+    return f"SELECT *, CASE WHEN len(c) > 0 AND (len(c) = len(x) OR len(c) = len(y)) THEN 1.0 ELSE greatest(2 * {common} / (length(sx) + length(sy)), {one('sx')}, {one('sy')}) END AS ratio FROM ({codes})"
+
+
 def page_text(h: str) -> str:
     bare = f"regexp_replace(regexp_replace({h}, '(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>', ' ', 'g'), '(?s)<[^>]+>', ' ', 'g')"
     return f"trim(regexp_replace({bare}, '\\s+', ' ', 'g'))"
@@ -191,4 +209,7 @@ ORACLES: dict[str, str] = {
       SELECT page_id, lower(regexp_extract(url, '/([^/]*)$', 1)) AS item, arg_max(label, length(label) * 1000000 - pos) AS name, CAST(min(pos) AS BIGINT) AS pos, count(*) AS n FROM ({LINKS}) GROUP BY 1, 2""",
     "stream_event_counts": "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS hour, event_type, count(*) AS n FROM events GROUP BY 1, 2",
     "stream_first_seen": "SELECT user_id, min(event_id) AS first_event FROM events GROUP BY 1",
+    "fuzzy_pairs_blocked": f"""
+      WITH s AS (SELECT s_suppkey AS k, s_nationkey AS b, trim(regexp_replace(lower(s_name), '[^a-z0-9]+', ' ', 'g')) AS w FROM supplier), t AS (SELECT k, b, array_to_string(list_sort(list_distinct(string_split(w, ' '))), ' ') AS m FROM s)
+      SELECT a, b, ratio FROM ({alike("SELECT x.k AS a, y.k AS b, x.m, y.m AS n FROM t x JOIN t y ON x.b = y.b AND x.k < y.k")}) WHERE ratio >= 0.94""",
 }

@@ -194,7 +194,7 @@ def test_dates(spark):
 
 
 def test_files(spark, tmp_path):
-    entries = frame(spark, [{"name": "A", "host": "A.org", "vendor": "myrec", "seed": "https://a.org"}, {"name": "", "host": "b.org", "vendor": "odd", "seed": "x"}, {"name": "C", "host": "c.org", "vendor": "generic", "seed": "http://c.org"}, {"name": "C2", "host": "c.org", "vendor": "generic", "seed": "http://c.org"}])
+    entries = frame(spark, [{"name": "A", "host": "A.org", "vendor": "myrec", "seed": "https://a.org"}, {"name": "", "host": "b.org", "vendor": "odd", "seed": "x"}, {"name": "C", "host": "c.org", "vendor": "viking", "seed": "http://c.org"}, {"name": "C2", "host": "c.org", "vendor": "viking", "seed": "http://c.org"}])
     good, broken = files.load_registry(entries)
     assert [r.host for r in good.collect()] == ["a.org"] and sorted((r.key, r.rule) for r in broken.collect()) == [("b.org", "absolute seed"), ("b.org", "name"), ("b.org", "vendor"), ("c.org", "unique host")]
     towns = frame(spark, [{"town": "a", "zip": "02420", "state": "ma"}, {"town": "b", "zip": "02801", "state": "MA"}, {"town": "c", "zip": "", "state": "NH"}, {"town": "a", "zip": "02420", "state": "MA"}])
