@@ -86,3 +86,24 @@ def nearest(rows: DataFrame, group: Sequence[str], distance: str, object_id: str
     """Per group the n nearest distinct objects."""
     one = rows.withColumn("o_rank", F.row_number().over(Window.partitionBy(*group, object_id).orderBy(distance))).where(F.col("o_rank") == 1).drop("o_rank")
     return one.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(distance, object_id))).where(F.col("rank") <= n)
+
+
+def nearest_once(rows: DataFrame, group: str, order: str, distance: str, object_id: str, n: int) -> DataFrame:
+    """Groups served in `order`, each by the n nearest objects that no group before took; rank in each group. An object's
+    row that is nearest counts; rows without an object don't.
+
+    As a loop this is one group after another. Here each group asks for its n nearest at once, an object goes to the first
+    group in order that asks, and the others ask on: deferred acceptance, whose result is that of the loop, as all objects
+    prefer groups alike. Once a group asks for an object, no later group can have it, so these rows go as well."""
+    some = rows.where(F.col(object_id).isNotNull())
+    one = some.groupBy(group, order, object_id).agg(F.min_by(F.struct(*[c for c in rows.columns if c not in (group, order, object_id)]), distance).alias("r"))
+    left = cut(one.select(group, order, object_id, "r.*"))
+    w = Window.partitionBy(group).orderBy(distance, object_id)
+    while True:
+        asked = cut(left.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n))
+        goes = asked.groupBy(object_id).agg(F.min(order).alias("__to"))
+        late = left.join(goes, object_id).where(F.col(order) > F.col("__to")).select(group, object_id)
+        late = cut(late)
+        if not asked.join(late, [group, object_id], "left_semi").limit(1).count():
+            return asked
+        left = cut(left.join(late, [group, object_id], "left_anti"))

@@ -15,6 +15,8 @@ from catamill.operators import coverage, extract, gates, geo, linkage, links, mo
 from catamill.session import shared_dir, table
 from catamill.sources import catalog as files
 from catamill.streaming import jobs as streams
+from catamill.streaming import state as stream_state
+from catamill.streaming import stores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -462,6 +464,108 @@ def stream_running_yields(spark: SparkSession, sf: str) -> DataFrame:
     return out.select(F.col("key").alias("user_id"), "attempts", F.round("mean_yield", 6).alias("mean_yield"), F.col("last_success").alias("last_purchase"))
 
 
+# Streams over several batches, stopped halfway and gone on from their checkpoints
+
+
+def _replayed(spark: SparkSession, df: DataFrame, part: Column, parts: int, run: Callable[[DataFrame], None], at: str) -> None:
+    """df as `parts` files that come one after another; `run` is started, ends, and is started anew when the rest is there."""
+    bring = streams.in_parts(df, part, f"{at}/in")
+    for first, last in ((0, parts // 2), (parts // 2 + 1, parts - 1)):
+        bring(first, last)
+        run(streams.files_of(spark, f"{at}/in", df.schema))
+
+
+def _put_out(spark: SparkSession, at: str) -> DataFrame:
+    return spark.read.option("basePath", f"{at}/out").parquet(f"{at}/out/*")
+
+
+@query
+def stream_batches_yield_stop(spark: SparkSession, sf: str) -> DataFrame:
+    """yield_stop as a stream of six batches with a restart, its state kept by key."""
+    at = _place(spark)
+    stream_state.use_state_store(spark)
+    e = table(spark, sf, "events").select(F.col("event_type").alias("group"), F.col("event_id").alias("seq"), F.col("user_id").cast("string").alias("key"))
+    size = e.agg(F.max("seq")).first()[0] + 1
+    _replayed(spark, e, F.floor(F.col("seq") * 6 / size), 6, lambda s: streams.run_until_dry(stream_state.saturation_states(s, 50, 10), "append", streams.to_batches(f"{at}/out"), f"{at}/state"), at)
+    return _put_out(spark, at).select("group", "stop_at")
+
+
+@query
+def stream_batches_hole_states(spark: SparkSession, sf: str) -> DataFrame:
+    """Users' events as searches of holes that rest for a day, exhausted ones for two: their states after seven batches with a
+    restart, and those that are due again."""
+    at = _place(spark)
+    stream_state.use_state_store(spark)
+    e = table(spark, sf, "events").select(F.col("user_id").alias("hole_id"), F.col("ts").cast("timestamp").alias("ts"), F.lit(1).alias("variants"), (F.col("event_type") == "purchase").alias("found"))
+    last = e.agg(F.max("ts")).first()[0]
+    day = F.dayofmonth("ts")
+    # The last event by itself, so that the watermark is known to lie an hour before it.
+    part = F.when(F.col("ts") == F.lit(last), 5).otherwise(F.floor(F.least(day - 1, F.lit(29)) / 6))
+    nudge = e.limit(1).select(F.lit(-1).cast("long").alias("hole_id"), F.lit(last).alias("ts"), F.lit(1).alias("variants"), F.lit(False).alias("found"))
+    both = e.withColumn("part", part).unionByName(nudge.withColumn("part", F.lit(6))).select("hole_id", "ts", "variants", "found", F.col("part").cast("int").alias("part"))
+    _replayed(spark, both, F.col("part"), 7, lambda s: streams.run_until_dry(stream_state.hole_due_states(s, days=1, exhausted_days=2), "update", streams.to_batches(f"{at}/out"), f"{at}/state"), at)
+    order = F.struct("batch", (F.col("status") == "due").cast("int"))
+    out = _put_out(spark, at).where("hole_id >= 0").groupBy("hole_id").agg(F.max_by(F.struct("searched_at", "attempts", "status"), order).alias("s")).select("hole_id", "s.*")
+    return out.select("hole_id", F.date_format("searched_at", "yyyy-MM-dd HH:mm:ss").alias("searched_at"), "attempts", "status")
+
+
+@query
+def stream_batches_seen_links(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages' addresses as a stream of six batches: those that no batch before had, by the batch."""
+    at = _place(spark)
+    p = table(spark, sf, "pages").select("page_id", "url")
+    store = stores.seen_store(f"{at}/seen", buckets=16, every=2)
+    _replayed(spark, p, (F.col("page_id") % 6).cast("int"), 6, lambda s: streams.run_until_dry(s, "append", stores.put_seen(store, U.canonical_url(F.col("url"))), f"{at}/state"), at)
+    return store.read(spark)
+
+
+@query
+def stream_batches_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages as a stream of six batches into a store of deltas, compacted on the way: the latest of each address, by host."""
+    at = _place(spark)
+    p = table(spark, sf, "pages").withColumn("ts", F.timestamp_seconds("page_id"))
+    store = stores.page_store(f"{at}/pages", buckets=16, every=2)
+    _replayed(spark, p, (F.col("page_id") % 6).cast("int"), 6, lambda s: streams.run_until_dry(s, "append", stores.put_pages(store), f"{at}/state"), at)
+    return store.read(spark).groupBy(U.host_of(F.col("url")).alias("host")).agg(F.count("*").alias("n"), F.sum("page_id").cast("long").alias("ids"))
+
+
+@query
+def stream_batches_registry(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers as sessions of fifty hosts, in six batches: the registry folded from partial rows."""
+    at = _place(spark)
+    k = F.col("c_custkey")
+    c = table(spark, sf, "customer").select(
+        k.alias("ord"), F.concat("c_mktsegment", F.repeat(F.lit("x"), (k % 3).cast("int"))).alias("name"), F.concat(F.lit("t"), k % 4).alias("town"), F.array("c_mktsegment").alias("categories"), F.when(F.col("c_acctbal") > 9500, "parent_ready").otherwise("").alias("parent_verdict"),
+        F.lit("").alias("verdict"), F.concat(F.lit("https://h"), k % 50, F.lit(".org/"), F.floor(k / 50) % 14).alias("register_url"), F.lit("").alias("info_url"),
+    )
+    store = stores.registry_store(f"{at}/registry", buckets=16, every=2)
+    _replayed(spark, c, (F.col("ord") % 6).cast("int"), 6, lambda s: streams.run_until_dry(s, "append", stores.put_registry(store), f"{at}/state"), at)
+    out = stores.registry(store, spark)
+    return out.select("host", "name", "town", F.array_join("categories", ";").alias("categories"), "parent_ready", F.array_join("urls", ";").alias("urls"))
+
+
+@query
+def stream_batches_alarms(spark: SparkSession, sf: str) -> DataFrame:
+    """Events of six spans of five days each: types per user whose count moved by more than 30 % from one to the next."""
+    at = _place(spark)
+    e = table(spark, sf, "events").select("user_id", "event_type", F.least(F.floor((F.dayofmonth("ts") - 1) / 5), F.lit(5)).cast("int").alias("part"))
+    store = stores.Store(f"{at}/counts", ("user_id", "event_type"), lambda d: d.groupBy("user_id", "event_type").agg(F.sum("n").alias("n")), buckets=16)
+    _replayed(spark, e, F.col("part"), 6, lambda s: streams.run_until_dry(s, "append", stores.put_counts(store, f"{at}/alarms", ["user_id", "event_type"]), f"{at}/state"), at)
+    out = spark.read.option("basePath", f"{at}/alarms").parquet(f"{at}/alarms/*")
+    return out.groupBy(F.col("batch").cast("long").alias("batch"), "event_type").agg(F.count("*").alias("n"), F.sum("old_n").cast("long").alias("old_n"), F.sum("new_n").cast("long").alias("new_n"))
+
+
+@query
+def stream_batches_finished(spark: SparkSession, sf: str) -> DataFrame:
+    """Suppliers of line items as providers, in six batches with a restart: each is worked on in the first batch that has it, with that batch's items."""
+    at = _place(spark)
+    lines = table(spark, sf, "lineitem").select(F.concat(F.lit("s"), "l_suppkey").alias("provider_id"), "l_orderkey")
+    part = F.when(F.col("l_orderkey") % 100 == 0, 0).when(F.col("l_orderkey") % 100 == 1, 1).otherwise((F.col("l_orderkey") % 4 + 2)).cast("int")
+    work = lambda b: b.groupBy("provider_id").agg(F.count("*").alias("items"))
+    _replayed(spark, lines, part, 6, lambda s: streams.run_until_dry(s, "append", streams.finished_once(f"{at}/done", work), f"{at}/state"), at)
+    return spark.read.option("basePath", f"{at}/done").parquet(f"{at}/done/v=*").select("provider_id", "items", F.col("v").cast("long").alias("batch"))
+
+
 @query
 def ranked_gaps_customers(spark: SparkSession, sf: str) -> DataFrame:
     """All customers ranked by balance, in as many tasks as there are ranges."""

@@ -178,6 +178,23 @@ ORACLES: dict[str, str] = {
       SELECT hole_id, strftime(searched_at, '%Y-%m-%d %H:%M:%S') AS searched_at, attempts, CASE WHEN found THEN 'filled' WHEN attempts >= 6 THEN 'exhausted' ELSE 'searched' END AS status FROM ({_ATTEMPTS})""",
     "stream_running_yields": """
       SELECT user_id, count(*) AS attempts, round(avg(CASE WHEN event_type = 'purchase' THEN 1.0 ELSE 0.0 END), 6) AS mean_yield, max(event_id) FILTER (event_type = 'purchase') AS last_purchase FROM events GROUP BY 1""",
+    "stream_batches_hole_states": """
+      WITH h AS (SELECT user_id AS hole_id, max(ts) AS last_at, count(*) AS attempts, max_by(event_type = 'purchase', ts) AS found FROM events GROUP BY 1), s AS (SELECT *, CASE WHEN found THEN 'filled' WHEN attempts >= 6 THEN 'exhausted' ELSE 'searched' END AS status FROM h)
+      SELECT hole_id, strftime(last_at, '%Y-%m-%d %H:%M:%S') AS searched_at, attempts, CASE WHEN last_at + CASE WHEN status = 'exhausted' THEN INTERVAL 2 DAY ELSE INTERVAL 1 DAY END <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR THEN 'due' ELSE status END AS status FROM s""",
+    "stream_batches_seen_links": f"SELECT {canonical('url')} AS key, CAST(min(page_id % 6) AS BIGINT) AS batch FROM pages GROUP BY 1",
+    "stream_batches_registry": """
+      WITH c AS (SELECT c_custkey AS k, 'h' || (c_custkey % 50) || '.org' AS host, c_mktsegment || repeat('x', CAST(c_custkey % 3 AS INT)) AS name, c_mktsegment AS kind, c_acctbal > 9500 AS ready, 'https://h' || (c_custkey % 50) || '.org/' || ((c_custkey // 50) % 14) AS url FROM customer),
+      u AS (SELECT host, url, min(k) AS o FROM c GROUP BY 1, 2), f AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY o) AS r FROM u), l AS (SELECT host, string_agg(url, ';' ORDER BY o) AS urls FROM f WHERE r <= 10 GROUP BY 1)
+      SELECT host, arg_max(name, length(name) * 100000000 - k) AS name, 't' || (min(k) % 4) AS town, array_to_string(list_sort(list(DISTINCT kind)), ';') AS categories, bool_or(ready) AS parent_ready, any_value(urls) AS urls FROM c JOIN l USING (host) GROUP BY host""",
+    "stream_batches_alarms": """
+      WITH e AS (SELECT user_id, event_type, least((day(ts) - 1) // 5, 5) AS p, count(*) AS n FROM events GROUP BY 1, 2, 3),
+      d AS (SELECT coalesce(b.p, a.p + 1) AS batch, coalesce(b.event_type, a.event_type) AS event_type, coalesce(a.n, 0) AS old_n, coalesce(b.n, 0) AS new_n FROM e b FULL JOIN e a ON a.user_id = b.user_id AND a.event_type = b.event_type AND a.p = b.p - 1)
+      SELECT CAST(batch AS BIGINT) AS batch, event_type, count(*) AS n, CAST(sum(old_n) AS BIGINT) AS old_n, CAST(sum(new_n) AS BIGINT) AS new_n FROM d WHERE batch BETWEEN 1 AND 5 AND abs(new_n - old_n) / greatest(old_n, 1) > 0.3 GROUP BY 1, 2""",
+    "stream_batches_finished": """
+      WITH l AS (SELECT 's' || l_suppkey AS provider_id, CAST(CASE WHEN l_orderkey % 100 < 2 THEN l_orderkey % 100 ELSE l_orderkey % 4 + 2 END AS BIGINT) AS batch FROM lineitem)
+      SELECT provider_id, count(*) AS items, batch FROM l JOIN (SELECT provider_id, min(batch) AS batch FROM l GROUP BY 1) USING (provider_id, batch) GROUP BY 1, 3""",
     "ranked_gaps_customers": "SELECT c_custkey, c_acctbal, row_number() OVER (ORDER BY c_acctbal DESC, c_custkey) AS place FROM customer",
     "seen_places_events": "SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS place FROM events",
 }
+# The same rows however many batches bring them.
+ORACLES |= {"stream_batches_yield_stop": ORACLES["stream_yield_stop"], "stream_batches_pages": ORACLES["stream_latest_pages"]}

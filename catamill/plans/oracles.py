@@ -132,6 +132,12 @@ ORACLES: dict[str, str] = {
       SELECT l_suppkey, count(*) AS n, max(l_orderkey) AS last_order FROM (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey) AS r FROM lineitem) WHERE r <= 60 GROUP BY 1""",
     "nearest_n_per_group": """
       SELECT p_brand, p_partkey, gap, rank FROM (SELECT p_brand, p_partkey, round(abs(p_retailprice - 950), 2) AS gap, row_number() OVER (PARTITION BY p_brand ORDER BY round(abs(p_retailprice - 950), 2), p_partkey) AS rank FROM part) WHERE rank <= 3""",
+    "nearest_once_per_group": """
+      WITH RECURSIVE p AS (SELECT p_brand AS b, CAST(regexp_extract(p_brand, '(\\d+)', 1) AS INT) AS t, p_type || '|' || p_size AS kind, min(round(abs(p_retailprice - 950), 2)) AS gap FROM part GROUP BY 1, 2, 3),
+      o AS (SELECT *, row_number() OVER (ORDER BY t) AS i FROM (SELECT b, t, list(kind ORDER BY gap, kind) AS kinds FROM p GROUP BY 1, 2)),
+      s AS (SELECT CAST(0 AS BIGINT) AS i, CAST([] AS VARCHAR[]) AS taken, CAST([] AS VARCHAR[]) AS own UNION ALL
+        SELECT o.i, list_concat(s.taken, list_filter(o.kinds, lambda k: NOT list_contains(s.taken, k))[1:3]), list_filter(o.kinds, lambda k: NOT list_contains(s.taken, k))[1:3] FROM s JOIN o ON o.i = s.i + 1)
+      SELECT o.b AS p_brand, p.kind, p.gap, CAST(list_position(s.own, p.kind) AS BIGINT) AS rank FROM s JOIN o USING (i) JOIN p ON p.b = o.b AND list_contains(s.own, p.kind)""",
     "snapshot_diff_alarms": """
       WITH g AS (SELECT user_id, event_type, count(*) FILTER (ts < TIMESTAMP '2024-01-16') AS old_n, count(*) FILTER (ts >= TIMESTAMP '2024-01-16') AS new_n FROM events GROUP BY 1, 2)
       SELECT user_id, event_type, old_n, new_n, round((new_n - old_n) / greatest(old_n, 1), 4) AS delta FROM g WHERE abs((new_n - old_n) / greatest(old_n, 1)) > 0.3""",

@@ -185,6 +185,13 @@ def nearest_n_per_group(spark: SparkSession, sf: str) -> DataFrame:
     return monitor.nearest(p, ["p_brand"], "gap", "p_partkey", 3).select("p_brand", "p_partkey", "gap", *_long("rank"))
 
 
+@query
+def nearest_once_per_group(spark: SparkSession, sf: str) -> DataFrame:
+    """Brands served one after another by the three kinds of part (type and size) nearest a price of 950 that no brand before took."""
+    p = table(spark, sf, "part").select("p_brand", F.regexp_extract("p_brand", r"(\d+)", 1).cast("int").alias("turn"), F.concat_ws("|", "p_type", "p_size").alias("kind"), F.round(F.abs(F.col("p_retailprice") - 950), 2).alias("gap"))
+    return monitor.nearest_once(p, "p_brand", "turn", "gap", "kind", 3).select("p_brand", "kind", "gap", *_long("rank"))
+
+
 @query
 def snapshot_diff_alarms(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "events")

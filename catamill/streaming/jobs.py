@@ -201,6 +201,33 @@ def drain(stream: DataFrame, mode: str, key: list[str]) -> DataFrame:
     return out.groupBy(*key).agg(F.max_by(F.struct(*[c for c in stream.columns if c not in key]), "batch").alias("last")).select(*key, "last.*")
 
 
+def in_parts(df: DataFrame, part: Column, at: str):
+    """Puts df into the folder as one file for each part, in the order of the parts, as a source brings them in: each call
+    of what it returns, with a first and a last part, adds those files."""
+    numbered = df.withColumn("__part", part)
+
+    def bring(first: int, last: int) -> None:
+        for k in range(first, last + 1):
+            numbered.where(F.col("__part") == k).drop("__part").coalesce(1).write.mode("append").parquet(at)
+
+    return bring
+
+
+def files_of(spark: SparkSession, at: str, schema, most: int = 1) -> DataFrame:
+    """A stream over the folder's files, `most` a batch, the oldest first."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", most).parquet(at)
+
+
+def run_until_dry(stream: DataFrame, mode: str, put, state: str) -> None:
+    """Runs the stream over all that is there, batch by batch, from where its checkpoint left off."""
+    stream.writeStream.outputMode(mode).option("checkpointLocation", state).trigger(availableNow=True).foreachBatch(put).start().awaitTermination()
+
+
+def to_batches(out: str):
+    """For foreachBatch: what a batch puts out, under its number."""
+    return lambda batch, k: batch.withColumn("batch", F.lit(k)).write.mode("overwrite").parquet(f"{out}/b={k}")
+
+
 def run_event_counts(spark: SparkSession, file: str) -> DataFrame:
     events = read_stream(spark, file).select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
     flat = event_counts(events).select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("hour"), "event_type", "n")

@@ -109,3 +109,21 @@ def test_similar_candidates_are_few(spark):
         assert similar.candidate_names(p, ["b"], threshold).count() < 0.05 * n * (n - 1) / 2
     with pytest.raises(ValueError):
         similar.candidate_names(p, ["b"], 0.6)
+
+
+def test_nearest_once_is_the_loop(spark):
+    from catamill.operators import monitor
+
+    rnd = random.Random(6)
+    rows = [(f"g{g}", g, f"o{rnd.randrange(25)}" if rnd.random() < 0.95 else None, float(rnd.randrange(12))) for g in range(12) for _ in range(14)]
+    want, taken = {}, set()
+    for g in range(12):
+        best = {}
+        for _, _, o, d in (r for r in rows if r[1] == g and r[2]):
+            best[o] = min(best.get(o, d), d)
+        own = sorted((d, o) for o, d in best.items() if o not in taken)[:3]
+        taken |= {o for _, o in own}
+        want |= {(f"g{g}", o): (k + 1, d) for k, (d, o) in enumerate(own)}
+    df = spark.createDataFrame(rows, "g string, turn int, o string, d double").repartition(3)
+    assert {(r.g, r.o): (r["rank"], r.d) for r in monitor.nearest_once(df, "g", "turn", "d", "o", 3).collect()} == want
+    assert monitor.nearest_once(df.limit(0), "g", "turn", "d", "o", 3).count() == 0
