@@ -83,9 +83,11 @@ def noncamp_reason(name: Column, info_url: Column, register_url: Column, page: C
 
 
 def with_pages(sessions: DataFrame, pages: DataFrame) -> DataFrame:
-    """sessions with info_text and register_text, by exact and then by canonical address. pages: key (canonical), text."""
+    """sessions with info_text and register_text, by their canonical addresses. pages: key (canonical), text; of several
+    texts of one address the greatest. Texts that no session asks for are not moved."""
     keyed = sessions.withColumns({"info_key": U.canonical_url(F.col("info_url")), "register_key": U.canonical_url(F.col("register_url"))})
-    one = pages.groupBy("key").agg(F.first("text").alias("text"))
+    asked = keyed.select(F.explode(F.array("info_key", "register_key")).alias("key")).distinct()
+    one = pages.join(asked, "key", "left_semi").groupBy("key").agg(F.max("text").alias("text"))
     info, register = one.select(F.col("key").alias("info_key"), F.col("text").alias("info_text")), one.select(F.col("key").alias("register_key"), F.col("text").alias("register_text"))
     return keyed.join(info, "info_key", "left").join(register, "register_key", "left")
 
@@ -94,8 +96,15 @@ def publish_gate(sessions: DataFrame, pages: DataFrame, *, min_chars: int = 400,
     """sessions (program_name, provider_name, name, info_url, register_url, dates, ages, price, camp_scoped) with `status`
     (published or gap), `reason`, `evidence` and `verdict`. Checks run in a fixed order and the first that fails is the
     reason; with include_review, rows that fail for audience, category or evidence are published for review instead."""
-    s = with_pages(sessions, pages)
     name = first_nonblank(F.col("name"), F.col("program_name"))
+    # What names and addresses tell needs no page; the rows that they hold back are not joined.
+    early = sessions.withColumns({
+        "r_name": F.coalesce(F.concat(F.lit("program: "), T.bad_name_reason(F.col("program_name"))), T.bad_name_reason(name)),
+        "r_geo": F.when(other_state(F.col("info_url")) | other_state(F.col("register_url")), F.lit("out of state")),
+    })
+    held = F.coalesce("r_name", "r_geo")
+    refused = early.where(held.isNotNull()).withColumns({"status": F.lit("gap"), "reason": F.lit("needs_review"), "evidence": held, "verdict": F.lit(None).cast("string"), "ages": T.clean_age(F.col("ages"))})
+    s = with_pages(early.where(held.isNull()).drop("r_name", "r_geo"), pages)
     info, n = text("info_text"), F.length(text("info_text"))
     ages = T.clean_age(F.col("ages"))
     summer = D.starts_in_summer(F.col("dates"), accept_iso)
@@ -107,8 +116,6 @@ def publish_gate(sessions: DataFrame, pages: DataFrame, *, min_chars: int = 400,
     no_youth = ~matches(both, YOUTH_AGE)
     top = F.substring(info, 1, 4000)
     s = s.withColumns({
-        "r_name": F.coalesce(F.concat(F.lit("program: "), T.bad_name_reason(F.col("program_name"))), T.bad_name_reason(name)),
-        "r_geo": F.when(other_state(F.col("info_url")) | other_state(F.col("register_url")), F.lit("out of state")),
         "r_info": first_reason([("info page not fetched", F.col("info_text").isNull()), ("info page too short", n < min_chars), ("name absent from info page", ~T.name_in_text(name, info))]),
         "r_noncamp": noncamp_reason(name, F.col("info_url"), F.col("register_url"), info, has_dates & summer),
         "r_adult": F.when(
@@ -118,9 +125,9 @@ def publish_gate(sessions: DataFrame, pages: DataFrame, *, min_chars: int = 400,
         "r_season": F.when(has_dates & ~summer, F.lit("off-season dates")),
         "r_evidence": F.when(~scoped & ~field_evidence, F.lit("no evidence")),
     })
-    order = ["r_name", "r_geo", "r_info", "r_noncamp", "r_adult", "r_clinical", "r_season", "r_evidence"]
+    order = ["r_info", "r_noncamp", "r_adult", "r_clinical", "r_season", "r_evidence"]
     s = s.withColumn("evidence", F.coalesce(*order))
-    soft = F.coalesce(F.coalesce("r_name", "r_geo", "r_info").isNull() & (F.col("evidence").isin("adult evidence", "no evidence") | F.col("r_noncamp").isNotNull()), F.lit(False))
+    soft = F.coalesce(F.col("r_info").isNull() & (F.col("evidence").isin("adult evidence", "no evidence") | F.col("r_noncamp").isNotNull()), F.lit(False))
     review = soft if include_review else F.lit(False)
     s = s.withColumn("__signals", enrollment(first_nonblank(F.col("register_url"), F.col("info_url")), first_nonblank(F.col("register_text"), F.col("info_text")), name))
     verdict = F.when(F.col("evidence").isNull(), F.when(F.col("__signals.auto_verdict") == "parent_ready", "parent_ready").otherwise("info_confirmed")).when(review, "needs_review")
@@ -129,7 +136,8 @@ def publish_gate(sessions: DataFrame, pages: DataFrame, *, min_chars: int = 400,
         "reason": F.when(verdict.isNull(), F.when(F.col("evidence").isin("info page not fetched", "info page too short"), "empty").otherwise("needs_review")),
         "verdict": verdict, "ages": ages, "name": F.when(F.col("evidence").isNull(), T.prefixed_name(name, F.col("provider_name"))).otherwise(F.col("name")),
     })
-    return out.select(*sessions.columns, "status", "reason", "evidence", "verdict")
+    columns = [*sessions.columns, "status", "reason", "evidence", "verdict"]
+    return out.select(*columns).unionByName(refused.select(*columns))
 
 
 def quality_tier(rows: DataFrame) -> DataFrame:

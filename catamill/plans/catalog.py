@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catamill.functions import hosts as H
+from catamill.functions import sql
 from catamill.functions import urls as U
-from catamill.operators import coverage, extract, gates, geo, linkage, links, monitor, records, relevance, score, verdicts
+from catamill.operators import coverage, extract, gates, geo, linkage, links, monitor, records, relevance, score, suffixes, verdicts
 from catamill.session import shared_dir, table
 from catamill.sources import catalog as files
 from catamill.streaming import jobs as streams
@@ -63,15 +64,22 @@ def noncamp_parts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def publish_gate_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """Labelled documents as programmes with their texts as information pages: published, or a gap with its evidence."""
+    """Labelled documents as programmes with their texts as information pages, so that every reason comes up: published, for
+    review (in one of two modes), or a gap with its evidence."""
     d, lab = table(spark, sf, "documents"), table(spark, sf, "labels")
-    pages = d.select(F.concat(F.lit("https://a.org/"), "doc_id").alias("key"), F.concat(F.lit("Camp camper kids "), F.coalesce("text", F.lit(""))).alias("text"))
+    m = F.col("doc_id") % 12
+    opening = F.when(m == 6, "Camp camper kids clinical therapist patients ").otherwise("Camp camper kids ")
+    pages = d.select(F.concat(F.lit("https://a.org/"), "doc_id").alias("key"), F.concat(opening, F.coalesce("text", F.lit(""))).alias("text"))
     s = lab.select(
-        F.lit("Camp").alias("program_name"), F.lit("").alias("provider_name"), F.when(F.col("toxic") == 1, F.lit("Read more")).otherwise("Camper Camp").alias("name"), F.concat(F.lit("https://a.org/"), "doc_id").alias("info_url"),
-        F.lit("https://lex.myrec.com/x").alias("register_url"), F.when(F.col("quality") == 1, F.lit("July 6-10")).otherwise("October 3").alias("dates"), F.lit("").alias("ages"), F.lit("").alias("price"), F.lit(True).alias("camp_scoped"),
+        F.lit("Camp").alias("program_name"), F.lit("").alias("provider_name"), F.when(m == 0, "Read more").when(m == 3, "Robotics Zephyr").when(m == 4, "Kids lessons").otherwise("Camper Camp").alias("name"),
+        F.concat(F.when(m == 1, "https://a.org/texas/").when(m == 2, "https://b.org/").otherwise("https://a.org/"), "doc_id").alias("info_url"), F.lit("https://lex.myrec.com/x").alias("register_url"),
+        F.when(m == 7, "October 3").when(m == 8, "").otherwise("July 6-10").alias("dates"), F.when(m == 5, "18+").otherwise("").alias("ages"), F.lit("").alias("price"), (~m.isin(6, 8)).alias("camp_scoped"),
     )
-    out = gates.publish_gate(s, pages)
-    return out.groupBy("status", F.coalesce("reason", F.lit("")).alias("reason"), F.coalesce("evidence", F.lit("")).alias("evidence"), F.coalesce("verdict", F.lit("")).alias("verdict")).agg(F.count("*").alias("n"))
+    out = None
+    for review in (False, True):
+        one = gates.publish_gate(s, pages, include_review=review).withColumn("review", F.lit(review))
+        out = one if out is None else out.unionByName(one)
+    return out.groupBy("review", "status", F.coalesce("reason", F.lit("")).alias("reason"), F.coalesce("evidence", F.lit("")).alias("evidence"), F.coalesce("verdict", F.lit("")).alias("verdict")).agg(F.count("*").alias("n"))
 
 
 @query
@@ -169,6 +177,28 @@ def venue_tags_customers(spark: SparkSession, sf: str) -> DataFrame:
     return out.groupBy("geo_town", "geo_state", "geo_keep", F.coalesce("geo_reject", F.lit("")).alias("geo_reject")).agg(F.count("*").alias("n"))
 
 
+# SQL texts, and rules as tables
+
+
+@query
+def sql_links_by_host(spark: SparkSession, sf: str) -> DataFrame:
+    """Links of all pages by host and domain, in one SQL text with the library's functions and its table function."""
+    sql.register(spark)
+    table(spark, sf, "pages").createOrReplaceTempView("catamill_pages")
+    return spark.sql("""
+      WITH l AS (SELECT host_of(l.url) AS host, canonical_url(l.url) AS url, gate_reason(concat(CASE WHEN l.pos % 4 = 1 THEN 'Swim lessons ' ELSE '' END, l.label), l.url) AS reason,
+        summer_window(CASE l.pos % 3 WHEN 0 THEN 'July 6' WHEN 1 THEN '10/3' ELSE l.label END) AS summer FROM catamill_pages p, LATERAL page_links(p.url, p.html) l)
+      SELECT host, registered_domain(host) AS domain, count(*) AS n, count(DISTINCT url) AS urls, count_if(summer) AS summer, count_if(reason = 'lessons') AS lessons, count_if(reason IS NULL) AS camps FROM l GROUP BY host""")
+
+
+@query
+def domains_by_rules_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages by registered domain, suffixes being those of a table of rules with a wildcard and an exception."""
+    rules = spark.createDataFrame([(r,) for r in ("com", "net", "org", "example.com", "*.example.net", "!blog.example.net", "!news.example.net")], "rule string")
+    p = table(spark, sf, "pages").select(U.host_of(F.col("url")).alias("host"))
+    return suffixes.registered_domains(p, rules).groupBy("suffix", "domain").agg(F.count("*").alias("n"))
+
+
 # Verdicts, coverage and evaluation
 
 

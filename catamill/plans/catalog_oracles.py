@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from catamill.functions import hosts as H
 from catamill.functions import urls as U
+from catamill.operators import gates as G
 from catamill.operators import relevance as R
 from catamill.plans.oracles import LINKS, _q, alike, canonical, host, path
 
@@ -51,10 +52,12 @@ ORACLES: dict[str, str] = {
       SELECT kind, CASE WHEN n LIKE 'Counselor%' OR careers THEN 'job' WHEN n = 'Swim lessons' THEN 'lessons' WHEN n = 'Newsletter' THEN 'resource page' WHEN n = 'ESL program' THEN 'school service'
         WHEN NOT summer AND n = 'Learning Center' THEN 'year-round childcare' ELSE 'camp' END AS reason, count(*) AS n FROM ({_NONCAMP}) GROUP BY 1, 2""",
     "publish_gate_documents": """
-      WITH l AS (SELECT quality, toxic, length('Camp camper kids ' || coalesce(text, '')) AS n, regexp_matches(coalesce(text, ''), '(?i)\\b(?:english|transition|special education|change of address)') AS odd FROM labels JOIN documents USING (doc_id)),
-      e AS (SELECT CASE WHEN toxic = 1 THEN 'chrome name' WHEN n < 400 THEN 'info page too short' WHEN quality = 0 THEN 'off-season dates' ELSE '' END AS evidence FROM l)
-      SELECT CASE WHEN evidence = '' THEN 'published' ELSE 'gap' END AS status, CASE WHEN evidence = '' THEN '' WHEN evidence = 'info page too short' THEN 'empty' ELSE 'needs_review' END AS reason, evidence,
-        CASE WHEN evidence = '' THEN 'info_confirmed' ELSE '' END AS verdict, count(*) AS n FROM e GROUP BY 1, 2, 3, 4""",
+      WITH l AS (SELECT doc_id % 12 AS m, length('Camp camper kids ' || CASE WHEN doc_id % 12 = 6 THEN 'clinical therapist patients ' ELSE '' END || coalesce(text, '')) AS n FROM labels JOIN documents USING (doc_id)),
+      e AS (SELECT CASE WHEN m = 0 THEN 'chrome name' WHEN m = 1 THEN 'out of state' WHEN m = 2 THEN 'info page not fetched' WHEN n < 400 THEN 'info page too short'
+        ELSE ['name absent from info page', 'lessons', 'adult evidence', 'clinical context', 'off-season dates', 'no evidence', '', '', ''][m - 2] END AS evidence FROM l),
+      b AS (SELECT review, evidence, review AND evidence IN ('lessons', 'adult evidence', 'no evidence') AS soft FROM e, (VALUES (false), (true)) v(review))
+      SELECT review, CASE WHEN evidence = '' OR soft THEN 'published' ELSE 'gap' END AS status, CASE WHEN evidence = '' OR soft THEN '' WHEN evidence LIKE 'info page %' THEN 'empty' ELSE 'needs_review' END AS reason, evidence,
+        CASE WHEN evidence = '' THEN 'info_confirmed' WHEN soft THEN 'needs_review' ELSE '' END AS verdict, count(*) AS n FROM b GROUP BY ALL""",
     "published_rows_orders": """
       WITH o AS (SELECT CASE o_orderstatus WHEN 'F' THEN 'parent_ready' WHEN 'O' THEN 'brochure_only' ELSE '' END AS v, o_custkey % 5 = 0 AS program, CAST(o_orderdate AS DATE) AS d, o_custkey % 7 = 0 AS senior FROM orders),
       h AS (SELECT v, CASE WHEN v = '' THEN 'unverified' WHEN NOT program AND NOT (d <= DATE '1996-09-30' AND d >= DATE '1996-05-01') THEN 'date_sanity' WHEN senior AND v <> 'parent_ready' THEN 'audience_keyword' ELSE '' END AS held_reason FROM o)
@@ -97,6 +100,16 @@ ORACLES: dict[str, str] = {
     "venue_tags_customers": """
       WITH c AS (SELECT c_custkey AS k FROM customer), v AS (SELECT CASE k % 4 WHEN 0 THEN '' WHEN 1 THEN '' WHEN 2 THEN CASE WHEN k % 20 < 25 THEN 'Town' || (k % 20) ELSE '' END ELSE '' END AS geo_town, CASE k % 4 WHEN 0 THEN 'MA' WHEN 1 THEN 'NH' WHEN 2 THEN 'MA' ELSE '' END AS geo_state, k % 4 IN (0, 2) AS geo_keep FROM c)
       SELECT geo_town, geo_state, geo_keep, CASE WHEN geo_keep THEN '' WHEN geo_state = '' THEN 'venue not MA (unknown)' ELSE 'venue not MA (' || geo_state || ')' END AS geo_reject, count(*) AS n FROM v GROUP BY 1, 2, 3, 4""",
+    "sql_links_by_host": f"""
+      WITH l AS (SELECT {host('url')} AS host, {canonical('url')} AS url, pos, label, lower({path('url')}) AS pth FROM ({LINKS})),
+      r AS (SELECT *, CASE WHEN {_i('label', G.JOB_NAME.replace('(?!\\s*[-\\s]?in[-\\s]?training)', ''))} OR regexp_matches(pth, {_q(G.JOB_PATH)}) THEN 'job' WHEN pos % 4 = 1 OR {_i('label', G.LESSON_NAME)} THEN 'lessons'
+        WHEN {_i('label', G.RESOURCE_NAME)} OR regexp_matches(pth, {_q(G.RESOURCE_PATH)}) THEN 'resource page' WHEN {_i('label', G.SCHOOL_SERVICE)} OR regexp_matches(pth, {_q(G.SCHOOL_PATH)}) THEN 'school service' END AS reason FROM l)
+      SELECT host, regexp_extract(host, '([^.]+\\.[^.]+)$', 1) AS domain, count(*) AS n, count(DISTINCT url) AS urls, count(*) FILTER (pos % 3 = 0) AS summer, count(*) FILTER (reason = 'lessons') AS lessons, count(*) FILTER (reason IS NULL) AS camps FROM r GROUP BY host""",
+    "domains_by_rules_pages": f"""
+      WITH h AS (SELECT {host('url')} AS h FROM pages),
+      s AS (SELECT h, CASE WHEN regexp_matches(h, '(^|\\.)(blog|news)\\.example\\.net$') THEN 'example.net' WHEN regexp_matches(h, '\\.example\\.net$') THEN regexp_extract(h, '([^.]+\\.example\\.net)$', 1)
+        WHEN regexp_matches(h, '(^|\\.)example\\.com$') THEN 'example.com' ELSE regexp_extract(h, '([^.]+)$', 1) END AS suffix FROM h)
+      SELECT suffix, CASE WHEN h = suffix THEN h ELSE regexp_extract(left(h, length(h) - length(suffix) - 1), '([^.]+)$', 1) || '.' || suffix END AS domain, count(*) AS n FROM s GROUP BY 1, 2""",
     "fallback_rows_suppliers": """
       SELECT s_name || ' — Summer Program' AS name, 'https://s' || s_suppkey || '.example.com/' AS register_url, 'program' AS granularity, 'fallback' AS platform FROM supplier
       WHERE s_acctbal > 0 AND s_suppkey NOT IN (SELECT l_suppkey FROM lineitem GROUP BY 1 HAVING 3 * count(*) FILTER (l_returnflag = 'R') > count(*))""",
