@@ -169,6 +169,34 @@ def page_record(pages: DataFrame, links: DataFrame) -> DataFrame:
     return p.select("page_id", "url", "name", F.coalesce("register_url", F.lit("")).alias("register_url"), ages.alias("ages"), dates.alias("dates"), status.alias("status"))
 
 
+#: Pages of activity sets, headings that name no programme, and grades in names.
+ACTIVITY_SET = r"hisawyer\.com/([\w-]+)/schedules/activity-set/(\d+)"
+NOISE_HEADING = r"summer camps|new for|returning favorites|program details|frequently asked|add-on|stay connected|unlock|we make"
+GRADES = r"(?:gr|grades?)\.?\s*:?\s*(?:rising\s*)?[k0-9][\s\-–toandk0-9]{0,12}"
+LONGEST_HEADING = 70
+
+
+def page_parts(pages: DataFrame, link: str = r"<a\b[^>]*?\bhref\s*=\s*[\"'][^\"']*[\"']", keep: tuple[str, ...] = ()) -> DataFrame:
+    """page_id, pos, kind (heading or link), value of a page's headings (h1 to h4, without tags, white space in one) and of
+    what matches `link`, in page order, by one pattern; links inside headings come after them. Headings that are blank,
+    long or name no programme are left out. keep: columns of the page that its parts carry."""
+    heading = r"<h[1-4][^>]*>(?=([\s\S]*?)</h[1-4]>)"
+    pattern = F.lit(rf"(?i){heading}|{link}")
+    found = F.arrays_zip(F.regexp_extract_all(text("html"), pattern, F.lit(0)).alias("all"), F.regexp_extract_all(text("html"), pattern, F.lit(1)).alias("inner"))
+    each = pages.select("page_id", *keep, F.posexplode(found).alias("pos", "p"))
+    is_heading = F.col("p.all").rlike(r"(?i)^<h[1-4]")
+    name = T.strip(F.regexp_replace(F.regexp_replace("p.inner", "<[^>]+>", " "), r"(?U)\s+", " "))
+    out = each.select("page_id", *keep, "pos", F.when(is_heading, "heading").otherwise("link").alias("kind"), F.when(is_heading, name).otherwise(F.col("p.all")).alias("value"))
+    return out.where((F.col("kind") == "link") | ((F.col("value") != "") & (F.length("value") <= LONGEST_HEADING) & ~F.col("value").rlike("(?i)" + NOISE_HEADING)))
+
+
+def heading_programs(pages: DataFrame) -> DataFrame:
+    """page_id, set_id, name, info_url, ages: programmes of pages that head each activity set's link with its name."""
+    met = enclosing_link(page_parts(pages, ACTIVITY_SET))
+    by_set = met.withColumn("set_id", F.regexp_extract("link", ACTIVITY_SET, 2)).groupBy("page_id", "set_id").agg(F.min_by(F.struct("name", "link"), "pos").alias("f"))
+    return by_set.select("page_id", "set_id", "f.name", F.concat(F.lit("https://www."), "f.link").alias("info_url"), F.trim(F.regexp_extract("f.name", "(?i)" + GRADES, 0)).alias("ages"))
+
+
 def enclosing_link(parts: DataFrame) -> DataFrame:
     """parts (page_id, pos, kind: heading or link, value): each heading with the next link on its page; one row per link."""
     after = Window.partitionBy("page_id").orderBy("pos").rowsBetween(1, Window.unboundedFollowing)

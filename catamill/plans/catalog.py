@@ -371,6 +371,17 @@ def section_pages_parts(spark: SparkSession, sf: str) -> DataFrame:
     return extract.drop_section_pages(p).select("p_partkey")
 
 
+@query
+def heading_programs_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers' orders as marketing pages: a heading for each order, some of them noise, and a link to its activity set for every third."""
+    o = table(spark, sf, "orders")
+    name = F.when(F.col("o_orderstatus") == "P", "Stay connected").otherwise(F.concat(F.lit("Robots <b>"), F.split("o_orderpriority", "-")[1], F.lit("</b>\n Grades 2-4: "), "o_orderkey"))
+    link = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit(' <a href="https://www.hisawyer.com/org/schedules/activity-set/'), "o_orderkey", F.lit('">go</a>'))).otherwise("")
+    piece = F.struct("o_orderkey", F.concat(F.lit("<h2 class='x'>"), name, F.lit("</h2><p>text</p>"), link).alias("t"))
+    pages = o.groupBy(F.col("o_custkey").alias("page_id")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(piece)), lambda x: x["t"]), "").alias("html"))
+    return extract.heading_programs(pages)
+
+
 @query
 def name_links_pages(spark: SparkSession, sf: str) -> DataFrame:
     """For the title of each page, its three best links by name."""

@@ -110,6 +110,11 @@ ORACLES: dict[str, str] = {
       s AS (SELECT h, CASE WHEN regexp_matches(h, '(^|\\.)(blog|news)\\.example\\.net$') THEN 'example.net' WHEN regexp_matches(h, '\\.example\\.net$') THEN regexp_extract(h, '([^.]+\\.example\\.net)$', 1)
         WHEN regexp_matches(h, '(^|\\.)example\\.com$') THEN 'example.com' ELSE regexp_extract(h, '([^.]+)$', 1) END AS suffix FROM h)
       SELECT suffix, CASE WHEN h = suffix THEN h ELSE regexp_extract(left(h, length(h) - length(suffix) - 1), '([^.]+)$', 1) || '.' || suffix END AS domain, count(*) AS n FROM s GROUP BY 1, 2""",
+    "heading_programs_orders": """
+      WITH o AS (SELECT o_custkey AS page_id, o_orderkey AS k, o_orderstatus <> 'P' AS named, split_part(o_orderpriority, '-', 2) AS word, o_orderkey % 3 = 0 AS linked FROM orders),
+      g AS (SELECT *, sum(CASE WHEN linked THEN 1 ELSE 0 END) OVER (PARTITION BY page_id ORDER BY k DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS part FROM o),
+      f AS (SELECT page_id, max(k) FILTER (linked) AS id, min(k) FILTER (named) AS first FROM g WHERE part > 0 GROUP BY page_id, part)
+      SELECT f.page_id, CAST(id AS VARCHAR) AS set_id, 'Robots ' || word || ' Grades 2-4: ' || first AS name, 'https://www.hisawyer.com/org/schedules/activity-set/' || id AS info_url, 'Grades 2-4' AS ages FROM f JOIN o ON o.k = f.first""",
     "fallback_rows_suppliers": """
       SELECT s_name || ' — Summer Program' AS name, 'https://s' || s_suppkey || '.example.com/' AS register_url, 'program' AS granularity, 'fallback' AS platform FROM supplier
       WHERE s_acctbal > 0 AND s_suppkey NOT IN (SELECT l_suppkey FROM lineitem GROUP BY 1 HAVING 3 * count(*) FILTER (l_returnflag = 'R') > count(*))""",
