@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from catamill.functions import hosts as H
 from catamill.functions import texts as T
 from catamill.functions import urls as U
 from catamill.functions.common import UI, first_reason, matches, text
+from catamill.operators.geo import out_of_state
 
 
 def normalize_pages(pages: DataFrame, order: Column | None = None, unescape: bool = False) -> DataFrame:
@@ -43,6 +46,57 @@ def slop_reason(url: Column, label: Column) -> Column:
     ])
 
 
+# Chains whose branch pages are sources of their own, and what paths, titles, hosts and paths tell of a search hit.
+CHAIN_BRANCHES = (
+    "codeninjas.com", "schoolofrock.com", "goldfishswimschool.com", "britishswimschool.com", "idtech.com", "mathnasium.com", "kumon.com", "snapology.com", "kidcreate.com", "engineeringforkids.com",
+    "challengersports.com", "ussportscamps.com", "supersoccerstars.com", "skyhawks.com", "britishsoccercamps.com",
+)
+REJECTED_PATHS = ("/after-school", "/afterschool", "/childcare", "/child-care", "/daycare")
+REJECTED_TITLES = ("after school", "after-school", "afterschool", "childcare", "daycare", "babysitter", "nanny", "tutor", "jobs", "careers", "employment")
+TITLE_OVERRIDES = ("summer camp", "summer camps", "day camp", "sleepaway")
+PREFERRED_HOSTS = ("communityed.org", "communityed.com", "myrec.com", "ymca.org", "ymca.net", "jcc", "bgclub", "burlingtonrecreation.org", "recreation.org")
+PREFERRED_SOURCE_PATHS = ("/recreation", "/summer-camp", "/summer-camps", "/programs")
+HOME_ZIPS = r"\b0[12]\d{3}\b"
+
+
+def _holds(c: Column, parts: Sequence[str]) -> Column:
+    out = F.lit(False)
+    for p in parts:
+        out = out | F.contains(c, F.lit(p))
+    return out
+
+
+def validate_hits(hits: DataFrame, towns: Sequence[str] = (), aggregators: Sequence[str] = H.AGGREGATORS, guides: Sequence[str] = H.GUIDE_DOMAINS) -> DataFrame:
+    """hits (url, title, snippet) with canonical url, verdict (keep or reject), reason, source_type and preferred; the first
+    rule that holds decides: no url; aggregators, but for branches of chains that name a place (a /location/, a home ZIP,
+    or one of the towns); another state; guides, kept for their links; paths and titles of what is no camp, unless the
+    title names a camp; preferred hosts and paths; summer or camp anywhere; and else kept as ambiguous."""
+    h = hits.withColumns({"__url": U.canonical_url(F.col("url"))})
+    url, low = F.col("__url"), F.lower(F.col("__url"))
+    said = F.lower(F.concat_ws(" ", text("url"), text("title"), text("snippet")))
+    domain, host, at = U.registered_domain(U.host_of(url)), U.authority(url), F.lower(U.path(url))
+    place = _holds(low, ("/locations/", "/location/")) | F.concat_ws(" ", low, said).rlike(HOME_ZIPS) | _holds(said, [t.lower() for t in towns])
+    other = out_of_state(url, F.col("title"), F.col("snippet"))
+    preferred = out_of_state(url, F.col("title"), F.lit("")).isNull() & (_holds(host, PREFERRED_HOSTS) | (host.endswith(".gov") & _holds(at, ("/recreation", "/parks", "/programs"))) | _holds(at, PREFERRED_SOURCE_PATHS))
+    path_hit = F.coalesce(*[F.when(F.contains(at, F.lit(p)), F.lit(p)) for p in REJECTED_PATHS])
+    is_aggregator = domain.isin(*aggregators)
+    says = lambda s: F.concat(F.lit(s), domain)
+    row = lambda verdict, reason, kind, liked=False: F.struct(F.lit(verdict).alias("verdict"), (reason if isinstance(reason, Column) else F.lit(reason)).alias("reason"), F.lit(kind).alias("source_type"), F.lit(liked).alias("preferred"))
+    found = (
+        F.when(url == "", row("reject", "empty url", "irrelevant"))
+        .when(is_aggregator & domain.isin(*CHAIN_BRANCHES) & place, row("keep", says("chain branch w/ location: "), "primary"))
+        .when(is_aggregator, row("reject", says("aggregator domain: "), "aggregator"))
+        .when(other.isNotNull(), row("reject", F.concat(F.lit("out of state: "), other), "irrelevant"))
+        .when(domain.isin(*guides), row("keep", says("parent guide (mine outbound): "), "guide"))
+        .when(path_hit.isNotNull(), row("reject", F.concat(F.lit("url path contains "), path_hit), "after_school"))
+        .when(_holds(said, REJECTED_TITLES) & ~_holds(said, TITLE_OVERRIDES), row("reject", "title/snippet indicates after-school or non-camp", "after_school"))
+        .when(preferred, row("keep", "preferred primary source host/path", "primary", True))
+        .when(_holds(said, ("summer", "camp")), row("keep", "summer/camp in metadata", "unknown"))
+        .otherwise(row("keep", "passed rules; ambiguous", "unknown"))
+    )
+    return h.withColumn("__r", found).select(*[c for c in hits.columns if c != "url"], F.col("__url").alias("url"), "__r.*")
+
+
 def screen_hits(hits: DataFrame, deny_domains: DataFrame | None = None) -> DataFrame:
     """hits (url, title, snippet) with keep, reason, source_type and preferred. deny_domains: domain."""
     h = hits.withColumn("domain", U.registered_domain(U.host_of(F.col("url"))))

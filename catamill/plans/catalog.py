@@ -371,6 +371,21 @@ def section_pages_parts(spark: SparkSession, sf: str) -> DataFrame:
     return extract.drop_section_pages(p).select("p_partkey")
 
 
+@query
+def validated_hits_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers as search hits of twelve kinds, so that every rule decides some of them; by verdict, reason and source."""
+    k = F.col("c_custkey")
+    kinds = [
+        ("https://www.yelp.com/biz/", "Camp"), ("https://codeninjas.com/locations/burlington/", "Code"), ("https://codeninjas.com/about/", "Code"), ("https://codeninjas.com/x/", "Code in Woburn"), ("https://a.org/camp/", "Camp, Nashua, NH"),
+        ("https://macaronikid.com/lists/", "Camps"), ("https://a.org/after-school/", "Summer camp"), ("https://a.org/x/", "Afterschool tutor"), ("https://a.org/x/", "Afterschool and day camp"), ("https://town.myrec.com/info/", "Activities"),
+        ("https://a.org/zoo/", "Animals"), ("", "Camp"),
+    ]
+    pick = lambda n: F.get(F.array(*[F.lit(x[n]) for x in kinds]), (k % 12).cast("int"))
+    hits = table(spark, sf, "customer").select(F.when(k % 12 == 11, "").otherwise(F.concat(pick(0), k)).alias("url"), pick(1).alias("title"), F.lit("").alias("snippet"))
+    out = links.validate_hits(hits, towns=("Woburn", "Acton"), aggregators=(*H.AGGREGATORS, "codeninjas.com"))
+    return out.groupBy("verdict", "reason", "source_type", "preferred").agg(F.count("*").alias("n"), F.sum(F.length("url")).alias("letters"))
+
+
 @query
 def heading_programs_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Customers' orders as marketing pages: a heading for each order, some of them noise, and a link to its activity set for every third."""

@@ -110,6 +110,11 @@ ORACLES: dict[str, str] = {
       s AS (SELECT h, CASE WHEN regexp_matches(h, '(^|\\.)(blog|news)\\.example\\.net$') THEN 'example.net' WHEN regexp_matches(h, '\\.example\\.net$') THEN regexp_extract(h, '([^.]+\\.example\\.net)$', 1)
         WHEN regexp_matches(h, '(^|\\.)example\\.com$') THEN 'example.com' ELSE regexp_extract(h, '([^.]+)$', 1) END AS suffix FROM h)
       SELECT suffix, CASE WHEN h = suffix THEN h ELSE regexp_extract(left(h, length(h) - length(suffix) - 1), '([^.]+)$', 1) || '.' || suffix END AS domain, count(*) AS n FROM s GROUP BY 1, 2""",
+    "validated_hits_customers": """
+      WITH v(m, verdict, reason, source_type, letters) AS (VALUES (0, 'reject', 'aggregator domain: yelp.com', 'aggregator', 21), (1, 'keep', 'chain branch w/ location: codeninjas.com', 'primary', 44), (2, 'reject', 'aggregator domain: codeninjas.com', 'aggregator', 29),
+        (3, 'keep', 'chain branch w/ location: codeninjas.com', 'primary', 25), (4, 'reject', 'out of state: location text (NH)', 'irrelevant', 19), (5, 'keep', 'parent guide (mine outbound): macaronikid.com', 'guide', 30), (6, 'reject', 'url path contains /after-school', 'after_school', 27),
+        (7, 'reject', 'title/snippet indicates after-school or non-camp', 'after_school', 16), (8, 'keep', 'summer/camp in metadata', 'unknown', 16), (9, 'keep', 'preferred primary source host/path', 'primary', 28), (10, 'keep', 'passed rules; ambiguous', 'unknown', 18), (11, 'reject', 'empty url', 'irrelevant', 0))
+      SELECT verdict, reason, source_type, m = 9 AS preferred, count(*) AS n, CAST(sum(letters + CASE WHEN m = 11 THEN 0 ELSE length(CAST(c_custkey AS VARCHAR)) END) AS BIGINT) AS letters FROM customer JOIN v ON c_custkey % 12 = m GROUP BY 1, 2, 3, 4""",
     "heading_programs_orders": """
       WITH o AS (SELECT o_custkey AS page_id, o_orderkey AS k, o_orderstatus <> 'P' AS named, split_part(o_orderpriority, '-', 2) AS word, o_orderkey % 3 = 0 AS linked FROM orders),
       g AS (SELECT *, sum(CASE WHEN linked THEN 1 ELSE 0 END) OVER (PARTITION BY page_id ORDER BY k DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS part FROM o),
