@@ -14,6 +14,7 @@ from catamill.functions import dates as D
 from catamill.functions import texts as T
 from catamill.functions import urls as U
 from catamill.functions.common import first_nonblank, text
+from catamill.session import cut
 
 EVENT = ArrayType(StructType([StructField(c, StringType()) for c in ("name", "dates", "price", "register_url")]))
 #: Types of structured data that are events.
@@ -29,6 +30,51 @@ def flatten_payload(rows: DataFrame, column: str, schema: str, explode: str | No
     return parsed.select(*[c for c in rows.columns if c != column], f"{column}.*")
 
 
+def flatten_nested(rows: DataFrame, column: str, schema: str, path: Sequence[str]) -> DataFrame:
+    """rows with one row for each entry of the arrays that `path` names, each inside the one before: `orders`, then `lines`
+    of an order. Fields beside an array go along, those of inner ones after those of outer ones; entries without an inner
+    array, or with an empty one, go. JSON that doesn't parse gives no rows."""
+    out = rows.select(*[c for c in rows.columns if c != column], F.from_json(column, schema).alias(column))
+    for name in path:
+        kept = [f.name for f in out.schema[column].dataType.fields if f.name != name]
+        out = out.select(*[c for c in out.columns if c != column], *[F.col(f"{column}.{f}").alias(f) for f in kept], F.explode(f"{column}.{name}").alias(column))
+    return out.select(*[c for c in out.columns if c != column], f"{column}.*")
+
+
+def json_objects(rows: DataFrame, key: str, column: str) -> DataFrame:
+    """key, place, node: every object anywhere in the JSON texts of a column (several texts a row: an array), as a variant,
+    with the places that lead to it, so that outer objects stand before inner ones. Texts that don't parse are passed over.
+
+    One lateral join a level, as deep as the deepest text; each level's rows are those of the level before, opened."""
+    spark, texts = rows.sparkSession, F.col(column)
+    texts = texts if dict(rows.dtypes)[column].startswith("array") else F.array(texts)
+    level = rows.select(F.col(key), F.posexplode(texts).alias("at", "t")).select(key, F.array("at").alias("place"), F.try_parse_json("t").alias("node"))
+    kind = lambda c: F.schema_of_variant(c)
+    inside = lambda df: df.where(kind(F.col("node")).rlike("^(OBJECT|ARRAY)<"))
+    out = None
+    while True:
+        level = cut(inside(level))
+        if not level.limit(1).count():
+            return out if out is not None else level
+        found = level.where(kind(F.col("node")).startswith("OBJECT"))
+        out = found if out is None else out.unionByName(found)
+        opened = level.lateralJoin(spark.tvf.variant_explode(F.col("node").outer()))
+        level = opened.select(key, F.concat("place", F.array("pos")).alias("place"), F.col("value").alias("node"))
+
+
+def embedded_state_events(pages: DataFrame) -> DataFrame:
+    """page_id, name, dates, price, register_url of every object in a page's embedded application state that has a name or
+    title and a start, each (name, dates) of a page once, the first by place. The walk is native, whatever the nesting."""
+    some = pages.select("page_id", F.regexp_extract_all(text("html"), F.lit(r"(?is)<script[^>]*application/json[^>]*>(.*?)</script>"), F.lit(1)).alias("blocks")).where(F.size("blocks") > 0)
+    get = lambda *names: F.coalesce(*[F.nullif(F.try_variant_get("node", f"$.{n}", "string"), F.lit("")) for n in names])
+    is_text = lambda *names: F.coalesce(*[F.when(F.try_variant_get("node", f"$.{n}", "string").isNotNull(), F.schema_of_variant(F.variant_get("node", f"$.{n}", "variant")) == "STRING") for n in names], F.lit(False))
+    starts, ends = ("startDate", "start_date", "startsAt"), ("endDate", "end_date", "endsAt")
+    e = json_objects(some, "page_id", "blocks").where(is_text("name", "title") & is_text(*starts))
+    dates = F.concat_ws(" - ", F.substring(get(*starts), 1, 10), F.substring(get(*ends), 1, 10))
+    e = e.select("page_id", "place", F.trim(get("name", "title")).alias("name"), dates.alias("dates"), F.coalesce(get("price"), F.lit("")).alias("price"), F.coalesce(get("url"), F.lit("")).alias("register_url"))
+    return e.groupBy("page_id", F.lower("name").alias("k"), "dates").agg(F.min_by(F.struct("name", "price", "register_url"), "place").alias("f")).select("page_id", "f.name", "dates", "f.price", "f.register_url")
+
+
 def _nodes(x: object) -> Iterator[dict]:
     """All objects inside parsed JSON, outer ones first."""
     todo = [x]

@@ -386,6 +386,44 @@ def validated_hits_customers(spark: SparkSession, sf: str) -> DataFrame:
     return out.groupBy("verdict", "reason", "source_type", "preferred").agg(F.count("*").alias("n"), F.sum(F.length("url")).alias("letters"))
 
 
+@query
+def nested_payloads_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers with their orders and line items as one nested payload each, flattened again: items by segment and status."""
+    lines = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_list(F.struct("l_linenumber", "l_quantity")).alias("lines"))
+    orders = table(spark, sf, "orders").join(lines, "o_orderkey").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.collect_list(F.struct("o_orderkey", "o_orderstatus", "lines")).alias("orders"))
+    payload = F.to_json(F.struct(F.col("c_mktsegment").alias("segment"), "orders"))
+    rows = table(spark, sf, "customer").join(orders, "c_custkey").select("c_custkey", payload.alias("payload"))
+    schema = "segment string, orders array<struct<o_orderkey: long, o_orderstatus: string, lines: array<struct<l_linenumber: long, l_quantity: double>>>>"
+    flat = extract.flatten_nested(rows, "payload", schema, ["orders", "lines"])
+    return flat.groupBy("segment", "o_orderstatus").agg(F.count("*").alias("items"), F.countDistinct("c_custkey").alias("customers"), F.countDistinct("o_orderkey").alias("orders"), F.sum("l_quantity").cast("long").alias("quantity"))
+
+
+def _state_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers' orders as pages with a graph of events, an application state that nests them, and a block that is torn."""
+    o = table(spark, sf, "orders")
+    name, day = F.concat(F.lit("Camp "), F.col("o_orderkey") % 4), F.date_format("o_orderdate", "yyyy-MM-dd")
+    event = F.struct(F.when(F.col("o_orderstatus") == "P", "WebPage").otherwise("Event").alias("@type"), name.alias("name"), F.concat(day, F.lit("T09:00")).alias("startDate"), F.struct((F.col("o_orderkey") % 7).alias("price"), F.lit("USD").alias("priceCurrency")).alias("offers"))
+    item = F.struct(F.concat(F.lit("Item "), F.col("o_orderkey") % 3).alias("title"), F.when(F.col("o_orderkey") % 5 > 0, day).alias("startsAt"), F.struct(F.array(F.struct(name.alias("name"), day.alias("start_date"), day.alias("end_date"))).alias("days")).alias("more"))
+    both = o.groupBy(F.col("o_custkey").alias("page_id")).agg(F.collect_list(event).alias("graph"), F.collect_list(item).alias("items"))
+    graph, state = F.to_json(F.struct(F.col("graph").alias("@graph"))), F.to_json(F.struct(F.struct("items").alias("state")))
+    html = F.concat(F.lit('<html><script type="application/ld+json">'), graph, F.lit('</script><script type="application/json">'), state, F.lit('</script><script type="application/json">{"name": torn</script></html>'))
+    return both.select("page_id", html.alias("html"))
+
+
+@query
+def structured_events_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Events of pages' JSON-LD and of their application state, by kind and price."""
+    out = extract.structured_events(_state_pages(spark, sf))
+    return out.groupBy("kind", "price").agg(F.count("*").alias("n"), F.countDistinct("page_id").alias("pages"), F.countDistinct("name", "dates").alias("events"))
+
+
+@query
+def embedded_events_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Events of pages' application state alone, walked as variants."""
+    out = extract.embedded_state_events(_state_pages(spark, sf))
+    return out.groupBy("name").agg(F.count("*").alias("n"), F.countDistinct("page_id").alias("pages"), F.countDistinct("dates").alias("dates"))
+
+
 @query
 def heading_programs_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Customers' orders as marketing pages: a heading for each order, some of them noise, and a link to its activity set for every third."""

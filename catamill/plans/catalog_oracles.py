@@ -115,6 +115,18 @@ ORACLES: dict[str, str] = {
         (3, 'keep', 'chain branch w/ location: codeninjas.com', 'primary', 25), (4, 'reject', 'out of state: location text (NH)', 'irrelevant', 19), (5, 'keep', 'parent guide (mine outbound): macaronikid.com', 'guide', 30), (6, 'reject', 'url path contains /after-school', 'after_school', 27),
         (7, 'reject', 'title/snippet indicates after-school or non-camp', 'after_school', 16), (8, 'keep', 'summer/camp in metadata', 'unknown', 16), (9, 'keep', 'preferred primary source host/path', 'primary', 28), (10, 'keep', 'passed rules; ambiguous', 'unknown', 18), (11, 'reject', 'empty url', 'irrelevant', 0))
       SELECT verdict, reason, source_type, m = 9 AS preferred, count(*) AS n, CAST(sum(letters + CASE WHEN m = 11 THEN 0 ELSE length(CAST(c_custkey AS VARCHAR)) END) AS BIGINT) AS letters FROM customer JOIN v ON c_custkey % 12 = m GROUP BY 1, 2, 3, 4""",
+    "nested_payloads_customers": """
+      SELECT c_mktsegment AS segment, o_orderstatus, count(*) AS items, count(DISTINCT c_custkey) AS customers, count(DISTINCT o_orderkey) AS orders, CAST(sum(l_quantity) AS BIGINT) AS quantity
+      FROM customer JOIN orders ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2""",
+    "structured_events_orders": """
+      WITH o AS (SELECT o_custkey AS page_id, o_orderkey AS k, strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS d, o_orderstatus <> 'P' AS event FROM orders),
+      e AS (SELECT page_id, 'jsonld' AS kind, 'Camp ' || (k % 4) AS name, d AS dates, CAST(k % 7 AS VARCHAR) AS price, k FROM o WHERE event UNION ALL SELECT page_id, 'state', 'Item ' || (k % 3), d, '', k FROM o WHERE k % 5 > 0 UNION ALL SELECT page_id, 'state', 'Camp ' || (k % 4), d || ' - ' || d, '', k FROM o),
+      f AS (SELECT page_id, kind, name, dates, count(*) AS n, min(price) AS low, max(price) AS high FROM e GROUP BY 1, 2, 3, 4)
+      SELECT kind, CASE WHEN kind = 'state' OR low = '0' THEN '' ELSE '$' || low END AS price, count(*) AS n, count(DISTINCT page_id) AS pages, count(DISTINCT (name, dates)) AS events FROM f GROUP BY 1, 2""",
+    "embedded_events_orders": """
+      WITH o AS (SELECT o_custkey AS page_id, o_orderkey AS k, strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS d FROM orders),
+      e AS (SELECT DISTINCT page_id, 'Item ' || (k % 3) AS name, d AS dates FROM o WHERE k % 5 > 0 UNION SELECT page_id, 'Camp ' || (k % 4), d || ' - ' || d FROM o)
+      SELECT name, count(*) AS n, count(DISTINCT page_id) AS pages, count(DISTINCT dates) AS dates FROM e GROUP BY 1""",
     "heading_programs_orders": """
       WITH o AS (SELECT o_custkey AS page_id, o_orderkey AS k, o_orderstatus <> 'P' AS named, split_part(o_orderpriority, '-', 2) AS word, o_orderkey % 3 = 0 AS linked FROM orders),
       g AS (SELECT *, sum(CASE WHEN linked THEN 1 ELSE 0 END) OVER (PARTITION BY page_id ORDER BY k DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS part FROM o),

@@ -241,3 +241,37 @@ def test_stream_stores(spark, tmp_path):
     put(frame(spark, [row(1, "A", "https://a.org/1")]), 0)
     put(frame(spark, [row(2, "A long", "https://a.org/2"), row(3, "B", "https://b.org")]), 1)
     assert {r.host: (r.name, len(r.urls)) for r in spark.read.parquet(str(tmp_path / "reg" / "registry" / "v=1")).collect()} == {"a.org": ("A long", 2), "b.org": ("B", 1)}
+
+
+# Nested values and raw pages
+
+
+def test_state_events_walk_any_nesting(spark):
+    """The native walk gives what the walk over parsed lists gives."""
+    state = [
+        '{"a": [{"b": {"name": " One ", "startDate": "2026-07-06T09:00", "endDate": "2026-07-10", "price": 5, "url": "https://a.org"}}, [{"title": "Two", "start_date": "2026-08-01"}]], "name": "no start"}',
+        '{"name": "one", "startsAt": "2026-07-06", "endsAt": "2026-07-10"}', '{"name": 7, "startDate": "2026-07-06"}', '{torn', '[]', '{"title": "Deep", "startDate": "2026-01-01", "x": {"y": {"z": [{"w": {"name": "Deeper", "startDate": "2026-02-02"}}]}}}',
+    ]
+    html = "".join(f'<script type="application/json">{x}</script>' for x in state)
+    pages = spark.createDataFrame([(1, html), (2, html + html), (3, None), (4, "<p>none</p>")], "page_id long, html string")
+    got = sorted(tuple(r) for r in extract.embedded_state_events(pages).collect())
+    want = sorted((r.page_id, r.name, r.dates, r.price, r.register_url) for r in extract.structured_events(pages).where("kind = 'state'").collect())
+    assert got == want and len(got) == 8
+    assert extract.embedded_state_events(pages.where("page_id > 2")).count() == 0
+
+
+def test_nested_payloads(spark):
+    rows = spark.createDataFrame([(1, '{"n": "a", "os": [{"k": 1, "ls": [{"q": 2}, {"q": 3}]}, {"k": 2, "ls": []}, {"k": 3}]}'), (2, '{"n": "b", "os": []}'), (3, "{torn"), (4, None)], "id long, j string")
+    got = [tuple(r) for r in extract.flatten_nested(rows, "j", "n string, os array<struct<k: long, ls: array<struct<q: long>>>>", ["os", "ls"]).collect()]
+    assert got == [(1, "a", 1, 2), (1, "a", 1, 3)]
+
+
+def test_heading_programs(spark):
+    link = "https://www.hisawyer.com/org/schedules/activity-set/"
+    html = (
+        f"<h2>Art <b>Club</b>\n Gr. K-2</h2> <h3>Stay connected</h3><a href='{link}11'>go</a><h1> </h1><h4>{'x' * 71}</h4><h5>Small</h5><H2 class=x>Chess</H2><p>hisawyer.com/org/schedules/activity-set/12</p>"
+        f"<h2>Again</h2><a href='{link}11'>go</a><h2><a href='{link}13'>Inside</a></h2><h2>Last</h2>"
+    )
+    pages = spark.createDataFrame([(1, html), (2, None), (3, "<h2>Only</h2>")], "page_id long, html string")
+    got = sorted(tuple(r) for r in extract.heading_programs(pages).collect())
+    assert got == [(1, "11", "Art Club Gr. K-2", link + "11", "Gr. K-2"), (1, "12", "Chess", link + "12", ""), (1, "13", "Inside", link + "13", "")]
