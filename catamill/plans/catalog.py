@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from catamill.functions import hosts as H
 from catamill.functions import sql
 from catamill.functions import urls as U
-from catamill.operators import coverage, extract, gates, geo, linkage, links, monitor, records, relevance, score, suffixes, verdicts
+from catamill.operators import coverage, extract, gates, geo, linkage, links, monitor, records, relevance, reports, score, suffixes, verdicts
 from catamill.session import shared_dir, table
 from catamill.sources import catalog as files
 from catamill.streaming import jobs as streams
@@ -386,6 +386,53 @@ def validated_hits_customers(spark: SparkSession, sf: str) -> DataFrame:
     return out.groupBy("verdict", "reason", "source_type", "preferred").agg(F.count("*").alias("n"), F.sum(F.length("url")).alias("letters"))
 
 
+@query
+def gap_counts_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders that are not finished as gaps of customers: counted by reason, and the five customers with most of them."""
+    o = table(spark, sf, "orders").where("o_orderstatus <> 'F'").select(F.col("o_custkey").alias("provider_id"), F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("reason"))
+    by_reason, most = reports.gaps(o)
+    one = by_reason.select(F.lit("reason").alias("kind"), F.col("reason").alias("key"), "n")
+    return one.unionByName(most.select(F.lit("provider").alias("kind"), F.col("provider_id").cast("string").alias("key"), "n"))
+
+
+@query
+def funnel_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers as candidates and orders as links of five kinds: what came in, what was crawled, what was slop and why."""
+    k = F.col("o_orderkey")
+    url = F.when(k % 5 == 0, "https://a.org/camp.pdf").when(k % 5 == 1, "https://a.org/about/us").when(k % 5 == 2, "https://www.facebook.com/camp").when(k % 5 == 3, "https://a.org/find?q=camp").otherwise(F.concat(F.lit("https://a.org/camp/"), k))
+    found = table(spark, sf, "orders").select(url.alias("url"), F.lit("Robot Camp").alias("label"))
+    c = table(spark, sf, "customer").select(F.when(F.col("c_acctbal") > 0, F.lit(True)).alias("crawled"))
+    out = reports.funnel(c, found, links.slop_reason(F.col("url"), F.col("label")))
+    slop = F.array_join(F.transform(F.map_entries("slop"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ";")
+    return out.select("candidates", "crawled", "links", "clean", slop.alias("slop"))
+
+
+@query
+def out_of_state_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers as search hits of eight kinds: why they are no providers of the home state, counted."""
+    k = F.col("c_custkey")
+    kinds = [
+        ("https://find.acacamps.org/", "Camp"), ("https://ymcacky.org/", "Camp"), ("https://www.townky.gov/", "Camp"), ("https://lexky.myrec.com/", "Camp"), ("https://lex.ky.myrec.com/", "Camp"), ("https://a.org/", "Camp, Nashua, NH"),
+        ("https://a.org/", "Camp of Central Kentucky"), ("https://a.org/", "Camp of Central Kentucky in Lexington, MA"),
+    ]
+    pick = lambda n: F.get(F.array(*[F.lit(x[n]) for x in kinds]), (k % 8).cast("int"))
+    c = table(spark, sf, "customer").select(F.concat(pick(0), k).alias("url"), pick(1).alias("title"), F.lit("").alias("snippet"))
+    return c.groupBy(F.coalesce(geo.out_of_state(F.col("url"), F.col("title"), F.col("snippet")), F.lit("")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+@query
+def first_names_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """The first part of each name and brand."""
+    p = table(spark, sf, "part").select(F.col("p_brand").alias("provider_id"), F.col("p_partkey").alias("ord"), F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit(" "), F.upper("p_name"))).otherwise(F.col("p_name")).alias("name"))
+    return records.first_names(p)
+
+
+@query
+def catalog_segments_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Per host the first parts of paths that most pages have."""
+    return extract.catalog_segments(table(spark, sf, "pages").select("url")).select("host", "segment", "n", *_long("rank"))
+
+
 @query
 def nested_payloads_customers(spark: SparkSession, sf: str) -> DataFrame:
     """Customers with their orders and line items as one nested payload each, flattened again: items by segment and status."""

@@ -115,6 +115,20 @@ ORACLES: dict[str, str] = {
         (3, 'keep', 'chain branch w/ location: codeninjas.com', 'primary', 25), (4, 'reject', 'out of state: location text (NH)', 'irrelevant', 19), (5, 'keep', 'parent guide (mine outbound): macaronikid.com', 'guide', 30), (6, 'reject', 'url path contains /after-school', 'after_school', 27),
         (7, 'reject', 'title/snippet indicates after-school or non-camp', 'after_school', 16), (8, 'keep', 'summer/camp in metadata', 'unknown', 16), (9, 'keep', 'preferred primary source host/path', 'primary', 28), (10, 'keep', 'passed rules; ambiguous', 'unknown', 18), (11, 'reject', 'empty url', 'irrelevant', 0))
       SELECT verdict, reason, source_type, m = 9 AS preferred, count(*) AS n, CAST(sum(letters + CASE WHEN m = 11 THEN 0 ELSE length(CAST(c_custkey AS VARCHAR)) END) AS BIGINT) AS letters FROM customer JOIN v ON c_custkey % 12 = m GROUP BY 1, 2, 3, 4""",
+    "gap_counts_orders": """
+      WITH g AS (SELECT o_custkey AS p, CASE WHEN o_orderpriority = '5-LOW' THEN '' ELSE o_orderpriority END AS reason FROM orders WHERE o_orderstatus <> 'F')
+      SELECT 'reason' AS kind, reason AS key, count(*) AS n FROM g GROUP BY 2 UNION ALL (SELECT 'provider', CAST(p AS VARCHAR), count(*) FROM g GROUP BY p ORDER BY count(*) DESC, p LIMIT 5)""",
+    "funnel_orders": """
+      SELECT (SELECT count(*) FROM customer) AS candidates, (SELECT count(*) FROM customer WHERE c_acctbal > 0) AS crawled, count(*) AS links, count(*) FILTER (o_orderkey % 5 = 4) AS clean,
+        'junk path=' || count(*) FILTER (o_orderkey % 5 = 1) || ';media=' || count(*) FILTER (o_orderkey % 5 = 0) || ';search or login=' || count(*) FILTER (o_orderkey % 5 = 3) || ';social=' || count(*) FILTER (o_orderkey % 5 = 2) AS slop FROM orders""",
+    "out_of_state_customers": """
+      SELECT ['national camp index (not a local provider)', 'out-of-state host (ymcacky)', 'out-of-state municipal host (.ky.gov)', 'out-of-state host (city+ky in hostname)', 'out-of-state MyRec host (.ky.myrec.com)', 'location text (NH)', 'Central Kentucky', ''][c_custkey % 8 + 1] AS reason, count(*) AS n
+      FROM customer GROUP BY 1""",
+    "first_names_parts": """
+      SELECT provider_id, ord, name FROM (SELECT p_brand AS provider_id, p_partkey AS ord, CASE WHEN p_partkey % 2 = 0 THEN ' ' || upper(p_name) ELSE p_name END AS name, row_number() OVER (PARTITION BY p_brand, lower(p_name) ORDER BY p_partkey) AS r FROM part) WHERE r = 1""",
+    "catalog_segments_pages": f"""
+      WITH s AS (SELECT {host('url')} AS host, regexp_extract({path('url')}, '^/([^/]+)/', 1) AS segment, count(*) AS n FROM pages GROUP BY 1, 2)
+      SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY host ORDER BY n DESC, segment) AS rank FROM s WHERE segment <> '') WHERE rank <= 4""",
     "nested_payloads_customers": """
       SELECT c_mktsegment AS segment, o_orderstatus, count(*) AS items, count(DISTINCT c_custkey) AS customers, count(DISTINCT o_orderkey) AS orders, CAST(sum(l_quantity) AS BIGINT) AS quantity
       FROM customer JOIN orders ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2""",
