@@ -15,7 +15,7 @@ from catamill.session import table
 URL_RULES = (
     url_filter.Rule("block", "com", "/en/"),
     url_filter.Rule("allow", "example.com", "/en/7"),
-    url_filter.Rule("block", "net", "/de/"),
+    url_filter.Rule("allow", "net", "/de/"),
     url_filter.Rule("block", "example.net", "/de/8"),
     url_filter.Rule("block", "org", "/es/"),
 )
