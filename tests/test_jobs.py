@@ -275,3 +275,19 @@ def test_heading_programs(spark):
     pages = spark.createDataFrame([(1, html), (2, None), (3, "<h2>Only</h2>")], "page_id long, html string")
     got = sorted(tuple(r) for r in extract.heading_programs(pages).collect())
     assert got == [(1, "11", "Art Club Gr. K-2", link + "11", "Gr. K-2"), (1, "12", "Chess", link + "12", ""), (1, "13", "Inside", link + "13", "")]
+
+
+@pytest.mark.parametrize("turned", [False, True])
+def test_equal_events_by_price(spark, tmp_path, turned):
+    """Orders of one customer, name and day at different prices: the SQL's lowest is taken, whatever order rows come in."""
+    import duckdb
+
+    from catamill.plans import ORACLES, QUERIES
+
+    rows = [(k, 1, "O", 1.0, "1996-01-02", "1-URGENT") for k in (2, 6, 10, 14, 18)] + [(3, 2, "P", 1.0, "1996-01-02", "1-URGENT")]
+    o = spark.createDataFrame(rows[::-1] if turned else rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate string, o_orderpriority string")
+    o.withColumn("o_orderdate", F.to_date("o_orderdate")).coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW orders AS SELECT * FROM '{tmp_path}/orders.parquet/*.parquet'")
+    got = QUERIES["structured_events_orders"](spark, str(tmp_path))
+    assert sorted(tuple(r) for r in got.collect()) == sorted(c.sql(ORACLES["structured_events_orders"]).project(", ".join(got.columns)).fetchall())
