@@ -150,11 +150,14 @@ def hole_machine(exhausted_at: int, days: int, exhausted_days: int):
             state.remove()
             return
         attempts, status, last = state.get if state.exists else (0, "new", None)
+        filled = status == "filled"
+        # A hole's rows may come in several pieces, whose order tells nothing: the latest search of all decides.
         for pdf in batches:
-            for ts, variants, found in pdf.sort_values("ts")[["ts", "variants", "found"]].itertuples(index=False):
-                attempts += int(variants)
-                status = "filled" if found else "exhausted" if attempts >= exhausted_at else "searched"
-                last = ts
+            attempts += int(pdf["variants"].sum())
+            at = pdf["ts"].idxmax()
+            if last is None or pdf["ts"][at] >= last:
+                last, filled = pdf["ts"][at], bool(pdf["found"][at])
+        status = "filled" if filled else "exhausted" if attempts >= exhausted_at else "searched"
         state.update((attempts, status, last))
         ttl = exhausted_days if status == "exhausted" else days
         state.setTimeoutTimestamp(max(int(last.timestamp() * 1000) + ttl * 86_400_000, state.getCurrentWatermarkMs() + 1))

@@ -62,6 +62,31 @@ def test_holes_over_batches(spark, tmp_path):
         assert s.status == ("due" if h in free else want[h].status), h
 
 
+def test_holes_in_pieces():
+    """A hole's rows come in pieces of any order, and over batches: the latest search decides, and all are counted."""
+    import pandas as pd
+
+    class Kept:
+        hasTimedOut, exists, get = False, False, None
+
+        def update(self, value):
+            self.exists, self.get = True, value
+
+        def getCurrentWatermarkMs(self):
+            return 0
+
+        def setTimeoutTimestamp(self, ms):
+            self.due = ms
+
+    day = lambda *rows: pd.DataFrame([(pd.Timestamp(T0 + timedelta(days=d)), 1, f) for d, f in rows], columns=["ts", "variants", "found"])
+    kept, run = Kept(), jobs.hole_machine(6, 7, 60)
+    row = lambda pieces: [tuple(r) for df in run((1,), iter(pieces), kept) for r in df.itertuples(index=False)]
+    at = lambda d: pd.Timestamp(T0 + timedelta(days=d))
+    assert row([day((5, False), (9, True)), day((1, False), (3, False))]) == [(1, at(9), 4, "filled")]
+    assert row([day((8, False)), day((2, False))]) == [(1, at(9), 6, "filled")]
+    assert row([day((12, False)), day((10, True))]) == [(1, at(12), 8, "exhausted")]
+
+
 def test_seen_keys_over_batches(spark, tmp_path):
     rnd = random.Random(3)
     rows = [(f"k{rnd.randrange(60)}" if rnd.random() < 0.95 else "", k // 12) for k in range(120)]
