@@ -35,7 +35,8 @@ def related_hosts(truth: DataFrame, published: DataFrame, aliases: DataFrame | N
 def _alike(left: DataFrame, right: DataFrame, block: list[str], threshold: float, flavour: str) -> DataFrame:
     """block.., m, n: names of left and right (block.., n) in one block that are equal or reach the threshold."""
     left, right = left.distinct(), right.distinct()
-    found = similar_names(left.union(right), block, threshold, flavour)
+    sided = left.withColumn("side", F.lit(1)).union(right.withColumn("side", F.lit(2))).groupBy(*block, "n").agg(F.bit_or("side").alias("side"))
+    found = similar_names(sided, block, threshold, flavour)
     pairs = both_ways(found, block).join(left.withColumnRenamed("n", "m"), [*block, "m"], "left_semi").join(right, [*block, "n"], "left_semi")
     same = left.where("n <> ''").join(right, [*block, "n"], "left_semi")
     return pairs.select(*block, "m", "n").union(same.select(*block, F.col("n").alias("m"), "n"))

@@ -9,7 +9,13 @@ reach r only if
   away and an insertion one, so such names share at least (1.5 r - 1)(|a| + |b|) + 1 bigrams, counted with repeats, and
   the shorter has at least r / (2 - r) of the longer's length. That bound is above 0 where r > 2/3.
 
-Marks (tokens, and numbered bigrams) are ordered by how many names of the block have them, the rarest first. By the first
+Two letters are soon the same, so that of many long names most share some bigrams. Where the threshold allows it, names
+are met by longer grams: those of q characters inside each token with its blanks, of which a deletion takes q away at most
+and an insertion q - 1. With |b| from r / (2 - r) |a| to its inverse, a name of g such grams shares at least g - c |a| of
+them, where c is the greater of q (1 - r / (2 - r)) and (q - 1) ((2 - r) / r - 1). Names for which that is 1 or more meet
+one another by these; bigrams are asked only where one of the two is none of these (a short one, or of short tokens).
+
+Marks (tokens, and numbered grams) are ordered by how many names of the block have them, the rarest first. By the first
 bound a name shares one of its first tokens, as many as leave less than the bound's length behind them; by the second, both
 share one of their first bigrams, and their places there bound how many they can share at all. What is left is counted exactly (bigrams, and
 characters, of which the longest common subsequence has no more), and only then compared. The ratio of matching blocks is never above that of insertions and deletions, so the
@@ -30,6 +36,16 @@ from catamill.session import cut
 
 LEAST = 0.7
 
+#: Lengths of grams from which the longest is taken that leaves a part of a name's grams, at least so large, in common.
+LONG_GRAMS, LEFT = (5, 4, 3), 0.15
+
+
+def _long_gram(threshold: float) -> tuple[int, float] | None:
+    """q, and the grams that edits may cost a name for each of its characters (c); None where no q leaves enough."""
+    share = threshold / (2 - threshold)
+    costs = {q: max(q * (1 - share), (q - 1) * (1 / share - 1)) for q in LONG_GRAMS}
+    return next(((q, c) for q, c in costs.items() if 1 - c >= LEFT), None)
+
 
 def tokens_of(name: Column, flavour: str) -> Column:
     """The name's distinct tokens, sorted; without stop words for matching blocks."""
@@ -50,6 +66,12 @@ def bigrams_of(tokens: Column) -> Column:
     return _numbered(F.flatten(F.transform(tokens, lambda t: F.transform(F.sequence(F.lit(1), F.length(t) + 1), lambda i: F.substring(F.concat(F.lit(" "), t, F.lit(" ")), i, F.lit(2))))))
 
 
+def long_grams_of(tokens: Column, q: int) -> Column:
+    """Grams of q characters of all tokens with a blank on either side, numbered; shorter tokens have none."""
+    inside = F.filter(tokens, lambda t: F.length(t) + 2 >= q)
+    return _numbered(F.flatten(F.transform(inside, lambda t: F.transform(F.sequence(F.lit(1), F.length(t) + 3 - q), lambda i: F.substring(F.concat(F.lit(" "), t, F.lit(" ")), i, F.lit(q))))))
+
+
 def _letters_of(tokens: Column) -> Column:
     """Characters of the tokens joined by blanks, numbered."""
     return _numbered(F.split(F.array_join(tokens, " "), ""))
@@ -77,36 +99,50 @@ def _possible(threshold: float) -> Column:
 
 
 def candidate_names(names: DataFrame, block: Sequence[str], threshold: float, flavour: str = "indel") -> DataFrame:
-    """names: block.., n, distinct. Returns block.., m, n (m before n) of all pairs that may reach the threshold."""
+    """names: block.., n, distinct, and maybe `side` (1, 2, or 3 for both). Returns block.., m, n (m before n) of all pairs
+    that may reach the threshold; with sides, of those alone of which one name is on one side and one on the other."""
     if threshold < LEAST:
         raise ValueError(f"no bound holds below {LEAST}")
     share = threshold / (2 - threshold)
-    sets = names.select(*block, "n", tokens_of(F.col("n"), flavour).alias("t")).where(F.size("t") > 0)
+    side_of = F.col("side") if "side" in names.columns else F.lit(3)
+    sets = names.select(*block, "n", side_of.cast("int").alias("side"), tokens_of(F.col("n"), flavour).alias("t")).where(F.size("t") > 0)
     # Each name's own lists are made once; pairs take them along.
-    sets = sets.select(*block, "n", F.struct(F.col("t"), _size(F.col("t")).alias("len"), bigrams_of(F.col("t")).alias("grams"), _letters_of(F.col("t")).alias("letters")).alias("own"))
-    sets = cut(sets)  # read three times
-    marks = F.concat(F.transform("own.t", lambda t: F.struct(F.lit("t").alias("kind"), t.alias("mark"))), F.transform("own.grams", lambda g: F.struct(F.lit("g").alias("kind"), g.alias("mark"))))
-    each = sets.select(*block, "n", F.col("own.len").alias("len"), F.explode(marks).alias("m")).select(*block, "n", "len", "m.kind", "m.mark")
+    sets = sets.select(*block, "n", "side", F.struct(F.col("t"), _size(F.col("t")).alias("len"), bigrams_of(F.col("t")).alias("grams"), _letters_of(F.col("t")).alias("letters")).alias("own"))
+    long = _long_gram(threshold)
+    q, cost = long if long else (0, 0.0)
+    longs = long_grams_of(F.col("own.t"), q) if long else F.array().cast("array<string>")
+    sets = sets.withColumn("longs", longs).withColumn("need", F.ceil(F.size("longs") - F.col("own.len") * cost - 1e-6).cast("int") if long else F.lit(0))
+    sets = cut(sets.withColumn("meets", F.col("need") >= 1))  # read several times
+    # Bigrams are those of names that longer ones do not serve, and of all names that stand in a block with one of these.
+    short = sets.where(~F.col("meets")).select(*block).distinct().withColumn("short", F.lit(True))
+    asked = sets.join(short, list(block), "left")
+    mark = lambda kind, xs: F.transform(xs, lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("mark")))
+    none = F.array().cast("array<struct<kind:string,mark:string>>")
+    marks = F.concat(mark("t", F.col("own.t")), F.when(F.col("short"), mark("g", F.col("own.grams"))).otherwise(none), F.when(F.col("meets"), mark("q", F.col("longs"))).otherwise(none))
+    each = asked.select(*block, "n", "side", "meets", "need", F.col("own.len").alias("len"), F.explode(marks).alias("m")).select(*block, "n", "side", "meets", "need", "len", "m.kind", "m.mark")
     often = each.groupBy(*block, "kind", "mark").agg(F.count("*").alias("often"))
-    # By name: its marks of either kind, the rarest first.
-    lists = each.join(often, [*block, "kind", "mark"]).groupBy(*block, "n", "len", "kind").agg(F.array_sort(F.collect_list(F.struct("often", "mark"))).alias("marks"))
-    lists = cut(lists.select(*block, "n", "len", "kind", F.transform("marks", lambda m: m["mark"]).alias("marks")))  # read on both sides of the join
+    # By name: its marks of each kind, the rarest first.
+    lists = each.join(often, [*block, "kind", "mark"]).groupBy(*block, "n", "side", "meets", "need", "len", "kind").agg(F.array_sort(F.collect_list(F.struct("often", "mark"))).alias("marks"))
+    lists = cut(lists.select(*block, "n", "side", "meets", "need", "len", "kind", F.transform("marks", lambda m: m["mark"]).alias("marks")))  # read on both sides of the join
     # Tokens: the length from each to the end tells whether what follows it could still reach the bound alone.
     rest = F.transform("marks", lambda m, i: F.length(F.array_join(F.slice("marks", i + 1, F.size("marks")), " ")))
     first_tokens = F.size(F.filter(rest, lambda left: left >= F.col("len") * share - 1e-6))
     grams = F.size("marks")
     first_grams = F.least(grams, grams - _needed_grams(F.col("len") * 2 / (2 - threshold), threshold).cast("int") + 1)
-    heads = lists.withColumn("head", F.when(F.col("kind") == "t", first_tokens).otherwise(first_grams))
-    placed = heads.select(*block, "n", "len", "kind", F.size("marks").alias("count"), "head", F.posexplode("marks").alias("place", "mark"))
-    here = placed.where(F.col("place") < F.col("head"))
+    heads = lists.withColumn("head", F.when(F.col("kind") == "t", first_tokens).when(F.col("kind") == "g", first_grams).otherwise(grams - F.col("need") + 1))
+    placed = heads.select(*block, "n", "side", "meets", "need", "len", "kind", F.size("marks").alias("count"), "head", F.posexplode("marks").alias("place", "mark"))
+    here = placed.where((F.col("place") < F.col("head")) & ((F.col("kind") != "g") | ~F.col("meets")))
     there = placed.where((F.col("kind") == "t") | (F.col("place") < F.col("head")))
     x, y = here.alias("x"), there.alias("y")
-    on = (F.col("x.kind") == F.col("y.kind")) & (F.col("x.mark") == F.col("y.mark")) & (F.col("x.n") != F.col("y.n"))
+    on = (F.col("x.kind") == F.col("y.kind")) & (F.col("x.mark") == F.col("y.mark")) & (F.col("x.n") != F.col("y.n")) & (F.col("x.side").bitwiseOR(F.col("y.side")) == 3)
     for b in block:
         on = on & (F.col(f"x.{b}") == F.col(f"y.{b}"))
     total = F.col("x.len") + F.col("y.len")
     left = F.least(F.col("x.count") - F.col("x.place"), F.col("y.count") - F.col("y.place"))
-    grams_fit = (F.col("x.n") < F.col("y.n")) & (F.least("x.len", "y.len") >= share * F.greatest("x.len", "y.len") - 1e-6) & (left >= _needed_grams(total, threshold))
+    # Each pair is met once: a name that only bigrams serve looks for all others, else the first looks for the second.
+    turn = (F.col("x.n") < F.col("y.n")) | ((F.col("x.kind") == "g") & F.col("y.meets"))
+    needed = F.when(F.col("x.kind") == "g", _needed_grams(total, threshold)).otherwise(F.greatest("x.need", "y.need", F.ceil((F.col("x.count") + F.col("y.count")) / 2 - (q - 0.5) * (1 - threshold) * total - 1e-6)))
+    grams_fit = turn & (F.least("x.len", "y.len") >= share * F.greatest("x.len", "y.len") - 1e-6) & (left >= needed)
     met = x.join(y, on & F.when(F.col("x.kind") == "t", F.lit(True)).otherwise(grams_fit))
     pairs = met.select(*[F.col(f"x.{b}").alias(b) for b in block], F.least("x.n", "y.n").alias("m"), F.greatest("x.n", "y.n").alias("n")).distinct()
     side = lambda n, own: sets.select(*block, F.col("n").alias(n), F.col("own").alias(own))
@@ -114,9 +150,10 @@ def candidate_names(names: DataFrame, block: Sequence[str], threshold: float, fl
 
 
 def similar_names(names: DataFrame, block: Sequence[str], threshold: float, flavour: str = "indel") -> DataFrame:
-    """names: block.., n. Returns block.., m, n, ratio of all pairs of different names of a block that reach the threshold."""
+    """names: block.., n. Returns block.., m, n, ratio of all pairs of different names of a block that reach the threshold.
+    With `side` (one row a name: 1, 2, or 3 for both), of those alone that stand on different sides."""
     ratio = (token_set_indel if flavour == "indel" else token_set_blocks)("m", "n")
-    found = candidate_names(names.select(*block, "n").where(F.col("n") != "").distinct(), block, threshold, flavour)
+    found = candidate_names(names.select(*block, "n", *[c for c in names.columns if c == "side"]).where(F.col("n") != "").distinct(), block, threshold, flavour)
     return found.withColumn("ratio", ratio).where(F.col("ratio") >= threshold)
 
 

@@ -127,3 +127,36 @@ def test_nearest_once_is_the_loop(spark):
     df = spark.createDataFrame(rows, "g string, turn int, o string, d double").repartition(3)
     assert {(r.g, r.o): (r["rank"], r.d) for r in monitor.nearest_once(df, "g", "turn", "d", "o", 3).collect()} == want
     assert monitor.nearest_once(df.limit(0), "g", "turn", "d", "o", 3).count() == 0
+
+
+def long_names(rnd, n):
+    """Names of long tokens from few letters, some of them edited, turned round, cut, split or with short ones beside."""
+    word = lambda k: "".join(rnd.choice("abcdefgh") for _ in range(k))
+    some = [" ".join(word(rnd.choice((3, 9, 16, 32))) for _ in range(rnd.randint(1, 3))) for _ in range(n // 4)]
+    for _ in range(n):
+        s = rnd.choice(some)
+        for _ in range(rnd.randrange(5)):
+            i = rnd.randrange(len(s) + 1)
+            s = rnd.choice((s[:i] + s[i + 1 :], s[:i] + rnd.choice("abz ") + s[i:], " ".join(s.split()[::-1]), s))
+        yield " ".join(sorted(set(s.split())))
+
+
+@pytest.mark.parametrize("threshold,flavour", [(0.92, "indel"), (0.9, "indel"), (0.85, "blocks"), (0.75, "indel")])
+def test_long_names_lose_no_pair(spark, threshold, flavour):
+    rnd = random.Random(int(threshold * 100))
+    some = sorted(set(long_names(rnd, 260)) - {""})
+    sides = {n: rnd.choice((1, 2, 3)) for n in some}
+    df = spark.createDataFrame([(1, n, sides[n]) for n in some], "b int, n string, side int")
+    near = {(m, n) for i, m in enumerate(some) for n in some[i + 1 :] if token_set(m, n, flavour) >= threshold}
+    assert len(near) > 100
+    assert {(r.m, r.n) for r in similar.similar_names(df.drop("side"), ["b"], threshold, flavour).collect()} == near
+    assert {(r.m, r.n) for r in similar.similar_names(df, ["b"], threshold, flavour).collect()} == {(m, n) for m, n in near if sides[m] | sides[n] == 3}
+
+
+def test_long_names_that_meet(spark, monkeypatch):
+    """Of long names from sixteen letters, hardly any meet another that is not alike; before, a third of all pairs did."""
+    rnd = random.Random(8)
+    some = sorted({"".join(rnd.choice("abcdefghijklmnop") for _ in range(32)) for _ in range(500)})
+    monkeypatch.setattr(similar, "_possible", lambda threshold: F.lit(True))
+    df = spark.createDataFrame([(1, n) for n in some], "b int, n string")
+    assert similar.candidate_names(df, ["b"], 0.92).count() < 0.005 * len(some) ** 2 / 2
