@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catamill.functions.common import bind
-from catamill.functions.similarity import token_set_blocks, token_set_indel
+from catamill.functions.similarity import token_set_from
 from catamill.functions.texts import STOP
 from catamill.session import cut
 
@@ -98,9 +98,10 @@ def _possible(threshold: float) -> Column:
     return common | (near & (F.size(both("grams")) >= _needed_grams(a + b, threshold)))
 
 
-def candidate_names(names: DataFrame, block: Sequence[str], threshold: float, flavour: str = "indel") -> DataFrame:
-    """names: block.., n, distinct, and maybe `side` (1, 2, or 3 for both). Returns block.., m, n (m before n) of all pairs
-    that may reach the threshold; with sides, of those alone of which one name is on one side and one on the other."""
+def _met(names: DataFrame, block: Sequence[str], threshold: float, flavour: str) -> tuple[DataFrame, DataFrame]:
+    """names: block.., n, distinct, and maybe `side` (1, 2, or 3 for both). Returns the names' own lists (block.., n, own),
+    and block.., m, n (m before n) of all pairs that share a mark within the bounds of their places; with sides, of those
+    alone of which one name is on one side and one on the other."""
     if threshold < LEAST:
         raise ValueError(f"no bound holds below {LEAST}")
     share = threshold / (2 - threshold)
@@ -144,7 +145,12 @@ def candidate_names(names: DataFrame, block: Sequence[str], threshold: float, fl
     needed = F.when(F.col("x.kind") == "g", _needed_grams(total, threshold)).otherwise(F.greatest("x.need", "y.need", F.ceil((F.col("x.count") + F.col("y.count")) / 2 - (q - 0.5) * (1 - threshold) * total - 1e-6)))
     grams_fit = turn & (F.least("x.len", "y.len") >= share * F.greatest("x.len", "y.len") - 1e-6) & (left >= needed)
     met = x.join(y, on & F.when(F.col("x.kind") == "t", F.lit(True)).otherwise(grams_fit))
-    pairs = met.select(*[F.col(f"x.{b}").alias(b) for b in block], F.least("x.n", "y.n").alias("m"), F.greatest("x.n", "y.n").alias("n")).distinct()
+    return sets, met.select(*[F.col(f"x.{b}").alias(b) for b in block], F.least("x.n", "y.n").alias("m"), F.greatest("x.n", "y.n").alias("n")).distinct()
+
+
+def candidate_names(names: DataFrame, block: Sequence[str], threshold: float, flavour: str = "indel") -> DataFrame:
+    """names: block.., n, distinct. Returns block.., m, n (m before n) of all pairs that may reach the threshold, by all bounds."""
+    sets, pairs = _met(names, block, threshold, flavour)
     side = lambda n, own: sets.select(*block, F.col("n").alias(n), F.col("own").alias(own))
     return pairs.join(side("m", "x"), [*block, "m"]).join(side("n", "y"), [*block, "n"]).where(_possible(threshold)).select(*block, "m", "n")
 
@@ -152,8 +158,9 @@ def candidate_names(names: DataFrame, block: Sequence[str], threshold: float, fl
 def similar_names(names: DataFrame, block: Sequence[str], threshold: float, flavour: str = "indel") -> DataFrame:
     """names: block.., n. Returns block.., m, n, ratio of all pairs of different names of a block that reach the threshold.
     With `side` (one row a name: 1, 2, or 3 for both), of those alone that stand on different sides."""
-    ratio = (token_set_indel if flavour == "indel" else token_set_blocks)("m", "n")
-    found = candidate_names(names.select(*block, "n", *[c for c in names.columns if c == "side"]).where(F.col("n") != "").distinct(), block, threshold, flavour)
+    # Pairs go to be compared without their lists, which are many times their names.
+    ratio = token_set_from(threshold, flavour)("m", "n")
+    _, found = _met(names.select(*block, "n", *[c for c in names.columns if c == "side"]).where(F.col("n") != "").distinct(), block, threshold, flavour)
     return found.withColumn("ratio", ratio).where(F.col("ratio") >= threshold)
 
 
