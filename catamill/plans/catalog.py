@@ -570,7 +570,9 @@ def grid_upsert_orders(spark: SparkSession, sf: str) -> DataFrame:
 def stream_yield_stop(spark: SparkSession, sf: str) -> DataFrame:
     """The stream's form of yield_stop, over one batch of events."""
     e = streams.read_stream(spark, f"{sf}/events.parquet").select(F.col("event_type").alias("group"), F.col("event_id").alias("seq"), F.col("user_id").alias("key"))
-    return streams.drain(streams.saturation_stream(e, 50, 10), "append", ["group"])
+    at = _place(spark)
+    streams.run_until_dry(e, "append", streams.put_saturation(f"{at}/dry", 50, 10), f"{at}/state")
+    return streams.stopped(spark, f"{at}/dry")
 
 
 @query
@@ -610,11 +612,12 @@ def stream_running_yields(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _replayed(spark: SparkSession, df: DataFrame, part: Column, parts: int, run: Callable[[DataFrame], None], at: str) -> None:
-    """df as `parts` files that come one after another; `run` is started, ends, and is started anew when the rest is there."""
-    bring = streams.in_parts(df, part, f"{at}/in")
-    for first, last in ((0, parts // 2), (parts // 2 + 1, parts - 1)):
-        bring(first, last)
-        run(streams.files_of(spark, f"{at}/in", df.schema))
+    """df as `parts` parts that come one after another, each written by all tasks and one batch of the stream; `run` goes on
+    from its checkpoint for each of them."""
+    bring = streams.in_files(df, part, f"{at}/in")
+    for k in range(parts):
+        bring(k)
+        run(streams.files_of(spark, f"{at}/in", df.schema, None))
 
 
 def _put_out(spark: SparkSession, at: str) -> DataFrame:
@@ -623,13 +626,12 @@ def _put_out(spark: SparkSession, at: str) -> DataFrame:
 
 @query
 def stream_batches_yield_stop(spark: SparkSession, sf: str) -> DataFrame:
-    """yield_stop as a stream of six batches with a restart, its state kept by key."""
+    """yield_stop as a stream of six batches with restarts, its state in stores."""
     at = _place(spark)
-    stream_state.use_state_store(spark)
     e = table(spark, sf, "events").select(F.col("event_type").alias("group"), F.col("event_id").alias("seq"), F.col("user_id").cast("string").alias("key"))
     size = e.agg(F.max("seq")).first()[0] + 1
-    _replayed(spark, e, F.floor(F.col("seq") * 6 / size), 6, lambda s: streams.run_until_dry(stream_state.saturation_states(s, 50, 10), "append", streams.to_batches(f"{at}/out"), f"{at}/state"), at)
-    return _put_out(spark, at).select("group", "stop_at")
+    _replayed(spark, e, F.floor(F.col("seq") * 6 / size), 6, lambda s: streams.run_until_dry(s, "append", streams.put_saturation(f"{at}/dry", 50, 10), f"{at}/state"), at)
+    return streams.stopped(spark, f"{at}/dry")
 
 
 @query

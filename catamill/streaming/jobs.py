@@ -7,13 +7,14 @@ from collections.abc import Iterator
 from pathlib import PurePosixPath
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from catamill.functions import urls as U
 from catamill.operators.coverage import registry_fold
-from catamill.operators.monitor import snapshot_alarms
-from catamill.session import shared_dir
+from catamill.operators.monitor import placed, snapshot_alarms
+from catamill.session import cut, shared_dir
+from catamill.streaming.stores import Store
 
 
 def event_counts(events: DataFrame, width: str = "1 hour", late: str = "2 hours") -> DataFrame:
@@ -112,34 +113,49 @@ def registry_store(store: str):
     return put
 
 
-YIELD_STATE = "seen array<string>, recent array<int>, n int"
+GROUPS = "group string, searches long, last long, stop_at long"
 
 
-def yield_stopper(floor: int, window: int):
-    """For applyInPandasWithState per group: the place at which the last `window` searches brought no new key, once."""
+def put_saturation(at: str, floor: int, window: int, buckets: int = 16, every: int = 8):
+    """For foreachBatch: rows group, seq, key of searches, all of a search in one batch; the batch form is
+    operators.monitor.saturation. Keys that were seen lie in a store of deltas, and of each group its searches so far, the
+    place of the last one that found a key, and where it stopped. A batch's searches are put in order by ranges, and
+    groups that have stopped are left out, so that no task holds a group."""
+    keys = ["group", "key"]
+    seen = Store(f"{at}/seen", ("group", "key"), lambda d: d.groupBy(*keys).agg(F.min("seq").alias("seq")), buckets, every)
 
-    def run(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        seen, recent, n = state.get if state.exists else ([], [], 0)
-        seen, recent, done = set(seen), list(recent), n < 0
-        for pdf in batches:
-            for seq, k in pdf.sort_values("seq")[["seq", "key"]].itertuples(index=False):
-                if done:
-                    continue
-                recent = [*recent, int(k is not None and k not in seen)][-window:]
-                seen.add(k)
-                n += 1
-                if n >= max(1, floor) and len(recent) == window and not any(recent):
-                    done = True
-                    yield pd.DataFrame({"group": [key[0]], "stop_at": [seq]})
-        # A group that has stopped needs no keys any more.
-        state.update(([], [], -1) if done else (sorted(seen), recent, n))
+    def put(batch: DataFrame, k: int) -> None:
+        spark = batch.sparkSession
+        before = [v for v in _versions(spark, f"{at}/groups") if v < k]
+        known = spark.read.parquet(f"{at}/groups/v={before[-1]}") if before else spark.createDataFrame([], GROUPS)
+        rows = batch.select("group", "seq", "key").join(known.where("stop_at is not null").select("group"), "group", "left_anti")
+        own = rows.where("key is not null").groupBy(*keys).agg(F.min("seq").alias("seq"))
+        stored = seen.read(spark, k, own)
+        fresh = cut(own if stored is None else own.join(stored.select(*keys), keys, "left_anti"))
+        seen.write(fresh, k)
+        seen.compact(spark, k - 1)
+        each = placed(rows.select("group", "seq").distinct(), "group", "seq")
+        sizes = each.groupBy("group").agg(F.max("place").alias("n")).join(known.select("group", "searches", "last"), "group", "left").fillna(0, ["searches", "last"])
+        each = each.join(sizes.select("group", "searches"), "group").select("group", "seq", (F.col("place") + F.col("searches")).alias("place"))
+        finds = each.join(fresh.select("group", "seq").distinct(), ["group", "seq"]).select("group", "place")
+        # A run of dry searches follows each find, the last one of earlier batches, and the beginning.
+        starts = finds.unionByName(sizes.select("group", F.col("last").alias("place")))
+        runs = starts.withColumn("next", F.lead("place").over(Window.partitionBy("group").orderBy("place"))).join(sizes, "group")
+        stop = F.greatest(F.col("place") + window, F.lit(max(1, floor)).cast("long"))
+        stops = runs.where(stop < F.coalesce("next", F.col("searches") + F.col("n") + 1)).groupBy("group").agg(F.min(stop).alias("place"))
+        found = stops.join(each, ["group", "place"]).select("group", F.col("seq").cast("long").alias("stop_at"))
+        ends = runs.groupBy("group").agg(F.max(F.col("searches") + F.col("n")).alias("searches"), F.max("place").alias("last"))
+        now = ends.join(found, "group", "left").unionByName(known.join(ends, "group", "left_anti"))
+        now.select("group", F.col("searches").cast("long"), F.col("last").cast("long"), "stop_at").coalesce(1).write.mode("overwrite").parquet(f"{at}/groups/v={k}")  # a row a group
 
-    return run
+    return put
 
 
-def saturation_stream(events: DataFrame, floor: int, window: int) -> DataFrame:
-    """events: group, seq, key. Emits group, stop_at when a group runs dry; the batch form is operators.monitor.saturation."""
-    return events.groupBy("group").applyInPandasWithState(yield_stopper(floor, window), "group string, stop_at long", YIELD_STATE, "append", "NoTimeout")
+def stopped(spark: SparkSession, at: str) -> DataFrame:
+    """group, stop_at of the groups that have run dry so far."""
+    found = _versions(spark, f"{at}/groups")
+    rows = spark.read.parquet(f"{at}/groups/v={found[-1]}") if found else spark.createDataFrame([], GROUPS)
+    return rows.where("stop_at is not null").select("group", "stop_at")
 
 
 def hole_machine(exhausted_at: int, days: int, exhausted_days: int):
@@ -204,6 +220,12 @@ def drain(stream: DataFrame, mode: str, key: list[str]) -> DataFrame:
     return out.groupBy(*key).agg(F.max_by(F.struct(*[c for c in stream.columns if c not in key]), "batch").alias("last")).select(*key, "last.*")
 
 
+def in_files(df: DataFrame, part: Column, at: str):
+    """As in_parts, with as many files a part as tasks read it: for streams that take all new files as one batch."""
+    numbered = df.withColumn("__part", part)
+    return lambda k: numbered.where(F.col("__part") == k).drop("__part").write.mode("append").parquet(at)
+
+
 def in_parts(df: DataFrame, part: Column, at: str):
     """Puts df into the folder as one file for each part, in the order of the parts, as a source brings them in: each call
     of what it returns, with a first and a last part, adds those files."""
@@ -216,9 +238,10 @@ def in_parts(df: DataFrame, part: Column, at: str):
     return bring
 
 
-def files_of(spark: SparkSession, at: str, schema, most: int = 1) -> DataFrame:
-    """A stream over the folder's files, `most` a batch, the oldest first."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", most).parquet(at)
+def files_of(spark: SparkSession, at: str, schema, most: int | None = 1) -> DataFrame:
+    """A stream over the folder's files, `most` a batch, the oldest first; None: all that are new."""
+    source = spark.readStream.schema(schema)
+    return (source if most is None else source.option("maxFilesPerTrigger", most)).parquet(at)
 
 
 def run_until_dry(stream: DataFrame, mode: str, put, state: str) -> None:

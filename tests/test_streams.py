@@ -62,6 +62,30 @@ def test_holes_over_batches(spark, tmp_path):
         assert s.status == ("due" if h in free else want[h].status), h
 
 
+def test_saturation_by_stores(spark, tmp_path):
+    """Searches in any order and in pieces, over batches of which one runs again: the batch form's stops."""
+    rnd = random.Random(4)
+    rows = [(g, k, None if rnd.random() < 0.1 else f"h{min(int(rnd.expovariate(0.15)), 40 if g == 'a' else 400)}", k // 40) for g in "abcd" for k in range(160)]
+    rows += [(g, k, f"h{k % 9}", p) for g, k, _, p in rows if k % 7 == 0]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "`group` string, seq long, key string, part int").repartition(5)
+    want = {r.group: r.stop_at for r in monitor.saturation(df, "group", "seq", "key", 20, 12).collect() if r.stop_at is not None}
+    assert want and len(set(want.values())) > 1
+    put = jobs.put_saturation(str(tmp_path / "many"), 20, 12, buckets=4, every=2)
+    for k in (0, 1, 1, 2, 3):
+        put(df.where(F.col("part") == k), k)
+    assert {r.group: r.stop_at for r in jobs.stopped(spark, str(tmp_path / "many")).collect()} == want
+    jobs.put_saturation(str(tmp_path / "one"), 20, 12, buckets=4)(df, 0)
+    assert {r.group: r.stop_at for r in jobs.stopped(spark, str(tmp_path / "one")).collect()} == want
+
+
+def test_parts_are_written_by_all_tasks(spark, tmp_path):
+    at = str(tmp_path / "in")
+    jobs.in_files(spark.range(1000).repartition(4), F.col("id") % 2, at)(0)
+    assert len([f for f in os.listdir(at) if f.endswith(".parquet")]) == 4
+    assert jobs.files_of(spark, at, "id long", None).isStreaming and spark.read.parquet(at).count() == 500
+
+
 def test_holes_in_pieces():
     """A hole's rows come in pieces of any order, and over batches: the latest search decides, and all are counted."""
     import pandas as pd
