@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catamill.functions import dates as D
@@ -126,11 +126,14 @@ def dedupe_published(rows: DataFrame, rank: Column) -> DataFrame:
     url = U.canonical_register_url(F.col("register_url"))
     triple = F.concat_ws("|", U.host_of(F.col("register_url")), T.identity_name(F.col("name")), text("dates"))
     keys = F.array(F.nullif(U.register_platform_id(url), F.lit("")), F.nullif(url, F.lit("")), F.when(T.identity_name(F.col("name")) != "", F.concat(F.lit("t|"), triple)))
-    each = rows.select("ord", F.explode(F.array_compact(keys)).alias("key"))
-    edges = each.join(each.groupBy("key").agg(F.min("ord").alias("lead")), "key").select(F.col("ord").alias("a"), F.col("lead").alias("b"))
+    each = cut(rows.select("ord", F.explode(F.array_compact(keys)).alias("key")))  # read twice; addresses are taken apart once
+    # Only keys of several rows link any; a row that shares none is its own component.
+    leads = each.groupBy("key").agg(F.min("ord").alias("lead"), F.max("ord").alias("last")).where("lead <> last").select("key", "lead")
+    edges = each.join(leads, "key").where("ord <> lead").select(F.col("ord").alias("a"), F.col("lead").alias("b")).distinct()
     labels = components(edges)
     r = rows.join(labels.withColumnRenamed("node", "ord"), "ord", "left").withColumn("label", F.coalesce("label", "ord"))
-    return r.withColumn("best", F.row_number().over(Window.partitionBy("label").orderBy(rank.desc(), "ord"))).where(F.col("best") == 1).drop("best", "label")
+    best = F.max_by(F.struct(*rows.columns), F.struct(rank.alias("rank"), (-F.col("ord")).alias("first")))
+    return r.groupBy("label").agg(best.alias("r")).select("r.*")
 
 
 def union_sources(sources: dict[str, DataFrame]) -> DataFrame:

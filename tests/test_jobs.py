@@ -291,3 +291,16 @@ def test_equal_events_by_price(spark, tmp_path, turned):
     c.execute(f"CREATE VIEW orders AS SELECT * FROM '{tmp_path}/orders.parquet/*.parquet'")
     got = QUERIES["structured_events_orders"](spark, str(tmp_path))
     assert sorted(tuple(r) for r in got.collect()) == sorted(c.sql(ORACLES["structured_events_orders"]).project(", ".join(got.columns)).fetchall())
+
+
+def test_published_links_alone(spark, monkeypatch):
+    """Rows that share no key bring no edge; linked ones keep the best, the first among equals, and rows without rank last."""
+    from catamill.operators import graph
+
+    met, inner = [], graph.components
+    monkeypatch.setattr(graph, "components", lambda edges: met.extend(tuple(r) for r in edges.collect()) or inner(edges))
+    rows = [(k, f"n{k}", f"https://lex.myrec.com/info/program_details.aspx?ProgramID={k // 3 if k < 6 else k}", "", {0: 2.0, 1: 5.0, 2: 5.0, 4: 1.0}.get(k)) for k in range(9)]
+    df = spark.createDataFrame(rows, "ord long, name string, register_url string, dates string, r double")
+    out = linkage.dedupe_published(df, F.col("r"))
+    assert out.columns == df.columns and sorted(r.ord for r in out.collect()) == [1, 4, 6, 7, 8]
+    assert sorted(met) == [(1, 0), (2, 0), (4, 3), (5, 3)]
