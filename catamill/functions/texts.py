@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from catamill.functions.common import UI, blank, first_reason, strip, text
+from catamill.functions.common import UI, bind, blank, first_reason, strip, text
 
 
 @F.pandas_udf(StringType())
@@ -104,8 +104,8 @@ def bad_name_reason(name: Column) -> Column:
 def name_in_text(name: Column, page: Column) -> Column:
     """All but one of the name's telling words stand in the text, at least one."""
     words = F.filter(F.regexp_extract_all(F.lower(text(name)), F.lit("[a-z0-9]+"), F.lit(0)), lambda x: ~x.isin(*STOP, "camp"))
-    low = F.lower(text(page))
-    return (F.size(words) > 0) & (F.size(F.filter(words, lambda x: F.contains(low, x))) >= F.greatest(F.lit(1), F.size(words) - 1))
+    held = lambda low: bind(words, lambda w: (F.size(w) > 0) & (F.size(F.filter(w, lambda x: F.contains(low, x))) >= F.greatest(F.lit(1), F.size(w) - 1)))
+    return bind(F.lower(text(page)), held)
 
 
 # Names that say nothing by themselves.
