@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from catamill.functions.common import text
+from catamill.functions.common import bind, text
 
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 _NAMES = "|".join(MONTHS)
@@ -22,16 +22,21 @@ WINDOW_NAMED, WINDOW_NUMERIC, WINDOW_ISO = r"(?i)\b([a-z]{3,9})\.?\s*(\d{1,2})\b
 def month_number(name: Column) -> Column:
     """1 to 12 by the first three letters, else null."""
     at = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(F.substring(name, 1, 3)))
-    return F.when(at > 0, at.cast("int"))
+    return F.get(F.array(F.lit(None).cast("int"), *[F.lit(k) for k in range(1, 13)]), at.cast("int"))
 
 
 def _int(c: Column) -> Column:
-    return F.nullif(c, F.lit("")).try_cast("int")
+    return c.try_cast("int")  # empty texts are null
 
 
 def _date(y: Column, m: Column, d: Column) -> Column:
-    """Null where there is no such day."""
-    return F.try_to_date(F.format_string("%04d-%02d-%02d", y, m, d), "yyyy-MM-dd")
+    """Null where there is no such day. By numbers alone: a text that is no date would cost an exception a row."""
+
+    def made(x: Column) -> Column:
+        first = F.make_date(x["y"], F.when(x["m"].between(1, 12), x["m"]), F.lit(1))
+        return F.when(x["d"].between(1, F.day(F.last_day(first))), F.date_add(first, x["d"] - 1))
+
+    return bind(F.struct(y.alias("y"), m.alias("m"), d.alias("d")), made)
 
 
 def starts_in_summer(dates: Column, accept_iso: bool = False) -> Column:
@@ -42,25 +47,26 @@ def starts_in_summer(dates: Column, accept_iso: bool = False) -> Column:
     first = F.get(F.filter(found, lambda m: m.between(1, 12)), 0)
     if accept_iso:
         first = F.coalesce(_int(F.regexp_extract(t, r"\b\d{4}-(\d{1,2})-\d{1,2}\b", 1)), first)
-    return F.coalesce(first.between(6, 8), t.rlike(r"(?i)summer\s+20\d{2}"))
+    return F.coalesce(bind(first, lambda m: m.between(6, 8)), t.rlike(r"(?i)summer\s+20\d{2}"))
+
+
+def _short_year(y: Column, year: int | Column) -> Column:
+    """Years of two digits are of this century; missing ones are `year`."""
+    return bind(y, lambda y: F.coalesce(F.when(y < 100, y + 2000).otherwise(y), F.lit(year)))
 
 
 def first_date(blob: Column, year: int) -> Column:
     """The first ISO date; without one the first with a month's name, else the first numeric one. Years default to `year`. Null if that date does not exist."""
     t = text(blob)
 
-    def part(pattern: str) -> list[Column]:
-        one = F.regexp_extract(t, pattern, 0)  # the text is searched once; its match is short
-        return [F.regexp_extract(one, pattern, k) for k in (1, 2, 3)]
+    def found(pattern: str, date, otherwise: Column | None = None) -> Column:
+        """The date of the first match, which is short; the text is searched once, and for later patterns only where this one is not there."""
+        part = lambda one: date(*[F.regexp_extract(one, pattern, k) for k in (1, 2, 3)])
+        return bind(F.regexp_extract(t, pattern, 0), lambda one: F.when(one != "", part(one)).otherwise(F.lit(None).cast("date") if otherwise is None else otherwise))
 
-    iso, named, num = part(FIRST_ISO), part(FIRST_NAMED), part(FIRST_NUMERIC)
-    y = _int(num[2])
-    y = F.coalesce(F.when(y < 100, y + 2000).otherwise(y), F.lit(year))
-    return (
-        F.when(iso[0] != "", _date(_int(iso[0]), _int(iso[1]), _int(iso[2])))
-        .when(named[0] != "", _date(F.coalesce(_int(named[2]), F.lit(year)), month_number(named[0]), _int(named[1])))
-        .when(num[0] != "", _date(y, _int(num[0]), _int(num[1])))
-    )
+    num = found(FIRST_NUMERIC, lambda m, d, y: _date(_short_year(_int(y), year), _int(m), _int(d)))
+    named = found(FIRST_NAMED, lambda m, d, y: _date(F.coalesce(_int(y), F.lit(year)), month_number(m), _int(d)), num)
+    return found(FIRST_ISO, lambda y, m, d: _date(_int(y), _int(m), _int(d)), named)
 
 
 def _all(t: Column, pattern: str, *groups: int) -> Column:
@@ -68,31 +74,29 @@ def _all(t: Column, pattern: str, *groups: int) -> Column:
     return F.arrays_zip(*[F.regexp_extract_all(t, F.lit(pattern), F.lit(g)).alias(f"g{g}") for g in groups])
 
 
+def _bounds(found: Column, first: str, last: str) -> Column:
+    """The least and the greatest of the values, null without any."""
+    return bind(F.array_compact(found), lambda x: F.when(F.size(x) > 0, F.struct(F.array_min(x).alias(first), F.array_max(x).alias(last))))
+
+
 def date_span(blob: Column, year: int) -> Column:
     """struct<first, last> of all dates in the text (null without any); years default to `year`."""
     t = text(blob)
     iso = F.transform(_all(t, SPAN_ISO, 1, 2, 3), lambda x: _date(_int(x["g1"]), _int(x["g2"]), _int(x["g3"])))
-    named = _all(t, SPAN_NAMED, 1, 2, 3, 4)
-    begin = F.transform(named, lambda x: _date(F.coalesce(_int(x["g4"]), F.lit(year)), month_number(x["g1"]), _int(x["g2"])))
-    end = F.transform(named, lambda x: _date(F.coalesce(_int(x["g4"]), F.lit(year)), month_number(x["g1"]), _int(x["g3"])))
-
-    def numeric(x: Column) -> Column:
-        y = _int(x["g3"])
-        return _date(F.coalesce(F.when(y < 100, y + 2000).otherwise(y), F.lit(year)), _int(x["g1"]), _int(x["g2"]))
-
-    num = F.transform(_all(t, SPAN_NUMERIC, 1, 2, 3), numeric)
-    found = F.array_compact(F.concat(iso, begin, end, num))
-    return F.when(F.size(found) > 0, F.struct(F.array_min(found).alias("first"), F.array_max(found).alias("last")))
+    numbers = F.transform(_all(t, SPAN_NAMED, 1, 2, 3, 4), lambda x: F.struct(F.coalesce(_int(x["g4"]), F.lit(year)).alias("y"), month_number(x["g1"]).alias("m"), _int(x["g2"]).alias("d"), _int(x["g3"]).alias("e")))
+    named = F.flatten(F.transform(numbers, lambda x: F.array(_date(x["y"], x["m"], x["d"]), F.when(x["e"].isNotNull(), _date(x["y"], x["m"], x["e"])))))
+    num = F.transform(_all(t, SPAN_NUMERIC, 1, 2, 3), lambda x: _date(_short_year(_int(x["g3"]), year), _int(x["g1"]), _int(x["g2"])))
+    return _bounds(F.concat(iso, named, num), "first", "last")
 
 
 def day_window(blob: Column) -> Column:
     """struct<lo, hi> of month * 31 + day over all dates in the text, years ignored (null without any)."""
     t = text(blob)
     named = F.transform(_all(t, WINDOW_NAMED, 1, 2), lambda x: month_number(x["g1"]) * 31 + _int(x["g2"]))
-    num = F.transform(_all(t, WINDOW_NUMERIC, 1, 2), lambda x: F.when(_int(x["g1"]).between(1, 12) & _int(x["g2"]).between(1, 31), _int(x["g1"]) * 31 + _int(x["g2"])))
+    numbers = F.transform(_all(t, WINDOW_NUMERIC, 1, 2), lambda x: F.struct(_int(x["g1"]).alias("m"), _int(x["g2"]).alias("d")))
+    num = F.transform(numbers, lambda x: F.when(x["m"].between(1, 12) & x["d"].between(1, 31), x["m"] * 31 + x["d"]))
     iso = F.transform(_all(t, WINDOW_ISO, 1, 2), lambda x: _int(x["g1"]) * 31 + _int(x["g2"]))
-    found = F.array_compact(F.concat(named, num, iso))
-    return F.when(F.size(found) > 0, F.struct(F.array_min(found).alias("lo"), F.array_max(found).alias("hi")))
+    return _bounds(F.concat(named, num, iso), "lo", "hi")
 
 
 def overlap(a: Column, b: Column) -> Column:

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from catamill.functions import dates as D
 from catamill.functions import hosts as H
 from catamill.functions import texts as T
 from catamill.functions import urls as U
@@ -176,6 +177,17 @@ def test_publish_gate_spreads(spark):
     }
 
 
+def test_dates_are_read_once(spark):
+    """Each pattern is searched once in the text and once in its match for each group, however often the numbers are used."""
+    df = spark.createDataFrame([("Feb 29, 2024 - 3/9/24",), ("Feb 30, 2023",), ("2026-02-29 July 6-31",), ("13/45/26",), (None,)], "t string")
+    t = F.col("t")
+    for f, most in ((D.first_date(t, 2026), 12), (D.date_span(t, 2026), 10), (D.day_window(t), 6)):
+        plan = df.select(f.alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+        assert "regexp_extract" in plan and plan.count("regexp_extract") <= most
+    got = [(str(r.f), r.s and (str(r.s["first"]), str(r.s["last"]))) for r in df.select(D.first_date(t, 2026).alias("f"), D.date_span(t, 2026).alias("s")).collect()]
+    assert got == [("2024-02-29", ("2024-02-29", "2024-03-09")), ("None", None), ("None", ("2026-07-06", "2026-07-31")), ("None", None), ("None", None)]
+
+
 def test_publish_rows(spark):
     rows = frame(spark, [
         {"id": 1, "parent_verdict": "parent_ready", "granularity": "", "dates": "July 6-10", "name": "Senior Camp"}, {"id": 2, "parent_verdict": "", "granularity": "", "dates": "July 6-10", "name": "x"},
