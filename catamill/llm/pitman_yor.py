@@ -251,6 +251,18 @@ def _record(rows: list[tuple], chunk: int) -> pa.RecordBatch:
     )
 
 
+def _distinct(pieces: list[np.ndarray]) -> np.ndarray:
+    """The different numbers of all pieces, sorted: each piece's own first, so that no copy of all of them is sorted at once."""
+    found = [np.unique(x[k : k + DISTINCT_AT_ONCE]) for x in pieces for k in range(0, len(x), DISTINCT_AT_ONCE)]
+    while len(found) > 1:
+        found = [np.unique(np.concatenate(found[k : k + 4])) for k in range(0, len(found), 4)]
+    return found[0]
+
+
+#: Numbers that are sorted at once.
+DISTINCT_AT_ONCE = 1 << 20
+
+
 def _gather(buckets: int, hot: np.ndarray, short: np.ndarray):
     """Of one bucket: its pairs with counts, its tokens by pair, and what it asks and tells of contexts and sums with one table a pair."""
 
@@ -258,40 +270,45 @@ def _gather(buckets: int, hot: np.ndarray, short: np.ndarray):
         bucket = key[0].as_py()
         out: list[tuple] = []  # kind, chunk, owner, data
         parts, chunks = [], []
-        for kind, chunk, data in zip(table["kind"].to_pylist(), table["chunk"].to_pylist(), table["data"].to_pylist(), strict=True):
-            if kind == DOCS:
-                out.append((DOCS, chunk, 0, data))
+        for kind, chunk, data in zip(table["kind"], table["chunk"], table["data"], strict=True):  # one row's data at a time
+            if kind.as_py() == DOCS:
+                out.append((DOCS, chunk.as_py(), 0, data.as_py()))
             else:
-                part = list(_unpack(data))
+                part = list(_unpack(data.as_buffer()))
                 part[2] = _named(*part[2], short)
                 parts.append(part)
-                chunks.append(chunk)
-        del table
+                chunks.append(chunk.as_py())
         if parts:
             W, w_at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-            U = np.unique(np.concatenate([p[2] for p in parts]))
+            U = _distinct([p[2] for p in parts])
             owner = (mix(U) % np.uint64(buckets)).astype(np.int64)
             U = U[np.lexsort((U, owner))]
             owner = np.sort(owner)
             by_name = np.argsort(U)
             sorted_names = U[by_name]
-            pair, learned = [], []
-            begin = 0
+            sizes = [len(p[3]) for p in parts]
+            pair, learned = np.empty(sum(sizes), np.int64), np.empty(sum(sizes), np.int64)
+            begin = past = 0
             for p in parts:
                 own_w = np.repeat(w_at[begin : begin + len(p[0])], p[1])
                 begin += len(p[0])
-                pair.append(own_w * len(U) + by_name[np.searchsorted(sorted_names, p[2])][p[3]])
-                doc, count, d = p[5].astype(np.int64), p[6].astype(np.int64), p[8]
+                own = slice(past, past := past + len(p[3]))
+                pair[own] = own_w * len(U) + by_name[np.searchsorted(sorted_names, p[2])][p[3]]
+                doc, count, d = p[5], p[6].astype(np.int64), p[8]
                 alone = doc < d
                 n = np.zeros(len(doc), np.int64)
                 n[alone] = np.where(np.unpackbits(p[7], count=d)[doc[alone]], count[alone], 0)
                 n[~alone] = p[10]
-                learned.append(np.add.reduceat(n, np.cumsum(p[4].astype(np.int64)) - p[4]))
-            sizes = [len(x) for x in pair]
-            pairs, pair = np.unique(np.concatenate(pair), return_inverse=True)
-            c = np.bincount(pair, weights=np.concatenate(learned), minlength=len(pairs)).astype(np.int64)
+                learned[own] = np.add.reduceat(n, np.cumsum(p[4].astype(np.int64)) - p[4])
+                p[0] = p[1] = p[2] = p[3] = p[7] = p[10] = None  # what is told of words, contexts and learning is read
+            pairs = _distinct([pair])
+            place = np.searchsorted(pairs, pair).astype(np.int32 if len(pairs) < 1 << 31 else np.int64)
+            del pair
+            c = np.bincount(place, weights=learned, minlength=len(pairs)).astype(np.int64)
+            del learned
             w, u = pairs // len(U), pairs % len(U)
             cw = np.bincount(w, weights=c, minlength=len(W)).astype(np.int64)
+            del pairs
             _, is_hot = _find(W, hot)
             bounds = np.searchsorted(owner, np.arange(buckets + 1))
             state = np.bincount(w, minlength=len(W)), u, c, cw, W[is_hot], np.flatnonzero(is_hot), bounds
@@ -300,9 +317,11 @@ def _gather(buckets: int, hot: np.ndarray, short: np.ndarray):
             t = (c > 0).astype(np.int64)
             below = np.bincount(w, weights=t, minlength=len(W)).astype(np.int64)
             out += _tell(state, [t], [below], [(below > 0).astype(np.int64)], False)
+            del w, u, c, state, sorted_names, by_name, owner
             begin = 0
-            for chunk, n, p in zip(chunks, sizes, parts, strict=True):
-                out.append((TOKENS, chunk, 0, _pack(_small(pair[begin : begin + n]), p[4], p[5], p[6], p[8] + p[9])))
+            for k, (chunk, n) in enumerate(zip(chunks, sizes, strict=True)):
+                p, parts[k] = parts[k], None
+                out.append((TOKENS, chunk, 0, _pack(_small(place[begin : begin + n]), p[4], p[5], p[6], p[8] + p[9])))
                 begin += n
         return _rows(bucket, out)
 

@@ -323,6 +323,14 @@ def test_wrapper_alignment():
 # 5. Language model
 
 
+def test_op5_distinct(monkeypatch):
+    """Numbers of several pieces, each sorted by itself, are those that one sort of all gives."""
+    monkeypatch.setattr(pitman_yor, "DISTINCT_AT_ONCE", 7)
+    x = np.random.default_rng(1).integers(0, 50, 200).astype(np.uint64)
+    for pieces in ([x], np.array_split(x, 3), [x[:1], x[1:]]):
+        assert (pitman_yor._distinct(pieces) == np.unique(x)).all()
+
+
 def brute_pitman_yor(texts, learn, fit, sweeps=12, burn=4):
     """Seats every customer one by one, removing and adding them in turn."""
     rnd = random.Random(3)
