@@ -16,7 +16,6 @@ from catamill.operators import coverage, extract, gates, geo, linkage, links, mo
 from catamill.session import shared_dir, table
 from catamill.sources import catalog as files
 from catamill.streaming import jobs as streams
-from catamill.streaming import state as stream_state
 from catamill.streaming import stores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -637,15 +636,15 @@ def stream_batches_hole_states(spark: SparkSession, sf: str) -> DataFrame:
     """Users' events as searches of holes that rest for a day, exhausted ones for two: their states after seven batches with a
     restart, and those that are due again."""
     at = _place(spark)
-    stream_state.use_state_store(spark)
     e = table(spark, sf, "events").select(F.col("user_id").alias("hole_id"), F.col("ts").cast("timestamp").alias("ts"), F.lit(1).alias("variants"), (F.col("event_type") == "purchase").alias("found"))
     last = e.agg(F.max("ts")).first()[0]
     day = F.dayofmonth("ts")
-    # The last event by itself, so that the watermark is known to lie an hour before it.
+    # The last event comes by itself, and after it a row of no hole, which counts as none.
     part = F.when(F.col("ts") == F.lit(last), 5).otherwise(F.floor(F.least(day - 1, F.lit(29)) / 6))
     nudge = e.limit(1).select(F.lit(-1).cast("long").alias("hole_id"), F.lit(last).alias("ts"), F.lit(1).alias("variants"), F.lit(False).alias("found"))
     both = e.withColumn("part", part).unionByName(nudge.withColumn("part", F.lit(6))).select("hole_id", "ts", "variants", "found", F.col("part").cast("int").alias("part"))
-    _replayed(spark, both, F.col("part"), 7, lambda s: streams.run_until_dry(stream_state.hole_due_states(s, days=1, exhausted_days=2), "update", streams.to_batches(f"{at}/out"), f"{at}/state"), at)
+    put = stores.put_holes(stores.hole_store(f"{at}/holes"), f"{at}/out", days=1, exhausted_days=2)
+    _replayed(spark, both, F.col("part"), 7, lambda s: streams.run_until_dry(s, "append", put, f"{at}/state"), at)
     order = F.struct("batch", (F.col("status") == "due").cast("int"))
     out = _put_out(spark, at).where("hole_id >= 0").groupBy("hole_id").agg(F.max_by(F.struct("searched_at", "attempts", "status"), order).alias("s")).select("hole_id", "s.*")
     return out.select("hole_id", F.date_format("searched_at", "yyyy-MM-dd HH:mm:ss").alias("searched_at"), "attempts", "status")

@@ -138,7 +138,43 @@ def put_seen(store: Store, key: Column):
     return put
 
 
-# Registries and counts: partial aggregates that merge
+# Holes, registries and counts: partial aggregates that merge
+
+
+def hole_store(path: str, buckets: int = 16, every: int = 8) -> Store:
+    """Holes' searches (hole_id, attempts, searched_at, found_at, batch): how many, the last of all and the last that found
+    something, and the last batch that brought any."""
+    fold = lambda rows: rows.groupBy("hole_id").agg(F.sum("attempts").alias("attempts"), *[F.max(c).alias(c) for c in ("searched_at", "found_at", "batch")])
+    return Store(path, ("hole_id",), fold, buckets, every)
+
+
+def put_holes(store: Store, out: str, late: str = "1 hour", exhausted_at: int = 6, days: int = 7, exhausted_days: int = 60):
+    """For foreachBatch: rows hole_id, ts, variants, found of searches; the batch forms are operators.monitor.hole_states and
+    searchable. Under the batch's number it writes to `out` the state of each hole that the batch has, and `due` for those
+    whose time to live has ended, `late` before the latest search so far: holes of the batch, and those of earlier ones that
+    were not due then. Searches of any age count; of equal times one that found something decides. A batch reads one row a
+    hole, and none goes through Python."""
+
+    def put(batch: DataFrame, k: int) -> None:
+        spark = batch.sparkSession
+        own = batch.groupBy("hole_id").agg(F.coalesce(F.sum("variants"), F.lit(0)).cast("long").alias("attempts"), F.max("ts").alias("searched_at"), F.max(F.when(F.col("found"), F.col("ts"))).alias("found_at"))
+        store.write(own.withColumn("batch", F.lit(k).cast("long")), k)
+        store.compact(spark, k - 1)
+        before, now = store.read(spark, k), store.read(spark, k + 1)
+        if now is None:
+            return
+        latest = lambda df: df.agg(F.max(F.unix_micros("searched_at"))).first()[0] if df is not None else None
+        reached = lambda t: F.coalesce(F.col("due_at") <= F.timestamp_micros(F.lit(t).cast("long")) - F.expr(f"INTERVAL {late}"), F.lit(False))
+        status = F.when(F.col("found_at") == F.col("searched_at"), "filled").when(F.col("attempts") >= exhausted_at, "exhausted").otherwise("searched")
+        rests = F.make_dt_interval(days=F.when(F.col("status") == "exhausted", exhausted_days).otherwise(days))
+        mine = F.col("batch") == k
+        due = reached(latest(now)) & (mine | ~reached(latest(before)))
+        states = now.withColumn("status", status).withColumn("due_at", F.col("searched_at") + rests)
+        told = F.array_compact(F.array(F.when(mine, F.col("status")), F.when(due, F.lit("due"))))
+        told = states.select("hole_id", "searched_at", "attempts", F.explode(told).alias("status"))
+        told.withColumn("batch", F.lit(k)).write.mode("overwrite").parquet(f"{out}/b={k}")
+
+    return put
 
 
 def _fold_registry(most: int) -> Fold:

@@ -62,6 +62,29 @@ def test_holes_over_batches(spark, tmp_path):
         assert s.status == ("due" if h in free else want[h].status), h
 
 
+def test_holes_by_stores(spark, tmp_path):
+    """Searches in any order, old ones behind newer ones, over batches of which one runs again: states and holes that are due
+    again are those of the batch forms after every batch, and a hole is told to be due once."""
+    rnd = random.Random(6)
+    rows = [(h, T0 + timedelta(days=d, hours=rnd.randrange(20), seconds=h), rnd.randint(1, 2), rnd.random() < 0.15, d // 6) for d in range(30) for h in range(14) if rnd.random() < 0.12]
+    rows += [(50, T0 + timedelta(days=d), 1, False, min(d, 4)) for d in range(5)] + [(50, T0 - timedelta(days=1), 1, False, 4)]  # its sixth search is older than its last
+    rows += [(51, T0 + timedelta(days=1), 1, f, 0) for f in (False, True)] + [(99, T0 + timedelta(days=28, hours=k), 1, False, 4 + k) for k in range(2)]
+    rnd.shuffle(rows)
+    df, out = spark.createDataFrame(rows, "hole_id long, ts timestamp, variants int, found boolean, part int").repartition(3), str(tmp_path / "out")
+    put = stores.put_holes(stores.hole_store(str(tmp_path / "holes"), buckets=4, every=2), out)
+    for k in (0, 1, 1, 2, 3, 4, 5):
+        put(df.where(F.col("part") == k), k)
+        told = spark.read.parquet(f"{out}/*")
+        last = {r.hole_id: r.s for r in told.groupBy("hole_id").agg(F.max_by(F.struct("searched_at", "attempts", "status"), F.struct("batch", (F.col("status") == "due").cast("int"))).alias("s")).collect()}
+        states = monitor.hole_states(df.where(F.col("part") <= k).groupBy("hole_id", "ts").agg(F.sum("variants").alias("variants"), F.max("found").alias("found")))
+        want = {r.hole_id: r for r in states.collect()}
+        as_of = max(r.searched_at for r in want.values()) - timedelta(hours=1)
+        free = {r.hole_id for r in monitor.searchable(df.where(F.col("part") <= k).select("hole_id").distinct(), states, F.lit(as_of)).collect()}
+        assert {h: tuple(s) for h, s in last.items()} == {h: (r.searched_at, r.attempts, "due" if h in free else r.status) for h, r in want.items()}
+        assert not told.where("status = 'due'").groupBy("hole_id", "searched_at", "attempts").count().where("count > 1").count()
+    assert want[50].status == "exhausted" and free and len(free) < len(want)
+
+
 def test_saturation_by_stores(spark, tmp_path):
     """Searches in any order and in pieces, over batches of which one runs again: the batch form's stops."""
     rnd = random.Random(4)
