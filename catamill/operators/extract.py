@@ -48,15 +48,16 @@ def json_objects(rows: DataFrame, key: str, column: str) -> DataFrame:
     One lateral join a level, as deep as the deepest text; each level's rows are those of the level before, opened."""
     spark, texts = rows.sparkSession, F.col(column)
     texts = texts if dict(rows.dtypes)[column].startswith("array") else F.array(texts)
-    level = rows.select(F.col(key), F.posexplode(texts).alias("at", "t")).select(key, F.array("at").alias("place"), F.try_parse_json("t").alias("node"))
-    kind = lambda c: F.schema_of_variant(c)
-    inside = lambda df: df.where(kind(F.col("node")).rlike("^(OBJECT|ARRAY)<"))
+    # Parsed before they are opened, so that the test for what has something inside doesn't parse them again. It looks at a
+    # node's own kind: the schema of a node is that of all that is inside.
+    level = rows.select(F.col(key), F.posexplode(F.transform(texts, F.try_parse_json)).alias("at", "node")).select(key, F.array("at").alias("place"), "node")
+    is_object = F.try_variant_get("node", "$", "struct<>").isNotNull()
     out = None
     while True:
-        level = cut(inside(level))
+        level = cut(level.where(is_object | F.try_variant_get("node", "$[0]", "variant").isNotNull()))
         if not level.limit(1).count():
             return out if out is not None else level
-        found = level.where(kind(F.col("node")).startswith("OBJECT"))
+        found = level.where(is_object)
         out = found if out is None else out.unionByName(found)
         opened = level.lateralJoin(spark.tvf.variant_explode(F.col("node").outer()))
         level = opened.select(key, F.concat("place", F.array("pos")).alias("place"), F.col("value").alias("node"))
@@ -65,14 +66,18 @@ def json_objects(rows: DataFrame, key: str, column: str) -> DataFrame:
 def embedded_state_events(pages: DataFrame) -> DataFrame:
     """page_id, name, dates, price, register_url of every object in a page's embedded application state that has a name or
     title and a start, each (name, dates) of a page once, the first by place. The walk is native, whatever the nesting."""
-    some = pages.select("page_id", F.regexp_extract_all(text("html"), F.lit(r"(?is)<script[^>]*application/json[^>]*>(.*?)</script>"), F.lit(1)).alias("blocks")).where(F.size("blocks") > 0)
-    get = lambda *names: F.coalesce(*[F.nullif(F.try_variant_get("node", f"$.{n}", "string"), F.lit("")) for n in names])
-    is_text = lambda *names: F.coalesce(*[F.when(F.try_variant_get("node", f"$.{n}", "string").isNotNull(), F.schema_of_variant(F.variant_get("node", f"$.{n}", "variant")) == "STRING") for n in names], F.lit(False))
+    some = pages.select("page_id", F.regexp_extract_all(text("html"), F.lit(r"(?is)<script[^>]*application/json[^>]*>(.*?)</script>"), F.lit(1)).alias("blocks"))
     starts, ends = ("startDate", "start_date", "startsAt"), ("endDate", "end_date", "endsAt")
-    e = json_objects(some, "page_id", "blocks").where(is_text("name", "title") & is_text(*starts))
-    dates = F.concat_ws(" - ", F.substring(get(*starts), 1, 10), F.substring(get(*ends), 1, 10))
-    e = e.select("page_id", "place", F.trim(get("name", "title")).alias("name"), dates.alias("dates"), F.coalesce(get("price"), F.lit("")).alias("price"), F.coalesce(get("url"), F.lit("")).alias("register_url"))
-    return e.groupBy("page_id", F.lower("name").alias("k"), "dates").agg(F.min_by(F.struct("name", "price", "register_url"), "place").alias("f")).select("page_id", "f.name", "dates", "f.price", "f.register_url")
+    fields = F.try_variant_get("node", "$", f"struct<{', '.join(f'{n}: variant' for n in ('name', 'title', *starts, *ends, 'price', 'url'))}>")
+    get = lambda x, *names: F.coalesce(*[F.nullif(F.try_variant_get(x[n], "$", "string"), F.lit("")) for n in names])
+    is_text = lambda x, *names: F.coalesce(*[F.nullif(F.schema_of_variant(x[n]), F.lit("VOID")) for n in names], F.lit("")) == "STRING"
+    # A node's fields are taken out of it once; what is no event goes before its texts are made.
+    one = F.filter(F.array(fields), lambda x: is_text(x, "name", "title") & is_text(x, *starts))
+    e, x = json_objects(some, "page_id", "blocks").select("page_id", "place", F.explode(one).alias("x")), F.col("x")
+    dates = F.concat_ws(" - ", F.substring(get(x, *starts), 1, 10), F.substring(get(x, *ends), 1, 10))
+    e = e.select("page_id", "place", F.trim(get(x, "name", "title")).alias("name"), dates.alias("dates"), F.coalesce(get(x, "price"), F.lit("")).alias("price"), F.coalesce(get(x, "url"), F.lit("")).alias("register_url"))
+    # A page's events come from one task of the walk anyway; dealt by page they are put in order once, not before and after.
+    return e.repartition("page_id").groupBy("page_id", F.lower("name").alias("k"), "dates").agg(F.min_by(F.struct("name", "price", "register_url"), "place").alias("f")).select("page_id", "f.name", "dates", "f.price", "f.register_url")
 
 
 def _nodes(x: object) -> Iterator[dict]:

@@ -449,7 +449,7 @@ def _state_pages(spark: SparkSession, sf: str) -> DataFrame:
     name, day = F.concat(F.lit("Camp "), F.col("o_orderkey") % 4), F.date_format("o_orderdate", "yyyy-MM-dd")
     event = F.struct(F.when(F.col("o_orderstatus") == "P", "WebPage").otherwise("Event").alias("@type"), name.alias("name"), F.concat(day, F.lit("T09:00")).alias("startDate"), F.struct((F.col("o_orderkey") % 7).alias("price"), F.lit("USD").alias("priceCurrency")).alias("offers"))
     item = F.struct(F.concat(F.lit("Item "), F.col("o_orderkey") % 3).alias("title"), F.when(F.col("o_orderkey") % 5 > 0, day).alias("startsAt"), F.struct(F.array(F.struct(name.alias("name"), day.alias("start_date"), day.alias("end_date"))).alias("days")).alias("more"))
-    both = o.groupBy(F.col("o_custkey").alias("page_id")).agg(F.sort_array(F.collect_list(event)).alias("graph"), F.sort_array(F.collect_list(item)).alias("items"))
+    both = o.repartition("o_custkey").groupBy(F.col("o_custkey").alias("page_id")).agg(F.sort_array(F.collect_list(event)).alias("graph"), F.sort_array(F.collect_list(item)).alias("items"))
     graph, state = F.to_json(F.struct(F.col("graph").alias("@graph"))), F.to_json(F.struct(F.struct("items").alias("state")))
     html = F.concat(F.lit('<html><script type="application/ld+json">'), graph, F.lit('</script><script type="application/json">'), state, F.lit('</script><script type="application/json">{"name": torn</script></html>'))
     return both.select("page_id", html.alias("html"))

@@ -260,6 +260,17 @@ def test_state_events_walk_any_nesting(spark):
     assert extract.embedded_state_events(pages.where("page_id > 2")).count() == 0
 
 
+def test_walk_parses_once_and_asks_no_schema_of_what_is_inside(spark, monkeypatch):
+    """Each text is parsed once, nodes are told apart by their own kind, and nothing behind nulls or empty arrays is lost."""
+    plans = []
+    monkeypatch.setattr(extract, "cut", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or df.localCheckpoint())
+    texts = ['[null, {"a": 1}]', '[[], [null, [{"b": {}}]], "x", 1]', '{"c": null, "d": [true, {"e": [2]}]}', "null", "7", '"{}"', "[]", "{}", "{torn", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    got = sorted((r.id, r.place, r.node) for r in extract.json_objects(rows, "id", "t").select("id", "place", F.to_json("node").alias("node")).collect())
+    assert got == [(0, [0, 1], '{"a":1}'), (1, [0, 1, 1, 0], '{"b":{}}'), (1, [0, 1, 1, 0, 0], "{}"), (2, [0], '{"c":null,"d":[true,{"e":[2]}]}'), (2, [0, 1, 1], '{"e":[2]}'), (7, [0], "{}")]
+    assert plans[0].lower().count("parsejson") + plans[0].lower().count("parse_json") == 1 and not any("schemaofvariant" in p.lower().replace("_", "") for p in plans)
+
+
 def test_nested_payloads(spark):
     rows = spark.createDataFrame([(1, '{"n": "a", "os": [{"k": 1, "ls": [{"q": 2}, {"q": 3}]}, {"k": 2, "ls": []}, {"k": 3}]}'), (2, '{"n": "b", "os": []}'), (3, "{torn"), (4, None)], "id long, j string")
     got = [tuple(r) for r in extract.flatten_nested(rows, "j", "n string, os array<struct<k: long, ls: array<struct<q: long>>>>", ["os", "ls"]).collect()]
