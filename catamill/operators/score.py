@@ -10,6 +10,7 @@ from catamill.functions import texts as T
 from catamill.functions import urls as U
 from catamill.functions.common import text
 from catamill.operators.similar import both_ways, similar_names
+from catamill.session import cut
 
 
 def _inner_hosts(c: str) -> Column:
@@ -90,20 +91,26 @@ def info_validity(published: DataFrame, pages: DataFrame, least: int = 400) -> D
     return j.agg(F.count("*").alias("checked"), F.count_if(ok).alias("valid")).withColumn("info_url_validity", F.try_divide("valid", "checked"))
 
 
-def _program_rows(rows: DataFrame) -> DataFrame:
+def _program_rows(rows: DataFrame, *more: Column) -> DataFrame:
+    """host, norm, url (and more) of each row, worked out once and kept, as several joins read them. They are dealt to all
+    tasks first: few tasks read a small file, but an address takes many times as long as its reading."""
     host = F.coalesce(F.nullif(U.host_of(F.col("register_url")), F.lit("")), U.host_of(F.col("source_url")))
-    return rows.select(host.alias("host"), T.identity_name(F.col("name")).alias("norm"), F.regexp_replace(U.canonical_url(F.col("register_url")), "/+$", "").alias("url"))
+    dealt = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return cut(dealt.select(host.alias("host"), T.identity_name(F.col("name")).alias("norm"), F.regexp_replace(U.canonical_url(F.col("register_url")), "/+$", "").alias("url"), *more))
 
 
 def match_baseline(baseline: DataFrame, published: DataFrame, threshold: float = 0.75) -> DataFrame:
     """host, norm, exact, by_url, fuzzy of each programme of the baseline: whether the published rows have it by host and
     name, by a shared registration address, or under a similar name on the same host. Rows: name, register_url, source_url."""
-    base, pub = _program_rows(baseline), _program_rows(published)
+    return _matched(_program_rows(baseline), _program_rows(published), threshold)
+
+
+def _matched(base: DataFrame, pub: DataFrame, threshold: float) -> DataFrame:
     programs, there = base.select("host", "norm").distinct(), pub.select("host", "norm").distinct()
     exact = programs.join(there, ["host", "norm"], "left_semi").withColumn("exact", F.lit(True))
     urls = pub.select("url").where("url <> ''").distinct()
     by_url = base.where("url <> ''").join(urls, "url", "left_semi").select("host", "norm").distinct().withColumn("by_url", F.lit(True))
-    m = programs.join(exact, ["host", "norm"], "left").join(by_url, ["host", "norm"], "left").fillna(False, ["exact", "by_url"])
+    m = cut(programs.join(exact, ["host", "norm"], "left").join(by_url, ["host", "norm"], "left").fillna(False, ["exact", "by_url"]))  # read twice
     rest = m.where(~F.col("exact") & ~F.col("by_url")).select("host", "norm")
     alike = _alike(rest.toDF("host", "n"), there.toDF("host", "n"), ["host"], threshold, "indel").select("host", F.col("m").alias("norm")).distinct().withColumn("alike", F.lit(True))
     return m.join(alike, ["host", "norm"], "left").withColumn("fuzzy", F.col("exact") | F.col("by_url") | F.coalesce("alike", F.lit(False))).drop("alike")
@@ -112,18 +119,18 @@ def match_baseline(baseline: DataFrame, published: DataFrame, threshold: float =
 def score_baseline(baseline: DataFrame, published: DataFrame, provider_hosts: DataFrame, threshold: float = 0.75) -> DataFrame:
     """One row: strict and fuzzy programme recall, session recall by address, precision, and the share of providers that
     are published, each to four digits and 0 without a base. published: parent_verdict as well. provider_hosts: host."""
-    m = match_baseline(baseline, published, threshold)
+    hs, ok = F.array_distinct(F.array(U.host_of(F.col("register_url")), U.host_of(F.col("source_url")))), ~text("parent_verdict").isin("wrong_audience", "off_season")
+    base, pub = _program_rows(baseline), _program_rows(published, hs.alias("hs"), ok.alias("ok"))
+    m = _matched(base, pub, threshold)
     share = lambda a, b: F.round(F.col(a) / F.greatest(F.col(b), F.lit(1)), 4)
     programs = m.agg(F.count("*").alias("programs"), F.count_if(F.col("exact") | F.col("by_url")).alias("strict"), F.count_if("fuzzy").alias("loose"))
-    base, pub = _program_rows(baseline).where("url <> ''"), _program_rows(published)
     urls = pub.select("url").where("url <> ''").distinct().withColumn("hit", F.lit(True))
-    sessions = base.join(urls, "url", "left").agg(F.count("*").alias("sessions"), F.count("hit").alias("sessions_found"))
-    hosts = provider_hosts.select(F.lower("host").alias("h")).where("h <> ''").distinct()
-    both = published.select(F.array_distinct(F.array(U.host_of(F.col("register_url")), U.host_of(F.col("source_url")))).alias("hs"), (~text("parent_verdict").isin("wrong_audience", "off_season")).alias("ok"))
-    each = both.withColumn("row", F.monotonically_increasing_id()).select("row", "ok", F.explode("hs").alias("h")).where("h <> ''")
+    sessions = base.where("url <> ''").join(urls, "url", "left").agg(F.count("*").alias("sessions"), F.count("hit").alias("sessions_found"))
+    hosts = cut(provider_hosts.select(F.lower("host").alias("h")).where("h <> ''").distinct())  # read three times
+    each = pub.withColumn("row", F.monotonically_increasing_id()).select("row", "ok", F.explode("hs").alias("h")).where("h <> ''")
     precise = each.where("ok").join(hosts, "h", "left_semi").agg(F.countDistinct("row").alias("precise"))
     covered = hosts.join(each.select("h").distinct(), "h", "left_semi").agg(F.count("*").alias("covered"))
-    out = programs.crossJoin(sessions).crossJoin(precise).crossJoin(covered).crossJoin(published.agg(F.count("*").alias("published"))).crossJoin(hosts.agg(F.count("*").alias("providers")))  # one row each
+    out = programs.crossJoin(sessions).crossJoin(precise).crossJoin(covered).crossJoin(pub.agg(F.count("*").alias("published"))).crossJoin(hosts.agg(F.count("*").alias("providers")))  # one row each
     return out.select(
         "programs", "sessions", "published", "providers", share("strict", "programs").alias("recall_strict"), share("loose", "programs").alias("recall_fuzzy"), share("sessions_found", "sessions").alias("session_recall"),
         share("precise", "published").alias("precision"), share("covered", "providers").alias("providers_covered"),

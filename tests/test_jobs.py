@@ -246,6 +246,19 @@ def test_stream_stores(spark, tmp_path):
 # Nested values and raw pages
 
 
+def test_baseline_works_addresses_out_once_in_many_tasks(spark):
+    """Rows of one task are dealt out before their addresses are worked out, and no later step works them out again."""
+    rows = [(f"Chess {k}", f"https://A.org/{k // 2}?b=1&utm_x=2", "https://b.org/", "off_season" if k % 5 == 0 else "") for k in range(40)]
+    one = spark.createDataFrame(rows, "name string, register_url string, source_url string, parent_verdict string").coalesce(1)
+    kept = score._program_rows(one)
+    assert kept.rdd.getNumPartitions() > 1 and sorted(tuple(r) for r in kept.collect()) == sorted(("a.org", f"chess {k}", f"https://a.org/{k // 2}?b=1") for k in range(40))
+    out = score.score_baseline(one, one.where("name <> 'Chess 1'"), spark.createDataFrame([("a.org",), ("c.org",)], "host string"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "register_url" not in plan and "source_url" not in plan
+    r = out.first()
+    assert (r.programs, r.sessions, r.published, r.providers, r.recall_strict, r.session_recall, r.precision, r.providers_covered) == (40, 40, 39, 2, 1.0, 1.0, round(31 / 39, 4), 0.5)
+
+
 def test_state_events_walk_any_nesting(spark):
     """The native walk gives what the walk over parsed lists gives."""
     state = [
