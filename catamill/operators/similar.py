@@ -15,6 +15,14 @@ and an insertion q - 1. With |b| from r / (2 - r) |a| to its inverse, a name of
 them, where c is the greater of q (1 - r / (2 - r)) and (q - 1) ((2 - r) / r - 1). Names for which that is 1 or more meet
 one another by these; bigrams are asked only where one of the two is none of these (a short one, or of short tokens).
 
+Grams tell numbered names of one form hardly apart (supplier 000000017, supplier 000000018): what all have in common is as
+much as the bound asks for. Where the lengths of two names allow either side to lose one character at most, the names are
+met by what is left instead. Of the tokens that they don't share, one side's and the other's, joined, are the same text
+once each has lost a character or none; so their tokens, shared ones included, are the same with one character taken out of
+one of them (an empty one left out), or two of them run together, or as they are. Names that meet so are nearly all alike,
+so that pairs grow with the result and not with the square of a block. Lengths that allow nothing to be lost ask for equal
+tokens, which the first bound has.
+
 Marks (tokens, and numbered grams) are ordered by how many names of the block have them, the rarest first. By the first
 bound a name shares one of its first tokens, as many as leave less than the bound's length behind them; by the second, both
 share one of their first bigrams, and their places there bound how many they can share at all. What is left is counted exactly (bigrams, and
@@ -39,6 +47,9 @@ LEAST = 0.7
 #: Lengths of grams from which the longest is taken that leaves a part of a name's grams, at least so large, in common.
 LONG_GRAMS, LEFT = (5, 4, 3), 0.15
 
+#: Length up to which names are met by their texts less one character; longer ones would have too many, and have many grams.
+LESS_ONE = 64
+
 
 def _long_gram(threshold: float) -> tuple[int, float] | None:
     """q, and the grams that edits may cost a name for each of its characters (c); None where no q leaves enough."""
@@ -72,6 +83,16 @@ def long_grams_of(tokens: Column, q: int) -> Column:
     return _numbered(F.flatten(F.transform(inside, lambda t: F.transform(F.sequence(F.lit(1), F.length(t) + 3 - q), lambda i: F.substring(F.concat(F.lit(" "), t, F.lit(" ")), i, F.lit(q))))))
 
 
+def less_one(tokens: Column) -> Column:
+    """The tokens, sorted and joined by blanks: as they are, and each way with one character less, one between two tokens
+    included."""
+    ends = lambda i: F.slice(tokens, i + 2, F.size(tokens))
+    shorter = lambda t, i: F.transform(F.sequence(F.lit(1), F.length(t)), lambda j: F.concat(F.slice(tokens, 1, i), ends(i), F.array(F.concat(F.substring(t, F.lit(1), j - 1), F.substring(t, j + 1, F.length(t))))))
+    joined = lambda t, i: F.transform(ends(i), lambda u, j: F.concat(F.slice(tokens, 1, i), F.slice(ends(i), 1, j), F.slice(ends(i), j + 2, F.size(tokens)), F.array(F.concat(t, u))))
+    ways = F.concat(F.array(tokens), F.flatten(F.transform(tokens, shorter)), F.flatten(F.transform(tokens, joined)))
+    return F.array_distinct(F.transform(ways, lambda w: F.array_join(F.array_sort(F.filter(w, lambda t: t != "")), " ")))
+
+
 def _letters_of(tokens: Column) -> Column:
     """Characters of the tokens joined by blanks, numbered."""
     return _numbered(F.split(F.array_join(tokens, " "), ""))
@@ -87,6 +108,37 @@ def _needed_grams(total: Column, threshold: float) -> Column:
     return F.ceil(total * (1.5 * threshold - 1) + 1 - 1e-6)
 
 
+def _shed(a: Column, b: Column, threshold: float) -> Column:
+    """Characters that the longer of two names of these lengths may lose at most; null where they are too unlike in length."""
+    common = F.ceil((a + b) * threshold / 2 - 1e-6)
+    return F.when(common <= F.least(a, b), F.greatest(a, b) - common)
+
+
+def _by_one(a: Column, b: Column, threshold: float) -> Column:
+    """Whether names of these lengths are met by their texts less one character."""
+    return F.coalesce((_shed(a, b, threshold) == 1) & (F.greatest(a, b) <= LESS_ONE), F.lit(False))
+
+
+def _by_grams(a: Column, b: Column, threshold: float) -> Column:
+    """Whether names of these lengths are met by grams."""
+    return F.coalesce((_shed(a, b, threshold) >= 1) & ~_by_one(a, b, threshold), F.lit(False))
+
+
+def _asked(sets: DataFrame, block: Sequence[str], threshold: float) -> DataFrame:
+    """sets with what others of its block ask of a name by their lengths: `one` (its texts less one character), `g`
+    (bigrams: one of the two has no long grams that serve) and `q` (long grams)."""
+    lens = sets.groupBy(*block, F.col("own.len").alias("len")).agg((F.count("*") > 1).alias("many"), F.bool_or(~F.col("meets")).alias("short"))
+    lens = lens.groupBy(*block).agg(F.collect_list(F.struct("len", "many", "short")).alias("lens"))
+    asks = lambda x, how: F.exists("lens", lambda y: ((x["len"] != y["len"]) | x["many"]) & how(x, y))
+    flags = F.transform("lens", lambda x: F.struct(
+        x["len"].alias("len"), asks(x, lambda x, y: _by_one(x["len"], y["len"], threshold)).alias("one"), asks(x, lambda x, y: _by_grams(x["len"], y["len"], threshold)).alias("any"),
+        asks(x, lambda x, y: _by_grams(x["len"], y["len"], threshold) & y["short"]).alias("short"),
+    ))
+    flags = lens.select(*block, F.inline(flags))
+    both = sets.withColumn("len", F.col("own.len")).join(flags, [*block, "len"])
+    return both.withColumns({"g": F.col("any") & (~F.col("meets") | F.col("short")), "q": F.col("any") & F.col("meets")}).drop("any", "short")
+
+
 def _possible(threshold: float) -> Column:
     """Of pairs with each side's tokens (t), length (len), bigrams and letters, as structs x and y: whether either bound is
     met. Characters in common, counted with repeats, are no fewer than those of the longest common subsequence."""
@@ -114,13 +166,11 @@ def _met(names: DataFrame, block: Sequence[str], threshold: float, flavour: str)
     longs = long_grams_of(F.col("own.t"), q) if long else F.array().cast("array<string>")
     sets = sets.withColumn("longs", longs).withColumn("need", F.ceil(F.size("longs") - F.col("own.len") * cost - 1e-6).cast("int") if long else F.lit(0))
     sets = cut(sets.withColumn("meets", F.col("need") >= 1))  # read several times
-    # Bigrams are those of names that longer ones do not serve, and of all names that stand in a block with one of these.
-    short = sets.where(~F.col("meets")).select(*block).distinct().withColumn("short", F.lit(True))
-    asked = sets.join(short, list(block), "left")
+    asked = _asked(sets, block, threshold)
     mark = lambda kind, xs: F.transform(xs, lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("mark")))
     none = F.array().cast("array<struct<kind:string,mark:string>>")
-    marks = F.concat(mark("t", F.col("own.t")), F.when(F.col("short"), mark("g", F.col("own.grams"))).otherwise(none), F.when(F.col("meets"), mark("q", F.col("longs"))).otherwise(none))
-    each = asked.select(*block, "n", "side", "meets", "need", F.col("own.len").alias("len"), F.explode(marks).alias("m")).select(*block, "n", "side", "meets", "need", "len", "m.kind", "m.mark")
+    marks = F.concat(mark("t", F.col("own.t")), F.when(F.col("g"), mark("g", F.col("own.grams"))).otherwise(none), F.when(F.col("q"), mark("q", F.col("longs"))).otherwise(none))
+    each = asked.select(*block, "n", "side", "meets", "need", "len", F.explode(marks).alias("m")).select(*block, "n", "side", "meets", "need", "len", "m.kind", "m.mark")
     often = each.groupBy(*block, "kind", "mark").agg(F.count("*").alias("often"))
     # By name: its marks of each kind, the rarest first.
     lists = each.join(often, [*block, "kind", "mark"]).groupBy(*block, "n", "side", "meets", "need", "len", "kind").agg(F.array_sort(F.collect_list(F.struct("often", "mark"))).alias("marks"))
@@ -135,7 +185,7 @@ def _met(names: DataFrame, block: Sequence[str], threshold: float, flavour: str)
     here = placed.where((F.col("place") < F.col("head")) & ((F.col("kind") != "g") | ~F.col("meets")))
     there = placed.where((F.col("kind") == "t") | (F.col("place") < F.col("head")))
     x, y = here.alias("x"), there.alias("y")
-    on = (F.col("x.kind") == F.col("y.kind")) & (F.col("x.mark") == F.col("y.mark")) & (F.col("x.n") != F.col("y.n")) & (F.col("x.side").bitwiseOR(F.col("y.side")) == 3)
+    on = (F.col("x.mark") == F.col("y.mark")) & (F.col("x.n") != F.col("y.n")) & (F.col("x.side").bitwiseOR(F.col("y.side")) == 3)
     for b in block:
         on = on & (F.col(f"x.{b}") == F.col(f"y.{b}"))
     total = F.col("x.len") + F.col("y.len")
@@ -143,9 +193,12 @@ def _met(names: DataFrame, block: Sequence[str], threshold: float, flavour: str)
     # Each pair is met once: a name that only bigrams serve looks for all others, else the first looks for the second.
     turn = (F.col("x.n") < F.col("y.n")) | ((F.col("x.kind") == "g") & F.col("y.meets"))
     needed = F.when(F.col("x.kind") == "g", _needed_grams(total, threshold)).otherwise(F.greatest("x.need", "y.need", F.ceil((F.col("x.count") + F.col("y.count")) / 2 - (q - 0.5) * (1 - threshold) * total - 1e-6)))
-    grams_fit = turn & (F.least("x.len", "y.len") >= share * F.greatest("x.len", "y.len") - 1e-6) & (left >= needed)
-    met = x.join(y, on & F.when(F.col("x.kind") == "t", F.lit(True)).otherwise(grams_fit))
-    return sets, met.select(*[F.col(f"x.{b}").alias(b) for b in block], F.least("x.n", "y.n").alias("m"), F.greatest("x.n", "y.n").alias("n")).distinct()
+    grams_fit = turn & _by_grams(F.col("x.len"), F.col("y.len"), threshold) & (left >= needed)
+    met = x.join(y, on & (F.col("x.kind") == F.col("y.kind")) & F.when(F.col("x.kind") == "t", F.lit(True)).otherwise(grams_fit))
+    less = asked.where("one").select(*block, "n", "side", "len", F.explode(less_one(F.col("own.t"))).alias("mark"))
+    near = less.alias("x").join(less.alias("y"), on & (F.col("x.n") < F.col("y.n")) & _by_one(F.col("x.len"), F.col("y.len"), threshold))
+    pair = [*[F.col(f"x.{b}").alias(b) for b in block], F.least("x.n", "y.n").alias("m"), F.greatest("x.n", "y.n").alias("n")]
+    return sets, met.select(*pair).union(near.select(*pair)).distinct()
 
 
 def candidate_names(names: DataFrame, block: Sequence[str], threshold: float, flavour: str = "indel") -> DataFrame:

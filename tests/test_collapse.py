@@ -160,3 +160,42 @@ def test_long_names_that_meet(spark, monkeypatch):
     monkeypatch.setattr(similar, "_possible", lambda threshold: F.lit(True))
     df = spark.createDataFrame([(1, n) for n in some], "b int, n string")
     assert similar.candidate_names(df, ["b"], 0.92).count() < 0.005 * len(some) ** 2 / 2
+
+
+def test_numbered_names_that_meet(spark, monkeypatch):
+    """Of names of one form with numbers, those meet that are a digit apart or nearly so; before, all met all."""
+    some = [f"{k * 37:09d} supplier" for k in range(500)]
+    monkeypatch.setattr(similar, "_possible", lambda threshold: F.lit(True))
+    df = spark.createDataFrame([(1, n) for n in some], "b int, n string")
+    near = sum(token_set(m, n, "indel") >= 0.94 for i, m in enumerate(some) for n in some[i + 1 :])
+    assert 0 < near <= similar.candidate_names(df, ["b"], 0.94).count() < 1.1 * near < 0.05 * len(some) ** 2 / 2
+
+
+def nearly_equal_names(rnd, n):
+    """Numbered names, some with a character taken out or put in, a token moved, cut in two or run into the next."""
+    for _ in range(n):
+        w = ["supplier", f"{rnd.randrange(40):06d}", *rnd.sample(["a", "b", "zz", "éa", "supplies", "000"], rnd.randrange(4))]
+        s = " ".join(sorted(set(w)))
+        for _ in range(rnd.randrange(3)):
+            i = rnd.randrange(len(s) + 1)
+            s = rnd.choice((s[:i] + s[i + 1 :], s[:i] + rnd.choice("01a ") + s[i:], s.replace(" ", "", 1)))
+        yield " ".join(sorted(set(s.split())))
+
+
+@pytest.mark.parametrize("threshold,flavour,most", [(0.94, "indel", 64), (0.94, "indel", 18), (0.92, "blocks", 64), (0.97, "indel", 64)])
+def test_names_less_one_character_lose_no_pair(spark, monkeypatch, threshold, flavour, most):
+    """Also where the longer names of a block are met by grams and the shorter ones by their texts less one character."""
+    monkeypatch.setattr(similar, "LESS_ONE", most)
+    rnd = random.Random(most)
+    some = sorted(set(nearly_equal_names(rnd, 330)) - {""})
+    sides = {n: rnd.choice((1, 2, 3)) for n in some}
+    df = spark.createDataFrame([(1, n, sides[n]) for n in some], "b int, n string, side int")
+    near = {(m, n) for i, m in enumerate(some) for n in some[i + 1 :] if token_set(m, n, flavour) >= threshold}
+    assert len(near) > 50
+    assert {(r.m, r.n) for r in similar.similar_names(df.drop("side"), ["b"], threshold, flavour).collect()} == near
+    assert {(r.m, r.n) for r in similar.similar_names(df, ["b"], threshold, flavour).collect()} == {(m, n) for m, n in near if sides[m] | sides[n] == 3}
+
+
+def test_less_one(spark):
+    row = spark.createDataFrame([(["a", "bc", "d"],)], "t array<string>").select(similar.less_one(F.col("t")).alias("x")).head()
+    assert sorted(row.x) == sorted(["a bc d", "bc d", "a c d", "a b d", "a bc", "abc d", "ad bc", "a bcd"])
