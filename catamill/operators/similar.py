@@ -193,7 +193,7 @@ def _met(names: DataFrame, block: Sequence[str], threshold: float, flavour: str)
     # Each pair is met once: a name that only bigrams serve looks for all others, else the first looks for the second.
     turn = (F.col("x.n") < F.col("y.n")) | ((F.col("x.kind") == "g") & F.col("y.meets"))
     needed = F.when(F.col("x.kind") == "g", _needed_grams(total, threshold)).otherwise(F.greatest("x.need", "y.need", F.ceil((F.col("x.count") + F.col("y.count")) / 2 - (q - 0.5) * (1 - threshold) * total - 1e-6)))
-    grams_fit = turn & _by_grams(F.col("x.len"), F.col("y.len"), threshold) & (left >= needed)
+    grams_fit = turn & (F.least("x.len", "y.len") >= share * F.greatest("x.len", "y.len") - 1e-6) & (left >= needed) & _by_grams(F.col("x.len"), F.col("y.len"), threshold)
     met = x.join(y, on & (F.col("x.kind") == F.col("y.kind")) & F.when(F.col("x.kind") == "t", F.lit(True)).otherwise(grams_fit))
     less = asked.where("one").select(*block, "n", "side", "len", F.explode(less_one(F.col("own.t"))).alias("mark"))
     near = less.alias("x").join(less.alias("y"), on & (F.col("x.n") < F.col("y.n")) & _by_one(F.col("x.len"), F.col("y.len"), threshold))
